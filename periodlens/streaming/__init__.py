@@ -1,0 +1 @@
+"""Incremental snapshot ingest with Structured Streaming (file source, availableNow)."""
