@@ -9,6 +9,7 @@ non-parallel step is a prefix sum over one row per (partition, group).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,15 +34,22 @@ def with_position(df: DataFrame, order_by, name: str = "rank", partition_by=())
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     keys = [F.col(p) for p in parts] + [_sort_col(c) for c in order_by]
     ensure_checkpoint_dir(df.sparkSession)
-    staged = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ranged = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    # The reliable checkpoint is written from the persisted copy (no recomputation) and
+    # fixes the ids, so both uses below see the same rows even after a lost executor.
+    staged = ranged.checkpoint(eager=True)
+    ranged.unpersist()
     counts = staged.groupBy("__pid", *parts).agg(F.count(F.lit(1)).alias("__n"),
                                                  F.min("__mid").alias("__base"))
     before = Window.partitionBy(*parts).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    counts = bounded_broadcast(counts.drop("__n"), OFFSETS_BROADCAST_ROWS)
+    counts = counts.drop("__n")
+    # Without groups the offsets table has one row per range partition (bounded by the
+    # partition count); with groups its size is checked before broadcasting.
+    counts = bounded_broadcast(counts, OFFSETS_BROADCAST_ROWS) if parts else F.broadcast(counts)
     joined = staged.join(counts, on=["__pid", *parts], how="inner")
     pos = (F.col("__off") + (F.col("__mid") - F.col("__base")) + 1).cast("int")
     return joined.withColumn(name, pos).drop("__pid", "__mid", "__base", "__off")

@@ -20,6 +20,7 @@ LOCAL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.parquet.compression.codec": "zstd",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
