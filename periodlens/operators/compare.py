@@ -69,6 +69,12 @@ def name_precedence(new_name: Column, old_name: Column, code: Column) -> Column:
             .otherwise(code.cast("string")))
 
 
+def _line(df: DataFrame, line: str | None, text) -> Column:
+    """File-order column when the frame has one; otherwise the value itself (first = smallest),
+    since row order in a snapshot table carries no meaning."""
+    return F.col(line) if line and line in df.columns else as_col(text)
+
+
 def first_in_order(value: Column, order: Column, flag: Column | None = None) -> Column:
     """Aggregate: first non-null ``value`` in ``order`` (optionally among rows where ``flag``)."""
     keep = value.isNotNull() if flag is None else (flag & value.isNotNull())
@@ -82,8 +88,8 @@ def name_map(df: DataFrame, code, text, before: Column, after: Column,
     old_text = clean_category(text, text if isinstance(text, str) else None) if clean_before else as_col(text)
     agg = (df.where(before | after).where(code_c.isNotNull())
            .groupBy(code_c.alias("code"))
-           .agg(first_in_order(as_col(text), F.col(line), after).alias("__new"),
-                first_in_order(old_text, F.col(line), before).alias("__old")))
+           .agg(first_in_order(as_col(text), _line(df, line, text), after).alias("__new"),
+                first_in_order(old_text, _line(df, line, text), before).alias("__old")))
     return agg.select("code", name_precedence(F.col("__new"), F.col("__old"), F.col("code")).alias("name"))
 
 
@@ -105,7 +111,7 @@ def comparison_table(df: DataFrame, code, before: Column, after: Column, *,
             .select(code_c.alias("code"), before.alias("__b"), after.alias("__a"), v.alias("__v"),
                     *([as_col(text).alias("__t_new"),
                        (clean_category(text, text) if clean_names else as_col(text)).alias("__t_old"),
-                       F.col(line).alias("__line")] if text is not None else []))
+                       _line(df, line, text).alias("__line")] if text is not None else []))
             .where(F.col("code").isNotNull()))
     frac = _fractional(policy)
     aggs = [_side_total(F.col("__b"), F.col("__v"), frac).alias("before"),

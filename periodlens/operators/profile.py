@@ -174,8 +174,9 @@ def distinct_count(df: DataFrame, col: str, by: str = "dataset_key") -> DataFram
 
 def first_non_null(df: DataFrame, key: str, value: str, line: str = "line_no") -> DataFrame:
     """First non-null ``value`` per ``key`` in line order."""
+    order = F.col(line) if line and line in df.columns else F.col(value)
     return (df.where(F.col(key).isNotNull()).groupBy(key)
-            .agg(F.min_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(line))).alias(f"first_{value}")))
+            .agg(F.min_by(F.col(value), F.when(F.col(value).isNotNull(), order)).alias(f"first_{value}")))
 
 
 def keep_first(df: DataFrame, keys, order: str) -> DataFrame:
