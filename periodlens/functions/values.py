@@ -52,12 +52,21 @@ def parse_number(c) -> Column:
     return F.when(t.rlike(NUMBER_PATTERN), t.try_cast("double"))
 
 
+def _int_text(c) -> Column:
+    """Fast path: plain integer text (optional sign, surrounding ASCII blanks) → bigint, else null.
+
+    Spark's string→bigint cast accepts exactly that form, so the regular expression in
+    ``parse_number`` only runs for the rare non-integer cells.
+    """
+    return as_col(c).try_cast("bigint")
+
+
 def safe_int(c) -> Column:
     """Sentinel-aware integer parse: missing → null, else int(float(x)) truncating to 0.
 
     Non-numbers (including REDACTED) → null, as are values outside the bigint range.
     """
-    return F.when(~is_missing(c), parse_number(c).try_cast("bigint"))
+    return F.when(~is_missing(c), F.coalesce(_int_text(c), parse_number(c).try_cast("bigint")))
 
 
 def count_value(c, policy: str) -> Column:
@@ -71,12 +80,12 @@ def count_value(c, policy: str) -> Column:
     if policy == "skip":
         return F.when(~is_sentinel(c), safe_int(c))
     if policy == "impute_one":
-        return F.coalesce(parse_number(c), F.lit(1.0))
+        return F.coalesce(_int_text(c).cast("double"), parse_number(c), F.lit(1.0))
     if policy == "digits_else_zero":
         c = as_col(c)
         return F.coalesce(F.when(c.rlike(DIGITS_PATTERN), c.try_cast("bigint")), F.lit(0).cast("bigint"))
     if policy == "coerce_zero":
-        return F.coalesce(parse_number(c), F.lit(0.0))
+        return F.coalesce(_int_text(c).cast("double"), parse_number(c), F.lit(0.0))
     raise ValueError(f"unknown count policy {policy!r}; expected one of {COUNT_POLICIES}")
 
 

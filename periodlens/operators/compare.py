@@ -173,7 +173,7 @@ def compare_left(status: DataFrame, datecode: str, current: str, prior: str,
     else:
         pri = pri.groupBy(*keys).agg(F.max(cnt(count_metric)).alias("prior_count"))
     pri = bounded_broadcast(pri.select([F.col(k).alias(f"__p_{k}") for k in keys] + ["prior_count"]),
-                            max_prior_rows)
+                            max_prior_rows, derived=True)
     cond = None
     for k in keys:
         e = F.col(k).eqNullSafe(F.col(f"__p_{k}"))

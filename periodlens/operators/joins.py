@@ -11,14 +11,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from periodlens.session import materialize
+
+
+_CHECKED: dict = {}
+
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads no more than max_rows+1 rows)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (reads no more than max_rows+1 rows).
 
+    The answer is remembered per (plan, bound) for the life of the process, so a dimension
+    used by many queries is checked once; plans over other files or filters are new plans.
+    """
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    hit = _CHECKED.get(key)
+    if hit is None:
+        hit = df.limit(max_rows + 1).count() <= max_rows
+        _CHECKED[key] = hit
+    return hit
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast only if its row count is proven ≤ ``max_rows``."""
+
+def bounded_broadcast(df: DataFrame, max_rows: int, derived: bool = False) -> DataFrame:
+    """Mark ``df`` for broadcast only if its row count is proven ≤ ``max_rows``.
+
+    ``derived=True`` is for a side computed from the data (e.g. a list of flagged groups): it is
+    written once to the checkpoint folder, counted there, and joined from there, so the source
+    is not scanned a second time.  Above the bound the side is joined by shuffle.
+    """
+    if derived:
+        df = materialize(df, "side")
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
@@ -28,14 +49,14 @@ def exclude_groups(df: DataFrame, groups: DataFrame, keys, max_rows: int = 100_0
     Unlike ``~isin`` a null key is kept, since it matches no excluded group.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    g = bounded_broadcast(groups.select(*keys).distinct(), max_rows)
+    g = bounded_broadcast(groups.select(*keys).distinct(), max_rows, derived=True)
     return df.join(g, on=keys, how="left_anti")
 
 
 def keep_groups(df: DataFrame, groups: DataFrame, keys, max_rows: int = 100_000) -> DataFrame:
     """Rows of ``df`` whose key is among ``groups`` (left semi join)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    g = bounded_broadcast(groups.select(*keys).distinct(), max_rows)
+    g = bounded_broadcast(groups.select(*keys).distinct(), max_rows, derived=True)
     return df.join(g, on=keys, how="left_semi")
 
 
@@ -47,6 +68,6 @@ def enrich_coalesce(df: DataFrame, descriptions: DataFrame, key: str, value: str
     join never multiplies rows.
     """
     d = descriptions.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias("__full"))
-    d = bounded_broadcast(d, max_rows)
+    d = bounded_broadcast(d, max_rows, derived=True)
     return df.join(d, on=key, how="left").withColumn(
         out, F.coalesce(F.col("__full"), F.col(fallback))).drop("__full")

@@ -2,19 +2,20 @@
 
 ``row_number()`` over a window with no PARTITION BY sends every row to a single task.
 ``with_position`` instead range-partitions and sorts the data (a distributed sort),
-materialises it with a reliable checkpoint (so positions are stable and survive a lost
-executor), counts rows per partition and adds each partition's offset.  The only
+writes it once to the shared checkpoint folder (so positions are stable and survive a
+lost executor), counts rows per partition and adds each partition's offset.  The only
 non-parallel step is a prefix sum over one row per (partition, group).
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from periodlens.operators.joins import bounded_broadcast
-from periodlens.session import ensure_checkpoint_dir
+from periodlens.session import scratch_path
 
 # Counts table rows above which the offsets are joined with a shuffle instead of broadcast.
 OFFSETS_BROADCAST_ROWS = 200_000
@@ -33,23 +34,24 @@ def with_position(df: DataFrame, order_by, name: str = "rank", partition_by=())
     order_by = [order_by] if isinstance(order_by, (str,)) else list(order_by)
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     keys = [F.col(p) for p in parts] + [_sort_col(c) for c in order_by]
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mid", F.monotonically_increasing_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    # The reliable checkpoint is written from the persisted copy (no recomputation) and
-    # fixes the ids, so both uses below see the same rows even after a lost executor.
-    staged = ranged.checkpoint(eager=True)
-    ranged.unpersist()
+    spark = df.sparkSession
+    path = scratch_path(spark, f"position-{uuid.uuid4().hex}")
+    # One job sorts by range and writes the rows with their (partition, id) pair to the shared
+    # checkpoint folder; reading that table back fixes the ids, so both uses below see the
+    # same rows even if an executor is lost afterwards.
+    (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+     .withColumn("__pid", F.spark_partition_id())
+     .withColumn("__mid", F.monotonically_increasing_id())
+     .write.mode("errorifexists").parquet(path))
+    staged = spark.read.parquet(path)
     counts = staged.groupBy("__pid", *parts).agg(F.count(F.lit(1)).alias("__n"),
                                                  F.min("__mid").alias("__base"))
     before = Window.partitionBy(*parts).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
     counts = counts.drop("__n")
     # Without groups the offsets table has one row per range partition (bounded by the
-    # partition count); with groups its size is checked before broadcasting.
-    counts = bounded_broadcast(counts, OFFSETS_BROADCAST_ROWS) if parts else F.broadcast(counts)
+    # partition count); with groups it is written once and its size checked before broadcasting.
+    counts = bounded_broadcast(counts, OFFSETS_BROADCAST_ROWS, derived=True) if parts else F.broadcast(counts)
     joined = staged.join(counts, on=["__pid", *parts], how="inner")
     pos = (F.col("__off") + (F.col("__mid") - F.col("__base")) + 1).cast("int")
     return joined.withColumn(name, pos).drop("__pid", "__mid", "__base", "__off")
@@ -65,3 +67,15 @@ def top_n(df: DataFrame, order_by, n: int, name: str = "rank") -> DataFrame:
     cols = [_sort_col(c) for c in order_by]
     head = df.orderBy(*cols).limit(n)
     return head.withColumn(name, F.row_number().over(Window.orderBy(*cols)).cast("int"))
+
+
+def rank_within_bound(df: DataFrame, order_by, bound: int, name: str = "rank") -> DataFrame:
+    """Rank rows whose count is bounded by construction (e.g. one row per profiled column).
+
+    ``bound`` documents that bound (a number fixed by the plan, not by the data); the rows of
+    such a result fit one task, so a plain ``row_number`` window is used.
+    """
+    if bound > 100_000:
+        return with_position(df, order_by, name)
+    order_by = [order_by] if isinstance(order_by, str) else list(order_by)
+    return df.withColumn(name, F.row_number().over(Window.orderBy(*[_sort_col(c) for c in order_by])).cast("int"))

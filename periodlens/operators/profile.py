@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from periodlens.functions.common import as_col, string_columns
 from periodlens.functions.values import REDACTED, count_sum, safe_int
-from periodlens.operators.position import top_n, with_position
+from periodlens.operators.position import rank_within_bound, top_n, with_position
 
 
 def _mean(c: Column) -> Column:
@@ -45,9 +45,11 @@ def mean_by_group(df: DataFrame, group: str, value: str = "salary", n: int = 5)
     Output: rank, group, mean_value, n_valid, valid_records, valid_pct.
     """
     num = safe_int(value)
-    valid = df.select(F.col(group), num.alias("__v")).where(F.col("__v").isNotNull())
-    total_rows = df.select(F.count(F.lit(1))).scalar()
-    total_valid = valid.select(F.count(F.lit(1))).scalar()
+    valued = df.select(F.col(group), num.alias("__v"))
+    valid = valued.where(F.col("__v").isNotNull())
+    # Two scalar subqueries over the same input: Spark merges them into one scan.
+    total_rows = valued.select(F.count(F.lit(1))).scalar()
+    total_valid = valued.select(F.count("__v")).scalar()
     agg = (valid.where(F.col(group).isNotNull()).groupBy(group)
            .agg(F.round(_mean(F.col("__v")), 4).alias("mean_value"), F.count("__v").alias("n_valid")))
     top = top_n(agg, [F.desc("mean_value"), F.asc(group)], n)
@@ -113,7 +115,8 @@ def redaction_profile(df: DataFrame, before: Column, after: Column, columns=None
         "after_count",
         F.round(F.when(F.col("rows_a") > 0, F.col("after_count") / F.col("rows_a") * 100.0)
                 .otherwise(0.0), 4).alias("after_pct"))
-    return with_position(long, [F.desc("after_count"), "column_name"], "rank")
+    # at most one row per profiled column
+    return rank_within_bound(long, [F.desc("after_count"), "column_name"], len(columns), "rank")
 
 
 # --- fixed values -----------------------------------------------------------
@@ -156,7 +159,7 @@ def redaction_overview(df: DataFrame, description_only: bool = True) -> DataFram
                for c, name in fields.items()]
     long = wide.select(F.inline(F.array(*structs))).where(F.col("redacted_count") > 0)
     long = long.withColumn("redaction_pct", F.round(F.col("redacted_count") / F.col("total_records") * 100.0, 4))
-    return with_position(long, [F.desc("redaction_pct"), "field"], "rank")
+    return rank_within_bound(long, [F.desc("redaction_pct"), "field"], len(fields), "rank")
 
 
 def cell_redaction(df: DataFrame, by: str = "dataset_key", columns=None) -> DataFrame:
@@ -198,7 +201,7 @@ def duplicate_report(df: DataFrame, keys, order: str, max_dup_keys: int = 100_00
     keys = [keys] if isinstance(keys, str) else list(keys)
     stats = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records"), F.min(order).alias("__first"))
              .where(F.col("n_records") > 1))
-    stats = bounded_broadcast(stats, max_dup_keys)
+    stats = bounded_broadcast(stats, max_dup_keys, derived=True)
     rows = df.join(stats, on=keys, how="inner")
     return rows.withColumn("kept", F.col(order) == F.col("__first")).drop("__first")
 

@@ -58,3 +58,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint dir for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once to the shared checkpoint folder and return the table read back.
+
+    Used for small derived sides (flagged groups, duplicate keys, offsets) that a query needs
+    twice — once to prove their size, once to join — so the source is scanned only once, and
+    for cutting lineage so a lost executor re-reads the table instead of recomputing it.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -42,8 +42,29 @@ GRADE_MOD = 15
 NATION_MAX_ROWS = 1000
 
 
+# Loaded tables and adapter plans per session: building a plan costs Python/JVM round trips
+# (file listing, footers, analysis), and a session running many reports over the same tables
+# loads them once, as a Spark user would.  Only lazy plans are kept, never data.
+_PLANS: dict = {}
+
+
+def _memo(spark: SparkSession, key, build):
+    k = (id(spark), spark.sparkContext.applicationId) + tuple(key)
+    df = _PLANS.get(k)
+    if df is None:
+        df = build()
+        _PLANS[k] = df
+    return df
+
+
+def forget_tables() -> None:
+    """Drop the remembered plans (e.g. after the files under a directory were replaced)."""
+    _PLANS.clear()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    return _memo(spark, ("table", path), lambda: spark.read.parquet(path))
 
 
 def year_window(col: str, years) -> F.Column:
@@ -55,6 +76,12 @@ def year_window(col: str, years) -> F.Column:
 
 
 def snapshot_facts(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
+    """Snapshot fact table derived from orders ⟕ customer ⟕ nation (plan built once per session)."""
+    ykey = None if years is None else tuple(sorted(set(int(y) for y in years)))
+    return _memo(spark, ("facts", sf_dir, ykey), lambda: _snapshot_facts(spark, sf_dir, ykey))
+
+
+def _snapshot_facts(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
     """Snapshot fact table derived from orders ⟕ customer ⟕ nation.
 
     Columns (text unless noted): dataset_key, quarter, year INT, datecode, line_no BIGINT,
