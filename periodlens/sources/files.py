@@ -2,8 +2,8 @@
 
 Delimited files from different eras carry different headers, so files are grouped by
 their (normalised) header and each group is one CSV scan with an explicit all-string
-schema; the groups are then unioned by name.  Headers are read in one distributed job
-(the first line of every file), never by opening files on the driver.
+schema; the groups are then unioned by name.  Headers are read with Spark (first line of each file's
+first split), never by opening files on the driver.
 """
 
 from __future__ import annotations
@@ -51,15 +51,23 @@ def normalized_names(raw_names, duplicates=DUPLICATE_HEADER_NAMES) -> list[str]:
     return out
 
 
-def first_lines(spark: SparkSession, paths, encoding: str = "UTF-8") -> dict[str, str]:
-    """The first line of every file, in one job: {file path: line}."""
+def first_lines(spark: SparkSession, paths, encoding: str = "UTF-8", threads: int = 16) -> dict[str, str]:
+    """The first line of every file: {file path: line}.
+
+    One tiny job per file that stops after the first line of the file's first split (the way
+    Spark's own CSV header handling reads a header), run concurrently from a thread pool, so
+    the cost follows the number of files, not their size.
+    """
+    from concurrent.futures import ThreadPoolExecutor
     paths = [paths] if isinstance(paths, str) else list(paths)
-    txt = (spark.read.option("encoding", encoding).text(paths)
-           .select(F.col("_metadata.file_path").alias("path"),
-                   F.col("_metadata.file_block_start").alias("start"), "value",
-                   F.monotonically_increasing_id().alias("id")))
-    heads = txt.where(F.col("start") == 0).groupBy("path").agg(F.min_by("value", "id").alias("line"))
-    return {r["path"]: r["line"] for r in heads.collect()}
+    files = sorted(set(spark.read.text(paths).inputFiles()))
+
+    def head(path):
+        rows = spark.read.text(path).take(1)
+        return path, (rows[0][0] if rows else "")
+
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
+        return dict(pool.map(head, files))
 
 
 def _split_header(line: str, sep: str, quote: str) -> list[str]:

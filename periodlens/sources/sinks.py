@@ -12,19 +12,26 @@ def write_snapshots(df: DataFrame, path: str, partition_by=("year", "quarter"),
     """Write snapshots as parquet partitioned by period, replacing only the periods written
     (dynamic partition overwrite), then read back the row count per period (S10).
 
-    Rows are clustered by period before the write so each task writes few files.
+    Rows are range-partitioned by period and then by a row hash before the write: each task
+    writes one or two periods (few files), and a period holding a third of all rows is split
+    over proportionally many tasks instead of landing in one.
     Returns (partition columns..., rows_written, rows_read) — a mismatch means a failed write.
     """
     spark = df.sparkSession
     parts = list(partition_by)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     counts = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("rows_written"))
-    (df.repartition(*parts).write.mode("overwrite").partitionBy(*parts)
+    (cluster_for_write(df, parts).write.mode("overwrite").partitionBy(*parts)
      .option("compression", compression).parquet(path))
     back = spark.read.parquet(path).groupBy(*parts).agg(F.count(F.lit(1)).alias("rows_read"))
     return counts.join(back, on=parts, how="left")
 
 
+def cluster_for_write(df: DataFrame, parts) -> DataFrame:
+    """Range-partition by the partition columns, then a hash of the whole row (splits hot periods)."""
+    return df.repartitionByRange(*[F.col(p) for p in parts], F.xxhash64(*[F.col(c) for c in df.columns]))
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Write a result table as CSV with a header.
 

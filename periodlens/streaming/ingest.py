@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from periodlens.operators import conform as CF
 from periodlens.operators.denorm import denormalize
 from periodlens.sources import files as S
+from periodlens.sources.sinks import cluster_for_write
 
 
 def fact_stream(spark: SparkSession, landing_dir: str, columns, sep: str = ",",
@@ -46,7 +47,7 @@ def ingest(spark: SparkSession, landing_dir: str, columns, out_path: str, checkp
          .write.mode("append").parquet(manifest_path))
         batch_spark = snap.sparkSession
         batch_spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        (snap.drop("source_file", "source_size").repartition("year", "quarter")
+        (cluster_for_write(snap.drop("source_file", "source_size"), ["year", "quarter"])
          .write.mode("overwrite").partitionBy("year", "quarter").option("compression", "zstd")
          .parquet(out_path))
         snap.unpersist()
