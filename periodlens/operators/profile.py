@@ -42,26 +42,37 @@ def mean_by_group(df: DataFrame, group: str, value: str = "salary", n: int = 5)
     """Mean of a sentinel-aware integer measure by group, top ``n`` by mean (A2).
 
     Also carries the coverage of the measure: valid rows and their percent of all rows.
-    Output: rank, group, mean_value, n_valid, valid_records, valid_pct.
+    Output: rank, group, mean_value, n_valid, n_rows (all rows of the group), valid_records, valid_pct,
+    overall_mean.
     """
     num = safe_int(value)
-    valued = df.select(F.col(group), num.alias("__v"))
-    valid = valued.where(F.col("__v").isNotNull())
-    # Two scalar subqueries over the same input: Spark merges them into one scan.
-    total_rows = valued.select(F.count(F.lit(1))).scalar()
-    total_valid = valued.select(F.count("__v")).scalar()
-    agg = (valid.where(F.col(group).isNotNull()).groupBy(group)
-           .agg(F.round(_mean(F.col("__v")), 4).alias("mean_value"), F.count("__v").alias("n_valid")))
-    top = top_n(agg, [F.desc("mean_value"), F.asc(group)], n)
-    return top.select("rank", group, "mean_value", "n_valid",
-                      total_valid.cast("bigint").alias("valid_records"),
-                      F.round(total_valid.cast("double") / total_rows * 100.0, 4).alias("valid_pct"))
+    per = (df.select(F.col(group), num.alias("__v")).groupBy(group)
+           .agg(F.count(F.lit(1)).alias("__rows"), F.count("__v").alias("n_valid"), F.sum("__v").alias("__sum")))
+    # Coverage totals are sums over the per-group rows (the null group included), so the big
+    # input is aggregated once; the scalar subquery reads the same shuffle output.
+    totals = per.select(F.struct(F.sum("__rows").alias("rows"), F.sum("n_valid").alias("valid"),
+                                 F.sum("__sum").alias("total"))).scalar()
+    # No filter between the aggregate and the ranking: the null group and groups without a
+    # valid value sort after every real group and are dropped from the (at most n) ranked rows,
+    # so the aggregate stays identical to the one under the totals subquery and its shuffle is
+    # reused instead of scanning the input twice.
+    agg = per.select(group, F.round(F.col("__sum").cast("double") / F.col("n_valid"), 4).alias("mean_value"),
+                     "n_valid", F.col("__rows").alias("n_rows"))
+    top = top_n(agg, [F.col(group).isNull(), F.desc_nulls_last("mean_value"), F.asc(group)], n)
+    top = top.where(F.col(group).isNotNull() & (F.col("n_valid") > 0)).withColumn("__tot", totals)
+    return top.select("rank", group, "mean_value", "n_valid", "n_rows",
+                      F.col("__tot.valid").cast("bigint").alias("valid_records"),
+                      F.round(F.col("__tot.valid").cast("double") / F.col("__tot.rows") * 100.0, 4)
+                      .alias("valid_pct"),
+                      F.round(F.col("__tot.total").cast("double") / F.col("__tot.valid"), 4).alias("overall_mean"))
 
 
 def frequency_share(df: DataFrame, col: str) -> DataFrame:
     """Value counts of ``col`` (nulls dropped) with the share of all rows (A4): value, n, share_pct."""
-    total = df.select(F.count(F.lit(1))).scalar()
-    vc = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    per = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    # all rows = the sum over every group, the null group included (one pass over the input)
+    total = per.select(F.sum("n")).scalar()
+    vc = per.where(F.coalesce(F.col(col).isNotNull() & (F.col("n") > 0), F.lit(False)))
     return vc.withColumn("share_pct", F.round(F.col("n").cast("double") / total * 100.0, 4))
 
 
