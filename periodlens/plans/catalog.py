@@ -37,6 +37,7 @@ ERA_FIELDS, ERA_START = ("salary", "agelvlt"), 1997
 DESCRIPTION_YEAR = 2001
 COVERAGE_DIMS = (("loc", "loct"), ("agelvl", "agelvlt"), ("toa", "toat"), ("occ", "occt"))
 QUALITY_FIELDS = Q.LOOKUP_FIELDS + ("salary",)
+TREND_AGYSUB = "MA07"
 # ------------------------------------------------------------------------------
 
 
@@ -434,6 +435,39 @@ def sample(spark, d):
     return O.sample_rows(rows, 5, 42, ["line_no"]).withColumn("has_redaction", flag)
 
 
+# --- composed reports ---------------------------------------------------------------------
+
+def education_comparison(spark, d):
+    from periodlens.plans import reports as R
+    b, a = _ba()
+    return _r4(R.education_comparison(_facts(spark, d, [BEFORE, AFTER]), b, a))
+
+
+def location_comparison(spark, d):
+    from periodlens.plans import reports as R
+    b, a = _ba()
+    return _r4(R.location_comparison(_facts(spark, d, [BEFORE, AFTER]), b, a))
+
+
+def salary_availability(spark, d):
+    from periodlens.plans import reports as R
+    b, a = _ba()
+    return _r4(R.salary_availability(_facts(spark, d, [BEFORE, AFTER]), b, a))
+
+
+def grade_transitions(spark, d):
+    from periodlens.plans import reports as R
+    years = sorted({y for _, b, a in TRANSITIONS for y in (b, a)})
+    matrix, _, _ = R.transition_analysis(_facts(spark, d, years), TRANSITIONS, kind="grade", period_col="year")
+    return matrix
+
+
+def agency_trend(spark, d):
+    from periodlens.plans import reports as R
+    trend_, _, _, _ = R.agency_trend(_facts(spark, d), TREND_AGYSUB)
+    return trend_
+
+
 QUERIES = {
     "headcount_top": headcount_top,
     "mean_by_group": mean_by_group,
@@ -500,4 +534,9 @@ QUERIES = {
     "merge_failure": merge_failure,
     "verdict": verdict,
     "dim_coverage": dim_coverage,
+    "education_comparison": education_comparison,
+    "location_comparison": location_comparison,
+    "salary_availability": salary_availability,
+    "grade_transitions": grade_transitions,
+    "agency_trend": agency_trend,
 }
