@@ -93,6 +93,26 @@ def name_map(df: DataFrame, code, text, before: Column, after: Column,
     return agg.select("code", name_precedence(F.col("__new"), F.col("__old"), F.col("code")).alias("name"))
 
 
+def name_by_preference(df: DataFrame, code, text, period: str, preferred, order=None,
+                       line: str = "line_no") -> DataFrame:
+    """Code → description where one period is preferred (J7 variant): the preferred period's
+    first description when it has one, otherwise the first description of the earliest period
+    in ``order`` (default: ascending period value).  Output: code, name (null when none).
+
+    One ``min_by`` over (not preferred, period rank, line order): a partial aggregate.
+    """
+    code_c, text_c = as_col(code), as_col(text)
+    if order is not None:
+        ranks = F.create_map(*[x for i, p in enumerate(order) for x in (F.lit(p), F.lit(i))])
+        period_key = F.coalesce(ranks[F.col(period)], F.lit(len(order)))
+    else:
+        period_key = F.col(period)
+    ordering = F.struct(F.when(F.col(period) == F.lit(preferred), F.lit(0)).otherwise(F.lit(1)).alias("p"),
+                        period_key.alias("k"), _line(df, line, text).alias("l"))
+    return (df.where(code_c.isNotNull()).groupBy(code_c.alias("code"))
+            .agg(F.min_by(text_c, F.when(text_c.isNotNull(), ordering)).alias("name")))
+
+
 def comparison_table(df: DataFrame, code, before: Column, after: Column, *,
                      measure="employment", policy: str = "impute_one", text=None,
                      clean_names: bool = False, order: str = "specials_last",

@@ -67,13 +67,21 @@ def mean_by_group(df: DataFrame, group: str, value: str = "salary", n: int = 5)
                       F.round(F.col("__tot.total").cast("double") / F.col("__tot.valid"), 4).alias("overall_mean"))
 
 
-def frequency_share(df: DataFrame, col: str) -> DataFrame:
-    """Value counts of ``col`` (nulls dropped) with the share of all rows (A4): value, n, share_pct."""
+def frequency_share(df: DataFrame, col: str, n: int | None = None, by_label: bool = False) -> DataFrame:
+    """Value counts of ``col`` (nulls dropped) with the share of all rows (A4): value, n, share_pct.
+
+    ``n`` keeps the top-n by count (with a rank); ``by_label`` ranks by the value instead.
+    """
     per = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     # all rows = the sum over every group, the null group included (one pass over the input)
     total = per.select(F.sum("n")).scalar()
     vc = per.where(F.coalesce(F.col(col).isNotNull() & (F.col("n") > 0), F.lit(False)))
-    return vc.withColumn("share_pct", F.round(F.col("n").cast("double") / total * 100.0, 4))
+    vc = vc.withColumn("share_pct", F.round(F.col("n").cast("double") / total * 100.0, 4))
+    if n is not None:
+        return top_n(vc, [F.desc("n"), F.asc(col)], n)
+    if by_label:
+        return with_position(vc, [col], "rank")
+    return vc
 
 
 def numeric_summary(df: DataFrame, value: str = "salary", by=None, approx: bool = False) -> DataFrame:

@@ -24,6 +24,10 @@ NULL_WARN_PCT = 10.0
 # Fields that must be empty before the pay-plan era began, and that year.
 ERA_FIELDS = ("payplant", "ppgrdt", "ppgroupt")
 ERA_START_YEAR = 2016
+# Publication calendar: (first year, last year, months published).
+CALENDAR_RULE = ((1998, 2008, ("September",)), (2009, 2009, ("September", "December")),
+                 (2010, 2023, ("March", "June", "September", "December")),
+                 (2024, 2024, ("March", "June", "September")), (2025, 2025, ("March",)))
 # Accepted rows per snapshot.
 ROW_RANGE = (1_500_000, 2_500_000)
 # ----------------------------------------------------------------------------
@@ -117,6 +121,15 @@ def calendar_gaps(df: DataFrame, months=("March", "June", "September", "December
     return expected.join(actual, on=["year", "quarter"], how="left_anti")
 
 
+def expected_calendar(spark, first_year: int = CALENDAR_RULE[0][0], last_year: int = CALENDAR_RULE[-1][1]):
+    """The publication calendar as (year, quarter) rows, built from ``CALENDAR_RULE`` in Spark."""
+    years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("year"))
+    months = F.array().cast("array<string>")
+    for lo, hi, listed in reversed(CALENDAR_RULE):
+        months = F.when(F.col("year").between(lo, hi), F.array(*map(F.lit, listed))).otherwise(months)
+    return years.select("year", F.explode(months).alias("quarter"))
+
+
 def row_range(df: DataFrame, by: str = "dataset_key", lo: int = ROW_RANGE[0], hi: int = ROW_RANGE[1]) -> DataFrame:
     """Row count per period and whether it lies within [lo, hi] (Q7)."""
     return _periods(df, by).withColumn("in_range", F.col("rows").between(lo, hi))

@@ -38,6 +38,8 @@ DESCRIPTION_YEAR = 2001
 COVERAGE_DIMS = (("loc", "loct"), ("agelvl", "agelvlt"), ("toa", "toat"), ("occ", "occt"))
 QUALITY_FIELDS = Q.LOOKUP_FIELDS + ("salary",)
 TREND_AGYSUB = "MA07"
+PREFERRED_YEAR = 1997
+HIGH_REDACTION_PCT = 5.0
 # ------------------------------------------------------------------------------
 
 
@@ -468,6 +470,26 @@ def agency_trend(spark, d):
     return trend_
 
 
+def name_preference(spark, d):
+    return C.name_by_preference(_facts(spark, d), "agelvl", "agelvlt", "year", PREFERRED_YEAR)
+
+
+def freq_top(spark, d):
+    return PR.frequency_share(_facts(spark, d), "loct", n=5)
+
+
+def freq_by_label(spark, d):
+    return PR.frequency_share(_facts(spark, d), "agelvlt", by_label=True)
+
+
+def calendar_expected(spark, d):
+    return Q.calendar_gaps(_facts(spark, d), expected=Q.expected_calendar(spark))
+
+
+def high_redaction(spark, d):
+    return PR.high_redaction_columns(_facts(spark, d), threshold_pct=HIGH_REDACTION_PCT)
+
+
 QUERIES = {
     "headcount_top": headcount_top,
     "mean_by_group": mean_by_group,
@@ -539,4 +561,9 @@ QUERIES = {
     "salary_availability": salary_availability,
     "grade_transitions": grade_transitions,
     "agency_trend": agency_trend,
+    "name_preference": name_preference,
+    "freq_top": freq_top,
+    "freq_by_label": freq_by_label,
+    "calendar_expected": calendar_expected,
+    "high_redaction": high_redaction,
 }
