@@ -29,6 +29,44 @@ DIGITS_PATTERN = r"^[0-9]+$"
 COUNT_POLICIES = ("skip", "impute_one", "digits_else_zero", "coerce_zero")
 
 
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _sql_strip(x: str) -> str:
+    return f"regexp_replace({x}, {_lit(r'(?U)^\s+|\s+$')}, '')"
+
+
+def _sql_missing(x: str, markers=MISSING_MARKERS) -> str:
+    return f"({x} IS NULL OR {x} IN ({', '.join(_lit(m) for m in markers)}))"
+
+
+def _sql_number(x: str) -> str:
+    t = _sql_strip(x)
+    return f"CASE WHEN {t} RLIKE {_lit(NUMBER_PATTERN)} THEN try_cast({t} AS DOUBLE) END"
+
+
+def _sql_safe_int(x: str) -> str:
+    return (f"CASE WHEN NOT {_sql_missing(x)} THEN coalesce(try_cast({x} AS BIGINT), "
+            f"try_cast({_sql_number(x)} AS BIGINT)) END")
+
+
+def _sql_count_value(x: str, policy: str) -> str:
+    if policy == "skip":
+        return f"CASE WHEN NOT {_sql_missing(x, SENTINELS)} THEN {_sql_safe_int(x)} END"
+    if policy == "impute_one":
+        return f"coalesce(CAST(try_cast({x} AS BIGINT) AS DOUBLE), {_sql_number(x)}, 1.0D)"
+    if policy == "digits_else_zero":
+        return f"coalesce(CASE WHEN {x} RLIKE {_lit(DIGITS_PATTERN)} THEN try_cast({x} AS BIGINT) END, 0L)"
+    if policy == "coerce_zero":
+        return f"coalesce(CAST(try_cast({x} AS BIGINT) AS DOUBLE), {_sql_number(x)}, 0.0D)"
+    raise ValueError(f"unknown count policy {policy!r}; expected one of {COUNT_POLICIES}")
+
+
 def strip_ws(c) -> Column:
     """Strip leading/trailing whitespace, Unicode-aware (like Python ``str.strip``)."""
     return F.regexp_replace(as_col(c), r"(?U)^\s+|\s+$", "")
@@ -48,6 +86,8 @@ def is_sentinel(c) -> Column:
 
 def parse_number(c) -> Column:
     """Text → double, or null when the text is not a plain decimal number."""
+    if isinstance(c, str):
+        return F.expr(_sql_number(_ident(c)))
     t = strip_ws(c)
     return F.when(t.rlike(NUMBER_PATTERN), t.try_cast("double"))
 
@@ -66,6 +106,8 @@ def safe_int(c) -> Column:
 
     Non-numbers (including REDACTED) → null, as are values outside the bigint range.
     """
+    if isinstance(c, str):      # one SQL expression: parsed JVM-side in a single call
+        return F.expr(_sql_safe_int(_ident(c)))
     return F.when(~is_missing(c), F.coalesce(_int_text(c), parse_number(c).try_cast("bigint")))
 
 
@@ -77,6 +119,8 @@ def count_value(c, policy: str) -> Column:
     digits_else_zero digit-only text is its integer, everything else 0
     coerce_zero      numbers are their value, everything else 0 (double)
     """
+    if isinstance(c, str):
+        return F.expr(_sql_count_value(_ident(c), policy))
     if policy == "skip":
         return F.when(~is_sentinel(c), safe_int(c))
     if policy == "impute_one":

@@ -118,3 +118,17 @@ def test_header_normalisation():
     assert normalize_header(" Agency Sub-Agency ") == "agency_sub_agency"
     assert normalized_names(["OCC", "OCCT", "OCC"]) == ["occ", "occt", "occfam"]
     assert normalized_names(["A", "a", "A"]) == ["a", "a_2", "a_3"]
+
+
+def test_sql_text_and_column_builders_agree(spark):
+    vals = ["12", " 12 ", "12.9", "-12.7", ".5", "1e3", "nan", "*****", "", None, "REDACTED",
+            "inf", "1_000", "1.5d", "abc", "99999999999999999999999", " 7 ", "+3"]
+    df = one_col(spark, vals)
+    exprs = [V.safe_int("x").alias("a"), V.safe_int(F.col("x")).alias("b"),
+             V.parse_number("x").alias("c"), V.parse_number(F.col("x")).alias("d")]
+    for p in V.COUNT_POLICIES:
+        exprs += [V.count_value("x", p).alias(f"{p}_s"), V.count_value(F.col("x"), p).alias(f"{p}_c")]
+    for r in df.select(*exprs).collect():
+        assert r["a"] == r["b"] and r["c"] == r["d"]
+        for p in V.COUNT_POLICIES:
+            assert r[f"{p}_s"] == r[f"{p}_c"], (p, r)
