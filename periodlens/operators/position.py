@@ -1,10 +1,12 @@
 """Consecutive row positions without funnelling rows through one task.
 
 ``row_number()`` over a window with no PARTITION BY sends every row to a single task.
-``with_position`` instead range-partitions and sorts the data (a distributed sort),
-writes it once to the shared checkpoint folder (so positions are stable and survive a
-lost executor), counts rows per partition and adds each partition's offset.  The only
-non-parallel step is a prefix sum over one row per (partition, group).
+``with_position`` writes its input once to the shared checkpoint folder and counts it there.
+A result proven to hold at most ``SINGLE_TASK_ROWS`` rows is numbered by one window task;
+a larger one is range-partitioned and sorted (a distributed sort), written again with its
+(partition, id) pairs (so positions are stable and survive a lost executor), counted per
+partition, and each partition's offset is added.  The only non-parallel step is then a
+prefix sum over one row per (partition, group).
 """
 
 from __future__ import annotations
@@ -14,18 +16,21 @@ import uuid
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from periodlens.operators.joins import bounded_broadcast
-from periodlens.session import scratch_path
+from periodlens.operators.joins import bounded_broadcast, row_count_at_most
+from periodlens.session import materialize, scratch_path
 
 # Counts table rows above which the offsets are joined with a shuffle instead of broadcast.
 OFFSETS_BROADCAST_ROWS = 200_000
+# Rows that one task may number with a plain window once the count is proven.
+SINGLE_TASK_ROWS = 1_000_000
 
 
 def _sort_col(c):
     return F.col(c) if isinstance(c, str) else c
 
 
-def with_position(df: DataFrame, order_by, name: str = "rank", partition_by=()) -> DataFrame:
+def with_position(df: DataFrame, order_by, name: str = "rank", partition_by=(),
+                  single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
     """Add a 1-based consecutive position in ``order_by`` order (restarting per ``partition_by``).
 
     ``order_by`` items are column names or sort Columns (e.g. ``F.desc('n')``); callers pass a
@@ -35,11 +40,18 @@ def with_position(df: DataFrame, order_by, name: str = "rank", partition_by=())
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     keys = [F.col(p) for p in parts] + [_sort_col(c) for c in order_by]
     spark = df.sparkSession
+    # The input is computed once and written to the shared checkpoint folder; its row count is
+    # then read from the written table.  Up to ``single_task_rows`` rows (a proven bound) one sort
+    # task numbers them; above it the distributed path below is taken.
+    written = materialize(df, "ranked-input")
+    if single_task_rows > 0 and row_count_at_most(written, single_task_rows):
+        w = Window.partitionBy(*parts).orderBy(*keys[len(parts):]) if parts else Window.orderBy(*keys)
+        return written.withColumn(name, F.row_number().over(w).cast("int"))
     path = scratch_path(spark, f"position-{uuid.uuid4().hex}")
-    # One job sorts by range and writes the rows with their (partition, id) pair to the shared
-    # checkpoint folder; reading that table back fixes the ids, so both uses below see the
-    # same rows even if an executor is lost afterwards.
-    (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # One job sorts by range and writes the rows with their (partition, id) pair; reading that
+    # table back fixes the ids, so both uses below see the same rows even if an executor is
+    # lost afterwards.
+    (written.repartitionByRange(*keys).sortWithinPartitions(*keys)
      .withColumn("__pid", F.spark_partition_id())
      .withColumn("__mid", F.monotonically_increasing_id())
      .write.mode("errorifexists").parquet(path))

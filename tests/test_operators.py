@@ -26,13 +26,16 @@ def test_with_position_matches_sorted_order(spark):
     rnd = random.Random(7)
     rows = [(rnd.randint(0, 50), f"k{i:04d}", rnd.choice(["a", "b", "c"])) for i in range(3000)]
     df = spark.createDataFrame(rows, "v int, k string, g string").repartition(7)
-    got = {r["k"]: r["rank"] for r in with_position(df, [F.desc("v"), "k"], "rank").collect()}
     want = {k: i + 1 for i, (v, k, g) in enumerate(sorted(rows, key=lambda r: (-r[0], r[1])))}
-    assert got == want
-    got_g = {r["k"]: r["pos"] for r in with_position(df, ["v", "k"], "pos", partition_by="g").collect()}
-    for g in "abc":
-        part = sorted([r for r in rows if r[2] == g], key=lambda r: (r[0], r[1]))
-        assert all(got_g[r[1]] == i + 1 for i, r in enumerate(part))
+    for limit in (0, 10_000):     # 0 forces the distributed path, 10 000 the proven-small path
+        got = {r["k"]: r["rank"] for r in
+               with_position(df, [F.desc("v"), "k"], "rank", single_task_rows=limit).collect()}
+        assert got == want
+        got_g = {r["k"]: r["pos"] for r in
+                 with_position(df, ["v", "k"], "pos", partition_by="g", single_task_rows=limit).collect()}
+        for g in "abc":
+            part = sorted([r for r in rows if r[2] == g], key=lambda r: (r[0], r[1]))
+            assert all(got_g[r[1]] == i + 1 for i, r in enumerate(part))
 
 
 def test_top_n_ranks(spark):
