@@ -127,5 +127,9 @@ def row_contains(columns, term: str) -> Column:
 
 def row_has_value(columns, value: str = REDACTED) -> Column:
     """True when any of ``columns`` equals ``value`` (nulls never match)."""
+    columns = list(columns)
+    if columns and all(isinstance(c, str) for c in columns):   # one SQL expression for wide rows
+        v = "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return F.expr(" OR ".join("coalesce(`" + c.replace("`", "``") + f"` = {v}, false)" for c in columns))
     tests = [F.coalesce(as_col(c) == F.lit(value), F.lit(False)) for c in columns]
     return reduce(lambda a, b: a | b, tests) if tests else F.lit(False)

@@ -104,16 +104,37 @@ def numeric_summary(df: DataFrame, value: str = "salary", by=None, approx: bool
         F.round(F.stddev_samp("__v"), 4).alias("std_value"))
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _is_red_sql(c: str) -> str:
+    return f"coalesce({_q(c)} = '{REDACTED}', false)"
+
+
 def _redaction_counts(df: DataFrame, columns, flags: dict) -> DataFrame:
-    """One wide aggregate: per flag (period) the row count and REDACTED count of every column."""
+    """One wide aggregate: per flag (period) the row count and REDACTED count of every column.
+
+    Aggregates are written as SQL text (one expression per call) since the list is wide.
+    """
+    df = df.withColumns({f"__flag_{tag}": flag for tag, flag in flags.items()})
     aggs = []
-    for tag, flag in flags.items():
-        aggs.append(F.count_if(flag).alias(f"__rows_{tag}"))
-        for c in columns:
-            aggs.append(F.count_if(flag & F.coalesce(F.col(c) == REDACTED, F.lit(False))).alias(f"{c}__{tag}"))
+    for tag in flags:
+        aggs.append(F.expr(f"count_if(__flag_{tag})").alias(f"__rows_{tag}"))
+        aggs += [F.expr(f"count_if(__flag_{tag} AND {_is_red_sql(c)})").alias(f"{c}__{tag}") for c in columns]
     return df.groupBy().agg(*aggs)
 
 
+def _inline(fields) -> Column:
+    """``inline(array(struct(...), ...))`` from rows of (alias, SQL expression) pairs."""
+    rows = ", ".join("struct(" + ", ".join(f"{expr} AS {alias}" for alias, expr in row) + ")" for row in fields)
+    return F.expr(f"inline(array({rows}))")
+
+
+def _str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def redaction_profile(df: DataFrame, before: Column, after: Column, columns=None) -> DataFrame:
     """REDACTED count and percent per column in two periods, columns with any.
 
@@ -122,10 +143,9 @@ def redaction_profile(df: DataFrame, before: Column, after: Column, columns=None
     """
     columns = list(columns) if columns is not None else string_columns(df)
     wide = _redaction_counts(df.where(before | after), columns, {"b": before, "a": after})
-    structs = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__b").alias("before_count"),
-                        F.col(f"{c}__a").alias("after_count"), F.col("__rows_b").alias("rows_b"),
-                        F.col("__rows_a").alias("rows_a")) for c in columns]
-    long = wide.select(F.inline(F.array(*structs)))
+    long = wide.select(_inline([[("column_name", _str(c)), ("before_count", _q(f"{c}__b")),
+                                  ("after_count", _q(f"{c}__a")), ("rows_b", "__rows_b"), ("rows_a", "__rows_a")]
+                                 for c in columns]))
     long = long.where((F.col("before_count") > 0) | (F.col("after_count") > 0))
     long = long.select(
         "column_name", "before_count",
@@ -173,10 +193,9 @@ def redaction_overview(df: DataFrame, description_only: bool = True) -> DataFram
     cols = [c for c in string_columns(df)]
     fields = overview_fields(cols, description_only)
     wide = _redaction_counts(df, list(fields), {"x": F.lit(True)})
-    structs = [F.struct(F.lit(c).alias("field"), F.lit(name).alias("display_name"),
-                        F.col(f"{c}__x").alias("redacted_count"), F.col("__rows_x").alias("total_records"))
-               for c, name in fields.items()]
-    long = wide.select(F.inline(F.array(*structs))).where(F.col("redacted_count") > 0)
+    long = wide.select(_inline([[("field", _str(c)), ("display_name", _str(name)),
+                                  ("redacted_count", _q(f"{c}__x")), ("total_records", "__rows_x")]
+                                 for c, name in fields.items()])).where(F.col("redacted_count") > 0)
     long = long.withColumn("redaction_pct", F.round(F.col("redacted_count") / F.col("total_records") * 100.0, 4))
     return rank_within_bound(long, [F.desc("redaction_pct"), "field"], len(fields), "rank")
 
@@ -184,7 +203,7 @@ def redaction_overview(df: DataFrame, description_only: bool = True) -> DataFram
 def cell_redaction(df: DataFrame, by: str = "dataset_key", columns=None) -> DataFrame:
     """Share of REDACTED cells among all cells, per file/period (A8): by, rows, redacted_cells, cell_pct."""
     columns = list(columns) if columns is not None else [c for c in string_columns(df) if c != by]
-    per_row = sum((F.coalesce(F.col(c) == REDACTED, F.lit(False)).cast("int") for c in columns), F.lit(0))
+    per_row = F.expr(" + ".join(f"CAST({_is_red_sql(c)} AS INT)" for c in columns) or "0")
     agg = df.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), F.sum(per_row).cast("bigint").alias("redacted_cells"))
     return agg.withColumn("cell_pct", F.round(F.col("redacted_cells") / (F.col("rows") * len(columns)) * 100.0, 4))
 
@@ -239,9 +258,8 @@ def high_redaction_columns(df: DataFrame, by: str = "dataset_key", threshold_pct
     """(by, column) pairs whose REDACTED share exceeds ``threshold_pct`` (part of A25)."""
     columns = list(columns) if columns is not None else [c for c in string_columns(df) if c != by]
     aggs = [F.count(F.lit(1)).alias("__rows")] + [
-        F.count_if(F.coalesce(F.col(c) == REDACTED, F.lit(False))).alias(c) for c in columns]
+        F.expr(f"count_if({_is_red_sql(c)})").alias(c) for c in columns]
     wide = df.groupBy(by).agg(*aggs)
-    long = wide.select(by, "__rows", F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("redacted")) for c in columns])))
+    long = wide.select(by, "__rows", _inline([[("column_name", _str(c)), ("redacted", _q(c))] for c in columns]))
     pct = F.round(F.col("redacted") / F.col("__rows") * 100.0, 4)
     return long.select(by, "column_name", pct.alias("redacted_pct")).where(F.col("redacted_pct") > threshold_pct)

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from periodlens.operators.joins import bounded_broadcast
 from periodlens.operators.position import with_position
+from periodlens.operators.profile import _inline, _q, _str
 
 # --- fixed values -----------------------------------------------------------
 REQUIRED_COLUMNS = ("dataset_key", "quarter", "year", "employment")
@@ -74,11 +74,11 @@ def null_rates(df: DataFrame, by: str = "dataset_key", fields=LOOKUP_FIELDS) ->
             F.lit(0.0).alias("null_pct"), F.lit(0.0).alias("blank_pct"), F.lit("ok").alias("severity"))
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for f in fields:
-        aggs += [F.count_if(F.col(f).isNull()).alias(f"{f}__n"), F.count_if(F.col(f) == "").alias(f"{f}__e")]
+        aggs += [F.expr(f"count_if({_q(f)} IS NULL)").alias(f"{f}__n"),
+                 F.expr(f"count_if({_q(f)} = '')").alias(f"{f}__e")]
     wide = df.groupBy(by).agg(*aggs)
-    long = wide.select(by, "__rows", F.inline(F.array(*[
-        F.struct(F.lit(f).alias("field"), F.col(f"{f}__n").alias("null_count"),
-                 F.col(f"{f}__e").alias("blank_count")) for f in fields])))
+    long = wide.select(by, "__rows", _inline([[("field", _str(f)), ("null_count", _q(f"{f}__n")),
+                                               ("blank_count", _q(f"{f}__e"))] for f in fields]))
     null_pct = F.round(F.col("null_count") / F.col("__rows") * 100.0, 4)
     out = long.select(by, "field", "null_count", null_pct.alias("null_pct"),
                       F.round(F.col("blank_count") / F.col("__rows") * 100.0, 4).alias("blank_pct"))
