@@ -177,11 +177,12 @@ def comparison_table(df: DataFrame, code, before: Column, after: Column, *,
 
 def compare_left(status: DataFrame, datecode: str, current: str, prior: str,
                  metrics=("EMPCOUNT", "AVGSAL", "AVGLOS"), count_metric: str = "EMPCOUNT",
-                 line: str | None = None, max_prior_rows: int = 100_000) -> DataFrame:
+                 line: str | None = None, max_prior_rows: int = 100_000, how: str = "left") -> DataFrame:
     """Current-period rows matched to prior-period rows on every non-metric column.
 
-    Prior-only rows are dropped; a duplicated prior key keeps its last row (by ``line``).
-    Adds prior_count, current_count, change, pct_change and a rank by current count.
+    ``how='left'``: prior-only rows are dropped (dashboard behaviour); ``how='full'`` keeps them
+    with a current count of 0 and their key columns.  A duplicated prior key keeps its last row
+    (by ``line``).  Adds prior_count, current_count, change, pct_change and a rank by current count.
     """
     metrics = [m for m in metrics if m in status.columns]
     keys = [c for c in status.columns if c not in (datecode, line, *metrics)]
@@ -198,7 +199,10 @@ def compare_left(status: DataFrame, datecode: str, current: str, prior: str,
     for k in keys:
         e = F.col(k).eqNullSafe(F.col(f"__p_{k}"))
         cond = e if cond is None else cond & e
-    joined = cur.join(pri, on=cond, how="left").drop(*[f"__p_{k}" for k in keys])
+    joined = cur.join(pri, on=cond, how="full" if how == "full" else "left")
+    if how == "full":   # prior-only rows take their key values from the prior side
+        joined = joined.withColumns({k: F.coalesce(F.col(k), F.col(f"__p_{k}")) for k in keys})
+    joined = joined.drop(*[f"__p_{k}" for k in keys])
     out = (joined.withColumn("current_count", cnt(count_metric))
            .withColumn("prior_count", F.coalesce(F.col("prior_count"), F.lit(0)).cast("bigint"))
            .withColumn("change", F.col("current_count") - F.col("prior_count"))

@@ -39,7 +39,7 @@ WORKFORCE_DIMS = (
     ("DTtoa", "toa", ("toat",), {}),
     ("DTwrksch", "worksch", ("workscht", "wstyp", "wstypt"), {"workscht": "wrkscht"}),
     ("DTwkstat", "workstat", ("workstatt",), {"workstatt": "wkstatt"}),
-    ("DTagy", "agysub", ("agy", "agysubt"), {}),
+    ("DTagy", "agysub", ("agy", "agysubt", "agyt"), {}),
     ("DTloc", "loc", ("loct",), {}),
     ("DTpp", "pp", ("ppt",), {}),
 )

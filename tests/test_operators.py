@@ -107,6 +107,10 @@ def test_compare_left_last_prior_wins(spark):
     assert out["B"]["prior_count"] == 0 and out["B"]["pct_change"] == 100.0
     assert out[None]["prior_count"] == 2
     assert out["A"]["rank"] == 1
+    full = {r["K"]: r for r in C.compare_left(st, "DATECODE", "202503", "202409", line="line_no",
+                                               how="full").collect()}
+    assert set(full) == {"A", "B", "C", None}
+    assert (full["C"]["current_count"], full["C"]["prior_count"], full["C"]["pct_change"]) == (0, 9, -100.0)
 
 
 def test_availability_rows(spark):
