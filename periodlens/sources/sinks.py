@@ -19,10 +19,9 @@ def write_snapshots(df: DataFrame, path: str, partition_by=("year", "quarter"),
     """
     spark = df.sparkSession
     parts = list(partition_by)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     counts = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("rows_written"))
     (cluster_for_write(df, parts).write.mode("overwrite").partitionBy(*parts)
-     .option("compression", compression).parquet(path))
+     .option("partitionOverwriteMode", "dynamic").option("compression", compression).parquet(path))
     back = spark.read.parquet(path).groupBy(*parts).agg(F.count(F.lit(1)).alias("rows_read"))
     return counts.join(back, on=parts, how="left")
 

@@ -45,11 +45,9 @@ def ingest(spark: SparkSession, landing_dir: str, columns, out_path: str, checkp
         (snap.groupBy("dataset_key", "source_file", "source_size").agg(F.count(F.lit(1)).alias("records"))
          .withColumn("epoch", F.lit(epoch_id))
          .write.mode("append").parquet(manifest_path))
-        batch_spark = snap.sparkSession
-        batch_spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         (cluster_for_write(snap.drop("source_file", "source_size"), ["year", "quarter"])
-         .write.mode("overwrite").partitionBy("year", "quarter").option("compression", "zstd")
-         .parquet(out_path))
+         .write.mode("overwrite").partitionBy("year", "quarter").option("partitionOverwriteMode", "dynamic")
+         .option("compression", "zstd").parquet(out_path))
         snap.unpersist()
 
     writer = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint))
