@@ -89,7 +89,7 @@ def test_pct_change_rules(spark):
 
 
 def test_period_from_path(spark):
-    df = one_col(spark, ["/d/FACTDATA_SEP2024.TXT", "/d/FedScope_Employment_December_2018/x.txt",
+    df = one_col(spark, ["/d/FACTDATA_SEP2024.TXT", "/d/Staff_Snapshot_December_2018/x.txt",
                          "/d/factdata_mar2010.txt", "/d/FACTDATA_ABC2019.TXT", "/d/readme.txt"])
     got = [(r["quarter"], r["year"]) for r in df.select(P.period_from_path("x").alias("p")).select("p.*").collect()]
     assert got == [("September", 2024), ("December", 2018), ("March", 2010), (None, 2019), (None, None)]

@@ -18,8 +18,8 @@ def write(path, text, encoding="latin-1"):
 
 def make_history(base):
     """Two periods with drifting headers, padded codes, sentinels and lookup edge rows."""
-    d1 = os.path.join(base, "FedScope_Employment_September_2016")
-    d2 = os.path.join(base, "FedScope_Employment_March_2017")
+    d1 = os.path.join(base, "Staff_Snapshot_September_2016")
+    d2 = os.path.join(base, "Staff_Snapshot_March_2017")
     f1 = write(os.path.join(d1, "FACTDATA_SEP2016.TXT"),
                "AGYSUB,LOC,AGELVL,SALARY,EMPLOYMENT,OCC,OCC\r\n"
                "VATA,6,E, 50000 ,1,0610,06\r\n"
