@@ -39,7 +39,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int, derived: bool = False) -> Da
     is not scanned a second time.  Above the bound the side is joined by shuffle.
     """
     if derived:
-        df = materialize(df, "side")
+        df, rows = materialize(df, "side", with_count=True)
+        return F.broadcast(df) if rows <= max_rows else df
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 

@@ -15,8 +15,9 @@ import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from periodlens.operators.joins import bounded_broadcast, row_count_at_most
+from periodlens.operators.joins import bounded_broadcast
 from periodlens.session import materialize, scratch_path
 
 # Counts table rows above which the offsets are joined with a shuffle instead of broadcast.
@@ -43,8 +44,8 @@ def with_position(df: DataFrame, order_by, name: str = "rank", partition_by=(),
     # The input is computed once and written to the shared checkpoint folder; its row count is
     # then read from the written table.  Up to ``single_task_rows`` rows (a proven bound) one sort
     # task numbers them; above it the distributed path below is taken.
-    written = materialize(df, "ranked-input")
-    if single_task_rows > 0 and row_count_at_most(written, single_task_rows):
+    written, rows = materialize(df, "ranked-input", with_count=True)
+    if rows <= single_task_rows:
         w = Window.partitionBy(*parts).orderBy(*keys[len(parts):]) if parts else Window.orderBy(*keys)
         return written.withColumn(name, F.row_number().over(w).cast("int"))
     path = scratch_path(spark, f"position-{uuid.uuid4().hex}")
@@ -55,7 +56,9 @@ def with_position(df: DataFrame, order_by, name: str = "rank", partition_by=(),
      .withColumn("__pid", F.spark_partition_id())
      .withColumn("__mid", F.monotonically_increasing_id())
      .write.mode("errorifexists").parquet(path))
-    staged = spark.read.parquet(path)
+    staged_schema = T.StructType(list(written.schema.fields) + [
+        T.StructField("__pid", T.IntegerType(), True), T.StructField("__mid", T.LongType(), True)])
+    staged = spark.read.schema(staged_schema).parquet(path)
     counts = staged.groupBy("__pid", *parts).agg(F.count(F.lit(1)).alias("__n"),
                                                  F.min("__mid").alias("__base"))
     before = Window.partitionBy(*parts).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -60,15 +60,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
-def materialize(df, name: str = "table"):
+def materialize(df, name: str = "table", with_count: bool = False):
     """Write ``df`` once to the shared checkpoint folder and return the table read back.
 
     Used for small derived sides (flagged groups, duplicate keys, offsets) that a query needs
     twice — once to prove their size, once to join — so the source is scanned only once, and
     for cutting lineage so a lost executor re-reads the table instead of recomputing it.
+    ``with_count`` also returns the number of rows written, observed during the write itself
+    (no extra job).
     """
     import uuid
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
     spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    tag = uuid.uuid4().hex
+    path = scratch_path(spark, f"{name}-{tag}")
+    obs = Observation(f"rows-{tag}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    if with_count:
+        return table, int(obs.get["rows"])
+    return table
