@@ -24,21 +24,40 @@ def _month_map(mapping: dict) -> Column:
     return F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.lit(v) for v in values]))
 
 
-def period_from_path(path) -> Column:
-    """struct(quarter STRING, year INT) parsed from a file path or name; nulls when no match.
-
-    The abbreviated form wins; an unknown three-letter month gives a null quarter (the row
-    is rejected downstream), mirroring 'UNKNOWN' without inventing a month.
-    """
-    p = as_col(path)
-    up = F.upper(p)
+def _parse_segment(seg: Column):
+    """(matched, quarter, year) for one path segment: the abbreviated form on the upper-cased
+    segment first, then the <Month>_<YYYY> form."""
+    up = F.upper(seg)
     abbr = F.regexp_extract(up, ABBREVIATED_PATTERN, 1)
     abbr_year = F.regexp_extract(up, ABBREVIATED_PATTERN, 2)
-    named = F.regexp_extract(p, NAMED_PATTERN, 1)
-    named_year = F.regexp_extract(p, NAMED_PATTERN, 2)
-    has_abbr = abbr != ""
-    quarter = F.when(has_abbr, _month_map(MONTH_ABBREVIATIONS)[abbr]).when(named != "", named)
-    year = F.when(has_abbr, abbr_year.cast("int")).when(named != "", named_year.cast("int"))
+    named = F.regexp_extract(seg, NAMED_PATTERN, 1)
+    named_year = F.regexp_extract(seg, NAMED_PATTERN, 2)
+    has_abbr, has_named = abbr != "", named != ""
+    quarter = F.when(has_abbr, _month_map(MONTH_ABBREVIATIONS)[abbr]).when(has_named, named)
+    year = F.when(has_abbr, abbr_year.cast("int")).when(has_named, named_year.cast("int"))
+    return F.coalesce(has_abbr | has_named, F.lit(False)), quarter, year
+
+
+def period_from_path(path, segments=(1, 2, 3)) -> Column:
+    """struct(quarter STRING, year INT) from a file path; nulls when no segment matches.
+
+    ``segments`` counts from the end (1 = file name, 2 = its directory, 3 = the one above) and
+    is tried in order: by default the file name first, then the directories.  Files written by
+    Spark itself carry generated names, so their period is read from the directory only
+    (``segments=(2,)``).
+
+    An unknown three-letter month gives a null quarter with the year (the row is rejected
+    downstream) instead of inventing a month.  Higher path segments are never parsed, so a
+    random temp or bucket name cannot be mistaken for a period.
+    """
+    segs = F.split(as_col(path), "/")
+    n = F.size(segs)
+    quarter, year = F.lit(None).cast("string"), F.lit(None).cast("int")
+    for k in reversed(list(segments)):               # the first listed segment wins: applied last
+        seg = F.when(n >= k, F.element_at(segs, -k))
+        matched, q, y = _parse_segment(F.coalesce(seg, F.lit("")))
+        quarter = F.when(matched, q).otherwise(quarter)
+        year = F.when(matched, y).otherwise(year)
     return F.struct(quarter.alias("quarter"), year.alias("year"))
 
 

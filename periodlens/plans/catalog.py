@@ -490,6 +490,64 @@ def high_redaction(spark, d):
     return PR.high_redaction_columns(_facts(spark, d), threshold_pct=HIGH_REDACTION_PCT)
 
 
+# --- file round trips: files Spark derives from the tables, read back by the file sources --------
+
+_WRITTEN: dict = {}
+
+
+def _written(spark, key, build) -> str:
+    k = (id(spark), spark.sparkContext.applicationId) + tuple(key)
+    if k not in _WRITTEN:
+        _WRITTEN[k] = build()
+    return _WRITTEN[k]
+
+
+# Columns of the derived fact files; the early era has upper-case headers, the later one
+# lower-case headers plus a pay-period column (header drift across eras).
+FILE_COLUMNS = ("agysub", "loc", "agelvlt", "employment", "salary", "toa")
+HEADER_ERA_YEAR = 1998
+
+
+def _fact_csv_dir(spark, d) -> str:
+    import uuid
+    from periodlens.session import scratch_path
+    f = _facts(spark, d)
+    base = scratch_path(spark, f"fact-files-{uuid.uuid4().hex}")
+    period = F.concat(F.col("quarter"), F.lit("_"), F.col("year").cast("string")).alias("period")
+    early = f.where(F.col("year") < HEADER_ERA_YEAR).select(period, *[F.col(c).alias(c.upper()) for c in FILE_COLUMNS])
+    late = f.where(F.col("year") >= HEADER_ERA_YEAR).select(period, *FILE_COLUMNS, F.lit("01").alias("pp"))
+    from periodlens.sources.sinks import cluster_for_write
+    for part in (early, late):     # a few files per period, a hot period split over several tasks
+        (cluster_for_write(part, ["period"]).write.mode("append").partitionBy("period")
+         .option("header", True).option("escape", '"').csv(base))
+    return base
+
+
+def delimited_ingest(spark, d):
+    from periodlens.sources import files as S
+    base = _written(spark, ("fact-files", d), lambda: _fact_csv_dir(spark, d))
+    rows = S.read_facts(spark, base, encoding="UTF-8", segments=(2,))
+    return rows.groupBy("dataset_key", "year", "quarter").agg(
+        F.count(F.lit(1)).alias("records"), count_sum("employment", "skip").alias("headcount"),
+        F.count(safe_int("salary")).alias("salary_valid"), F.count("pp").alias("pp_present"))
+
+
+def _status_tsv_dir(spark, d) -> str:
+    import uuid
+    from periodlens.session import scratch_path
+    path = scratch_path(spark, f"status-table-{uuid.uuid4().hex}")
+    st = _status(spark, d).where(F.col("datecode").isin(STATUS_CURRENT, STATUS_PRIOR))
+    (st.select(F.col("datecode").alias("DATECODE"), F.col("agelvlt").alias("AGELVLT"), "EMPCOUNT", "AVGSAL")
+     .write.option("header", True).option("sep", "\t").csv(path))
+    return path
+
+
+def status_round_trip(spark, d):
+    from periodlens.plans import reports as R
+    path = _written(spark, ("status-table", d), lambda: _status_tsv_dir(spark, d))
+    return _r4(R.status_comparison(spark, path, STATUS_CURRENT, STATUS_PRIOR))
+
+
 QUERIES = {
     "headcount_top": headcount_top,
     "mean_by_group": mean_by_group,
@@ -566,4 +624,6 @@ QUERIES = {
     "freq_by_label": freq_by_label,
     "calendar_expected": calendar_expected,
     "high_redaction": high_redaction,
+    "delimited_ingest": delimited_ingest,
+    "status_round_trip": status_round_trip,
 }

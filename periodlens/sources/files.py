@@ -123,9 +123,9 @@ def trim_strings(df: DataFrame, columns=None) -> DataFrame:
     return df.withColumns({c: trim_all(c) for c in columns})
 
 
-def with_period(df: DataFrame, path: Column | str = "source_file") -> DataFrame:
+def with_period(df: DataFrame, path: Column | str = "source_file", segments=(1, 2, 3)) -> DataFrame:
     """Add ``dataset_key``, ``quarter``, ``year`` parsed from the file path."""
-    p = period_from_path(F.col(path) if isinstance(path, str) else path)
+    p = period_from_path(F.col(path) if isinstance(path, str) else path, segments)
     return (df.withColumn("__period", p)
             .withColumn("quarter", F.col("__period.quarter"))
             .withColumn("year", F.col("__period.year"))
@@ -133,10 +133,10 @@ def with_period(df: DataFrame, path: Column | str = "source_file") -> DataFrame:
             .drop("__period"))
 
 
-def read_facts(spark: SparkSession, paths, encoding: str = LATIN1) -> DataFrame:
-    """History fact files: comma, latin-1, header, all text, period from the file name."""
+def read_facts(spark: SparkSession, paths, encoding: str = LATIN1, segments=(1, 2, 3)) -> DataFrame:
+    """History fact files: comma, latin-1, header, all text, period from the path."""
     df = read_delimited(spark, paths, ",", '"', encoding)
-    return with_period(df)
+    return with_period(df, segments=segments)
 
 
 def read_lookups(spark: SparkSession, paths, encoding: str = LATIN1) -> DataFrame:
