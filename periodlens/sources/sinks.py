@@ -14,16 +14,35 @@ def write_snapshots(df: DataFrame, path: str, partition_by=("year", "quarter"),
 
     Rows are range-partitioned by period and then by a row hash before the write: each task
     writes one or two periods (few files), and a period holding a third of all rows is split
-    over proportionally many tasks instead of landing in one.
-    Returns (partition columns..., rows_written, rows_read) — a mismatch means a failed write.
+    over proportionally many tasks instead of landing in one.  The number of rows written is
+    observed during the write itself (one pass over the source); the read-back counts only the
+    written files.  Returns (partition columns..., rows_read, rows_written_total, complete).
     """
+    import uuid
+    from pyspark.sql import Observation
     spark = df.sparkSession
     parts = list(partition_by)
-    counts = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("rows_written"))
-    (cluster_for_write(df, parts).write.mode("overwrite").partitionBy(*parts)
-     .option("partitionOverwriteMode", "dynamic").option("compression", compression).parquet(path))
-    back = spark.read.parquet(path).groupBy(*parts).agg(F.count(F.lit(1)).alias("rows_read"))
-    return counts.join(back, on=parts, how="left")
+    obs = Observation(f"written-{uuid.uuid4().hex}")
+    # the written period keys (one per partition directory: a bounded, metadata-sized set) are
+    # observed with the row count, so the read-back prunes to exactly those directories
+    (cluster_for_write(df, parts)
+     .observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.struct(*parts)).alias("periods"))
+     .write.mode("overwrite").partitionBy(*parts).option("partitionOverwriteMode", "dynamic")
+     .option("compression", compression).parquet(path))
+    metrics = obs.get
+    written = int(metrics["rows"])
+    keys = [tuple(r[p] for p in parts) for r in metrics["periods"]]
+    cond = F.lit(False)
+    for key in keys:
+        one = F.lit(True)
+        for p, v in zip(parts, key):
+            one = one & (F.col(p).isNull() if v is None else (F.col(p) == F.lit(v)))
+        cond = cond | one
+    back = (spark.read.parquet(path).where(cond)
+            .groupBy(*parts).agg(F.count(F.lit(1)).alias("rows_read")))
+    total = back.agg(F.sum("rows_read")).scalar()
+    return back.select(*parts, "rows_read", F.lit(written).cast("bigint").alias("rows_written_total"),
+                       (total == F.lit(written)).alias("complete"))
 
 
 def cluster_for_write(df: DataFrame, parts) -> DataFrame:

@@ -70,8 +70,8 @@ def test_build_snapshots_denormalises(spark, tmpdir_path):
     r17 = [x for x in rows if x.year == 2017]
     assert {x.loct for x in r17} == {"CALIFORNIA-17"}
     assert all(x.agysubt is None for x in r17)               # no agency table that period
-    chk = {(c.year, c.quarter): (c.rows_written, c.rows_read) for c in check.collect()}
-    assert chk == {(2016, "September"): (4, 4), (2017, "March"): (2, 2)}
+    chk = {(c.year, c.quarter): (c.rows_read, c.rows_written_total, c.complete) for c in check.collect()}
+    assert chk == {(2016, "September"): (4, 6, True), (2017, "March"): (2, 6, True)}
     m = {r.dataset_key: r.records for r in man.collect()}
     assert m == {"2016_September": 4, "2017_March": 2}
     back = S.read_snapshots(spark, out, view="snapshots")
