@@ -74,7 +74,8 @@ def build_snapshots(spark: SparkSession, fact_paths, lookup_paths: dict, out_pat
     """Snapshot build (R1): facts + code tables → denormalised snapshots (+ manifest).
 
     ``lookup_paths`` maps a code-table kind to the files of that kind over all periods.
-    Returns (snapshots, manifest, write_check or None).
+    Returns (snapshots, manifest, write_check or None); with ``out_path`` the snapshots and the
+    manifest are read from the written store.
     """
     facts = S.read_facts(spark, fact_paths)
     facts = S.null_texts(S.trim_strings(facts))
@@ -84,10 +85,13 @@ def build_snapshots(spark: SparkSession, fact_paths, lookup_paths: dict, out_pat
         if paths:
             lookups[kind] = S.null_texts(S.trim_strings(S.read_lookups(spark, paths)))
     snap = CF.add_aliases(denormalize(facts, workforce_dims(lookups)))
-    man = K.manifest(snap)
-    snap = snap.drop("source_file", "source_size")
-    check = K.write_snapshots(snap, out_path) if out_path else None
-    return snap, man, check
+    if not out_path:
+        return snap.drop("source_file", "source_size"), K.manifest(snap), None
+    # The store keeps the two lineage columns, so the manifest is a narrow columnar read of the
+    # written store instead of a second pass over the delimited sources.
+    check = K.write_snapshots(snap, out_path)
+    store = S.read_snapshots(spark, out_path)
+    return store.drop("source_file", "source_size"), K.manifest(store), check
 
 
 def build_alternate(spark: SparkSession, paths, year: int, quarter: str,
