@@ -103,8 +103,12 @@ def build_alternate(spark: SparkSession, paths, year: int, quarter: str,
     """
     raw = S.read_pipe_files(spark, paths)
     value_cols = [c for c in raw.columns if c not in ("source_file", "source_size")]
-    per_file = PR.cell_redaction(raw.drop("source_size"), by="source_file", columns=value_cols).join(
-        PR.distinct_count(raw, "AGY", by="source_file"), on="source_file", how="left")
+    # one aggregation per file: rows, redacted cells (A8) and distinct agencies
+    redacted = F.expr(" + ".join(f"CAST(coalesce(`{c}` = 'REDACTED', false) AS INT)" for c in value_cols))
+    per_file = (raw.groupBy("source_file")
+                .agg(F.count(F.lit(1)).alias("rows"), F.sum(redacted).cast("bigint").alias("redacted_cells"),
+                     F.countDistinct("AGY").alias("n_distinct_AGY"))
+                .withColumn("cell_pct", F.round(F.col("redacted_cells") / (F.col("rows") * len(value_cols)) * 100.0, 4)))
     snap = CF.rename_columns(raw, CF.ALTERNATE_RENAMES)
     snap = snap.withColumns({"dataset_key": F.lit(f"{year}_{quarter}"), "quarter": F.lit(quarter),
                              "year": F.lit(year)})
