@@ -240,6 +240,14 @@ def status_comparison(spark: SparkSession, path: str, current: str, prior: str,
     return out
 
 
+def status_pair_check(spark: SparkSession, path: str, first: str, second: str) -> DataFrame:
+    """Positional pairing check of a status table (J8): rows of the two DATECODEs paired by file
+    order, every non-metric column compared.  One row: n_first, n_second, mismatches, result."""
+    st = S.read_status_table(spark, path).withColumn("DATECODE", F.col("DATECODE").cast("string"))
+    keys = [c for c in st.columns if c not in ("DATECODE", "line_no", *S.STATUS_TYPES)]
+    return Q.pair_order(st, "DATECODE", first, second, keys, ["line_no"])
+
+
 # --- R14 / R15 -----------------------------------------------------------------------------
 
 def examples_battery(snap: DataFrame) -> dict:

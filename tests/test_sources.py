@@ -118,6 +118,9 @@ def test_status_table_comparison(spark, tmpdir_path):
     assert "AVGLOS" not in out.columns
     found = R.status_comparison(spark, path, "202503", "202409", search="school")
     assert [r.EDLVL for r in found.collect()] == ["04"]
+    pair = R.status_pair_check(spark, path, "202503", "202409").first()
+    assert (pair.n_first, pair.n_second, pair.result) == (3, 3, "mismatch")
+    assert pair.mismatches == 2          # row 2 and row 3 hold different codes by position
 
 
 def test_csv_sink_and_manifest_totals(spark, tmpdir_path):
