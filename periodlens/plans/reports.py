@@ -194,10 +194,11 @@ def transition_analysis(snap: DataFrame, transitions, kind: str = "age", period_
     if kind == "grade":
         extra = PV.top_split(df, "category", transitions, 50, period_col=period_col)
     elif kind == "appointment":
+        # descriptions: the last transition's newer period is preferred, otherwise the first
+        # period (in transition order) that has one; then 'code: description' labels
         from periodlens.functions.text import code_label
-        befores = F.col(period_col).isin([b for _, b, _ in transitions])
-        afters = F.col(period_col).isin([a for _, _, a in transitions])
-        names = C.name_map(df, "toa", "toat", befores, afters)
+        afters = [a for _, _, a in transitions]
+        names = C.name_by_preference(df, "toa", "toat", period_col, preferred=afters[-1], order=afters)
         extra = names.select("code", code_label("code", "name").alias("label"))
     return matrix, totals, extra
 
