@@ -132,3 +132,43 @@ def test_sql_text_and_column_builders_agree(spark):
         assert r["a"] == r["b"] and r["c"] == r["d"]
         for p in V.COUNT_POLICIES:
             assert r[f"{p}_s"] == r[f"{p}_c"], (p, r)
+
+
+def test_safe_int_matches_python_rule(spark):
+    """Random numeric-looking texts: Spark's parse equals int(float(x)) on the accepted forms."""
+    import math
+    import re
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    pattern = re.compile(V.NUMBER_PATTERN)
+    texts = st.one_of(
+        st.integers(-10**12, 10**12).map(str),
+        st.floats(-1e9, 1e9, allow_nan=False).map(lambda f: f"{f:.3f}"),
+        st.floats(-1e6, 1e6, allow_nan=False).map(lambda f: f"{f:e}"),
+        st.text(alphabet=" +-.e0123456789_x", max_size=8),
+        st.sampled_from(["nan", "*****", "", "REDACTED", " 7 ", "inf"]))
+
+    def expected(v):
+        if v in ("", "nan", "*****"):
+            return None
+        s = v.strip()
+        if not pattern.match(s):
+            return None
+        f = float(s)
+        if math.isinf(f) or abs(f) >= 2**63:
+            return None
+        return int(f)
+
+    seen = []
+
+    @settings(max_examples=300, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(texts)
+    def collect(v):
+        seen.append(v)
+
+    collect()
+    df = spark.createDataFrame([(v,) for v in seen], "x string")
+    got = [r[0] for r in df.select(V.safe_int("x")).collect()]
+    assert got == [expected(v) for v in seen]
