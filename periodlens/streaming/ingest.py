@@ -42,9 +42,9 @@ def ingest(spark: SparkSession, landing_dir: str, columns, out_path: str, checkp
         rows = S.null_texts(S.trim_strings(batch))
         rows = CF.pad_codes(rows, [c for c in ("loc",) if c in rows.columns])
         snap = CF.add_aliases(denormalize(rows, list(dims))).persist()
+        # one manifest directory per micro-batch, overwritten on replay (idempotent like the data)
         (snap.groupBy("dataset_key", "source_file", "source_size").agg(F.count(F.lit(1)).alias("records"))
-         .withColumn("epoch", F.lit(epoch_id))
-         .write.mode("append").parquet(manifest_path))
+         .write.mode("overwrite").parquet(f"{manifest_path.rstrip('/')}/epoch={epoch_id}"))
         (cluster_for_write(snap.drop("source_file", "source_size"), ["year", "quarter"])
          .write.mode("overwrite").partitionBy("year", "quarter").option("partitionOverwriteMode", "dynamic")
          .option("compression", "zstd").parquet(out_path))
