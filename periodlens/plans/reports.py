@@ -94,6 +94,14 @@ def build_snapshots(spark: SparkSession, fact_paths, lookup_paths: dict, out_pat
     return store.drop("source_file", "source_size"), K.manifest(store), check
 
 
+def build_from_directory(spark: SparkSession, base: str, out_path: str | None = None):
+    """R1 over an extracted release tree: fact files and code tables found by their fixed names
+    (a code table missing for a period simply leaves that period's descriptions null)."""
+    found = S.discover_files(spark, base)
+    facts = found.pop("facts")
+    return build_snapshots(spark, facts, found, out_path)
+
+
 def build_alternate(spark: SparkSession, paths, year: int, quarter: str,
                     target=CF.SNAPSHOT_FIELDS, out_path: str | None = None):
     """Alternate-release build (R2): pipe files → per-file redaction and agency profile →

@@ -133,6 +133,23 @@ def with_period(df: DataFrame, path: Column | str = "source_file", segments=(1,
             .drop("__period"))
 
 
+def discover_files(spark: SparkSession, base: str) -> dict:
+    """List the fact files and code tables under ``base`` (any depth) by their fixed names:
+    {"facts": [...], "DTagelvl": [...], ...}.  Only file names are handled on the driver."""
+    import os
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base).inputFiles()
+    out: dict = {"facts": []}
+    for path in sorted(listed):
+        name = os.path.basename(path)
+        upper = name.upper()
+        if upper.startswith("FACTDATA"):
+            out["facts"].append(path)
+        elif upper.startswith("DT") and upper.endswith(".TXT"):
+            kind = "DT" + name[2:-4].lower()
+            out.setdefault(kind, []).append(path)
+    return out
+
+
 def read_facts(spark: SparkSession, paths, encoding: str = LATIN1, segments=(1, 2, 3)) -> DataFrame:
     """History fact files: comma, latin-1, header, all text, period from the path."""
     df = read_delimited(spark, paths, ",", '"', encoding)

@@ -79,6 +79,15 @@ def test_build_snapshots_denormalises(spark, tmpdir_path):
     assert back.where(F.col("year") == 2017).count() == 2
 
 
+def test_discover_files(spark, tmpdir_path):
+    facts, lk = make_history(tmpdir_path)
+    found = S.discover_files(spark, tmpdir_path)
+    assert sorted(os.path.basename(f) for f in found["facts"]) == ["FACTDATA_MAR2017.TXT", "FACTDATA_SEP2016.TXT"]
+    assert len(found["DTloc"]) == 2 and len(found["DTagy"]) == 1 and len(found["DTagelvl"]) == 2
+    snap, man, _ = R.build_from_directory(spark, tmpdir_path)
+    assert snap.count() == 6 and snap.where("loct = 'CALIFORNIA-17'").count() == 2
+
+
 def test_alternate_release_build(spark, tmpdir_path):
     p1 = write(os.path.join(tmpdir_path, "March_2025_Employment_1.txt"),
                'AGY|AGYSUB|LOC|STATET|AGELVLT|COUNT|SALARY|WORKSCHT\n'
