@@ -46,7 +46,7 @@ WORKFORCE_DIMS = (
 # Codes that are zero-padded to two characters on both sides of the join.
 PADDED_CODES = ("loc",)
 # Bound on one code table across all periods for broadcasting.
-CODE_TABLE_MAX_ROWS = 2_000_000
+CODE_TABLE_MAX_ROWS = 500_000
 # ----------------------------------------------------------------------------
 
 
