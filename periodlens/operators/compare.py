@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from periodlens.functions.common import as_col
 from periodlens.functions.periods import pct_change
 from periodlens.functions.text import clean_category
-from periodlens.functions.values import MISSING_MARKERS, REDACTED, count_value, safe_int
+from periodlens.functions.values import MISSING_MARKERS, REDACTED, count_value
 from periodlens.operators.joins import bounded_broadcast
 from periodlens.operators.position import with_position
 
@@ -247,6 +247,3 @@ def flagged_groups(df: DataFrame, group: str, field: str, value: str = REDACTED)
     """Distinct ``group`` values having at least one row where ``field`` equals ``value``."""
     return df.where(F.col(field) == value).where(F.col(group).isNotNull()).select(group).distinct()
 
-
-def salary_numeric(c) -> Column:
-    return safe_int(c)

@@ -78,6 +78,3 @@ def rejected_files(df: DataFrame) -> DataFrame:
     return df.where(F.col("year").isNull() | F.col("quarter").isNull()).groupBy("source_file").agg(
         F.count(F.lit(1)).alias("records"))
 
-
-def _spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession

@@ -244,3 +244,21 @@ def test_numeric_summary_exact_median(spark):
     df = spark.createDataFrame([(v,) for v in vals], "salary string")
     r = PR.numeric_summary(df).first()
     assert (r.n_valid, r.mean_value, r.median_value, r.min_value, r.max_value) == (4, 25.0, 25.0, 10, 40)
+
+
+def test_standalone_orderings(spark):
+    df = spark.createDataFrame([("TOTAL", 9), ("b", 5), ("REDACTED", 7), ("a", 5), ("65 or more", 1),
+                                ("20-24", 2)], "k string, n long")
+    sp = [r.k for r in O.rank_specials_last(df, "k", "n").orderBy("rank").collect()]
+    assert sp == ["a", "b", "20-24", "65 or more", "REDACTED", "TOTAL"]
+    dom = [r.k for r in O.rank_domain(df, "k", O.AGE_ORDER).orderBy("rank").collect()]
+    assert dom == ["20-24", "65 or more", "REDACTED", "TOTAL", "a", "b"]
+
+
+def test_rejected_files(spark):
+    from periodlens.sources.files import with_period
+    from periodlens.sources.sinks import rejected_files
+    df = spark.createDataFrame([("/x/FACTDATA_SEP2016.TXT",), ("/x/FACTDATA_XYZ2016.TXT",), ("/x/notes.txt",)],
+                               "source_file string")
+    bad = {r.source_file for r in rejected_files(with_period(df)).collect()}
+    assert bad == {"/x/FACTDATA_XYZ2016.TXT", "/x/notes.txt"}
