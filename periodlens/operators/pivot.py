@@ -128,3 +128,16 @@ def top_split(df: DataFrame, category, transitions, n: int = 50, measure: str =
         F.coalesce(F.sum(v * weight), F.lit(0)).cast("bigint").alias("total_before"))
     ranked = with_position(agg, [F.desc("total_before"), cat], "rank")
     return ranked.withColumn("is_top", F.col("rank") <= n).select("rank", cat, "total_before", "is_top")
+
+
+def daily_trend(df: DataFrame, ts: str, value: str | None = None) -> DataFrame:
+    """A16 with calendar days as periods: rows (and the total of ``value``) per day, with a
+    chronological ``sort_key`` (yyyymmdd).  One partial aggregation; no ordering pass needed."""
+    day = F.to_date(F.col(ts))
+    aggs = [F.count(F.lit(1)).alias("events")]
+    if value is not None:
+        aggs.append(F.round(F.sum(value), 4).alias("value_total"))
+    out = df.where(F.col(ts).isNotNull()).groupBy(day.alias("__day")).agg(*aggs)
+    return out.select(F.date_format("__day", "yyyy-MM-dd").alias("day"),
+                      F.date_format("__day", "yyyyMMdd").cast("int").alias("sort_key"),
+                      *[a for a in ("events", "value_total") if value is not None or a == "events"])

@@ -490,6 +490,10 @@ def high_redaction(spark, d):
     return PR.high_redaction_columns(_facts(spark, d), threshold_pct=HIGH_REDACTION_PCT)
 
 
+def event_trend(spark, d):
+    return PV.daily_trend(table(spark, d, "events"), "ts", "value")
+
+
 # --- file round trips: files Spark derives from the tables, read back by the file sources --------
 
 _WRITTEN: dict = {}
@@ -624,6 +628,7 @@ QUERIES = {
     "freq_by_label": freq_by_label,
     "calendar_expected": calendar_expected,
     "high_redaction": high_redaction,
+    "event_trend": event_trend,
     "delimited_ingest": delimited_ingest,
     "status_round_trip": status_round_trip,
 }
