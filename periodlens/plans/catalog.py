@@ -39,6 +39,7 @@ COVERAGE_DIMS = (("loc", "loct"), ("agelvl", "agelvlt"), ("toa", "toat"), ("occ"
 QUALITY_FIELDS = Q.LOOKUP_FIELDS + ("salary",)
 TREND_AGYSUB = "MA07"
 PREFERRED_YEAR = 1997
+UNION_TABLES = ("customer", "supplier")
 HIGH_REDACTION_PCT = 5.0
 # ------------------------------------------------------------------------------
 
@@ -494,6 +495,19 @@ def event_trend(spark, d):
     return PV.daily_trend(table(spark, d, "events"), "ts", "value")
 
 
+def parquet_union(spark, d):
+    """Two parquet tables whose columns differ, read as one merged snapshot view."""
+    import os
+    from periodlens.sources import files as S
+    S.read_snapshots(spark, [os.path.join(d, f"{t}.parquet") for t in UNION_TABLES], view="merged_snapshots",
+                     with_source=True)
+    return spark.sql("""
+        SELECT regexp_extract(source_file, '([a-z]+)[.]parquet$', 1) AS source, count(*) AS rows,
+               count(c_custkey) AS customer_keys, count(s_suppkey) AS supplier_keys,
+               CAST(sum(coalesce(c_nationkey, s_nationkey)) AS BIGINT) AS nation_key_sum
+        FROM merged_snapshots GROUP BY 1""")
+
+
 # --- file round trips: files Spark derives from the tables, read back by the file sources --------
 
 _WRITTEN: dict = {}
@@ -629,6 +643,7 @@ QUERIES = {
     "calendar_expected": calendar_expected,
     "high_redaction": high_redaction,
     "event_trend": event_trend,
+    "parquet_union": parquet_union,
     "delimited_ingest": delimited_ingest,
     "status_round_trip": status_round_trip,
 }

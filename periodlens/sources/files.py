@@ -173,10 +173,14 @@ def read_status_table(spark: SparkSession, path, line_numbers: bool = True) -> D
                           types=STATUS_TYPES, with_source=False, line_numbers=line_numbers)
 
 
-def read_snapshots(spark: SparkSession, paths, view: str | None = None) -> DataFrame:
-    """Parquet snapshots of any era, merged by column name (S5, S6); optional temp view."""
+def read_snapshots(spark: SparkSession, paths, view: str | None = None, with_source: bool = False) -> DataFrame:
+    """Parquet snapshots of any era, merged by column name (S5, S6); optional temp view.
+
+    ``with_source`` adds the ``source_file`` path of every row (lineage for manifests)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     df = spark.read.option("mergeSchema", "true").parquet(*paths)
+    if with_source:
+        df = df.withColumn("source_file", F.col("_metadata.file_path"))
     if view:
         df.createOrReplaceTempView(view)
     return df
