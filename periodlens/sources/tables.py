@@ -94,13 +94,45 @@ def snapshot_facts(spark: SparkSession, sf_dir: str, years=None, store: bool = T
     return _memo(spark, ("facts-store", sf_dir, ykey), lambda: full.where(F.col("year").isin(list(ykey))))
 
 
+ADAPTER_SOURCES = ("orders", "customer", "nation")
+
+
+def _store_key(spark: SparkSession, sf_dir: str) -> str:
+    """Identity of the derived store: the source files' paths, sizes and modification times
+    (file listing only, no content read) plus the adapter's definition text."""
+    import hashlib
+    paths = [os.path.join(sf_dir, f"{t}.parquet") for t in ADAPTER_SOURCES]
+    listing = (spark.read.format("binaryFile").load(paths)
+               .select("path", "length", F.col("modificationTime").cast("string")).collect())
+    h = hashlib.sha1(FACTS_SQL.encode())
+    for row in sorted(tuple(r) for r in listing):
+        h.update(repr(row).encode())
+    return h.hexdigest()[:20]
+
+
 def _store_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build the period-partitioned snapshot store once and reuse it across sessions.
+
+    The store lives under the shared checkpoint folder at a path derived from the source
+    files and the adapter definition; a ``.done`` marker table is written after the data, so
+    a store interrupted mid-write is rebuilt instead of read.
+    """
+    from pyspark.errors import AnalysisException
+
     from periodlens.session import scratch_path
     from periodlens.sources.sinks import cluster_for_write
     df = _snapshot_facts(spark, sf_dir)
-    path = scratch_path(spark, f"snapshot-facts-{uuid.uuid4().hex}")
-    (cluster_for_write(df, ["year", "quarter"]).write.mode("errorifexists")
-     .partitionBy("year", "quarter").option("compression", "zstd").parquet(path))
+    key = _store_key(spark, sf_dir)
+    path = scratch_path(spark, f"snapshot-facts-{key}")
+    marker = scratch_path(spark, f"snapshot-facts-{key}.done")
+    try:
+        done = spark.read.schema("key string").json(marker).where(F.col("key") == key).count() > 0
+    except AnalysisException:
+        done = False
+    if not done:
+        (cluster_for_write(df, ["year", "quarter"]).write.mode("overwrite")
+         .partitionBy("year", "quarter").option("compression", "zstd").parquet(path))
+        spark.createDataFrame([(key,)], "key string").write.mode("overwrite").json(marker)
     return spark.read.schema(df.schema).parquet(path)
 
 
