@@ -43,6 +43,25 @@ WORKFORCE_DIMS = (
     ("DTloc", "loc", ("loct",), {}),
     ("DTpp", "pp", ("ppt",), {}),
 )
+# Status-table views: columns dropped per table (besides DATECODE and the three metrics).
+STATUS_TABLE_DROPS = {
+    "age-level": ("EMPCOUNT", "AVGSAL", "AVGLOS"),
+    "agency-location": ("EMPCOUNT", "AVGSAL", "AVGLOS", "AGY", "AGYSUB", "LOC", "STATE"),
+    "agency-subagency": ("EMPCOUNT", "AVGSAL", "AVGLOS", "AGY", "AGYSUB"),
+    "agency-detail": ("EMPCOUNT", "AVGSAL", "AVGLOS", "AGY", "AGYSUB", "OCC"),
+    "appointment-type": ("EMPCOUNT", "AVGSAL", "AVGLOS", "TOA"),
+    "duty-location": ("EMPCOUNT", "AVGSAL", "AVGLOS", "LOC", "STATE"),
+    "education-level": ("EMPCOUNT", "AVGSAL", "AVGLOS", "EDLVL"),
+    "occupation": ("EMPCOUNT", "AVGSAL", "AVGLOS", "OCC", "OCCFAM"),
+    "pay-grade": ("EMPCOUNT", "AVGSAL", "AVGLOS"),
+}
+# Status-table display names.
+STATUS_DISPLAY_NAMES = {
+    "AGYT": "Agency", "AGYSUBT": "Sub Agency", "STATET": "State", "AGELVLT": "Age Bracket",
+    "EDLVLT": "Education Level", "TOAT": "Appointment Type", "OCCT": "Occupation",
+    "OCCFAMT": "Occupation Group", "PAYPLAN": "Pay Plan", "GRD": "Grade",
+    "CHANGE": "Change", "PCT_CHANGE": "% Change",
+}
 # Codes that are zero-padded to two characters on both sides of the join.
 PADDED_CODES = ("loc",)
 # Bound on one code table across all periods for broadcasting.
@@ -249,6 +268,17 @@ def status_comparison(spark: SparkSession, path: str, current: str, prior: str,
     return out
 
 
+def status_table_view(spark: SparkSession, path: str, table: str, current: str, prior: str,
+                      current_label: str, prior_label: str, search: str | None = None) -> DataFrame:
+    """R13 display table: status rows matched to the prior period, per-table columns dropped,
+    headers renamed to display names, the two counts labelled by period, optional search."""
+    out = status_comparison(spark, path, current, prior, search=search)
+    drop = ("DATECODE", "EMPCOUNT", "AVGSAL", "AVGLOS", *STATUS_TABLE_DROPS.get(table, ()))
+    out = out.withColumnsRenamed({"change": "CHANGE", "pct_change": "PCT_CHANGE"})
+    names = dict(STATUS_DISPLAY_NAMES, prior_count=prior_label, current_count=current_label)
+    return CF.project_table(out, drop, names)
+
+
 def status_pair_check(spark: SparkSession, path: str, first: str, second: str) -> DataFrame:
     """Positional pairing check of a status table (J8): rows of the two DATECODEs paired by file
     order, every non-metric column compared.  One row: n_first, n_second, mismatches, result."""
