@@ -22,7 +22,11 @@ from periodlens.sources.sinks import cluster_for_write
 
 def fact_stream(spark: SparkSession, landing_dir: str, columns, sep: str = ",",
                 encoding: str = S.LATIN1, max_files: int = 8) -> DataFrame:
-    """Streaming scan of delimited fact files with a known header (all text) plus period columns."""
+    """Streaming scan of delimited fact files with a known header (all text) plus period columns.
+
+    A streaming source has one schema, so a landing folder holds one header layout (one era);
+    ``columns`` name the fields in file order.  Eras with other layouts use their own folder.
+    """
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
     raw = (spark.readStream.schema(schema).option("header", True).option("sep", sep)
            .option("quote", '"').option("escape", '"').option("encoding", encoding)
