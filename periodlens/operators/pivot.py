@@ -141,3 +141,21 @@ def daily_trend(df: DataFrame, ts: str, value: str | None = None) -> DataFrame:
     return out.select(F.date_format("__day", "yyyy-MM-dd").alias("day"),
                       F.date_format("__day", "yyyyMMdd").cast("int").alias("sort_key"),
                       *[a for a in ("events", "value_total") if value is not None or a == "events"])
+
+
+def period_matrix(long: DataFrame, keys, period: str = "period", sort_key: str = "sort_key",
+                  value: str = "employment", latest_first: bool = True) -> DataFrame:
+    """Keys × period matrix of an already aggregated long table (A14 single measure), 0-filled,
+    periods as columns in chronological order, rows ranked by the most recent period.
+
+    The period list is read from the data (one row per period: a bounded, metadata-sized list)
+    so the pivot gets explicit values and column order.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    periods = [r[0] for r in long.select(period, sort_key).distinct().orderBy(sort_key).collect()]
+    wide = long.groupBy(*keys).pivot(period, periods).agg(F.sum(value))
+    wide = wide.select(*keys, *[F.coalesce(F.col(f"`{p}`"), F.lit(0)).cast("bigint").alias(p) for p in periods])
+    if not periods:
+        return wide
+    order = [F.desc(periods[-1]) if latest_first else F.asc(periods[-1])] + list(keys)
+    return with_position(wide, order, "rank")

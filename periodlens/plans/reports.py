@@ -253,6 +253,11 @@ def agency_trend(snap: DataFrame, agysub: str, descriptions: DataFrame | None =
     return trend, by_toa, classes, split
 
 
+def appointment_matrix(by_toa: DataFrame) -> DataFrame:
+    """R12 table: appointment code × period head counts (0-filled), most recent period first."""
+    return PV.period_matrix(by_toa, ["toa", "toat_display"], "period", "sort_key", "employment")
+
+
 # --- R13: status tables --------------------------------------------------------------------
 
 def status_comparison(spark: SparkSession, path: str, current: str, prior: str,

@@ -58,6 +58,12 @@ def test_agency_trend_with_descriptions(snap):
     assert {r.appt_class for r in classes.collect()} <= {"Permanent", "Nonpermanent", "Other"}
     s = split.collect()
     assert all(r.total == r.nonpermanent + r.not_nonpermanent for r in s)
+    m = R.appointment_matrix(by_toa)
+    periods = [c for c in m.columns if c not in ("toa", "toat_display", "rank")]
+    chrono = sorted(by_toa.select("period", "sort_key").distinct().collect(), key=lambda r: r.sort_key)
+    assert periods == [r.period for r in chrono]
+    rows = m.collect()
+    assert sum(sum(r[p] for p in periods) for r in rows) == by_toa.agg(F.sum("employment")).first()[0]
 
 
 def test_examples_and_validation(snap):
