@@ -17,6 +17,7 @@ from periodlens.functions.text import clean_category
 from periodlens.functions.values import MISSING_MARKERS, REDACTED, count_value
 from periodlens.operators.joins import bounded_broadcast
 from periodlens.operators.position import with_position
+from periodlens.session import materialize
 
 # --- fixed values -----------------------------------------------------------
 TOTAL = "TOTAL"
@@ -186,8 +187,11 @@ def compare_left(status: DataFrame, datecode: str, current: str, prior: str,
     """
     metrics = [m for m in metrics if m in status.columns]
     keys = [c for c in status.columns if c not in (datecode, line, *metrics)]
-    cur = status.where(F.col(datecode) == current)
-    pri = status.where(F.col(datecode) == prior)
+    # The two periods' rows are computed once (the status table may itself be an aggregate
+    # over a large snapshot store) and both sides are read from the written table.
+    both = materialize(status.where(F.col(datecode).isin(current, prior)), "status")
+    cur = both.where(F.col(datecode) == current)
+    pri = both.where(F.col(datecode) == prior)
     cnt = lambda c: F.coalesce(F.col(c).try_cast("bigint"), F.lit(0)).cast("bigint")
     if line is not None:
         pri = pri.groupBy(*keys).agg(F.max_by(cnt(count_metric), F.col(line)).alias("prior_count"))
