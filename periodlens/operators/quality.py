@@ -170,17 +170,18 @@ def verdict(df: DataFrame, by: str = "dataset_key", fields=LOOKUP_FIELDS,
     Output: by, rows, high_null_fields, null_fields, non_constant, valid.
     """
     missing_required = [c for c in required if c not in df.columns]
-    nr = null_rates(df, by, fields)
-    per_field = nr.groupBy(by).agg(
-        F.count_if(F.col("null_pct") > NULL_WARN_PCT).alias("high_null_fields"),
-        F.count_if(F.col("null_pct") >= 100.0).alias("null_fields"))
-    cm = constant_measure(df, by) if "employment" in df.columns else _periods(df, by).withColumn(
-        "non_constant", F.lit(None).cast("bigint"))
-    out = cm.select(by, "rows", "non_constant").join(per_field, on=by, how="left")
-    out = out.select(by, "rows",
-                     F.coalesce("high_null_fields", F.lit(0)).cast("bigint").alias("high_null_fields"),
-                     F.coalesce("null_fields", F.lit(0)).cast("bigint").alias("null_fields"),
-                     "non_constant")
+    fields = [f for f in fields if f in df.columns]
+    # one aggregation per period: row count, measure check and every field's null count
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    aggs.append(F.count_if(~F.col("employment").eqNullSafe("1")).alias("non_constant")
+                if "employment" in df.columns else F.lit(None).cast("bigint").alias("non_constant"))
+    aggs += [F.expr(f"count_if({_q(f)} IS NULL)").alias(f"{f}__n") for f in fields]
+    wide = df.groupBy(by).agg(*aggs)
+    pct = {f: F.round(F.col(f"{f}__n") / F.col("rows") * 100.0, 4) for f in fields}
+    high = sum((F.when(p > NULL_WARN_PCT, 1).otherwise(0) for p in pct.values()), F.lit(0))
+    full = sum((F.when(p >= 100.0, 1).otherwise(0) for p in pct.values()), F.lit(0))
+    out = wide.select(by, "rows", high.cast("bigint").alias("high_null_fields"),
+                      full.cast("bigint").alias("null_fields"), "non_constant")
     return out.withColumn("valid", F.lit(not missing_required) & (F.col("null_fields") == 0))
 
 
