@@ -39,18 +39,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only when unset.
+    """Return the session's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
+    On a cluster the folder must be named by the session (shared storage every executor and
+    the driver can reach); only a local-mode session without one gets a local folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: intermediate tables "
+                               "are written there")
         current = tempfile.mkdtemp(prefix="periodlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
