@@ -145,3 +145,20 @@ def test_csv_sink_and_manifest_totals(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "csv")
     K.write_csv(man, out)
     assert spark.read.option("header", True).csv(out).count() == 2
+
+
+def test_usage_on_built_store(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+    from periodlens.operators import profile as PR
+    facts, lk = make_history(tmpdir_path)
+    out = os.path.join(tmpdir_path, "store")
+    R.build_snapshots(spark, facts, lk, out)
+    snap = S.read_snapshots(spark, out, view="employment_usage")
+    assert {r.agysubt for r in PR.headcount_top(snap, "agysubt", 10).collect()} == {"VATA-VETERANS HEALTH", "AF02-AIR FORCE X"}
+    assert PR.headcount_by(snap, ["year", "quarter"]).count() == 2
+    rows = spark.sql("SELECT year, SUM(TRY_CAST(employment AS INT)) AS e FROM employment_usage GROUP BY year").collect()
+    assert {r.year: r.e for r in rows} == {2016: 4, 2017: 2}
+    b, a = F.col("year") == 2016, F.col("year") == 2017
+    table, _ = R.age_comparison_excluding(snap, b, a)
+    assert table.where("code = 'TOTAL'").first().before == 3     # the row without an age code is dropped
+    assert R.validation_run(snap)["verdict"].count() == 2
