@@ -277,11 +277,15 @@ def status_table_view(spark: SparkSession, path: str, table: str, current: str,
                       current_label: str, prior_label: str, search: str | None = None) -> DataFrame:
     """R13 display table: status rows matched to the prior period, per-table columns dropped,
     headers renamed to display names, the two counts labelled by period, optional search."""
-    out = status_comparison(spark, path, current, prior, search=search)
+    out = status_comparison(spark, path, current, prior)
     drop = ("DATECODE", "EMPCOUNT", "AVGSAL", "AVGLOS", *STATUS_TABLE_DROPS.get(table, ()))
     out = out.withColumnsRenamed({"change": "CHANGE", "pct_change": "PCT_CHANGE"})
     names = dict(STATUS_DISPLAY_NAMES, prior_count=prior_label, current_count=current_label)
-    return CF.project_table(out, drop, names)
+    out = CF.project_table(out, drop, names)
+    if search:      # the search runs over the displayed cells only, as a viewer would see them
+        from periodlens.functions.text import row_contains
+        out = out.where(row_contains([F.col(f"`{c}`") for c in out.columns if c != "rank"], search))
+    return out
 
 
 def status_pair_check(spark: SparkSession, path: str, first: str, second: str) -> DataFrame:

@@ -130,6 +130,9 @@ def test_status_table_comparison(spark, tmpdir_path):
     view = R.status_table_view(spark, path, "education-level", "202503", "202409", "Mar 2025", "Sep 2024")
     assert view.columns == ["Education Level", "Sep 2024", "Mar 2025", "Change", "% Change", "rank"]
     assert {r["Education Level"]: r["Change"] for r in view.collect()}["BACHELOR'S DEGREE"] == 20
+    hit = R.status_table_view(spark, path, "education-level", "202503", "202409", "Mar 2025", "Sep 2024",
+                              search="high school")
+    assert [r["Education Level"] for r in hit.collect()] == ["HIGH SCHOOL, OR EQUIVALENT"]
     pair = R.status_pair_check(spark, path, "202503", "202409").first()
     assert (pair.n_first, pair.n_second, pair.result) == (3, 3, "mismatch")
     assert pair.mismatches == 2          # row 2 and row 3 hold different codes by position
