@@ -117,14 +117,21 @@ def name_by_preference(df: DataFrame, code, text, period: str, preferred, order=
 def comparison_table(df: DataFrame, code, before: Column, after: Column, *,
                      measure="employment", policy: str = "impute_one", text=None,
                      clean_names: bool = False, order: str = "specials_last",
-                     domain=None, line: str = "line_no") -> DataFrame:
+                     domain=None, line: str = "line_no", exclude=None) -> DataFrame:
     """The category comparison report (R3): per-category totals of two periods, REDACTED and
     TOTAL rows, change and percent change, and a display ``rank``.
 
     ``order='specials_last'`` sorts by the newer period descending, then REDACTED, then TOTAL;
     ``order='domain'`` follows the ``domain`` label list (unknown labels after it), TOTAL last.
+    ``exclude=(group, field)`` leaves out every ``group`` that has a REDACTED ``field`` in the
+    newer period (J5 + A11) in the same pass: rows are first aggregated per (group, code) —
+    a small table — the flagged groups are read off it and dropped, then codes are summed.
     Output: rank, code, category, before, after, change, pct_change.
     """
+    if exclude is not None:
+        per_code = _per_code_excluding(df, code, before, after, measure, policy, text, clean_names,
+                                       line, exclude)
+        return _finish_comparison(per_code, text is not None, order, domain)
     code_name = code if isinstance(code, str) else "code"
     code_c = clean_category(code, code_name) if clean_names else as_col(code)
     v = count_value(measure, policy)
@@ -141,7 +148,53 @@ def comparison_table(df: DataFrame, code, before: Column, after: Column, *,
         aggs += [first_in_order(F.col("__t_new"), F.col("__line"), F.col("__a")).alias("__new"),
                  first_in_order(F.col("__t_old"), F.col("__line"), F.col("__b")).alias("__old")]
     per_code = rows.groupBy("code").agg(*aggs)
+    return _finish_comparison(per_code, text is not None, order, domain)
+
+
+def _per_code_excluding(df, code, before, after, measure, policy, text, clean_names, line, exclude):
+    """Per-code partial sums and first names with flagged groups removed, from one scan."""
+    group, field = exclude
+    code_name = code if isinstance(code, str) else "code"
+    code_c = clean_category(code, code_name) if clean_names else as_col(code)
+    v = count_value(measure, policy)
+    hit = after & F.coalesce(F.col(field) == REDACTED, F.lit(False))
+    cols = [F.col(group).alias("__g"), code_c.alias("code"), before.alias("__b"), after.alias("__a"),
+            v.alias("__v"), hit.alias("__hit")]
+    if text is not None:
+        cols += [as_col(text).alias("__t_new"),
+                 (clean_category(text, text) if clean_names else as_col(text)).alias("__t_old"),
+                 _line(df, line, text).alias("__line")]
+    rows = df.where(before | after).select(*cols)
+    # (group, code) partials over every row, null codes included, so a group's flag sees all rows
+    aggs = [F.sum(F.when(F.col("__b"), F.col("__v"))).alias("__sb"),
+            F.sum(F.when(F.col("__a"), F.col("__v"))).alias("__sa"),
+            F.max(F.col("__hit")).alias("__hit")]
     if text is not None:
+        new_line = F.when(F.col("__a") & F.col("__t_new").isNotNull(), F.col("__line"))
+        old_line = F.when(F.col("__b") & F.col("__t_old").isNotNull(), F.col("__line"))
+        aggs += [F.min_by(F.col("__t_new"), new_line).alias("__pn"), F.min(new_line).alias("__pnl"),
+                 F.min_by(F.col("__t_old"), old_line).alias("__po"), F.min(old_line).alias("__pol")]
+    partial = rows.groupBy("__g", "code").agg(*aggs)
+    flagged = partial.where(F.col("__hit") & F.col("__g").isNotNull()).select("__g").distinct()
+    kept = partial.join(flagged, on="__g", how="left_anti").where(F.col("code").isNotNull())
+    frac = _fractional(policy)
+
+    def side(c):
+        t = F.sum(c)
+        if frac:
+            t = F.bround(t, 0)
+        return F.coalesce(t, F.lit(0)).cast("bigint")
+
+    final = [side(F.col("__sb")).alias("before"), side(F.col("__sa")).alias("after")]
+    if text is not None:
+        final += [F.min_by(F.col("__pn"), F.col("__pnl")).alias("__new"),
+                  F.min_by(F.col("__po"), F.col("__pol")).alias("__old")]
+    return kept.groupBy("code").agg(*final)
+
+
+def _finish_comparison(per_code: DataFrame, has_text: bool, order: str, domain) -> DataFrame:
+    """Names, change columns, the TOTAL row and the display ranking of a per-code table."""
+    if has_text:
         name = name_precedence(F.col("__new"), F.col("__old"), F.col("code"))
     else:
         name = F.col("code")

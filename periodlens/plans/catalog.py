@@ -268,10 +268,8 @@ def flagged_groups(spark, d):
 def exclude_groups_q(spark, d):
     b, a = _ba()
     f = _facts(spark, d, [BEFORE, AFTER])
-    flagged = C.flagged_groups(f.where(a), "agy", "agelvlt")
-    kept = exclude_groups(f, flagged, "agy")
-    return _r4(C.comparison_table(kept, "agelvlt", b, a, policy="impute_one",
-                                  order="domain", domain=O.AGE_ORDER))
+    return _r4(C.comparison_table(f, "agelvlt", b, a, policy="impute_one", order="domain",
+                                  domain=O.AGE_ORDER, exclude=("agy", "agelvlt")))
 
 
 def keep_groups_q(spark, d):

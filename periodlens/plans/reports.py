@@ -167,16 +167,14 @@ def appointment_comparison(snap: DataFrame, before: Column, after: Column) -> Da
 
 def location_comparison(snap: DataFrame, before: Column, after: Column, flag_field: str = "loct") -> DataFrame:
     """Agencies with a redacted location in the newer period are excluded from both."""
-    flagged = C.flagged_groups(snap.where(after), "agy", flag_field)
-    kept = exclude_groups(snap, flagged, "agy")
-    return C.comparison_table(kept, "loc", before, after, text="loct")
+    return C.comparison_table(snap, "loc", before, after, text="loct", exclude=("agy", flag_field))
 
 
 def age_comparison_excluding(snap: DataFrame, before: Column, after: Column):
     """Age comparison without agencies that redact age; also the excluded agency labels."""
+    table = C.comparison_table(snap, "agelvlt", before, after, order="domain", domain=O.AGE_ORDER,
+                               exclude=("agy", "agelvlt"))
     flagged = C.flagged_groups(snap.where(after), "agy", "agelvlt")
-    kept = exclude_groups(snap, flagged, "agy")
-    table = age_comparison(kept, before, after)
     names = PR.first_non_null(keep_groups(snap.where(before), flagged, "agy"), "agy", "agysubt")
     from periodlens.functions.text import agency_label
     excluded = names.select("agy", agency_label("agy", "first_agysubt").alias("label"))

@@ -262,3 +262,21 @@ def test_rejected_files(spark):
                                "source_file string")
     bad = {r.source_file for r in rejected_files(with_period(df)).collect()}
     assert bad == {"/x/FACTDATA_XYZ2016.TXT", "/x/notes.txt"}
+
+
+def test_comparison_exclude_matches_anti_join(spark):
+    rows = [(2024, "A", "X", "x-old", "1", None, 1), (2025, "A", "X", "x-new", "1", None, 2),
+            (2025, "A", None, "REDACTED", "1", None, 3),          # flag on a row without a code
+            (2024, "B", "X", "bx", "1", None, 4), (2025, "B", "Y", "REDACTED", "2", None, 5),
+            (2025, None, "Y", "y-new", "1", None, 6), (2024, None, "Z", "REDACTED", "1", None, 7),
+            (2025, "C", "Z", "z", "*****", None, 8), (2024, "C", "Y", "y-old", "1", None, 9)]
+    df = snap(spark, rows)
+    b, a = F.col("year") == 2024, F.col("year") == 2025
+    # the flag field here is the text column itself: rows whose name is REDACTED in 2025
+    one_pass = C.comparison_table(df, "code", b, a, text="name", exclude=("agy", "name"))
+    flagged = C.flagged_groups(df.where(a), "agy", "name")
+    two_pass = C.comparison_table(exclude_groups(df, flagged, "agy"), "code", b, a, text="name")
+    got = sorted(tuple(r) for r in one_pass.collect())
+    want = sorted(tuple(r) for r in two_pass.collect())
+    assert got == want
+    assert {r.code for r in one_pass.collect()} == {"Y", "Z", "TOTAL"}   # groups A and B are gone
