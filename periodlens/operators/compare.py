@@ -269,21 +269,34 @@ def compare_left(status: DataFrame, datecode: str, current: str, prior: str,
     return out.drop(*([line] if line else []))
 
 
-def availability(df: DataFrame, field: str, before: Column, after: Column) -> DataFrame:
+def availability(df: DataFrame, field: str, before: Column, after: Column, exclude=None) -> DataFrame:
     """Value availability of a text measure in two periods (A10).
 
     Rows: total, available (not redacted, not missing), redacted, missing/blank
     (null, '', 'nan', '*****'); change and percent change, where a zero base gives 100 for
-    the redacted row and 0 otherwise.  Output: row_order, status, before, after, change, pct_change.
+    the redacted row and 0 otherwise.  ``exclude=(group, flag_field)`` leaves out every group
+    with a REDACTED flag field in the newer period, in the same scan (counts per group first).
+    Output: row_order, status, before, after, change, pct_change.
     """
     c = F.col(field)
     red = F.coalesce(c == REDACTED, F.lit(False))
     miss = c.isNull() | c.isin(*MISSING_MARKERS)
-    stats = df.where(before | after).select(before.alias("b"), after.alias("a"), red.alias("r"), miss.alias("m"))
-    agg = stats.groupBy().agg(
-        F.count_if("b").alias("tb"), F.count_if("a").alias("ta"),
-        F.count_if(F.col("b") & F.col("r")).alias("rb"), F.count_if(F.col("a") & F.col("r")).alias("ra"),
-        F.count_if(F.col("b") & F.col("m")).alias("mb"), F.count_if(F.col("a") & F.col("m")).alias("ma"))
+    cols = [before.alias("b"), after.alias("a"), red.alias("r"), miss.alias("m")]
+    if exclude is not None:
+        group, flag_field = exclude
+        cols += [F.col(group).alias("__g"),
+                 (after & F.coalesce(F.col(flag_field) == REDACTED, F.lit(False))).alias("__hit")]
+    stats = df.where(before | after).select(*cols)
+    counters = [F.count_if("b").alias("tb"), F.count_if("a").alias("ta"),
+                F.count_if(F.col("b") & F.col("r")).alias("rb"), F.count_if(F.col("a") & F.col("r")).alias("ra"),
+                F.count_if(F.col("b") & F.col("m")).alias("mb"), F.count_if(F.col("a") & F.col("m")).alias("ma")]
+    if exclude is None:
+        agg = stats.groupBy().agg(*counters)
+    else:
+        per_group = stats.groupBy("__g").agg(*counters, F.max("__hit").alias("__hit"))
+        kept = per_group.where(~(F.coalesce(F.col("__hit"), F.lit(False)) & F.col("__g").isNotNull()))
+        agg = kept.groupBy().agg(*[F.coalesce(F.sum(k), F.lit(0)).cast("bigint").alias(k)
+                                   for k in ("tb", "ta", "rb", "ra", "mb", "ma")])
     entries = [
         (1, AVAILABILITY_ROWS[0], F.col("tb"), F.col("ta"), 0.0),
         (2, AVAILABILITY_ROWS[1], F.col("tb") - F.col("rb") - F.col("mb"), F.col("ta") - F.col("ra") - F.col("ma"), 0.0),

@@ -183,8 +183,7 @@ def age_comparison_excluding(snap: DataFrame, before: Column, after: Column):
 
 def salary_availability(snap: DataFrame, before: Column, after: Column) -> DataFrame:
     """Salary availability, agencies redacting age excluded."""
-    flagged = C.flagged_groups(snap.where(after), "agy", "agelvlt")
-    return C.availability(exclude_groups(snap, flagged, "agy"), "salary", before, after)
+    return C.availability(snap, "salary", before, after, exclude=("agy", "agelvlt"))
 
 
 def redacted_sample(snap: DataFrame, period: Column, n: int = 5, seed: int = 42,

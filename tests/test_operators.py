@@ -280,3 +280,15 @@ def test_comparison_exclude_matches_anti_join(spark):
     want = sorted(tuple(r) for r in two_pass.collect())
     assert got == want
     assert {r.code for r in one_pass.collect()} == {"Y", "Z", "TOTAL"}   # groups A and B are gone
+
+
+def test_availability_exclude_matches_anti_join(spark):
+    rows = [(2024, "A", "X", "n", "1", "100", 1), (2025, "A", "X", "REDACTED", "1", "REDACTED", 2),
+            (2024, "B", "X", "n", "1", "*****", 3), (2025, "B", "X", "n", "1", "7", 4),
+            (2025, None, "X", "REDACTED", "1", None, 5)]
+    df = snap(spark, rows)
+    b, a = F.col("year") == 2024, F.col("year") == 2025
+    one = {r.status: tuple(r) for r in C.availability(df, "salary", b, a, exclude=("agy", "name")).collect()}
+    flagged = C.flagged_groups(df.where(a), "agy", "name")
+    two = {r.status: tuple(r) for r in C.availability(exclude_groups(df, flagged, "agy"), "salary", b, a).collect()}
+    assert one == two and one["Total Records"][2:4] == (1, 2)
