@@ -18,7 +18,11 @@ _CHECKED: dict = {}
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads no more than max_rows+1 rows).
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    ``offset(max_rows).isEmpty()`` is executed as an incremental take: partitions are scanned
+    only until row ``max_rows + 1`` is seen (on a large table, usually one split), no columns
+    are read, and a single row at most reaches the driver.
 
     The answer is remembered per (plan, bound) for the life of the process, so a dimension
     used by many queries is checked once; plans over other files or filters are new plans.
@@ -26,7 +30,7 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
     hit = _CHECKED.get(key)
     if hit is None:
-        hit = df.limit(max_rows + 1).count() <= max_rows
+        hit = df.offset(max_rows).isEmpty()
         _CHECKED[key] = hit
     return hit
 
