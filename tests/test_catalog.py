@@ -56,3 +56,15 @@ def test_query_matches_oracle(spark, duck, name):
     assert len(srows) == len(drows)
     cols = sorted(dcols)
     assert _rows(srows, cols) == _rows(drows, cols)
+
+
+def test_no_python_in_query_plans(spark):
+    """Every query plans to JVM operators only (no Python UDF evaluation nodes)."""
+    import contextlib
+    import io
+    for name, fn in sorted(E.queries().items()):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            fn(spark, SF).explain()
+        plan = buf.getvalue()
+        assert "EvalPython" not in plan and "PythonUDF" not in plan, name
