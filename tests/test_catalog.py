@@ -68,3 +68,22 @@ def test_no_python_in_query_plans(spark):
             fn(spark, SF).explain()
         plan = buf.getvalue()
         assert "EvalPython" not in plan and "PythonUDF" not in plan, name
+
+
+def _plan(df):
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_scans_are_pruned(spark):
+    """Period filters prune store directories and scans read only the referenced columns."""
+    plan = _plan(E.queries()["compare_full"](spark, SF))
+    assert "IN (1996,1997)" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert scans and all("ReadSchema: struct<agelvlt:string,employment:string>" in s for s in scans)
+    plan = _plan(E.queries()["headcount_top"](spark, SF))
+    assert "ReadSchema: struct<loct:string,employment:string>" in plan
