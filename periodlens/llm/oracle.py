@@ -19,3 +19,63 @@ ranked as (
         on (p.host = r.rule_host or ends_with(p.host, '.' || r.rule_host)) and starts_with(p.path, r.rule_path))
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from ranked where k = 1
 """
+
+ORACLE["op2_document_fingerprints"] = r"""
+with ordered as (
+    select row_number() over (order by doc_id, coalesce(text, '')) as rid, doc_id, coalesce(text, '') as text,
+        lead(coalesce(text, '')) over (order by doc_id, coalesce(text, '')) as follows,
+        first_value(coalesce(text, '')) over (order by doc_id, coalesce(text, '')) as opening
+    from documents),
+edits as (
+    select rid, doc_id, text, length(text) as n_chars,
+        substr(text, 1, length(text) - length(text) // 2)
+            || substr(coalesce(follows, opening), 1, length(text) // 2) as edited
+    from ordered),
+versions as (select rid, 0 as k, text as t from edits union all select rid, 1, edited from edits),
+pieces as (
+    select rid, k, unnest(string_split(regexp_replace(t, '([.!?])[ \t]+', '\1' || chr(10), 'g'), chr(10))) as p
+    from versions),
+hashes as (select rid, k, sha256(p) as h from pieces where p <> ''),
+lanes as (
+    select rid, k, i, sum(instr('0123456789abcdef', substr(h, i, 1)) - 1) % 65536 as lane
+    from hashes, range(1, 65) r(i) group by rid, k, i),
+vectors as (
+    select v.rid, v.k, coalesce(c.n, 0) as n, l.v
+    from versions v
+    left join (select rid, k, count(*) as n from hashes group by rid, k) c on c.rid = v.rid and c.k = v.k
+    left join (select rid, k, list(lane::bigint order by i) as v from lanes group by rid, k) l
+        on l.rid = v.rid and l.k = v.k),
+filled as (
+    select rid, k, n, coalesce(v, list_transform(range(64), lambda x: 0::bigint)) as v from vectors),
+shown as (
+    select *, lower(lpad(to_hex(n), 8, '0')) || array_to_string(
+        list_transform(v, lambda x: lower(lpad(to_hex(x), 4, '0'))), '') as fp from filled),
+paired as (
+    select e.rid, e.doc_id, e.n_chars, sha256(e.edited) as edited_sha256, a.fp as fingerprint, b.fp as edited_fingerprint,
+        a.n as n0, a.v as v0, b.n as n1, b.v as v1, c.n as n2, c.v as v2
+    from edits e
+    join shown a on a.rid = e.rid and a.k = 0
+    join shown b on b.rid = e.rid and b.k = 1
+    join shown c on c.rid = e.rid % (select count(*) from edits) + 1 and c.k = 0),
+sides as (
+    select rid, 1 as side, n0 as na, v0 as a, n1 as nb, v1 as b from paired
+    union all select rid, 2, n0, v0, n2, v2 from paired),
+spread as (
+    select rid, side, na, nb, a = b and na = nb as same,
+        list_sum(list_transform(range(1, 65), lambda i: pow(
+            ((a[i] - b[i] + 32768 + 65536) % 65536) - 32768 - (na - nb) * 7.5, 2))) / (64 * 21.25) as s
+    from sides),
+common as (
+    select rid, side, same, na + nb as total,
+        (na + nb - least(greatest(s, abs(na - nb)), na + nb)) / 2.0 as c
+    from spread),
+likes as (
+    select rid, side, case when same then 1.0::double
+        else round((c / greatest(total - c, 1.0))::double, 6) end as likeness
+    from common)
+select p.doc_id, p.n_chars, p.edited_sha256, p.fingerprint, p.edited_fingerprint,
+    x.likeness as near_edited, y.likeness as near_next
+from paired p
+join likes x on x.rid = p.rid and x.side = 1
+join likes y on y.rid = p.rid and y.side = 2
+"""

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from periodlens.llm import html_main, langid, url_filter
+from periodlens.llm import fingerprint, html_main, langid, url_filter
 from periodlens.llm.common import read_table
 
 URL_RULES = (("net", "/", "net/", "block"), ("example.net", "/en/", "example.net/en/", "allow"),
              ("example.com", "/de/", "example.com/de/", "block"), ("org", "/fr/", "org/fr/", "allow"))
 
 
+def op2_document_fingerprints(spark, sf_dir):
+    """Multiset fingerprints of every document and its edited form."""
+    return fingerprint.fingerprint_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op4_html_extraction(spark, sf_dir):
     """Main text of every page by tag-path ratios."""
     return html_main.extract_main_text(read_table(spark, sf_dir, "pages"))
@@ -31,4 +36,4 @@ def op8_url_filter(spark, sf_dir):
     return url_filter.filter_urls(read_table(spark, sf_dir, "pages"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op4_html_extraction, op7_language_id, op8_url_filter)}
+QUERIES = {f.__name__: f for f in (op2_document_fingerprints, op4_html_extraction, op7_language_id, op8_url_filter)}
