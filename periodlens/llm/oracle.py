@@ -79,3 +79,20 @@ from paired p
 join likes x on x.rid = p.rid and x.side = 1
 join likes y on y.rid = p.rid and y.side = 2
 """
+
+ORACLE["op5_benchmark_decontamination"] = r"""
+with texts as (
+    select 0 as kind, doc_id as id, text from documents
+    union all select 1, item_id, text from benchmark),
+words as (
+    select kind, id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') as w from texts),
+shingles as (
+    select distinct kind, id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) as s
+    from words where len(w) >= 5),
+sizes as (select id, count(*) as n from shingles where kind = 1 group by id),
+shared as (
+    select d.id as doc_id, i.id as item_id, count(*) as k
+    from shingles d join shingles i on d.s = i.s and d.kind = 0 and i.kind = 1 group by d.id, i.id)
+select doc_id, item_id, k::int as n_shared, n::int as n_shingles, round(k / n, 6) as containment
+from shared join sizes on sizes.id = item_id where 100 * k >= 80 * n
+"""

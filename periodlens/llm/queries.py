@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from periodlens.llm import fingerprint, html_main, langid, url_filter
+from periodlens.llm import decontam, fingerprint, html_main, langid, url_filter
 from periodlens.llm.common import read_table
 
 URL_RULES = (("net", "/", "net/", "block"), ("example.net", "/en/", "example.net/en/", "allow"),
@@ -21,6 +21,11 @@ def op4_html_extraction(spark, sf_dir):
     return html_main.extract_main_text(read_table(spark, sf_dir, "pages"))
 
 
+def op5_benchmark_decontamination(spark, sf_dir):
+    """Documents that hold a benchmark item, with the item and its containment."""
+    return decontam.find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op7_language_id(spark, sf_dir):
     """Language of every document; the models learn from four of five folds."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -36,4 +41,4 @@ def op8_url_filter(spark, sf_dir):
     return url_filter.filter_urls(read_table(spark, sf_dir, "pages"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op2_document_fingerprints, op4_html_extraction, op7_language_id, op8_url_filter)}
+QUERIES = {f.__name__: f for f in (op2_document_fingerprints, op4_html_extraction, op5_benchmark_decontamination, op7_language_id, op8_url_filter)}
