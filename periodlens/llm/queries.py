@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from periodlens.llm import decontam, fingerprint, html_main, langid, url_filter
+from periodlens.llm import decontam, fingerprint, html_main, langid, line_dedup, url_filter
 from periodlens.llm.common import read_table
 
 URL_RULES = (("net", "/", "net/", "block"), ("example.net", "/en/", "example.net/en/", "allow"),
              ("example.com", "/de/", "example.com/de/", "block"), ("org", "/fr/", "org/fr/", "allow"))
 
 
+def op1_line_dedup(spark, sf_dir):
+    """Every document's text without repeated lines, and how many lines went."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, count_cols=("n_lines", "n_removed"))
+
+
 def op2_document_fingerprints(spark, sf_dir):
     """Multiset fingerprints of every document and its edited form."""
     return fingerprint.fingerprint_documents(read_table(spark, sf_dir, "documents"))
@@ -41,4 +47,4 @@ def op8_url_filter(spark, sf_dir):
     return url_filter.filter_urls(read_table(spark, sf_dir, "pages"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op2_document_fingerprints, op4_html_extraction, op5_benchmark_decontamination, op7_language_id, op8_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_document_fingerprints, op4_html_extraction, op5_benchmark_decontamination, op7_language_id, op8_url_filter)}
