@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from periodlens.llm import decontam, fingerprint, html_main, langid, line_dedup, url_filter
+from periodlens.llm import chosen_path, decontam, fingerprint, html_main, langid, line_dedup, url_filter
 from periodlens.llm.common import read_table
 
 URL_RULES = (("net", "/", "net/", "block"), ("example.net", "/en/", "example.net/en/", "allow"),
@@ -47,4 +47,11 @@ def op8_url_filter(spark, sf_dir):
     return url_filter.filter_urls(read_table(spark, sf_dir, "pages"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_document_fingerprints, op4_html_extraction, op5_benchmark_decontamination, op7_language_id, op8_url_filter)}
+def op9_near_dedup(spark, sf_dir):
+    """Near-duplicate groups of the documents: two-word shingles, Jaccard similarity of at least 0.8."""
+    return (chosen_path.near_duplicates(read_table(spark, sf_dir, "documents"), words=2, percent=80)
+            .select("doc_id", "n_shingles", "component_id", "kept"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_document_fingerprints, op4_html_extraction, op5_benchmark_decontamination, op7_language_id, op8_url_filter,
+                                   op9_near_dedup)}
