@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from periodlens.llm import chosen_path, decontam, fingerprint, html_main, langid, line_dedup, url_filter
+from periodlens.llm import chosen_path, decontam, fingerprint, html_main, langid, line_dedup, packing, url_filter
 from periodlens.llm.common import read_table
 
 URL_RULES = (("net", "/", "net/", "block"), ("example.net", "/en/", "example.net/en/", "allow"),
@@ -22,6 +22,19 @@ def op2_document_fingerprints(spark, sf_dir):
     return fingerprint.fingerprint_documents(read_table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer that packing uses; its files are installed beside the interpreter."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_packing(spark, sf_dir):
+    """All documents' tokens in windows of 2048 that are filled with lexical neighbours."""
+    pieces = packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
 def op4_html_extraction(spark, sf_dir):
     """Main text of every page by tag-path ratios."""
     return html_main.extract_main_text(read_table(spark, sf_dir, "pages"))
@@ -53,5 +66,6 @@ def op9_near_dedup(spark, sf_dir):
             .select("doc_id", "n_shingles", "component_id", "kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_document_fingerprints, op4_html_extraction, op5_benchmark_decontamination, op7_language_id, op8_url_filter,
-                                   op9_near_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_line_dedup, op2_document_fingerprints, op3_packing, op4_html_extraction, op5_benchmark_decontamination,
+    op7_language_id, op8_url_filter, op9_near_dedup)}
