@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from periodlens.llm import chosen_path, decontam, fingerprint, html_main, langid, line_dedup, packing, url_filter
+from periodlens.llm import chosen_path, decontam, fingerprint, html_main, langid, line_dedup, packing, radix_windows, url_filter
 from periodlens.llm.common import read_table
 
 URL_RULES = (("net", "/", "net/", "block"), ("example.net", "/en/", "example.net/en/", "allow"),
@@ -66,6 +66,12 @@ def op9_near_dedup(spark, sf_dir):
             .select("doc_id", "n_shingles", "component_id", "kept"))
 
 
+def op10_suffix_dedup(spark, sf_dir):
+    """Bytes of every document that a 50-byte string of a document with a smaller id covers, removed."""
+    return (radix_windows.remove_repeats(read_table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_document_fingerprints, op3_packing, op4_html_extraction, op5_benchmark_decontamination,
-    op7_language_id, op8_url_filter, op9_near_dedup)}
+    op7_language_id, op8_url_filter, op9_near_dedup, op10_suffix_dedup)}
