@@ -190,9 +190,10 @@ def candidate_pairs(sets: DataFrame, percent: int) -> DataFrame:
         large = live.where(F.col("n") > SMALL)
         loose = large.where("x <> low").select(F.col("x").alias("a"), F.col("low").alias("b"))
         if level + STEP > LAST:
-            w = Window.partitionBy("key").orderBy(F.xxhash64("x", F.lit(3)))
-            near = F.explode(F.array(*[F.lag("x", i).over(w) for i in range(1, SMALL + 1)]))
-            loose = loose.unionByName(large.select(F.col("x").alias("a"), near.alias("b")).where("b is not null"))
+            w = Window.partitionBy("key").orderBy(F.xxhash64("x", "key"))
+            near = large.select(F.col("x").alias("a"), *[F.lag("x", i).over(w).alias(f"b{i}") for i in range(1, SMALL + 1)])
+            near = near.select("a", F.explode(F.array(*[f"b{i}" for i in range(1, SMALL + 1)])).alias("b"))
+            loose = loose.unionByName(near.where("b is not null"))
         loose = (loose.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
                  .join(sketch.select(F.col("x").alias("a"), F.col("s").alias("p")), "a")
                  .join(sketch.select(F.col("x").alias("b"), F.col("s").alias("q")), "b").select("a", "b", "p", "q"))
