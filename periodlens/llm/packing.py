@@ -35,14 +35,14 @@ QUERY_TERMS = 16
 SALTS = 32
 K1, B = 1.2, 0.75
 COMMON_IDS = 4000             # ids below are frequent merges and don't route
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_500_000
 
 
 class Encoder(dict):
     """Token ids of words as little-endian 16-bit integers; encodes the words it has not seen in batches.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those of its words
-    in turn, and each distinct word is encoded once.
+    The tokenizer lower-cases, drops white space and never joins across it, so a text's ids are those of
+    its words in turn, and each distinct word is encoded once.
     """
 
     def __init__(self, path: str):
@@ -53,15 +53,24 @@ class Encoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
 
     def texts(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [(t or b"").split() for t in texts]
+        # the tokenizer looks for its special tokens before it lower-cases
+        split = [(t.lower() if b"<|" not in t else t).split() for t in (t or b"" for t in texts)]
         if len(self) > CACHE_WORDS:
             self.clear()
-        new = list({w for ws in split for w in ws if w not in self})
+        new = {w for ws in split for w in ws if w not in self}
+        # a full stop or comma after a letter is a token of its own, so the word before it is enough
+        ends = {w for w in new if w[-1:] in (b".", b",") and w[-2:-1].isalpha()}
+        self._encode((new - ends) | {b".", b","} | {w[:-1] for w in ends})
+        for w in ends:
+            self[w] = self[w[:-1]] + self[w[-1:]]
+        return [b"".join(map(self.__getitem__, ws)) for ws in split]
+
+    def _encode(self, words: set[bytes]) -> None:
+        new = [w for w in words if w not in self]
         for i in range(0, len(new), 10_000):
             part = new[i:i + 10_000]
-            got = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
+            got = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
             self.update((w, np.asarray(e.ids, "<u2").tobytes()) for w, e in zip(part, got))
-        return [b"".join(map(self.__getitem__, ws)) for ws in split]
 
 
 _ENCODERS: dict = {}
