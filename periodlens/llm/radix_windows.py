@@ -41,8 +41,9 @@ from periodlens.llm.chosen_path import mix
 
 LENGTH = 50
 GRAM = 20
-SEGMENT = 2 << 20             # bytes that are scanned at once; at most 2**24
-HELD = 1 << 20                # anchors that step 1 holds before it sends them
+SEGMENT = 1 << 20             # bytes that are scanned at once; at most 2**24
+HELD = 1 << 19                # anchors that step 1 holds before it sends them
+SUBS = 16                     # parts of a bucket that are sorted one after the other
 _PLACE = np.uint64((1 << 24) - 1)
 _C = np.uint64(0x9E3779B97F4A7C15)
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64))
@@ -319,8 +320,11 @@ def _send_runs(shares: int):
             out = []
             for k, s in _slices(_share(g[first], shares)):
                 f = first[s]
-                out.append((k, 0, _pack(np.full(1, block, "<i8"), key[f], low[f], many[s].astype(np.uint8), count[f],
-                                        body[_ragged(begin[f], size[f])])))
+                f_sub = (g[f] % _U(SUBS)).astype(np.uint8)
+                by_sub = np.argsort(f_sub, kind="stable")
+                f, m = f[by_sub], many[s][by_sub]
+                out.append((k, 0, _pack(np.full(1, block, "<i8"), f_sub[by_sub], key[f], low[f], m.astype(np.uint8),
+                                        count[f], body[_ragged(begin[f], size[f])])))
             yield _rows(out, _OUT)
     return run
 
@@ -356,29 +360,45 @@ def _mark():
     """Step 3: for each run of a bucket the windows that a smaller document has, by block."""
     def run(batches):
         for _, rows in _by_share(batches):
-            got = [_unpack(r, "<i8", "<u8", "<i8", np.uint8, np.uint8, np.uint8) for _, r in rows]
-            block = np.concatenate([np.full(len(x[1]), x[0][0]) for x in got])
-            key, low, many, count, body = (np.concatenate([x[i] for x in got]) for i in range(1, 6))
-            count = count.astype(np.int64)
-            size = count + LENGTH - 1
-            begin = np.cumsum(size) - size
-            owner = np.repeat(np.arange(len(key)), count)
-            place = _ragged(np.zeros(len(key), np.int64), count)
-            alive, group = _sort_suffixes(body, begin[owner] + place)
-            mask = np.zeros(len(key), np.uint64)
-            if len(alive):
-                doc = low[owner[alive]]
-                at = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
-                least = np.repeat(np.minimum.reduceat(doc, at), np.diff(np.concatenate((at, [len(group)]))))
-                hit = alive[least < doc]
-                np.bitwise_or.at(mask, owner[hit], _U(1) << place[hit].astype(np.uint64))
-            keep = np.flatnonzero((mask > 0) | (many > 0))
-            order = keep[np.argsort(block[keep], kind="stable")]
+            got = [_unpack(r, "<i8", np.uint8, "<u8", "<i8", np.uint8, np.uint8, np.uint8) for _, r in rows]
+            marks = [_mark_part([_part(x, sub) for x in got]) for sub in range(SUBS)]
+            block, key, mask, low = (np.concatenate([m[i] for m in marks]) for i in range(4))
+            order = np.argsort(block, kind="stable")
             yield _rows([(k, 0, _pack(key[order[s]], mask[order[s]].astype("<u4"), low[order[s]]))
                          for k, s in _slices(block[order])], _OUT)
     return run
 
 
+def _part(message: list[np.ndarray], sub: int) -> tuple[np.ndarray, ...]:
+    """Block, keys, least documents, many and counts, and the bytes, of a message's runs of one part."""
+    block, subs, key, low, many, count, body = message
+    lo, hi = np.searchsorted(subs, [sub, sub + 1])
+    size = np.concatenate(([0], np.cumsum(count.astype(np.int64) + LENGTH - 1)))
+    return (np.full(hi - lo, block[0]), key[lo:hi], low[lo:hi], many[lo:hi], count[lo:hi], body[size[lo]:size[hi]])
+
+
+def _mark_part(got: list[tuple]) -> tuple[np.ndarray, ...]:
+    """Block, key, mask and least document of the runs of which some document of theirs loses a window."""
+    block, key, low, many, count, body = (np.concatenate([x[i] for x in got]) for i in range(6))
+    mask = np.zeros(len(key), np.uint64)
+    if not len(key):
+        return block, key, mask, low
+    count = count.astype(np.int64)
+    size = count + LENGTH - 1
+    begin = np.cumsum(size) - size
+    owner = np.repeat(np.arange(len(key)), count)
+    place = _ragged(np.zeros(len(key), np.int64), count)
+    alive, group = _sort_suffixes(body, begin[owner] + place)
+    if len(alive):
+        doc = low[owner[alive]]
+        at = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+        least = np.repeat(np.minimum.reduceat(doc, at), np.diff(np.concatenate((at, [len(group)]))))
+        hit = alive[least < doc]
+        np.bitwise_or.at(mask, owner[hit], _U(1) << place[hit].astype(np.uint64))
+    keep = np.flatnonzero((mask > 0) | (many > 0))
+    return block[keep], key[keep], mask[keep], low[keep]
+
+
 def _cut(id_col: str):
     """Step 4: the ranges of bytes to remove of a block's texts."""
     def run(batches):
