@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from periodlens.llm import chosen_path, decontam, fingerprint, html_main, langid, line_dedup, packing, radix_windows, url_filter
+from periodlens.llm import chosen_path, decontam, fingerprint, html_main, langid, line_dedup, ngram_trie, packing, radix_windows, url_filter
 from periodlens.llm.common import read_table
 
 URL_RULES = (("net", "/", "net/", "block"), ("example.net", "/en/", "example.net/en/", "allow"),
@@ -45,6 +45,12 @@ def op5_benchmark_decontamination(spark, sf_dir):
     return decontam.find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op6_lm_scoring(spark, sf_dir):
+    """Scores of all documents by a bigram trie that learns from nine of ten folds."""
+    docs = read_table(spark, sf_dir, "documents")
+    return ngram_trie.score_documents(docs, langid.held_out(docs["doc_id"], 10))
+
+
 def op7_language_id(spark, sf_dir):
     """Language of every document; the models learn from four of five folds."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -74,4 +80,4 @@ def op10_suffix_dedup(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_document_fingerprints, op3_packing, op4_html_extraction, op5_benchmark_decontamination,
-    op7_language_id, op8_url_filter, op9_near_dedup, op10_suffix_dedup)}
+    op6_lm_scoring, op7_language_id, op8_url_filter, op9_near_dedup, op10_suffix_dedup)}
