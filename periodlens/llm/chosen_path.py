@@ -97,8 +97,8 @@ _NIBBLE = np.arange(16, dtype=np.uint64) * np.uint64(4)
 
 
 def profiles(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(doc, n, x, sig, k0..k3): set size, set hash, tokens and their four-bit sketch."""
-    schema = f"doc {docs.schema[id_col].dataType.simpleString()}, n long, x long, sig binary, " + \
+    """(doc, th, n, x, sig, k0..k3): text hash, set size, set hash, tokens and their four-bit sketch."""
+    schema = f"doc {docs.schema[id_col].dataType.simpleString()}, th long, n long, x long, sig binary, " + \
         ", ".join(f"k{i} long" for i in range(4))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,11 +119,11 @@ def profiles(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFra
                     low = (tokens & np.uint32(15)).astype(np.uint64).reshape(4, 16)
                     ks.append(np.bitwise_or.reduce(low << _NIBBLE, axis=1).view(np.int64).tolist())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(x, pa.int64()), pa.array(sig, pa.binary()),
+                    [part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(x, pa.int64()), pa.array(sig, pa.binary()),
                      *[pa.array([k[i] for k in ks], pa.int64()) for i in range(4)]],
-                    names=["doc", "n", "x", "sig", "k0", "k1", "k2", "k3"])
+                    names=["doc", "th", "n", "x", "sig", "k0", "k1", "k2", "k3"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col, F.xxhash64(text_col).alias("_th")).mapInArrow(run, schema)
 
 
 def branch(keys: np.ndarray, sig: np.ndarray, rows: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray]:
@@ -258,7 +258,11 @@ def confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                     percent: int = PERCENT) -> DataFrame:
-    """(id, n_shingles, component_id, kept, set_hash) of every row of ``docs``."""
+    """(id, n_shingles, component_id, kept, group, text_hash) of every row of ``docs``.
+
+    group is a hash that the rows of a component share (null for rows without words or id), and
+    text_hash is Spark's xxhash64 of the text.
+    """
     rows = stored(profiles(docs, id_col, text_col, words), "profiles")
     sets = stored(rows.where("doc is not null and x is not null").groupBy("x")
                   .agg(F.min("doc").alias("doc"), *[F.first(c).alias(c) for c in ("n", "sig", "k0", "k1", "k2", "k3")]),
@@ -283,9 +287,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = (sets.select("x", "doc").join(groups, F.col("x") == F.col("node"), "left")
              .select("x", "doc", F.coalesce("component", "x").alias("c")))
     low = least.groupBy("c").agg(F.min("doc").alias("component_id"))
-    ids = least.join(low, "c").select(F.col("x").alias("y"), "component_id")
+    ids = least.join(low, "c").select(F.col("x").alias("y"), "component_id", "c")
     kept = F.coalesce(F.col("doc") == F.col("component_id"), F.lit(True))
-    return (rows.select("doc", "n", "x").join(ids, F.col("x") == F.col("y"), "left")
+    return (rows.select("doc", "th", "n", "x").join(ids, F.col("x") == F.col("y"), "left")
             .withColumn("component_id", F.when(F.col("doc").isNotNull(), F.coalesce("component_id", "doc")))
             .select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"),
-                    F.col("x").alias("set_hash")))
+                    F.when(F.col("doc").isNotNull(), F.col("c")).alias("group"), F.col("th").alias("text_hash")))
