@@ -14,10 +14,10 @@ and with ``SMALL`` neighbours in an order of the tree's own.  A pair at 0.8 live
 probability 0.55 a tree, so the ``TREES`` independent trees find it with more than 0.998; pairs above are
 likelier.  Work and rows are linear in the sets, however large a group of copies.
 
-Pairs whose sizes or token sketches (four bits a token) rule the threshold out are dropped.  The rest is
-confirmed on the full sets (48-bit hashes of the shingles), in two rounds: first for each set
-the pair with the least set and the likeliest, then every pair that the components of these
-leave apart.  So a large group costs a few comparisons a member, and no link between components is left out.
+Pairs are confirmed on the full sets (48-bit hashes of the shingles) unless their sizes or token
+sketches (four bits a token) rule the threshold out, in two rounds: first each set with the least set of its paths
+and with the one that it shares most paths with, then every pair that met and that the components of these leave
+apart.  So a large group costs a few comparisons a member, and no link between components is left out.
 
 Shuffled work is done by Spark; the Python parts are Arrow-batched maps over rows.  A frequent text is merged
 map-side (minimum id a set).  Pairs and components never leave the cluster.
@@ -174,41 +174,65 @@ def _differ(a: str, b: str) -> str:
     return " + ".join(one(i) for i in range(4))
 
 
-def candidate_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, far) of sets that met in a small node, with the number of differing token places."""
-    sketch = sets.select("x", F.struct("n", "k0", "k1", "k2", "k3").alias("s"))
+def paths(sets: DataFrame) -> DataFrame:
+    """(key, x, n, low, last): the sets of every counted path with company, its size and its least set.
+
+    Paths with more than ``SMALL`` sets are followed on, those of the last level (``last``) excepted.
+    """
     rows = stored(_descend(sets.select("x", "sig"), FIRST, True), "paths")
-    most = int(TOKENS * (1 - ((percent / 100 - SLACK) * 15 / 16 + 1 / 16)))
-    pairs = None
+    found = None
     for level in range(FIRST, LAST + 1, STEP):
         nodes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("x").alias("low")).where("n > 1")
-        live = stored(rows.join(nodes, "key"), "paths")
-        small = live.where(F.col("n") <= SMALL).join(sketch, "x").select("key", "x", "s")
-        left, right = small.alias("l"), small.alias("r")
-        met = left.join(right, F.expr("l.key = r.key and l.x < r.x")).select(
-            F.col("l.x").alias("a"), F.col("r.x").alias("b"), F.col("l.s").alias("p"), F.col("r.s").alias("q"))
-        large = live.where(F.col("n") > SMALL)
-        loose = large.where("x <> low").select(F.col("x").alias("a"), F.col("low").alias("b"))
-        if level + STEP > LAST:
-            w = Window.partitionBy("key").orderBy(F.xxhash64("x", "key"))
-            near = large.select(F.col("x").alias("a"), *[F.lag("x", i).over(w).alias(f"b{i}") for i in range(1, SMALL + 1)])
-            near = near.select("a", F.explode(F.array(*[f"b{i}" for i in range(1, SMALL + 1)])).alias("b"))
-            loose = loose.unionByName(near.where("b is not null"))
-        loose = (loose.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-                 .join(sketch.select(F.col("x").alias("a"), F.col("s").alias("p")), "a")
-                 .join(sketch.select(F.col("x").alias("b"), F.col("s").alias("q")), "b").select("a", "b", "p", "q"))
-        close = (met.unionByName(loose)
-                 .where(f"100 * least(p.n, q.n) >= {percent} * greatest(p.n, q.n)")
-                 .select("a", "b", F.expr(_differ("p", "q")).alias("far")).where(F.col("far") <= most))
-        close = stored(close.groupBy("a", "b").agg(F.min("far").alias("far")), "near-pairs")
-        pairs = close if pairs is None else pairs.unionByName(close)
-        if level + STEP > LAST:
-            break
-        rows = _descend(large.select("x", "key").join(sets.select("x", "sig"), "x").select("x", "sig", "key"), STEP, False)
-        rows = stored(rows, "paths")
-        if rows.isEmpty():
+        live = stored(rows.join(nodes, "key").withColumn("last", F.lit(level + STEP > LAST)), "paths")
+        found = live if found is None else found.unionByName(live)
+        large = live.where((F.col("n") > SMALL) & ~F.col("last"))
+        if large.isEmpty():
             break
-    return pairs.distinct()
+        rows = stored(_descend(large.select("x", "key").join(sets.select("x", "sig"), "x").select("x", "sig", "key"),
+                               STEP, False), "paths")
+    return found
+
+
+def star_pairs(nodes: DataFrame) -> DataFrame:
+    """Each set with the least set of its paths, and with the least set that it shares most paths with."""
+    met = nodes.where("x <> low").groupBy("x", "low").agg(F.count("*").alias("k"))
+    return (met.groupBy("x").agg(F.min("low").alias("low"), F.max_by("low", "k").alias("most"))
+            .select("x", F.explode(F.array("low", "most")).alias("y"))
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+
+
+def met_pairs(nodes: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs (a, b) that met in a path and that the groups (node, component) leave apart."""
+    of = groups.select(F.col("node").alias("x"), F.col("component").alias("c"))
+    rows = nodes.join(of, "x", "left").withColumn("c", F.coalesce("c", "x"))
+    small = rows.where(F.col("n") <= SMALL).select("key", "x", "c")
+    # a path all of whose sets are in one group has nothing to add
+    mixed = small.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
+    small = small.join(mixed, "key")
+    left, right = small.alias("l"), small.alias("r")
+    pairs = left.join(right, F.expr("l.key = r.key and l.x < r.x and l.c <> r.c")).select(
+        F.col("l.x").alias("a"), F.col("r.x").alias("b"))
+    large = rows.where(F.col("n") > SMALL)
+    lows = of.select(F.col("x").alias("low"), F.col("c").alias("low_c"))
+    to_low = large.join(lows, "low", "left").where("x <> low and c <> coalesce(low_c, low)").select(
+        F.col("x").alias("a"), F.col("low").alias("b"))
+    w = Window.partitionBy("key").orderBy(F.xxhash64("x", "key"))
+    before = [F.lag(F.struct("x", "c"), i).over(w).alias(f"b{i}") for i in range(1, SMALL + 1)]
+    near = (large.where("last").select("x", "c", *before)
+            .select("x", "c", F.explode(F.array(*[f"b{i}" for i in range(1, SMALL + 1)])).alias("y"))
+            .where("y.c <> c").select(F.col("x").alias("a"), F.col("y.x").alias("b")))
+    return (pairs.unionByName(to_low).unionByName(near)
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sizes and sketches don't rule the similarity out."""
+    most = int(TOKENS * (1 - ((percent / 100 - SLACK) * 15 / 16 + 1 / 16)))
+    sketch = sets.select("x", F.struct("n", "k0", "k1", "k2", "k3").alias("s"))
+    return (pairs.join(sketch.select(F.col("x").alias("a"), F.col("s").alias("p")), "a")
+            .join(sketch.select(F.col("x").alias("b"), F.col("s").alias("q")), "b")
+            .where(f"100 * least(p.n, q.n) >= {percent} * greatest(p.n, q.n) and {_differ('p', 'q')} <= {most}")
+            .select("a", "b"))
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -267,23 +291,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = stored(rows.where("doc is not null and x is not null").groupBy("x")
                   .agg(F.min("doc").alias("doc"), *[F.first(c).alias(c) for c in ("n", "sig", "k0", "k1", "k2", "k3")]),
                   "sets")
-    pairs = stored(candidate_pairs(sets, percent), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("x")).distinct().join(sets.select("x", "doc"), "x")
-    full = stored(_full_sets(docs, wanted, id_col, text_col, words).dropDuplicates(["x"]), "full-sets")
-    ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y"), "far"),
-                                          F.struct(F.col("b").alias("x"), F.col("a").alias("y"), "far"))).alias("e"))
-    first = (ends.groupBy("e.x").agg(F.min("e.y").alias("low"), F.min(F.struct("e.far", "e.y")).alias("best"))
-             .select("x", F.explode(F.array("low", "best.y")).alias("y"))
-             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    links = stored(confirm(first, full, percent), "links")
-    groups = stored(components(links), "groups")
-    of = groups.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    apart = (pairs.select("a", "b").join(of, "a", "left")
-             .join(of.select(F.col("a").alias("b"), F.col("ca").alias("cb")), "b", "left")
-             .where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b").join(first, ["a", "b"], "left_anti"))
-    more = confirm(apart, full, percent)
-    tree = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
-    groups = components(tree.unionByName(more))
+    nodes = stored(paths(sets), "nodes")
+
+    def links(pairs):
+        pairs = stored(likely(pairs, sets, percent), "pairs")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("x")).distinct().join(sets.select("x", "doc"), "x")
+        full = stored(_full_sets(docs, wanted, id_col, text_col, words).dropDuplicates(["x"]), "full-sets")
+        return stored(confirm(pairs, full, percent), "links")
+
+    groups = stored(components(links(star_pairs(nodes))), "groups")
+    tree = groups.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    groups = components(tree.unionByName(links(met_pairs(nodes, groups))))
     least = (sets.select("x", "doc").join(groups, F.col("x") == F.col("node"), "left")
              .select("x", "doc", F.coalesce("component", "x").alias("c")))
     low = least.groupBy("c").agg(F.min("doc").alias("component_id"))

@@ -190,7 +190,7 @@ def test_packing_keeps_every_token_once(spark, docs, frame, empty):
 
 def test_packing_fills_a_window_with_the_seeds_neighbours():
     rng = np.random.default_rng(0)
-    topic = [np.r_[rng.integers(5000 + 1000 * k, 5200 + 1000 * k, 60), 1].astype("<u2") for k in (0, 1, 2, 3) * 6]
+    topic = [np.r_[rng.integers(5000 + 1000 * k, 5030 + 1000 * k, 60), 1].astype("<u2") for k in (0, 1, 2, 3) * 6]
     rows = [(i, x.tobytes()) for i, x in enumerate(topic)]
     window = {}
     for doc, _, _, _, seq, _, _ in packing._pack_rows(iter(rows), 61 * 6, 0):
