@@ -75,13 +75,13 @@ def test_line_dedup_exact_and_fuzzy(spark):
 
 def test_line_dedup_finds_all_exact_and_most_similar_lines(spark):
     rng = random.Random(5)
-    lines = [prose(rng, rng.randrange(3, 30)) for _ in range(40)]
+    lines = [prose(rng, rng.randrange(20, 80)) for _ in range(40)]
     rows = []
     for d in range(60):
         own = []
         for _ in range(4):
             words = rng.choice(lines).split()
-            if rng.random() < 0.3:
+            if rng.random() < 0.2:
                 words[rng.randrange(len(words))] += rng.choice("xyz")
             own.append(" ".join(words))
         rows.append((d, "\n".join(own)))
@@ -101,17 +101,17 @@ def test_line_dedup_carries_clashing_columns_and_repeated_rows(spark, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
-def test_pigeonhole_masks_cover_four_flipped_bits():
+def test_pigeonhole_masks_cover_three_flipped_bits():
     rng = random.Random(1)
     masks = line_dedup.block_masks()
     for _ in range(300):
         flips = 0
-        for b in rng.sample(range(64), 4):
+        for b in rng.sample(range(64), 3):
             flips |= 1 << b
         level = {i for i, m in enumerate(masks[0]) if not m & flips}
         assert level
         for finer in masks[1:]:
-            level = {5 * i + q for i in level for q in range(5) if not finer[5 * i + q] & flips}
+            level = {4 * i + q for i in level for q in range(4) if not finer[4 * i + q] & flips}
             assert level
 
 
