@@ -43,6 +43,7 @@ from periodlens.llm.common import stored
 MU = 20.0
 HOT_SHARE = 500
 SALTS = 32
+HOT_SAMPLE = 8                # of so many texts one is looked at for hot contexts
 START, END = 1, 2             # hashes that stand for a text's begin and end
 ABSENT = 65535
 STEP = 2048                   # codes a decade
@@ -132,14 +133,18 @@ class Trie:
         found[ok] = lo[ok]
         return found
 
+    def _place(self, level: EliasFano, values: np.ndarray) -> np.ndarray:
+        """Place of each value in a whole level, or -1; each distinct value is searched once."""
+        distinct, inverse = np.unique(values, return_inverse=True)
+        zero = np.zeros(len(distinct), np.int64)
+        return self._find(level, zero, zero + level.n, distinct)[inverse]
+
     def lookup(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
         """Code of each bigram, ABSENT where it has none."""
         out = np.full(len(v), ABSENT, np.uint16)
         if not self.contexts.n:
             return out
-        zero = np.zeros(len(v), np.int64)
-        c = self._find(self.contexts, zero, zero + self.contexts.n, v)
-        r = self._find(self.words, zero, zero + self.words.n, w)
+        c, r = self._place(self.contexts, v), self._place(self.words, w)
         ask = np.flatnonzero((c >= 0) & (r >= 0))
         lo, hi = self.pointers[c[ask]].astype(np.int64), self.pointers[c[ask] + 1].astype(np.int64)
         value = c[ask].astype(np.uint64) * _U(self.words.n) + r[ask].astype(np.uint64)
@@ -189,7 +194,7 @@ def _by_share(batches) -> Iterator[tuple[int, list[tuple]]]:
         yield share, [r[1:] for r in group]
 
 
-def _send_texts(shares: int):
+def _send_texts(blocks: int):
     """Texts by block: rows (row number in the message, fold, text)."""
     def run(batches):
         for b in batches:
@@ -198,7 +203,7 @@ def _send_texts(shares: int):
                 ids = part.column(0).to_pylist()
                 texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
                 held = np.array(part.column(2).to_pylist(), np.uint8)
-                block = np.array([xxhash.xxh64_intdigest(t, (i or 0) & 0xFFFFFFFF) % shares for i, t in zip(ids, texts)])
+                block = np.array([xxhash.xxh64_intdigest(t, (i or 0) & 0xFFFFFFFF) % blocks for i, t in zip(ids, texts)])
                 order, out = np.argsort(block, kind="stable"), []
                 for s, e in _cuts(block[order]):
                     mine = order[s:e]
@@ -206,7 +211,7 @@ def _send_texts(shares: int):
                     out.append((int(block[mine[0]]), 2, 0, _pack(
                         np.array([ids[i] or 0 for i in mine], "<i8"), known, held[mine],
                         np.array([len(texts[i]) for i in mine], "<i8"),
-                        np.frombuffer(b"".join(texts[i] for i in mine), np.uint8), level=6)))
+                        np.frombuffer(b"".join(texts[i] for i in mine), np.uint8), level=3)))
                 yield _batch(out)
     return run
 
@@ -266,16 +271,17 @@ class Block:
         for s, e in _cuts(self.word_share):
             yield int(self.word_share[s]), 0, block, _pack(
                 _planes(np.diff(self.words[s:e], prepend=_U(0)), 8), _planes(self.word_counts[s:e], 4))
-        by_share: dict[int, list] = {}
-        for i in self.hot:                            # every shard of a hot context hears its count
-            for salt in range(SALTS):
-                h = mix(self.words[i:i + 1] + _SALTED[salt])[0]
-                by_share.setdefault(int((h >> _U(32)) * _U(self.shares) >> _U(32)), []).append(i)
+        # every shard of a hot context hears its count
+        h = mix((self.words[self.hot][:, None] + _SALTED).ravel())
+        to = ((h >> _U(32)) * _U(self.shares) >> _U(32)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        heard = np.repeat(self.hot, SALTS)[order]
+        by_share = {int(to[order[s]]): np.unique(heard[s:e]) for s, e in _cuts(to[order])}
         spans = {int(self.pair_share[s]): (s, e) for s, e in _cuts(self.pair_share)}
         for share in sorted(spans.keys() | by_share.keys()):
             s, e = spans.get(share, (0, 0))
             contexts, runs = np.unique(self.v[s:e], return_counts=True)
-            extra = np.setdiff1d(np.unique(by_share.get(share, [])).astype(np.int64), contexts)
+            extra = np.setdiff1d(by_share.get(share, np.zeros(0, np.int64)), contexts)
             both = np.concatenate((contexts, extra))
             yield share, 1, block, _pack(
                 _planes(np.diff(self.words[contexts] & _ID, prepend=_U(0)), 8), _planes(self.words[extra] & _ID, 5),
@@ -341,9 +347,12 @@ def _answer_pairs(share: int, pairs) -> Iterator[pa.RecordBatch]:
     os.close(fd)
     try:
         trie = Trie(path, Trie.write(path, kv, kw, codes))
+        # each distinct bigram is looked up once, for all blocks that ask for it
+        answer = np.empty(len(v), np.uint16)
+        answer[order] = np.repeat(trie.lookup(vo[first], wo[first]), np.diff(np.concatenate((first, [len(vo)]))))
         at, out = 0, []
         for (peer, _), size in zip(pairs, sizes):
-            out.append((peer, 1, share, _pack(trie.lookup(v[at:at + size], w[at:at + size]))))
+            out.append((peer, 1, share, _pack(answer[at:at + size])))
             at += size
         del trie
     finally:
@@ -388,7 +397,10 @@ def _score(shares: int, hot: np.ndarray, n_train: int, v_train: int, id_col: str
 
 
 def hot_words(docs: DataFrame, text_col: str) -> np.ndarray:
-    """Mixed hashes of the contexts with at least a share of 1 / HOT_SHARE of all words."""
+    """Mixed hashes of the contexts with at least a share of 1 / HOT_SHARE of all words.
+
+    They only decide which shard a bigram goes to, never a count, so a hash sample of the texts serves.
+    """
     def run(batches):
         seen, total = Counter(), 0
         for b in batches:
@@ -402,7 +414,8 @@ def hot_words(docs: DataFrame, text_col: str) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in keep], pa.binary()),
                                           pa.array([n for _, n in keep], pa.int64())], names=["w", "n"])
 
-    rows = docs.select(text_col).mapInArrow(run, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    rows = docs.where(F.pmod(F.xxhash64(text_col), F.lit(HOT_SAMPLE)) == 0).select(text_col)
+    rows = rows.mapInArrow(run, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n"))
     total = rows.where(F.col("w") == F.lit(b" ")).first()
     if total is None:
         return np.zeros(0, np.uint64)
@@ -416,7 +429,7 @@ def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
     """id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shares = 4 * parts
+    blocks, shares = 2 * parts, parts
     rows = docs.select(docs[id_col].cast("long").alias("i"), docs[text_col].alias("t"),
                        F.coalesce(held_out, F.lit(False)).cast("int").alias("h"))
     hot = hot_words(rows, "t")
@@ -424,7 +437,7 @@ def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
     def dealt(df):
         return df.repartition(parts, "share").sortWithinPartitions("share", "kind", "peer")
 
-    texts = rows.mapInArrow(_send_texts(shares), _SCHEMA)
+    texts = rows.mapInArrow(_send_texts(blocks), _SCHEMA)
     counts = dealt(texts).mapInArrow(_send_counts(shares, hot), _SCHEMA)
     answers = stored(dealt(counts).mapInArrow(_answer, _SCHEMA), "answers")
     stats = [np.frombuffer(r["raw"], "<i8") for r in answers.where("kind = 3").select("raw").collect()]
