@@ -74,7 +74,7 @@ def op9_near_dedup(spark, sf_dir):
 
 def op10_suffix_dedup(spark, sf_dir):
     """Bytes of every document that a 50-byte string of a document with a smaller id covers, removed."""
-    return (radix_windows.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return (radix_windows.remove_repeats(read_table(spark, sf_dir, "documents"), with_text=False)
             .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
 
 

@@ -18,7 +18,8 @@ of an anchor are consecutive (15 on average), so they travel as one run of bytes
 4. each block marks its documents' bytes: all windows of a run if the run's least document is smaller, else
    the marked ones.
 
-Blocks and buckets are hash shares of the data (four times as many as shuffle partitions), held one at a time.  A
+Blocks and buckets are hash shares of the data (two and one for each shuffle partition), held one at a time.
+A block sends one row to a bucket, so messages are as many as the pieces of a shuffle.  A
 passage in a third of all documents is one run a block, so its bucket gets at most one a block.  Documents, runs
 and hashes travel zstd-packed.  Nothing is collected, sampled or stored; each step is a map between two shuffles.
 
@@ -41,8 +42,8 @@ from periodlens.llm.chosen_path import mix
 
 LENGTH = 50
 GRAM = 20
-SEGMENT = 1 << 20             # bytes that are scanned at once; at most 2**24
-HELD = 1 << 19                # anchors that step 1 holds before it sends them
+SEGMENT = 1 << 19             # bytes that are scanned at once; at most 2**24
+HELD = 1 << 18                # anchors that step 1 holds before it sends them
 SUBS = 16                     # parts of a bucket that are sorted one after the other
 _PLACE = np.uint64((1 << 24) - 1)
 _C = np.uint64(0x9E3779B97F4A7C15)
@@ -155,14 +156,14 @@ _SCHEMA = "share int, kind int, raw binary"
 
 def _texts(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, list[bytes]]]:
     """Ids and texts of some rows with an id and a text that has a window."""
-    for at in range(0, b.num_rows, 2000):
-        part = b.slice(at, 2000)
+    for at in range(0, b.num_rows, 1000):
+        part = b.slice(at, 1000)
         keep = [(d, t) for d, t in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist())
                 if d is not None and t and len(t) >= LENGTH]
         yield np.array([d for d, _ in keep], np.int64), [t for _, t in keep]
 
 
-def _send_grams(shares: int):
+def _send_grams(blocks: int, buckets: int):
     """Step 1, map: anchors' grams by bucket, each with a hash of its document."""
     def flush(grams, docs):
         g, d = np.concatenate(grams), np.concatenate(docs)
@@ -175,13 +176,13 @@ def _send_grams(shares: int):
         first = np.flatnonzero(begin)
         size = np.diff(np.concatenate((first, [len(g)])))
         keep = np.ones(len(g), bool)
-        for f, n in zip(first[size > 2 * shares], size[size > 2 * shares]):
-            block = d[f:f + n] % shares
+        for f, n in zip(first[size > 2 * blocks], size[size > 2 * blocks]):
+            block = d[f:f + n] % blocks
             o = np.argsort(block, kind="stable")
             third = np.concatenate(([False] * 2, block[o][2:] == block[o][:-2]))
             keep[f:f + n][o[third]] = False
         g, d = g[keep], d[keep]
-        return _rows([(k, 0, _pack_grams(g[s], d[s])) for k, s in _slices(_share(g, shares))], _OUT)
+        return _rows([(k, 0, _pack_grams(g[s], d[s])) for k, s in _slices(_share(g, buckets))], _OUT)
 
     def run(batches):
         grams, docs, held = [], [], 0
@@ -209,7 +210,7 @@ def _by_share(batches) -> Iterator[tuple[int, Iterator[tuple[int, bytes]]]]:
         yield share, ((k, r) for _, k, r in group)
 
 
-def _repeated_grams(shares: int):
+def _repeated_grams(blocks: int):
     """Step 1, reduce: grams of at least two documents, by the blocks that hold them."""
     def run(batches):
         for _, rows in _by_share(batches):
@@ -220,18 +221,18 @@ def _repeated_grams(shares: int):
             first = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
             last = np.concatenate((first[1:], [len(g)])) - 1
             keep = np.repeat(d[first] != d[last], last - first + 1)
-            g, block = g[keep], (d[keep] % shares).astype(np.int64)
+            g, block = g[keep], (d[keep] % blocks).astype(np.int64)
             order = np.lexsort((g, block))
             yield _rows([(k, 0, _pack_grams(g[order][s])) for k, s in _slices(block[order])], _OUT)
     return run
 
 
-def _send_texts(shares: int):
+def _send_texts(blocks: int):
     """Texts by block, packed."""
     def run(batches):
         for b in batches:
             for ids, texts in _texts(b):
-                block = (_doc_hash(ids) % shares).astype(np.int64)
+                block = (_doc_hash(ids) % blocks).astype(np.int64)
                 order = np.argsort(block, kind="stable")
                 out = []
                 for k, s in _slices(block[order]):
@@ -269,7 +270,7 @@ def _stretch_hash(buf: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.n
     power, inverse = _powers()
     with np.errstate(over="ignore"):
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_TABLE[buf] * power[:len(buf)], dtype=np.uint64)))
-        return mix((sums[start + count + LENGTH - 1] - sums[start]) * inverse[start] + mix(count.astype(np.uint64)))
+        return mix((sums[start + count + (LENGTH - 1)] - sums[start]) * inverse[start] + mix(count.astype(np.uint64)))
 
 
 def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -277,7 +278,7 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
 
 
-def _send_runs(shares: int):
+def _send_runs(buckets: int):
     """Step 2: the distinct runs of a block whose gram is repeated, by bucket."""
     def run(batches):
         for block, rows in _by_share(batches):
@@ -318,7 +319,7 @@ def _send_runs(shares: int):
             first = order[new]
             many = np.maximum.reduceat(high[order], np.flatnonzero(new)) > low[first]
             out = []
-            for k, s in _slices(_share(g[first], shares)):
+            for k, s in _slices(_share(g[first], buckets)):
                 f = first[s]
                 f_sub = (g[f] % _U(SUBS)).astype(np.uint8)
                 by_sub = np.argsort(f_sub, kind="stable")
@@ -399,7 +400,7 @@ def _mark_part(got: list[tuple]) -> tuple[np.ndarray, ...]:
     return block[keep], key[keep], mask[keep], low[keep]
 
 
-def _cut(id_col: str):
+def _cut(id_col: str, with_text: bool):
     """Step 4: the ranges of bytes to remove of a block's texts."""
     def run(batches):
         for _, rows in _by_share(batches):
@@ -433,12 +434,15 @@ def _cut(id_col: str):
                                 w = start[on[s]] + bit - begin + offset
                                 np.add.at(gone[i], w, 1)
                                 np.add.at(gone[i], w + LENGTH, -1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), *_report(texts, gone)], names=[id_col, "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids), *_report(texts, gone, with_text)], names=_names(id_col, with_text))
     return run
 
 
-def _report(texts: list[bytes], gone: list[np.ndarray | None]) -> list[pa.Array]:
+def _names(id_col: str, with_text: bool) -> list[str]:
+    return [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else [])]
+
+
+def _report(texts: list[bytes], gone: list[np.ndarray | None], with_text: bool) -> list[pa.Array]:
     n, removed, spans, kept = [], [], [], []
     for t, g in zip(texts, gone):
         n.append(len(t))
@@ -450,34 +454,35 @@ def _report(texts: list[bytes], gone: list[np.ndarray | None]) -> list[pa.Array]
         spans.append(int((off & ~np.concatenate(([False], off[:-1]))).sum()))
         kept.append(np.frombuffer(t, np.uint8)[~off].tobytes() if removed[-1] else t)
     return [pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
-            pa.array(kept, pa.binary()), pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())]
+            pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
+            *([pa.array(kept, pa.binary())] if with_text else [])]
 
 
-def _untouched():
+def _untouched(with_text: bool):
     """Rows that have no window or no id."""
     def run(batches):
         for b in batches:
             rows = [(d, t or b"") for d, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist())
                     if d is None or not t or len(t) < LENGTH]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([d for d, _ in rows], pa.int64()), *_report([t for _, t in rows], [None] * len(rows))],
-                names=[b.schema.names[0], "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
+                [pa.array([d for d, _ in rows], pa.int64()), *_report([t for _, t in rows], [None] * len(rows), with_text)],
+                names=_names(b.schema.names[0], with_text))
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_bytes, n_removed, n_spans, kept (the bytes that stay) and kept_sha256 of every row."""
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
+    """id, n_bytes, n_removed, n_spans, kept_sha256 and (``with_text``) kept, the bytes that stay, of every row."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shares = 4 * parts
+    blocks, buckets = 2 * parts, parts
     rows = docs.selectExpr(f"cast(`{id_col}` as bigint) as `{id_col}`", f"`{text_col}`")
-    schema = f"`{id_col}` long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
+    schema = f"`{id_col}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
 
     def dealt(df):
         return df.repartition(parts, "share").sortWithinPartitions("share", "kind")
 
-    grams = dealt(rows.mapInArrow(_send_grams(shares), _SCHEMA)).mapInArrow(_repeated_grams(shares), _SCHEMA)
-    texts = rows.mapInArrow(_send_texts(shares), _SCHEMA)
-    runs = dealt(grams.unionByName(texts)).mapInArrow(_send_runs(shares), _SCHEMA)
+    grams = dealt(rows.mapInArrow(_send_grams(blocks, buckets), _SCHEMA)).mapInArrow(_repeated_grams(blocks), _SCHEMA)
+    texts = rows.mapInArrow(_send_texts(blocks), _SCHEMA)
+    runs = dealt(grams.unionByName(texts)).mapInArrow(_send_runs(buckets), _SCHEMA)
     marks = dealt(runs).mapInArrow(_mark(), _SCHEMA)
-    cut = dealt(marks.unionByName(texts)).mapInArrow(_cut(id_col), schema)
-    return cut.unionByName(rows.mapInArrow(_untouched(), schema))
+    cut = dealt(marks.unionByName(texts)).mapInArrow(_cut(id_col, with_text), schema)
+    return cut.unionByName(rows.mapInArrow(_untouched(with_text), schema))
