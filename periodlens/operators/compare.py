@@ -15,9 +15,8 @@ from periodlens.functions.common import as_col
 from periodlens.functions.periods import pct_change
 from periodlens.functions.text import clean_category
 from periodlens.functions.values import MISSING_MARKERS, REDACTED, count_value
-from periodlens.operators.joins import bounded_broadcast
-from periodlens.operators.position import with_position
-from periodlens.session import materialize
+from periodlens.operators.order import domain_rank
+from periodlens.operators.position import down, up, with_position
 
 # --- fixed values -----------------------------------------------------------
 TOTAL = "TOTAL"
@@ -76,42 +75,46 @@ def _line(df: DataFrame, line: str | None, text) -> Column:
     return F.col(line) if line and line in df.columns else as_col(text)
 
 
-def first_in_order(value: Column, order: Column, flag: Column | None = None) -> Column:
-    """Aggregate: first non-null ``value`` in ``order`` (optionally among rows where ``flag``)."""
-    keep = value.isNotNull() if flag is None else (flag & value.isNotNull())
-    return F.min_by(value, F.when(keep, order))
-
-
 def name_map(df: DataFrame, code, text, before: Column, after: Column,
              line: str = "line_no", clean_before: bool = False) -> DataFrame:
     """Code → display name (J7): first name of the newer period, else the older one, else the code."""
     code_c = as_col(code)
     old_text = clean_category(text, text if isinstance(text, str) else None) if clean_before else as_col(text)
-    agg = (df.where(before | after).where(code_c.isNotNull())
-           .groupBy(code_c.alias("code"))
-           .agg(first_in_order(as_col(text), _line(df, line, text), after).alias("__new"),
-                first_in_order(old_text, _line(df, line, text), before).alias("__old")))
+    line_c = _line(df, line, text)
+    rows = (df.where(before | after).where(code_c.isNotNull())
+            .select(code_c.alias("code"), as_col(text).alias("__t"), old_text.alias("__o"),
+                    F.when(after, line_c).alias("__a"), F.when(before, line_c).alias("__b")))
+    # hash-aggregate to the least line of each (code, text), then pick the first on that small table
+    least = rows.groupBy("code", "__t", "__o").agg(F.min("__a").alias("__a"), F.min("__b").alias("__b"))
+    agg = least.groupBy("code").agg(_first("__t", "__a").alias("__new"), _first("__o", "__b").alias("__old"))
     return agg.select("code", name_precedence(F.col("__new"), F.col("__old"), F.col("code")).alias("name"))
 
 
+def _first(text: str, order: str) -> Column:
+    """Aggregate: the non-null text of the least order."""
+    return F.min_by(F.col(text), F.when(F.col(text).isNotNull(), F.col(order)))
+
+
 def name_by_preference(df: DataFrame, code, text, period: str, preferred, order=None,
                        line: str = "line_no") -> DataFrame:
     """Code → description where one period is preferred (J7 variant): the preferred period's
     first description when it has one, otherwise the first description of the earliest period
     in ``order`` (default: ascending period value).  Output: code, name (null when none).
 
-    One ``min_by`` over (not preferred, period rank, line order): a partial aggregate.
+    Rows are hash-aggregated to the least line of each (code, text, period) first.
     """
     code_c, text_c = as_col(code), as_col(text)
+    least = (df.where(code_c.isNotNull())
+             .groupBy(code_c.alias("code"), text_c.alias("__t"), F.col(period).alias("__p"))
+             .agg(F.min(_line(df, line, text)).alias("__l")))
     if order is not None:
         ranks = F.create_map(*[x for i, p in enumerate(order) for x in (F.lit(p), F.lit(i))])
-        period_key = F.coalesce(ranks[F.col(period)], F.lit(len(order)))
+        period_key = F.coalesce(ranks[F.col("__p")], F.lit(len(order)))
     else:
-        period_key = F.col(period)
-    ordering = F.struct(F.when(F.col(period) == F.lit(preferred), F.lit(0)).otherwise(F.lit(1)).alias("p"),
-                        period_key.alias("k"), _line(df, line, text).alias("l"))
-    return (df.where(code_c.isNotNull()).groupBy(code_c.alias("code"))
-            .agg(F.min_by(text_c, F.when(text_c.isNotNull(), ordering)).alias("name")))
+        period_key = F.col("__p")
+    ordering = F.struct(F.when(F.col("__p") == F.lit(preferred), F.lit(0)).otherwise(F.lit(1)).alias("p"),
+                        period_key.alias("k"), F.col("__l").alias("l"))
+    return least.groupBy("code").agg(F.min_by(F.col("__t"), F.when(F.col("__t").isNotNull(), ordering)).alias("name"))
 
 
 def comparison_table(df: DataFrame, code, before: Column, after: Column, *,
@@ -141,14 +144,35 @@ def comparison_table(df: DataFrame, code, before: Column, after: Column, *,
                        (clean_category(text, text) if clean_names else as_col(text)).alias("__t_old"),
                        _line(df, line, text).alias("__line")] if text is not None else []))
             .where(F.col("code").isNotNull()))
-    frac = _fractional(policy)
-    aggs = [_side_total(F.col("__b"), F.col("__v"), frac).alias("before"),
-            _side_total(F.col("__a"), F.col("__v"), frac).alias("after")]
-    if text is not None:
-        aggs += [first_in_order(F.col("__t_new"), F.col("__line"), F.col("__a")).alias("__new"),
-                 first_in_order(F.col("__t_old"), F.col("__line"), F.col("__b")).alias("__old")]
-    per_code = rows.groupBy("code").agg(*aggs)
-    return _finish_comparison(per_code, text is not None, order, domain)
+    texts = ["__t_new", "__t_old"] if text is not None else []
+    return _finish_comparison(_sum_codes(_partials(rows, ["code", *texts]), bool(texts), policy),
+                              text is not None, order, domain)
+
+
+def _partials(rows: DataFrame, keys) -> DataFrame:
+    """Sums per side, and the least line per side, of each key: a hash aggregation (no text is compared)."""
+    aggs = [F.sum(F.when(F.col("__b"), F.col("__v"))).alias("__sb"),
+            F.sum(F.when(F.col("__a"), F.col("__v"))).alias("__sa")]
+    if "__line" in rows.columns:
+        aggs += [F.min(F.when(F.col("__a"), F.col("__line"))).alias("__la"),
+                 F.min(F.when(F.col("__b"), F.col("__line"))).alias("__lb")]
+    if "__hit" in rows.columns:
+        aggs.append(F.max("__hit").alias("__hit"))
+    return rows.groupBy(*keys).agg(*aggs)
+
+
+def _sum_codes(partial: DataFrame, has_text: bool, policy: str) -> DataFrame:
+    """One row per code from its partials: both sides' totals and first names."""
+    def side(c):
+        t = F.sum(c)
+        if _fractional(policy):
+            t = F.bround(t, 0)
+        return F.coalesce(t, F.lit(0)).cast("bigint")
+
+    final = [side("__sb").alias("before"), side("__sa").alias("after")]
+    if has_text:
+        final += [_first("__t_new", "__la").alias("__new"), _first("__t_old", "__lb").alias("__old")]
+    return partial.groupBy("code").agg(*final)
 
 
 def _per_code_excluding(df, code, before, after, measure, policy, text, clean_names, line, exclude):
@@ -166,30 +190,10 @@ def _per_code_excluding(df, code, before, after, measure, policy, text, clean_na
                  _line(df, line, text).alias("__line")]
     rows = df.where(before | after).select(*cols)
     # (group, code) partials over every row, null codes included, so a group's flag sees all rows
-    aggs = [F.sum(F.when(F.col("__b"), F.col("__v"))).alias("__sb"),
-            F.sum(F.when(F.col("__a"), F.col("__v"))).alias("__sa"),
-            F.max(F.col("__hit")).alias("__hit")]
-    if text is not None:
-        new_line = F.when(F.col("__a") & F.col("__t_new").isNotNull(), F.col("__line"))
-        old_line = F.when(F.col("__b") & F.col("__t_old").isNotNull(), F.col("__line"))
-        aggs += [F.min_by(F.col("__t_new"), new_line).alias("__pn"), F.min(new_line).alias("__pnl"),
-                 F.min_by(F.col("__t_old"), old_line).alias("__po"), F.min(old_line).alias("__pol")]
-    partial = rows.groupBy("__g", "code").agg(*aggs)
+    partial = _partials(rows, ["__g", "code", *(["__t_new", "__t_old"] if text is not None else [])])
     flagged = partial.where(F.col("__hit") & F.col("__g").isNotNull()).select("__g").distinct()
     kept = partial.join(flagged, on="__g", how="left_anti").where(F.col("code").isNotNull())
-    frac = _fractional(policy)
-
-    def side(c):
-        t = F.sum(c)
-        if frac:
-            t = F.bround(t, 0)
-        return F.coalesce(t, F.lit(0)).cast("bigint")
-
-    final = [side(F.col("__sb")).alias("before"), side(F.col("__sa")).alias("after")]
-    if text is not None:
-        final += [F.min_by(F.col("__pn"), F.col("__pnl")).alias("__new"),
-                  F.min_by(F.col("__po"), F.col("__pol")).alias("__old")]
-    return kept.groupBy("code").agg(*final)
+    return _sum_codes(kept, text is not None, policy)
 
 
 def _finish_comparison(per_code: DataFrame, has_text: bool, order: str, domain) -> DataFrame:
@@ -218,20 +222,19 @@ def _finish_comparison(per_code: DataFrame, has_text: bool, order: str, domain)
     table = table.withColumn("__special", F.when(is_total, 2).when(is_redacted, 1).otherwise(0))
     if order == "domain":
         labels = list(domain or [])
-        rank_map = F.create_map(*[x for i, lab in enumerate(labels) for x in (F.lit(lab), F.lit(i))])
-        table = table.withColumn("__dom", F.coalesce(rank_map[F.col("category")], F.lit(999)))
+        table = table.withColumn("__dom", domain_rank("category", labels))
         keys = [F.col("__special") == 2, "__dom", F.col("__special") == 1, "code"]
         table = table.withColumn("__k0", keys[0]).withColumn("__k2", keys[2])
         ranked = with_position(table, ["__k0", "__dom", "__k2", "code"], "rank")
         ranked = ranked.drop("__dom", "__k0", "__k2")
     else:
-        ranked = with_position(table, ["__special", F.desc("after"), "code"], "rank")
+        ranked = with_position(table, ["__special", down("after"), "code"], "rank")
     return ranked.select("rank", "code", "category", "before", "after", "change", "pct_change")
 
 
 def compare_left(status: DataFrame, datecode: str, current: str, prior: str,
                  metrics=("EMPCOUNT", "AVGSAL", "AVGLOS"), count_metric: str = "EMPCOUNT",
-                 line: str | None = None, max_prior_rows: int = 100_000, how: str = "left") -> DataFrame:
+                 line: str | None = None, how: str = "left") -> DataFrame:
     """Current-period rows matched to prior-period rows on every non-metric column.
 
     ``how='left'``: prior-only rows are dropped (dashboard behaviour); ``how='full'`` keeps them
@@ -240,18 +243,14 @@ def compare_left(status: DataFrame, datecode: str, current: str, prior: str,
     """
     metrics = [m for m in metrics if m in status.columns]
     keys = [c for c in status.columns if c not in (datecode, line, *metrics)]
-    # The two periods' rows are computed once (the status table may itself be an aggregate
-    # over a large snapshot store) and both sides are read from the written table.
-    both = materialize(status.where(F.col(datecode).isin(current, prior)), "status")
-    cur = both.where(F.col(datecode) == current)
-    pri = both.where(F.col(datecode) == prior)
+    cur = status.where(F.col(datecode) == current)
+    pri = status.where(F.col(datecode) == prior)
     cnt = lambda c: F.coalesce(F.col(c).try_cast("bigint"), F.lit(0)).cast("bigint")
     if line is not None:
         pri = pri.groupBy(*keys).agg(F.max_by(cnt(count_metric), F.col(line)).alias("prior_count"))
     else:
         pri = pri.groupBy(*keys).agg(F.max(cnt(count_metric)).alias("prior_count"))
-    pri = bounded_broadcast(pri.select([F.col(k).alias(f"__p_{k}") for k in keys] + ["prior_count"]),
-                            max_prior_rows, derived=True)
+    pri = pri.select([F.col(k).alias(f"__p_{k}") for k in keys] + ["prior_count"])
     cond = None
     for k in keys:
         e = F.col(k).eqNullSafe(F.col(f"__p_{k}"))
@@ -264,7 +263,7 @@ def compare_left(status: DataFrame, datecode: str, current: str, prior: str,
            .withColumn("prior_count", F.coalesce(F.col("prior_count"), F.lit(0)).cast("bigint"))
            .withColumn("change", F.col("current_count") - F.col("prior_count"))
            .withColumn("pct_change", pct_change("prior_count", "current_count")))
-    order = [F.desc("current_count")] + [F.asc_nulls_first(k) for k in keys]
+    order = [down("current_count")] + [up(k) for k in keys]
     out = with_position(out, order, "rank")
     return out.drop(*([line] if line else []))
 

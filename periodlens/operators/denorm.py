@@ -1,9 +1,8 @@
 """Star denormalisation: fact ⟕ many code tables (J1), with per-period keep-first lookups.
 
-Each dimension is declared once (key columns, carried columns, size bound).  Lookups are
+Each dimension is declared once (key columns, carried columns).  Lookups are
 trimmed and reduced to one row per key before the join, so the output row count always
-equals the fact row count.  A dimension is broadcast only after its row count is checked
-against its bound; a larger one is joined by shuffle.
+equals the fact row count.  The join strategy is left to Catalyst's size estimates and AQE.
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from periodlens.functions.text import trim_all
-from periodlens.operators.joins import bounded_broadcast
 from periodlens.operators.profile import keep_first
 
 
@@ -26,7 +24,6 @@ class Dim:
     carry: dimension columns added to the fact (renamed via ``rename``).
     unique: the dimension key is known unique, skip the keep-first pass.
     order: column giving file order for keep-first (required unless ``unique``).
-    max_rows: broadcast bound; above it the join shuffles.
     """
     name: str
     df: DataFrame
@@ -37,7 +34,6 @@ class Dim:
     unique: bool = False
     order: str | None = None
     trim_keys: bool = True
-    max_rows: int = 1_000_000
 
 
 def prepare_dim(dim: Dim) -> DataFrame:
@@ -52,9 +48,8 @@ def prepare_dim(dim: Dim) -> DataFrame:
             raise ValueError(f"dimension {dim.name}: keep-first needs an order column")
         d = keep_first(d, list(dim.dim_keys), dim.order)
     d = d.select(*dim.dim_keys, *dim.carry)
-    d = d.select(*[F.col(k).alias(f"__{dim.name}_{k}") for k in dim.dim_keys],
-                 *[F.col(c).alias(dim.rename.get(c, c)) for c in dim.carry])
-    return bounded_broadcast(d, dim.max_rows)
+    return d.select(*[F.col(k).alias(f"__{dim.name}_{k}") for k in dim.dim_keys],
+                    *[F.col(c).alias(dim.rename.get(c, c)) for c in dim.carry])
 
 
 def denormalize(fact: DataFrame, dims) -> DataFrame:

@@ -1,9 +1,7 @@
-"""Join building blocks: size-checked broadcast, group exclusion/keeping, enrichment.
+"""Join building blocks: group exclusion/keeping and enrichment.
 
-Broadcasting is only requested for a side whose row count has been checked against
-an explicit bound; an unchecked or oversized side is left to the planner (sort-merge,
-or an AQE runtime switch), so nothing that grows with the data is ever forced into
-executor memory.
+No side is hinted: Catalyst broadcasts a side whose size in bytes is below its threshold, and AQE
+switches at run time when a side turns out small.
 """
 
 from __future__ import annotations
@@ -11,68 +9,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from periodlens.session import materialize
 
-
-_CHECKED: dict = {}
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``offset(max_rows).isEmpty()`` is executed as an incremental take: partitions are scanned
-    only until row ``max_rows + 1`` is seen (on a large table, usually one split), no columns
-    are read, and a single row at most reaches the driver.
-
-    The answer is remembered per (plan, bound) for the life of the process, so a dimension
-    used by many queries is checked once; plans over other files or filters are new plans.
-    """
-    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    hit = _CHECKED.get(key)
-    if hit is None:
-        hit = df.offset(max_rows).isEmpty()
-        _CHECKED[key] = hit
-    return hit
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int, derived: bool = False) -> DataFrame:
-    """Mark ``df`` for broadcast only if its row count is proven ≤ ``max_rows``.
-
-    ``derived=True`` is for a side computed from the data (e.g. a list of flagged groups): it is
-    written once to the checkpoint folder, counted there, and joined from there, so the source
-    is not scanned a second time.  Above the bound the side is joined by shuffle.
-    """
-    if derived:
-        df, rows = materialize(df, "side", with_count=True)
-        return F.broadcast(df) if rows <= max_rows else df
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
-def exclude_groups(df: DataFrame, groups: DataFrame, keys, max_rows: int = 100_000) -> DataFrame:
+def exclude_groups(df: DataFrame, groups: DataFrame, keys) -> DataFrame:
     """Rows of ``df`` whose key is not among ``groups`` (left anti join).
 
     Unlike ``~isin`` a null key is kept, since it matches no excluded group.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    g = bounded_broadcast(groups.select(*keys).distinct(), max_rows, derived=True)
-    return df.join(g, on=keys, how="left_anti")
+    return df.join(groups.select(*keys).distinct(), on=keys, how="left_anti")
 
 
-def keep_groups(df: DataFrame, groups: DataFrame, keys, max_rows: int = 100_000) -> DataFrame:
+def keep_groups(df: DataFrame, groups: DataFrame, keys) -> DataFrame:
     """Rows of ``df`` whose key is among ``groups`` (left semi join)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    g = bounded_broadcast(groups.select(*keys).distinct(), max_rows, derived=True)
-    return df.join(g, on=keys, how="left_semi")
+    return df.join(groups.select(*keys).distinct(), on=keys, how="left_semi")
 
 
 def enrich_coalesce(df: DataFrame, descriptions: DataFrame, key: str, value: str, out: str,
-                    fallback: str, max_rows: int = 100_000) -> DataFrame:
+                    fallback: str) -> DataFrame:
     """Left join a code → full description table and keep ``coalesce(full, fallback)``.
 
     ``descriptions`` is reduced to one row per code first (smallest description), so the
     join never multiplies rows.
     """
     d = descriptions.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias("__full"))
-    d = bounded_broadcast(d, max_rows, derived=True)
     return df.join(d, on=key, how="left").withColumn(
         out, F.coalesce(F.col("__full"), F.col(fallback))).drop("__full")

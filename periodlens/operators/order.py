@@ -10,11 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from periodlens.functions.common import as_col
-from periodlens.operators.position import with_position
+from periodlens.operators.position import down, up, with_position
 
 # --- fixed values -----------------------------------------------------------
-# Rank for labels outside a domain list.
-UNKNOWN_RANK = 999
 # Age band order (plus the two special labels, in order).
 AGE_ORDER = ("Less than 20", "20-24", "25-29", "30-34", "35-39", "40-44", "45-49",
              "50-54", "55-59", "60-64", "65 or more", "Unspecified", "REDACTED")
@@ -52,9 +50,12 @@ NUMERIC_NOISE = r"[,+%]"
 
 
 def domain_rank(c, labels) -> Column:
-    """Position of the label in ``labels`` (0-based), ``UNKNOWN_RANK`` when absent."""
+    """Position of the label in ``labels`` (0-based), the number of labels when absent."""
+    labels = list(labels)
+    if not labels:
+        return F.lit(0)
     m = F.create_map(*[x for i, lab in enumerate(labels) for x in (F.lit(lab), F.lit(i))])
-    return F.coalesce(m[as_col(c)], F.lit(UNKNOWN_RANK))
+    return F.coalesce(m[as_col(c)], F.lit(len(labels)))
 
 
 def specials_rank(c, specials=("REDACTED", "TOTAL")) -> Column:
@@ -87,7 +88,7 @@ def rank_specials_last(df: DataFrame, col: str, measure: str, name: str = "rank"
                        specials=("REDACTED", "TOTAL")) -> DataFrame:
     """Measure descending, then the special labels in order (O3)."""
     d = df.withColumn("__sp", specials_rank(col, specials))
-    return with_position(d, ["__sp", F.desc(measure), col], name).drop("__sp")
+    return with_position(d, ["__sp", down(measure), col], name).drop("__sp")
 
 
 def rank_numeric_aware(df: DataFrame, col: str, descending: bool = False, tie=None,
@@ -99,16 +100,18 @@ def rank_numeric_aware(df: DataFrame, col: str, descending: bool = False, tie=No
     tie = [] if tie is None else ([tie] if isinstance(tie, str) else list(tie))
     d = df.withColumn("__num", numeric_text(col)).withColumn("__isnum", F.col("__num").isNotNull())
     if descending:
-        keys = [F.desc("__isnum"), F.desc_nulls_last("__num"), F.desc_nulls_last(col)]
+        keys = [down("__isnum"), down("__num"), down(col)]
     else:
-        keys = [F.desc("__isnum"), F.asc_nulls_last("__num"), F.asc_nulls_last(col)]
+        keys = [down("__isnum"), up("__num", nulls_last=True), up(col, nulls_last=True)]
     return with_position(d, keys + tie, name).drop("__num", "__isnum")
 
 
 def sample_rows(df: DataFrame, n: int, seed: int, keys) -> DataFrame:
     """A repeatable pseudo-random sample of ``n`` rows: the smallest hashes of ``keys``.
 
-    A distributed top-k on a seeded hash; the same input always gives the same rows.
+    A distributed top-k on the MD5 of the keys and the seed, which other engines spell the same way;
+    the same input always gives the same rows.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.orderBy(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), *keys).limit(n)
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    return df.orderBy(F.md5(text), *keys).limit(n)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from periodlens.functions.periods import pct_change, period_label, period_sort_key
 from periodlens.functions.text import NONPERMANENT
 from periodlens.functions.values import count_sum, count_value
-from periodlens.operators.position import top_n, with_position
+from periodlens.operators.position import down, top_n, up, with_position
 
 
 def multi_period_sql(spark: SparkSession, df: DataFrame, view: str = "employment",
@@ -38,7 +38,7 @@ def pivot_years(df: DataFrame, group: str, years, n: int = 10, measure: str = "e
     wide = (rows.groupBy(group).pivot("year", years)
             .agg(F.sum(count_value(measure, policy)).cast("bigint")))
     wide = wide.select(group, *[F.col(str(y)).alias(f"y{y}") for y in years])
-    order = [F.desc_nulls_last(f"y{y}") for y in reversed(years)] + [F.asc(group)]
+    order = [down(f"y{y}") for y in reversed(years)] + [up(group)]
     return top_n(wide, order, n).select("rank", group, *[f"y{y}" for y in years])
 
 
@@ -126,7 +126,7 @@ def top_split(df: DataFrame, category, transitions, n: int = 50, measure: str =
     v = count_value(measure, policy)
     agg = rows.groupBy(F.col("__cat").alias(cat)).agg(
         F.coalesce(F.sum(v * weight), F.lit(0)).cast("bigint").alias("total_before"))
-    ranked = with_position(agg, [F.desc("total_before"), cat], "rank")
+    ranked = with_position(agg, [down("total_before"), cat], "rank")
     return ranked.withColumn("is_top", F.col("rank") <= n).select("rank", cat, "total_before", "is_top")
 
 
@@ -136,7 +136,7 @@ def daily_trend(df: DataFrame, ts: str, value: str | None = None) -> DataFrame:
     day = F.to_date(F.col(ts))
     aggs = [F.count(F.lit(1)).alias("events")]
     if value is not None:
-        aggs.append(F.round(F.sum(value), 4).alias("value_total"))
+        aggs.append(F.round(F.sum(F.col(value).cast("decimal(28,8)")).cast("double"), 4).alias("value_total"))
     out = df.where(F.col(ts).isNotNull()).groupBy(day.alias("__day")).agg(*aggs)
     return out.select(F.date_format("__day", "yyyy-MM-dd").alias("day"),
                       F.date_format("__day", "yyyyMMdd").cast("int").alias("sort_key"),
@@ -157,5 +157,5 @@ def period_matrix(long: DataFrame, keys, period: str = "period", sort_key: str =
     wide = wide.select(*keys, *[F.coalesce(F.col(f"`{p}`"), F.lit(0)).cast("bigint").alias(p) for p in periods])
     if not periods:
         return wide
-    order = [F.desc(periods[-1]) if latest_first else F.asc(periods[-1])] + list(keys)
+    order = [down(f"`{periods[-1]}`") if latest_first else up(f"`{periods[-1]}`")] + list(keys)
     return with_position(wide, order, "rank")

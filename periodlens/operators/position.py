@@ -1,75 +1,126 @@
-"""Consecutive row positions without funnelling rows through one task.
-
-``row_number()`` over a window with no PARTITION BY sends every row to a single task.
-``with_position`` writes its input once to the shared checkpoint folder and counts it there.
-A result proven to hold at most ``SINGLE_TASK_ROWS`` rows is numbered by one window task;
-a larger one is range-partitioned and sorted (a distributed sort), written again with its
-(partition, id) pairs (so positions are stable and survive a lost executor), counted per
-partition, and each partition's offset is added.  The only non-parallel step is then a
-prefix sum over one row per (partition, group).
+"""Consecutive row positions and running totals without funnelling rows through one task.
+
+A window with no PARTITION BY sends every row to a single task.  Here the rows are first cut into ordered
+ranges: the sort keys with the ``RANGES`` least hashes, put in order, are the bounds, so they are a
+function of the data alone (no sampled or physical partitions, which may differ when a task is
+repeated).  A row finds its range by binary search, rows are numbered within their range, and the sizes of
+the ranges before it (at most ``RANGES`` + 1 rows a group) are added.  One path for every size, and lazy:
+nothing runs or is written before the result is asked for.
 """
 
 from __future__ import annotations
 
-import uuid
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from periodlens.operators.joins import bounded_broadcast
-from periodlens.session import materialize, scratch_path
+RANGES = 255
 
-# Counts table rows above which the offsets are joined with a shuffle instead of broadcast.
-OFFSETS_BROADCAST_ROWS = 200_000
-# Rows that one task may number with a plain window once the count is proven.
-SINGLE_TASK_ROWS = 1_000_000
 
+class Key(NamedTuple):
+    """A sort key: an expression, its direction, and whether nulls come last."""
+    expr: Column
+    descending: bool
+    nulls_last: bool
 
-def _sort_col(c):
-    return F.col(c) if isinstance(c, str) else c
+    def sort(self) -> Column:
+        if self.descending:
+            return self.expr.desc_nulls_last() if self.nulls_last else self.expr.desc_nulls_first()
+        return self.expr.asc_nulls_last() if self.nulls_last else self.expr.asc_nulls_first()
 
 
-def with_position(df: DataFrame, order_by, name: str = "rank", partition_by=(),
-                  single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
-    """Add a 1-based consecutive position in ``order_by`` order (restarting per ``partition_by``).
+def up(c, nulls_last: bool = False) -> Key:
+    """Ascending key (nulls first by default)."""
+    return Key(F.col(c) if isinstance(c, str) else c, False, nulls_last)
 
-    ``order_by`` items are column names or sort Columns (e.g. ``F.desc('n')``); callers pass a
-    total order (tie-broken by key) so the positions are deterministic.
+
+def down(c, nulls_last: bool = True) -> Key:
+    """Descending key (nulls last by default)."""
+    return Key(F.col(c) if isinstance(c, str) else c, True, nulls_last)
+
+
+def _keys(order_by) -> list[Key]:
+    order_by = [order_by] if isinstance(order_by, (str, Key, Column)) else list(order_by)
+    return [k if isinstance(k, Key) else up(k) for k in order_by]
+
+
+def _precedes(a: Column, b: Column, keys: list[Key]) -> Column:
+    """Whether the key struct ``a`` sorts before ``b``."""
+    out = F.lit(False)
+    for i, key in reversed(list(enumerate(keys))):
+        x, y = a[f"k{i}"], b[f"k{i}"]
+        less = F.coalesce((x > y) if key.descending else (x < y), F.lit(False))
+        null = (x.isNotNull() & y.isNull()) if key.nulls_last else (x.isNull() & y.isNotNull())
+        out = less | null | (x.eqNullSafe(y) & out)
+    return out
+
+
+def running_total(df: DataFrame, order_by, weight: Column, name: str, partition_by=()) -> DataFrame:
+    """Add the sum (bigint) of ``weight`` over the rows up to and with each row in ``order_by`` order.
+
+    ``order_by`` are column names, Columns (ascending) or ``up``/``down`` keys; a total order makes
+    the totals deterministic.  Totals restart per ``partition_by``; a null is a group of its own.
     """
-    order_by = [order_by] if isinstance(order_by, (str,)) else list(order_by)
+    keys = _keys(order_by)
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    keys = [F.col(p) for p in parts] + [_sort_col(c) for c in order_by]
-    spark = df.sparkSession
-    # The input is computed once and written to the shared checkpoint folder; its row count is
-    # then read from the written table.  Up to ``single_task_rows`` rows (a proven bound) one sort
-    # task numbers them; above it the distributed path below is taken.
-    written, rows = materialize(df, "ranked-input", with_count=True)
-    if rows <= single_task_rows:
-        w = Window.partitionBy(*parts).orderBy(*keys[len(parts):]) if parts else Window.orderBy(*keys)
-        return written.withColumn(name, F.row_number().over(w).cast("int"))
-    path = scratch_path(spark, f"position-{uuid.uuid4().hex}")
-    # One job sorts by range and writes the rows with their (partition, id) pair; reading that
-    # table back fixes the ids, so both uses below see the same rows even if an executor is
-    # lost afterwards.
-    (written.repartitionByRange(*keys).sortWithinPartitions(*keys)
-     .withColumn("__pid", F.spark_partition_id())
-     .withColumn("__mid", F.monotonically_increasing_id())
-     .write.mode("errorifexists").parquet(path))
-    staged_schema = T.StructType(list(written.schema.fields) + [
-        T.StructField("__pid", T.IntegerType(), True), T.StructField("__mid", T.LongType(), True)])
-    staged = spark.read.schema(staged_schema).parquet(path)
-    counts = staged.groupBy("__pid", *parts).agg(F.count(F.lit(1)).alias("__n"),
-                                                 F.min("__mid").alias("__base"))
-    before = Window.partitionBy(*parts).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    counts = counts.drop("__n")
-    # Without groups the offsets table has one row per range partition (bounded by the
-    # partition count); with groups it is written once and its size checked before broadcasting.
-    counts = bounded_broadcast(counts, OFFSETS_BROADCAST_ROWS, derived=True) if parts else F.broadcast(counts)
-    joined = staged.join(counts, on=["__pid", *parts], how="inner")
-    pos = (F.col("__off") + (F.col("__mid") - F.col("__base")) + 1).cast("int")
-    return joined.withColumn(name, pos).drop("__pid", "__mid", "__base", "__off")
+    key = F.struct(*[k.expr.alias(f"k{i}") for i, k in enumerate(keys)])
+    rows = df.select(F.struct(*df.columns).alias("row"), key.alias("key"), weight.cast("bigint").alias("weight"),
+                     *[F.col(p).alias(f"p{i}") for i, p in enumerate(parts)])
+    groups = [f"p{i}" for i in range(len(parts))]
+    picked = rows.select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(RANGES)
+    in_order = F.array_sort(F.collect_list("key"), lambda a, b: F.when(_precedes(a, b, keys), -1)
+                            .when(_precedes(b, a, keys), 1).otherwise(0))
+    rows = rows.withColumn("bounds", picked.agg(in_order).scalar())
+    steps = F.array(*[F.lit(1 << i) for i in range(RANGES.bit_length() - 1, -1, -1)])
+
+    def step(at, p):
+        ahead = F.get(F.col("bounds"), at + p - 1)
+        return F.when((at + p <= F.size("bounds")) & ~_precedes(F.col("key"), ahead, keys), at + p).otherwise(at)
+
+    rows = rows.select("row", "key", "weight", *groups, F.aggregate(steps, F.lit(0), step).alias("range"))
+    sums = rows.groupBy(*groups, "range").agg(F.sum("weight").alias("s"))
+    before = Window.partitionBy(*groups).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*[F.col(g).alias(f"s_{g}") for g in groups], F.col("range").alias("s_range"),
+                       F.coalesce(F.sum("s").over(before), F.lit(0)).alias("offset"))
+    if not groups:
+        sums = F.broadcast(sums)                  # at most RANGES + 1 rows
+    same = F.col("range") == F.col("s_range")
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"s_{g}"))
+    within = (Window.partitionBy(*groups, "range").orderBy(*[_named(k, i) for i, k in enumerate(keys)])
+              .rowsBetween(Window.unboundedPreceding, 0))
+    total = (F.col("offset") + F.sum("weight").over(within)).cast("bigint")
+    return rows.join(sums, same).select("row", total.alias("total")).select(
+        *[F.col("row")[c].alias(c) for c in df.columns], F.col("total").alias(name))
+
+
+def _named(key: Key, i: int) -> Column:
+    return Key(F.col(f"key.k{i}"), key.descending, key.nulls_last).sort()
+
+
+def with_position(df: DataFrame, order_by, name: str = "rank", partition_by=()) -> DataFrame:
+    """Add a 1-based consecutive position (bigint) in ``order_by`` order, restarting per ``partition_by``."""
+    return running_total(df, order_by, F.lit(1), name, partition_by)
+
+
+def exact_median(df: DataFrame, value: str, by=(), name: str = "median") -> DataFrame:
+    """The exact median of the non-null values of each group: ``by`` columns and ``name`` (double).
+
+    Counted per distinct value first; the middle values are read off the running counts, so no task holds
+    a group's values.
+    """
+    by = [by] if isinstance(by, str) else list(by)
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
+    run = running_total(counts, [value], F.col("__n"), "__upto", by)
+    sizes = counts.groupBy(*[F.col(b).alias(f"__b{i}") for i, b in enumerate(by)]).agg(F.sum("__n").alias("__size"))
+    same = F.lit(True)
+    for i, b in enumerate(by):
+        same = same & F.col(b).eqNullSafe(F.col(f"__b{i}"))
+    run = run.join(sizes, same) if by else run.withColumn("__size", counts.agg(F.sum("__n")).scalar())
+    low = F.min(F.when(F.col("__upto") * 2 >= F.col("__size"), F.col(value)))
+    high = F.min(F.when(F.col("__upto") * 2 > F.col("__size"), F.col(value)))
+    return run.groupBy(*by).agg(((low.cast("double") + high.cast("double")) / 2).alias(name))
 
 
 def top_n(df: DataFrame, order_by, n: int, name: str = "rank") -> DataFrame:
@@ -78,19 +129,11 @@ def top_n(df: DataFrame, order_by, n: int, name: str = "rank") -> DataFrame:
     ``orderBy().limit()`` plans as a distributed partial top-k (TakeOrderedAndProject);
     the rank window then runs on at most ``n`` rows.
     """
-    order_by = [order_by] if isinstance(order_by, str) else list(order_by)
-    cols = [_sort_col(c) for c in order_by]
+    cols = [k.sort() for k in _keys(order_by)]
     head = df.orderBy(*cols).limit(n)
-    return head.withColumn(name, F.row_number().over(Window.orderBy(*cols)).cast("int"))
+    return head.withColumn(name, F.row_number().over(Window.orderBy(*cols)).cast("bigint"))
 
 
-def rank_within_bound(df: DataFrame, order_by, bound: int, name: str = "rank") -> DataFrame:
-    """Rank rows whose count is bounded by construction (e.g. one row per profiled column).
-
-    ``bound`` documents that bound (a number fixed by the plan, not by the data); the rows of
-    such a result fit one task, so a plain ``row_number`` window is used.
-    """
-    if bound > 100_000:
-        return with_position(df, order_by, name)
-    order_by = [order_by] if isinstance(order_by, str) else list(order_by)
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*[_sort_col(c) for c in order_by])).cast("int"))
+def rank_columns(df: DataFrame, order_by, name: str = "rank") -> DataFrame:
+    """Rank a table that has at most one row a column of some schema, so that one task numbers it."""
+    return df.withColumn(name, F.row_number().over(Window.orderBy(*[k.sort() for k in _keys(order_by)])).cast("bigint"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from periodlens.functions.common import string_columns
 from periodlens.functions.values import REDACTED, count_sum, safe_int
-from periodlens.operators.position import rank_within_bound, top_n, with_position
+from periodlens.operators.position import down, exact_median, rank_columns, top_n, up, with_position
 
 
 def _mean(c: Column) -> Column:
@@ -26,7 +26,7 @@ def headcount_top(df: DataFrame, group: str, n: int = 10, measure: str = "employ
     """Top ``n`` groups by head count (A1): rank, group, headcount."""
     agg = (df.where(F.col(group).isNotNull()).groupBy(group)
            .agg(count_sum(measure, policy).alias("headcount")))
-    return top_n(agg, [F.desc("headcount"), F.asc(group)], n).select("rank", group, "headcount")
+    return top_n(agg, [down("headcount"), up(group)], n).select("rank", group, "headcount")
 
 
 def headcount_by(df: DataFrame, keys, measure: str = "employment", policy: str = "skip") -> DataFrame:
@@ -58,7 +58,7 @@ def mean_by_group(df: DataFrame, group: str, value: str = "salary", n: int = 5)
     # reused instead of scanning the input twice.
     agg = per.select(group, F.round(F.col("__sum").cast("double") / F.col("n_valid"), 4).alias("mean_value"),
                      "n_valid", F.col("__rows").alias("n_rows"))
-    top = top_n(agg, [F.col(group).isNull(), F.desc_nulls_last("mean_value"), F.asc(group)], n)
+    top = top_n(agg, [F.col(group).isNull(), down("mean_value"), up(group)], n)
     top = top.where(F.col(group).isNotNull() & (F.col("n_valid") > 0)).withColumn("__tot", totals)
     return top.select("rank", group, "mean_value", "n_valid", "n_rows",
                       F.col("__tot.valid").cast("bigint").alias("valid_records"),
@@ -78,30 +78,36 @@ def frequency_share(df: DataFrame, col: str, n: int | None = None, by_label: boo
     vc = per.where(F.coalesce(F.col(col).isNotNull() & (F.col("n") > 0), F.lit(False)))
     vc = vc.withColumn("share_pct", F.round(F.col("n").cast("double") / total * 100.0, 4))
     if n is not None:
-        return top_n(vc, [F.desc("n"), F.asc(col)], n)
+        return top_n(vc, [down("n"), up(col)], n)
     if by_label:
         return with_position(vc, [col], "rank")
     return vc
 
 
-def numeric_summary(df: DataFrame, value: str = "salary", by=None, approx: bool = False) -> DataFrame:
-    """count, mean, median, min, max and sample std of a sentinel-aware integer measure (A5).
-
-    The median is exact: Spark's percentile aggregate keeps one counter per *distinct* value
-    (partially aggregated per task), so memory follows the value domain, not the row count.
-    ``approx=True`` switches to ``percentile_approx`` for unbounded domains.
-    """
+def numeric_summary(df: DataFrame, value: str = "salary", by=None) -> DataFrame:
+    """count, mean, exact median, min, max and sample std of a sentinel-aware integer measure (A5)."""
     by = [] if by is None else ([by] if isinstance(by, str) else list(by))
-    v = safe_int(value)
-    rows = df.select(*by, v.alias("__v")).where(F.col("__v").isNotNull())
-    med = F.percentile_approx("__v", 0.5, 100000).cast("double") if approx else F.median("__v").cast("double")
-    return rows.groupBy(*by).agg(
+    rows = df.select(*by, safe_int(value).alias("__v")).where(F.col("__v").isNotNull())
+    stats = rows.groupBy(*by).agg(
         F.count("__v").alias("n_valid"),
         F.round(_mean(F.col("__v")), 4).alias("mean_value"),
-        F.round(med, 4).alias("median_value"),
         F.min("__v").alias("min_value"),
         F.max("__v").alias("max_value"),
         F.round(F.stddev_samp("__v"), 4).alias("std_value"))
+    return (_with_median(stats, rows, by, "median_value")
+            .select(*by, "n_valid", "mean_value", "median_value", "min_value", "max_value", "std_value"))
+
+
+def _with_median(stats: DataFrame, rows: DataFrame, by: list, name: str) -> DataFrame:
+    """``stats`` (a row per ``by``) with the exact median of ``__v`` rounded to 4 places."""
+    med = exact_median(rows, "__v", by, "__med")
+    if not by:
+        return stats.withColumn(name, F.round(med.select("__med").scalar(), 4))
+    med = med.select(*[F.col(b).alias(f"__m{i}") for i, b in enumerate(by)], "__med")
+    same = F.lit(True)
+    for i, b in enumerate(by):
+        same = same & F.col(b).eqNullSafe(F.col(f"__m{i}"))
+    return stats.join(med, same, "left").withColumn(name, F.round("__med", 4))
 
 
 def _q(name: str) -> str:
@@ -155,49 +161,40 @@ def redaction_profile(df: DataFrame, before: Column, after: Column, columns=None
         F.round(F.when(F.col("rows_a") > 0, F.col("after_count") / F.col("rows_a") * 100.0)
                 .otherwise(0.0), 4).alias("after_pct"))
     # at most one row per profiled column
-    return rank_within_bound(long, [F.desc("after_count"), "column_name"], len(columns), "rank")
+    return rank_columns(long, [down("after_count"), "column_name"])
 
 
 # --- fixed values -----------------------------------------------------------
-# Display names for description fields in the redaction overview.
-DISPLAY_NAMES = {
-    "agelvlt": "Age Level", "edlvlt": "Education Level", "toat": "Type of Appointment",
-    "agysubt": "Agency Sub-Agency", "loct": "Location", "occt": "Occupation",
-    "occfamt": "Occupation Family", "sallvlt": "Salary Level", "supervist": "Supervisory Status",
-    "wrkscht": "Work Schedule", "wrkstatt": "Work Status", "stemoct": "STEM Occupation",
-    "patcot": "PATCO Category",
+# Description fields of a snapshot and their display names, in schema order.
+DESCRIPTION_FIELDS = {
+    "agelvlt": "Age Level", "agysubt": "Agency Sub-Agency", "edlvlt": "Education Level", "loct": "Location",
+    "loslvlt": "Length of Service Level", "occfamt": "Occupation Family", "occt": "Occupation",
+    "occtypt": "Occupation Type", "patcot": "PATCO Category", "ppt": "Pay Period", "payplant": "Pay Plan",
+    "pptypt": "Pay Plan Type", "ppgroupt": "Pay Plan Group", "ppgrdt": "Pay Plan Grade", "sallvlt": "Salary Level",
+    "stemocct": "STEM Occupation", "supervist": "Supervisory Status", "toat": "Type of Appointment",
+    "wrkscht": "Work Schedule", "wstypt": "Work Schedule Type", "wkstatt": "Work Status",
 }
-# Measures always included in the overview.
-OVERVIEW_MEASURES = ("salary", "employment", "los")
+# Measures of the overview and their display names.
+MEASURE_FIELDS = {"salary": "Salary", "employment": "Employment", "los": "Los"}
 # ----------------------------------------------------------------------------
 
 
-def overview_fields(columns, description_only: bool = True) -> dict:
-    """Field → display name for the redaction overview (schema metadata only)."""
-    out = {}
-    for c in columns:
-        if description_only and not (c.endswith("t") and c != "quarter"):
-            continue
-        out[c] = DISPLAY_NAMES.get(c, c[:-1].replace("_", " ").title() if description_only else c)
-    for m in OVERVIEW_MEASURES:
-        if m in columns:
-            out[m] = m.title()
-    return out
-
+def redaction_overview(df: DataFrame, description_only: bool = False) -> DataFrame:
+    """REDACTED share per string field of one frame, fields with any.
 
-def redaction_overview(df: DataFrame, description_only: bool = True) -> DataFrame:
-    """REDACTED share per description field and measure of one frame, fields with any.
+    ``description_only`` keeps the description fields and measures alone; a field without a display name shows
+    its own.
 
     Output: rank (pct desc, field asc), field, display_name, redacted_count, total_records, redaction_pct.
     """
-    cols = [c for c in string_columns(df)]
-    fields = overview_fields(cols, description_only)
+    labels = {**DESCRIPTION_FIELDS, **MEASURE_FIELDS}
+    fields = {c: labels.get(c, c) for c in string_columns(df) if c in labels or not description_only}
     wide = _redaction_counts(df, list(fields), {"x": F.lit(True)})
     long = wide.select(_inline([[("field", _str(c)), ("display_name", _str(name)),
                                   ("redacted_count", _q(f"{c}__x")), ("total_records", "__rows_x")]
                                  for c, name in fields.items()])).where(F.col("redacted_count") > 0)
     long = long.withColumn("redaction_pct", F.round(F.col("redacted_count") / F.col("total_records") * 100.0, 4))
-    return rank_within_bound(long, [F.desc("redaction_pct"), "field"], len(fields), "rank")
+    return rank_columns(long, [down("redaction_pct"), "field"])
 
 
 def cell_redaction(df: DataFrame, by: str = "dataset_key", columns=None) -> DataFrame:
@@ -213,44 +210,55 @@ def distinct_count(df: DataFrame, col: str, by: str = "dataset_key") -> DataFram
     return df.groupBy(by).agg(F.countDistinct(col).alias(f"n_distinct_{col}"))
 
 
+def first_texts(df: DataFrame, keys, text, orders: dict) -> DataFrame:
+    """Per key the first text by each of several orders: ``keys`` and one column per entry of ``orders``.
+
+    ``orders`` maps an output column to the order of its candidates (null: not a candidate).  Rows are
+    first hash-aggregated to the least order of every (key, text), so only that small table is sorted.
+    """
+    least = (df.groupBy(*keys, text.alias("__text"))
+             .agg(*[F.min(o).alias(name) for name, o in orders.items()]))
+    return least.groupBy(*keys).agg(*[
+        F.min_by(F.col("__text"), F.when(F.col("__text").isNotNull(), F.col(name))).alias(name) for name in orders])
+
+
 def first_non_null(df: DataFrame, key: str, value: str, line: str = "line_no") -> DataFrame:
     """First non-null ``value`` per ``key`` in line order."""
     order = F.col(line) if line and line in df.columns else F.col(value)
-    return (df.where(F.col(key).isNotNull()).groupBy(key)
-            .agg(F.min_by(F.col(value), F.when(F.col(value).isNotNull(), order)).alias(f"first_{value}")))
+    return first_texts(df.where(F.col(key).isNotNull()), [key], F.col(value), {f"first_{value}": order})
 
 
 def keep_first(df: DataFrame, keys, order: str) -> DataFrame:
-    """One row per key, the first in ``order``.
+    """One row per key, the first in ``order`` (A22); null keys are a key.
 
-    ``min_by`` over a struct of the row is a partial aggregate, so a key with a huge number of
-    duplicates never gathers its rows in one task.
+    The least order of each key is hash-aggregated and joined back, so no key's rows are gathered or
+    sorted.  ``order`` numbers the rows: no two rows of a key share it.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(order)).alias("__row"))
-    return agg.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest])
+    first = df.groupBy(*[F.col(k).alias(f"__f{i}") for i, k in enumerate(keys)]).agg(F.min(order).alias("__first"))
+    same = F.col(order).eqNullSafe(F.col("__first"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__f{i}"))
+    return df.join(first, same, "left_semi")
 
 
-def duplicate_report(df: DataFrame, keys, order: str, max_dup_keys: int = 100_000) -> DataFrame:
+def duplicate_report(df: DataFrame, keys, order: str) -> DataFrame:
     """Every row of a key that occurs more than once, flagged kept (first in ``order``) or
     discarded, with the key's record count (A23)."""
-    from periodlens.operators.joins import bounded_broadcast
     keys = [keys] if isinstance(keys, str) else list(keys)
     stats = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records"), F.min(order).alias("__first"))
              .where(F.col("n_records") > 1))
-    stats = bounded_broadcast(stats, max_dup_keys, derived=True)
     rows = df.join(stats, on=keys, how="inner")
     return rows.withColumn("kept", F.col(order) == F.col("__first")).drop("__first")
 
 
 def snapshot_profile(df: DataFrame, by: str = "dataset_key", value: str = "salary") -> DataFrame:
     """Per snapshot: rows, valid salary count, mean and exact median of non-redacted salary."""
-    v = safe_int(value)
-    return (df.select(by, v.alias("__v")).groupBy(by)
-            .agg(F.count(F.lit(1)).alias("rows"), F.count("__v").alias("salary_valid"),
-                 F.round(_mean(F.col("__v")), 4).alias("salary_mean"),
-                 F.round(F.median("__v").cast("double"), 4).alias("salary_median")))
+    rows = df.select(by, safe_int(value).alias("__v"))
+    stats = rows.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), F.count("__v").alias("salary_valid"),
+                                 F.round(_mean(F.col("__v")), 4).alias("salary_mean"))
+    return (_with_median(stats, rows, [by], "salary_median")
+            .select(by, "rows", "salary_valid", "salary_mean", "salary_median"))
 
 
 def high_redaction_columns(df: DataFrame, by: str = "dataset_key", threshold_pct: float = 90.0,
@@ -261,5 +269,7 @@ def high_redaction_columns(df: DataFrame, by: str = "dataset_key", threshold_pct
         F.expr(f"count_if({_is_red_sql(c)})").alias(c) for c in columns]
     wide = df.groupBy(by).agg(*aggs)
     long = wide.select(by, "__rows", _inline([[("column_name", _str(c)), ("redacted", _q(c))] for c in columns]))
+    # the test is on the counts; only the shown percentage is rounded
+    hit = F.col("redacted") * 100.0 > F.col("__rows") * F.lit(float(threshold_pct))
     pct = F.round(F.col("redacted") / F.col("__rows") * 100.0, 4)
-    return long.select(by, "column_name", pct.alias("redacted_pct")).where(F.col("redacted_pct") > threshold_pct)
+    return long.where(hit).select(by, "column_name", pct.alias("redacted_pct"))

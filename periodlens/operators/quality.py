@@ -65,30 +65,37 @@ def constant_measure(df: DataFrame, by: str = "dataset_key", measure: str = "emp
 def null_rates(df: DataFrame, by: str = "dataset_key", fields=LOOKUP_FIELDS) -> DataFrame:
     """Null and blank percentage of each lookup description field per period (Q3).
 
-    Severity: > 10% warn, > 0 info, else ok.  Output: by, field, null_count, null_pct, blank_pct, severity.
+    Severity: > 10% warn, > 0 info, else ok.  Output: by, field, rows, null_count, null_pct, blank_pct, severity.
     """
     fields = [f for f in fields if f in df.columns]
     if not fields:
         return df.where(F.lit(False)).select(
-            by, F.lit(None).cast("string").alias("field"), F.lit(0).cast("bigint").alias("null_count"),
+            by, F.lit(None).cast("string").alias("field"), F.lit(0).cast("bigint").alias("rows"),
+            F.lit(0).cast("bigint").alias("null_count"),
             F.lit(0.0).alias("null_pct"), F.lit(0.0).alias("blank_pct"), F.lit("ok").alias("severity"))
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for f in fields:
         aggs += [F.expr(f"count_if({_q(f)} IS NULL)").alias(f"{f}__n"),
                  F.expr(f"count_if({_q(f)} = '')").alias(f"{f}__e")]
     wide = df.groupBy(by).agg(*aggs)
-    long = wide.select(by, "__rows", _inline([[("field", _str(f)), ("null_count", _q(f"{f}__n")),
-                                               ("blank_count", _q(f"{f}__e"))] for f in fields]))
-    null_pct = F.round(F.col("null_count") / F.col("__rows") * 100.0, 4)
-    out = long.select(by, "field", "null_count", null_pct.alias("null_pct"),
-                      F.round(F.col("blank_count") / F.col("__rows") * 100.0, 4).alias("blank_pct"))
-    sev = (F.when(F.col("null_pct") > NULL_WARN_PCT, "warn").when(F.col("null_pct") > 0, "info").otherwise("ok"))
-    return out.withColumn("severity", sev)
+    long = wide.select(by, F.col("__rows").alias("rows"),
+                       _inline([[("field", _str(f)), ("null_count", _q(f"{f}__n")),
+                                 ("blank_count", _q(f"{f}__e"))] for f in fields]))
+    # severities are tested on the counts; only the shown percentages are rounded
+    sev = (F.when(_high_null("null_count", "rows"), "warn").when(F.col("null_count") > 0, "info").otherwise("ok"))
+    return long.select(by, "field", "rows", "null_count",
+                       F.round(F.col("null_count") / F.col("rows") * 100.0, 4).alias("null_pct"),
+                       F.round(F.col("blank_count") / F.col("rows") * 100.0, 4).alias("blank_pct"), sev.alias("severity"))
+
+
+def _high_null(nulls, rows):
+    """More nulls than NULL_WARN_PCT percent of the rows, exactly."""
+    return F.col(nulls) * 100.0 > F.col(rows) * NULL_WARN_PCT
 
 
 def merge_failures(df: DataFrame, by: str = "dataset_key", fields=LOOKUP_FIELDS) -> DataFrame:
     """Description fields that are entirely null in a period (Q4) — the snapshot is invalid."""
-    return null_rates(df, by, fields).where(F.col("null_pct") >= 100.0).select(
+    return null_rates(df, by, fields).where((F.col("rows") > 0) & (F.col("null_count") == F.col("rows"))).select(
         by, "field", F.lit("invalid").alias("severity"))
 
 
@@ -115,7 +122,7 @@ def calendar_gaps(df: DataFrame, months=("March", "June", "September", "December
     """
     actual = df.select("year", "quarter").distinct()
     if expected is None:
-        bounds = df.agg(F.min("year").alias("lo"), F.max("year").alias("hi"))
+        bounds = actual.agg(F.min("year").alias("lo"), F.max("year").alias("hi"))
         expected = (bounds.select(F.explode(F.sequence("lo", "hi")).alias("year"))
                     .select("year", F.explode(F.array(*map(F.lit, months))).alias("quarter")))
     return expected.join(actual, on=["year", "quarter"], how="left_anti")
@@ -177,9 +184,8 @@ def verdict(df: DataFrame, by: str = "dataset_key", fields=LOOKUP_FIELDS,
                 if "employment" in df.columns else F.lit(None).cast("bigint").alias("non_constant"))
     aggs += [F.expr(f"count_if({_q(f)} IS NULL)").alias(f"{f}__n") for f in fields]
     wide = df.groupBy(by).agg(*aggs)
-    pct = {f: F.round(F.col(f"{f}__n") / F.col("rows") * 100.0, 4) for f in fields}
-    high = sum((F.when(p > NULL_WARN_PCT, 1).otherwise(0) for p in pct.values()), F.lit(0))
-    full = sum((F.when(p >= 100.0, 1).otherwise(0) for p in pct.values()), F.lit(0))
+    high = sum((F.when(_high_null(f"{f}__n", "rows"), 1).otherwise(0) for f in fields), F.lit(0))
+    full = sum((F.when(F.col(f"{f}__n") == F.col("rows"), 1).otherwise(0) for f in fields), F.lit(0))
     out = wide.select(by, "rows", high.cast("bigint").alias("high_null_fields"),
                       full.cast("bigint").alias("null_fields"), "non_constant")
     return out.withColumn("valid", F.lit(not missing_required) & (F.col("null_fields") == 0))
@@ -190,8 +196,7 @@ def overall_ok(verdicts: DataFrame) -> DataFrame:
     return verdicts.agg(F.bool_and("valid").alias("all_valid"), F.count(F.lit(1)).alias("snapshots"))
 
 
-def pair_order(status: DataFrame, datecode: str, first: str, second: str, keys, order,
-               max_rows: int = 1_000_000) -> DataFrame:
+def pair_order(status: DataFrame, datecode: str, first: str, second: str, keys, order) -> DataFrame:
     """Positional pairing check (J8): rows of two periods paired by position in ``order``.
 
     Output (one row): n_first, n_second, mismatches (paired rows whose keys differ), result

@@ -22,25 +22,26 @@ from periodlens.operators import profile as PR
 from periodlens.operators import quality as Q
 from periodlens.operators.denorm import Dim, denormalize
 from periodlens.operators.joins import enrich_coalesce, exclude_groups, keep_groups
+from periodlens.operators.position import down
 from periodlens.sources.tables import snapshot_facts, table
 
 # --- fixed values (query parameters) -----------------------------------------
 BEFORE, AFTER = 1996, 1997
 TRANSITIONS = (("t1996_1997", 1996, 1997), ("t1997_1998", 1997, 1998), ("t1998_1999", 1998, 1999))
-PIVOT_YEARS = (1995, 1996, 1997, 1998, 1999, 2000, 2001)
 STATUS_CURRENT, STATUS_PRIOR = "199703", "199612"
+MONTH_QUARTERS = {"03": "March", "06": "June", "09": "September", "12": "December"}
 FLAG_MEMBERS = ("1", "2", "3")
 KNOWN_FIRST = ("NATION_3", "NATION_1")
 SEARCH_TERM = "build"
 ROW_RANGE = (500, 600)
 ERA_FIELDS, ERA_START = ("salary", "agelvlt"), 1997
-DESCRIPTION_YEAR = 2001
 COVERAGE_DIMS = (("loc", "loct"), ("agelvl", "agelvlt"), ("toa", "toat"), ("occ", "occt"))
 QUALITY_FIELDS = Q.LOOKUP_FIELDS + ("salary",)
 TREND_AGYSUB = "MA07"
 PREFERRED_YEAR = 1997
 UNION_TABLES = ("customer", "supplier")
 HIGH_REDACTION_PCT = 5.0
+ABSENT_LOOKUP_YEAR = 1995
 # ------------------------------------------------------------------------------
 
 
@@ -56,9 +57,17 @@ def _r4(df: DataFrame, cols=("pct_change",)) -> DataFrame:
     return df.withColumns({c: F.round(c, 4) for c in cols})
 
 
-def _status(spark, d) -> DataFrame:
-    """A status summary table (one row per period × age label) derived from the facts."""
+def _status(spark, d, codes=None) -> DataFrame:
+    """A status summary table (one row per period × age label) derived from the facts.
+
+    ``codes`` restricts it to some date codes, as (year, quarter) so that other periods' files stay shut.
+    """
     f = _facts(spark, d)
+    if codes is not None:
+        pick = F.lit(False)
+        for code in codes:
+            pick = pick | ((F.col("year") == int(code[:4])) & (F.col("quarter") == MONTH_QUARTERS[code[4:]]))
+        f = f.where(pick)
     v = safe_int("salary")
     return (f.where(F.col("agelvlt").isNotNull()).groupBy("datecode", "agelvlt")
             .agg(count_sum("employment", "skip").alias("EMPCOUNT"),
@@ -165,8 +174,10 @@ def class_rules(spark, d):
 
 
 def trim_strings(spark, d):
+    # every cell gets blanks, a no-break space and a tab around it first
     p = table(spark, d, "part")
-    return p.select("p_partkey", *[T.trim_all(c).alias(c) for c in ("p_name", "p_brand", "p_type")])
+    padded = {c: F.concat(F.lit(" \u00a0"), F.col(c), F.lit("\t ")) for c in ("p_name", "p_brand", "p_type")}
+    return p.withColumns(padded).select("p_partkey", *[T.trim_all(c).alias(c) for c in padded])
 
 
 def compose_key(spark, d):
@@ -223,28 +234,41 @@ def denormalize_q(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     dims = [
         Dim("orders", table(spark, d, "orders"), ("l_orderkey",), ("o_orderkey",),
-            ("o_custkey", "o_orderpriority"), unique=True, max_rows=100_000),
-        Dim("part", table(spark, d, "part"), ("l_partkey",), ("p_partkey",), ("p_brand", "p_type"),
-            unique=True, max_rows=100_000),
+            ("o_custkey", "o_orderpriority"), unique=True),
+        Dim("part", table(spark, d, "part"), ("l_partkey",), ("p_partkey",), ("p_brand", "p_type"), unique=True),
         Dim("supplier", table(spark, d, "supplier"), ("l_suppkey",), ("s_suppkey",),
-            ("s_name", "s_nationkey"), unique=True, max_rows=100_000),
+            ("s_name", "s_nationkey"), unique=True),
         Dim("nation", table(spark, d, "nation"), ("s_nationkey",), ("n_nationkey",),
-            ("n_name", "n_regionkey"), unique=True, max_rows=1000),
-        Dim("region", table(spark, d, "region"), ("n_regionkey",), ("r_regionkey",), ("r_name",),
-            unique=True, max_rows=1000),
+            ("n_name", "n_regionkey"), unique=True),
+        Dim("region", table(spark, d, "region"), ("n_regionkey",), ("r_regionkey",), ("r_name",), unique=True),
     ]
     out = denormalize(li, dims)
     return out.select("l_orderkey", "l_linenumber", "l_quantity", "o_custkey", "o_orderpriority",
                       "p_brand", "p_type", "s_name", "s_nationkey", "n_name", "n_regionkey", "r_name")
 
 
+def denormalize_periods(spark, d):
+    """J1 with lookups per period: repeated codes (the first line wins), padded codes, an absent period."""
+    f = _facts(spark, d)
+    per = (f.where((F.col("year") != ABSENT_LOOKUP_YEAR) & F.col("toa").isNotNull()).groupBy("dataset_key", "toa")
+           .agg(F.min("line_no").alias("lo"), F.max("line_no").alias("hi")))
+    lookup = per.select("dataset_key", F.inline(F.array(
+        F.struct(F.concat(F.lit(" "), F.col("toa"), F.lit(" ")).alias("code"),
+                 F.concat(F.lit("first "), F.col("toa")).alias("text"), F.col("lo").alias("line")),
+        F.struct(F.col("toa").alias("code"), F.concat(F.lit("later "), F.col("toa")).alias("text"),
+                 (F.col("hi") + 1).alias("line")))))
+    dim = Dim("lookup", lookup, ("dataset_key", "toa"), ("dataset_key", "code"), ("text",), order="line")
+    out = denormalize(f.select("dataset_key", "toa", "line_no"), [dim])
+    return out.groupBy("dataset_key", "toa", "text").agg(F.count(F.lit(1)).alias("n"))
+
+
 def compare_full(spark, d):
     b, a = _ba()
     return _r4(C.compare_full(_facts(spark, d, [BEFORE, AFTER]), "agelvlt", b, a, policy="coerce_zero"))
 
 
 def compare_left(spark, d):
-    out = C.compare_left(_status(spark, d), "datecode", STATUS_CURRENT, STATUS_PRIOR,
+    out = C.compare_left(_status(spark, d, (STATUS_CURRENT, STATUS_PRIOR)), "datecode", STATUS_CURRENT, STATUS_PRIOR,
                          metrics=("EMPCOUNT", "AVGSAL"), count_metric="EMPCOUNT")
     return _r4(out)
 
@@ -288,7 +312,7 @@ def availability(spark, d):
 
 def enrich_coalesce_q(spark, d):
     f = _facts(spark, d)
-    desc = f.where(F.col("year") == DESCRIPTION_YEAR).select("toa", F.col("toat").alias("toat_full"))
+    desc = f.select("toa", F.col("toat").alias("toat_full"))
     per = f.groupBy("dataset_key", "toa", "toat").agg(F.count(F.lit(1)).alias("n"))
     out = enrich_coalesce(per, desc, "toa", "toat_full", "toat_display", "toat")
     return out.select("dataset_key", "toa", "toat_display", "n")
@@ -301,7 +325,9 @@ def multi_period_sql(spark, d):
 
 
 def pivot_year(spark, d):
-    return PV.pivot_years(_facts(spark, d), "loct", PIVOT_YEARS, 10)
+    f = _facts(spark, d)
+    years = [r["year"] for r in f.select("year").where("year is not null").distinct().collect()]   # a row a year
+    return PV.pivot_years(f, "loct", years, 10)
 
 
 def pivot_multi(spark, d):
@@ -371,8 +397,8 @@ def dim_coverage(spark, d):
 
 
 def pair_order(spark, d):
-    return Q.pair_order(_status(spark, d), "datecode", STATUS_PRIOR, STATUS_CURRENT, ["agelvlt"],
-                        [F.desc("EMPCOUNT"), "agelvlt"])
+    status = _status(spark, d, (STATUS_CURRENT, STATUS_PRIOR))
+    return Q.pair_order(status, "datecode", STATUS_PRIOR, STATUS_CURRENT, ["agelvlt"], [down("EMPCOUNT"), "agelvlt"])
 
 
 # --- conform / set ops / ordering -------------------------------------------------------
@@ -386,10 +412,8 @@ def conform_q(spark, d):
 
 
 def union_by_name_q(spark, d):
-    o = table(spark, d, "orders")
-    y = F.year("o_orderdate")
-    a = o.where(y == BEFORE).select("o_orderkey", "o_orderstatus")
-    b = o.where(y == AFTER).select("o_orderkey", "o_orderpriority")
+    a = table(spark, d, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), "c_mktsegment")
+    b = table(spark, d, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"), "s_acctbal")
     return CF.union_by_name([a, b])
 
 
@@ -552,7 +576,7 @@ def _status_tsv_dir(spark, d) -> str:
     import uuid
     from periodlens.session import scratch_path
     path = scratch_path(spark, f"status-table-{uuid.uuid4().hex}")
-    st = _status(spark, d).where(F.col("datecode").isin(STATUS_CURRENT, STATUS_PRIOR))
+    st = _status(spark, d, (STATUS_CURRENT, STATUS_PRIOR))
     (st.select(F.col("datecode").alias("DATECODE"), F.col("agelvlt").alias("AGELVLT"), "EMPCOUNT", "AVGSAL")
      .write.option("header", True).option("sep", "\t").csv(path))
     return path
@@ -575,6 +599,7 @@ QUERIES = {
     "grade_parse": grade_parse,
     "class_rules": class_rules,
     "denormalize": denormalize_q,
+    "denormalize_periods": denormalize_periods,
     "dedupe_first": dedupe_first,
     "duplicate_report": duplicate_report,
     "compare_full": compare_full,

@@ -62,10 +62,10 @@ STATUS_DISPLAY_NAMES = {
     "OCCFAMT": "Occupation Group", "PAYPLAN": "Pay Plan", "GRD": "Grade",
     "CHANGE": "Change", "PCT_CHANGE": "% Change",
 }
+# Code and description fields whose coverage the validation run reports.
+DIMENSION_PAIRS = tuple((key, rename.get(carry[0], carry[0])) for _, key, carry, rename in WORKFORCE_DIMS if carry)
 # Codes that are zero-padded to two characters on both sides of the join.
 PADDED_CODES = ("loc",)
-# Bound on one code table across all periods for broadcasting.
-CODE_TABLE_MAX_ROWS = 500_000
 # ----------------------------------------------------------------------------
 
 
@@ -85,7 +85,7 @@ def workforce_dims(lookups: dict) -> list[Dim]:
                                                       "source_file", "source_size"))
         cols = tuple(c for c in cols if c in lk.columns)
         dims.append(Dim(kind, lk, ("dataset_key", key), ("dataset_key", key), cols, rename=dict(rename),
-                        order="line_no", max_rows=CODE_TABLE_MAX_ROWS))
+                        order="line_no"))
     return dims
 
 
@@ -310,13 +310,17 @@ def examples_battery(snap: DataFrame) -> dict:
 
 
 def validation_run(snap: DataFrame):
-    """Verdict per snapshot, high-null listing, era rule, calendar gaps, overall flag."""
+    """Verdict per snapshot, required columns, high-null listing, constant measure, wholly null
+    fields, code coverage, era rule, gaps against the publication calendar, overall flag."""
     verdicts = Q.verdict(snap)
     return {
         "verdict": verdicts,
         "required": Q.required_columns(snap),
-        "high_null": Q.null_rates(snap).where(F.col("null_pct") > Q.NULL_WARN_PCT),
+        "high_null": Q.null_rates(snap).where(F.col("severity") == "warn"),
+        "constant": Q.constant_measure(snap),
+        "merge_failures": Q.merge_failures(snap),
+        "coverage": Q.dim_coverage(snap, DIMENSION_PAIRS),
         "era": Q.era_rule(snap),
-        "calendar": Q.calendar_gaps(snap),
+        "calendar": Q.calendar_gaps(snap, expected=Q.expected_calendar(snap.sparkSession)),
         "overall": Q.overall_ok(verdicts),
     }

@@ -7,14 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Tasks that the rows of one period are split over when they are written.
+WRITE_SALTS = 8
+
+
 def write_snapshots(df: DataFrame, path: str, partition_by=("year", "quarter"),
                     compression: str = "zstd") -> DataFrame:
     """Write snapshots as parquet partitioned by period, replacing only the periods written
     (dynamic partition overwrite), then read back the row count per period (S10).
 
-    Rows are range-partitioned by period and then by a row hash before the write: each task
-    writes one or two periods (few files), and a period holding a third of all rows is split
-    over proportionally many tasks instead of landing in one.  The number of rows written is
+    Rows are hash-partitioned by period and a few salts before the write (few files a period, and a
+    period holding a third of all rows is split over several tasks).  The number of rows written is
     observed during the write itself (one pass over the source); the read-back counts only the
     written files.  Returns (partition columns..., rows_read, rows_written_total, complete).
     """
@@ -46,8 +49,13 @@ def write_snapshots(df: DataFrame, path: str, partition_by=("year", "quarter"),
 
 
 def cluster_for_write(df: DataFrame, parts) -> DataFrame:
-    """Range-partition by the partition columns, then a hash of the whole row (splits hot periods)."""
-    return df.repartitionByRange(*[F.col(p) for p in parts], F.xxhash64(*[F.col(c) for c in df.columns]))
+    """Hash-partition by the partition columns and a few salts of the whole row.
+
+    A period's rows meet in at most ``WRITE_SALTS`` tasks, which also split a hot period.  (A range
+    partitioning would compute the source twice, once for its sample.)
+    """
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(WRITE_SALTS))
+    return df.repartition(*[F.col(p) for p in parts], salt)
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:

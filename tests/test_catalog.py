@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from periodlens.plans.catalog import QUERIES
+from periodlens.plans.oracle import ORACLE
 from periodlens.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -40,12 +42,12 @@ def test_entry_smoke(spark):
     assert rows and rows[-1]["code"] in ("TOTAL", "REDACTED") or any(r["code"] == "TOTAL" for r in rows)
 
 
-def test_every_query_has_oracle_or_is_rows_only():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"sample"}
+def test_every_query_has_oracle():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
     srows = [r.asDict() for r in sdf.collect()]
@@ -62,7 +64,7 @@ def test_no_python_in_query_plans(spark):
     """Every query plans to JVM operators only (no Python UDF evaluation nodes)."""
     import contextlib
     import io
-    for name, fn in sorted(E.queries().items()):
+    for name, fn in sorted(QUERIES.items()):
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             fn(spark, SF).explain()
@@ -87,3 +89,54 @@ def test_scans_are_pruned(spark):
     assert scans and all("ReadSchema: struct<agelvlt:string,employment:string>" in s for s in scans)
     plan = _plan(E.queries()["headcount_top"](spark, SF))
     assert "ReadSchema: struct<loct:string,employment:string>" in plan
+
+
+def test_two_period_status_queries_prune_directories(spark):
+    for name in ("compare_left", "pair_order"):
+        plan = _plan(E.queries()[name](spark, SF))
+        assert "PartitionFilters: []" not in plan and "PartitionFilters: [" in plan, name
+
+
+def test_firsts_and_medians_sort_no_scanned_rows(spark):
+    """The aggregates over the scans are hash aggregates; only small tables are sorted."""
+    for name in ("dedupe_first", "first_non_null", "agency_names", "name_map", "name_preference", "specials_last",
+                 "education_comparison", "location_comparison"):
+        plan = E.queries()[name](spark, SF)._jdf.queryExecution().sparkPlan().toString()
+        for block in plan.split("FileScan")[:-1]:
+            above = [line for line in block.splitlines() if "Aggregate" in line]
+            if above:
+                assert "SortAggregate" not in above[-1], (name, above[-1])
+
+
+def test_building_a_query_writes_nothing(spark):
+    """Ranked queries are lazy: with the store built, no job runs before an action."""
+    E.queries()["headcount_top"](spark, SF).collect()
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    for name in ("compare_total", "domain_order", "specials_last", "exclude_groups", "compare_left", "known_first",
+                 "numeric_sort", "top_split", "pair_order", "flagged_groups", "freq_by_label"):
+        E.queries()[name](spark, SF)
+    assert len(tracker.getJobIdsForGroup("lazy")) == 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_denormalize_on_the_shuffle_plan(spark, duck):
+    """The same rows with broadcasts switched off."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("denormalize", "denormalize_periods", "keep_groups"):
+            test_query_matches_oracle(spark, duck, name)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_edge_values_reach_the_rules(spark):
+    """Queries that can only fail on unusual values see some."""
+    run = lambda name: E.queries()[name](spark, SF).collect()
+    assert run("merge_failure")
+    assert any(r["code"] == "REDACTED" for r in run("specials_last"))
+    assert any(r["label"].endswith(": Unknown") for r in run("code_label"))
+    names = {r["main_name"] for r in run("agency_names")}
+    assert names & {"AIR FORCE", "ARMY", "NAVY", "DEPARTMENT OF DEFENSE"}
+    assert any("MASTER'S" in r["category"] for r in run("education_comparison"))
+    assert any(r["text"] is None for r in run("denormalize_periods"))

@@ -13,7 +13,7 @@ from periodlens.operators import profile as PR
 from periodlens.operators import quality as Q
 from periodlens.operators.denorm import Dim, denormalize
 from periodlens.operators.joins import enrich_coalesce, exclude_groups, keep_groups
-from periodlens.operators.position import top_n, with_position
+from periodlens.operators.position import down, exact_median, running_total, top_n, up, with_position
 
 SNAP = "year int, agy string, code string, name string, employment string, salary string, line_no long"
 
@@ -27,20 +27,43 @@ def test_with_position_matches_sorted_order(spark):
     rows = [(rnd.randint(0, 50), f"k{i:04d}", rnd.choice(["a", "b", "c"])) for i in range(3000)]
     df = spark.createDataFrame(rows, "v int, k string, g string").repartition(7)
     want = {k: i + 1 for i, (v, k, g) in enumerate(sorted(rows, key=lambda r: (-r[0], r[1])))}
-    for limit in (0, 10_000):     # 0 forces the distributed path, 10 000 the proven-small path
-        got = {r["k"]: r["rank"] for r in
-               with_position(df, [F.desc("v"), "k"], "rank", single_task_rows=limit).collect()}
-        assert got == want
-        got_g = {r["k"]: r["pos"] for r in
-                 with_position(df, ["v", "k"], "pos", partition_by="g", single_task_rows=limit).collect()}
-        for g in "abc":
-            part = sorted([r for r in rows if r[2] == g], key=lambda r: (r[0], r[1]))
-            assert all(got_g[r[1]] == i + 1 for i, r in enumerate(part))
+    got = {r["k"]: r["rank"] for r in with_position(df, [down("v"), "k"], "rank").collect()}
+    assert got == want
+    got_g = {r["k"]: r["pos"] for r in with_position(df, ["v", "k"], "pos", partition_by="g").collect()}
+    for g in "abc":
+        part = sorted([r for r in rows if r[2] == g], key=lambda r: (r[0], r[1]))
+        assert all(got_g[r[1]] == i + 1 for i, r in enumerate(part))
+
+
+def test_with_position_keeps_null_groups_and_null_keys(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.choice([None, 1, 2, 3]), i, rnd.choice([None, "a"])) for i in range(700)]
+    df = spark.createDataFrame(rows, "v int, k int, g string").repartition(6)
+    got = {r["k"]: r["rank"] for r in with_position(df, [down("v"), up("k")], partition_by=["g"]).collect()}
+    assert len(got) == len(rows) and dict(with_position(df, ["k"]).dtypes)["rank"] == "bigint"
+    for g in (None, "a"):
+        part = sorted((r for r in rows if r[2] == g), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+        assert [got[r[1]] for r in part] == list(range(1, len(part) + 1))
+    assert with_position(df.limit(0), ["k"]).count() == 0
+
+
+def test_running_total_and_exact_median(spark):
+    rnd = random.Random(4)
+    rows = [(rnd.choice(["x", "y", None]), rnd.randint(-50, 50)) for _ in range(901)] + [("z", None)]
+    df = spark.createDataFrame(rows, "g string, v int")
+    import statistics
+    want = {g: float(statistics.median(v for h, v in rows if h == g and v is not None)) for g in ("x", "y", None)}
+    assert {r["g"]: r["m"] for r in exact_median(df, "v", "g", "m").collect()} == want
+    one = exact_median(df, "v", name="m").first()["m"]
+    assert one == float(statistics.median(v for _, v in rows if v is not None))
+    ids = spark.range(1000).repartition(5)
+    assert [r["t"] for r in running_total(ids, ["id"], F.col("id"), "t").orderBy("id").collect()] == [
+        i * (i + 1) // 2 for i in range(1000)]
 
 
 def test_top_n_ranks(spark):
     df = spark.createDataFrame([(i % 13, f"k{i}") for i in range(100)], "v int, k string")
-    got = [(r["rank"], r["k"]) for r in top_n(df, [F.desc("v"), "k"], 3).orderBy("rank").collect()]
+    got = [(r["rank"], r["k"]) for r in top_n(df, [down("v"), "k"], 3).orderBy("rank").collect()]
     assert got == [(1, "k12"), (2, "k25"), (3, "k38")]
 
 
@@ -208,9 +231,9 @@ def test_quality_checks(spark):
 def test_pair_order(spark):
     st = spark.createDataFrame([("A", "x", 3), ("A", "y", 2), ("B", "y", 5), ("B", "x", 1), ("C", "x", 1)],
                                "d string, k string, n long")
-    r = Q.pair_order(st, "d", "A", "B", ["k"], [F.desc("n"), "k"]).first()
+    r = Q.pair_order(st, "d", "A", "B", ["k"], [down("n"), "k"]).first()
     assert (r.n_first, r.n_second, r.mismatches, r.result) == (2, 2, 2, "mismatch")
-    r = Q.pair_order(st, "d", "A", "C", ["k"], [F.desc("n"), "k"]).first()
+    r = Q.pair_order(st, "d", "A", "C", ["k"], [down("n"), "k"]).first()
     assert r.result == "count mismatch"
 
 
@@ -292,3 +315,20 @@ def test_availability_exclude_matches_anti_join(spark):
     flagged = C.flagged_groups(df.where(a), "agy", "name")
     two = {r.status: tuple(r) for r in C.availability(exclude_groups(df, flagged, "agy"), "salary", b, a).collect()}
     assert one == two and one["Total Records"][2:4] == (1, 2)
+
+
+def test_quality_is_judged_on_exact_counts(spark):
+    """At 2.3 million rows one non-null value is no merge failure, and one null is worth a note."""
+    rows = spark.range(2_300_000).select(
+        F.lit("2025_March").alias("dataset_key"), F.lit("March").alias("quarter"), F.lit(2025).alias("year"),
+        F.lit("1").alias("employment"), F.when(F.col("id") == 0, "x").alias("loct"),
+        F.when(F.col("id") > 0, "x").alias("toat"))
+    rates = {r["field"]: r["severity"] for r in Q.null_rates(rows).collect()}
+    assert rates == {"loct": "warn", "toat": "info"}
+    assert Q.merge_failures(rows).count() == 0
+    assert Q.verdict(rows).first()["valid"]
+
+
+def test_keep_first_keeps_null_keys(spark):
+    df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), (None, 5, "z"), (None, 4, "w")], "k string, o int, t string")
+    assert {(r["k"], r["t"]) for r in PR.keep_first(df, "k", "o").collect()} == {("a", "y"), (None, "w")}
