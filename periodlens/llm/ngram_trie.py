@@ -196,7 +196,7 @@ def _by_share(batches) -> Iterator[tuple[int, list[tuple]]]:
 
 def _send_texts(blocks: int):
     """Texts by block: rows (row number in the message, fold, text)."""
-    def run(batches):
+    def texts_by_block(batches):
         for b in batches:
             for lo in range(0, b.num_rows, 2000):
                 part = b.slice(lo, 2000)
@@ -213,7 +213,7 @@ def _send_texts(blocks: int):
                         np.array([len(texts[i]) for i in mine], "<i8"),
                         np.frombuffer(b"".join(texts[i] for i in mine), np.uint8), level=3)))
                 yield _batch(out)
-    return run
+    return texts_by_block
 
 
 def _cuts(keys: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -290,7 +290,7 @@ class Block:
 
 
 def _send_counts(shares: int, hot: np.ndarray):
-    def run(batches):
+    def counts_by_shard(batches):
         cache = WordHashes()
         for block, rows in _by_share(batches):
             out = []
@@ -300,10 +300,10 @@ def _send_counts(shares: int, hot: np.ndarray):
                     yield _batch(out)
                     out = []
             yield _batch(out)
-    return run
+    return counts_by_shard
 
 
-def _answer(batches):
+def answers_by_block(batches):
     """Per shard: totals of its words for every block, and the codes of its bigrams from its trie."""
     for share, rows in _by_share(batches):
         words = [(peer, _unpack(raw, np.uint8, np.uint8)) for kind, peer, raw in rows if kind == 0]
@@ -364,7 +364,7 @@ def _score(shares: int, hot: np.ndarray, n_train: int, v_train: int, id_col: str
     """Per block: its documents' scores from the answers to its messages."""
     names = [id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
-    def run(batches):
+    def score_block(batches):
         cache = WordHashes()
         for _, rows in _by_share(batches):
             if not any(kind == 2 for kind, *_ in rows):
@@ -393,7 +393,7 @@ def _score(shares: int, hot: np.ndarray, n_train: int, v_train: int, id_col: str
                  pa.array(np.bincount(owner, count[w] > 0, n).astype(np.int64)), pa.array(np.full(n, n_train, np.int64)),
                  pa.array(np.bincount(owner, np.log10(base)[w], n)), pa.array(np.bincount(owner, pair[block.pair_of], n))],
                 names=names)
-    return run
+    return score_block
 
 
 def hot_words(docs: DataFrame, text_col: str) -> np.ndarray:
@@ -439,7 +439,7 @@ def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
 
     texts = rows.mapInArrow(_send_texts(blocks), _SCHEMA)
     counts = dealt(texts).mapInArrow(_send_counts(shares, hot), _SCHEMA)
-    answers = stored(dealt(counts).mapInArrow(_answer, _SCHEMA), "answers")
+    answers = stored(dealt(counts).mapInArrow(answers_by_block, _SCHEMA), "answers")
     stats = [np.frombuffer(r["raw"], "<i8") for r in answers.where("kind = 3").select("raw").collect()]
     n_train, v_train = (int(x) for x in np.sum(stats, axis=0)) if stats else (0, 0)
     schema = (f"`{id_col}` long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "

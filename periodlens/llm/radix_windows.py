@@ -184,7 +184,7 @@ def _send_grams(blocks: int, buckets: int):
         g, d = g[keep], d[keep]
         return _rows([(k, 0, _pack_grams(g[s], d[s])) for k, s in _slices(_share(g, buckets))], _OUT)
 
-    def run(batches):
+    def grams_by_bucket(batches):
         grams, docs, held = [], [], 0
         for b in batches:
             for ids, texts in _texts(b):
@@ -199,7 +199,7 @@ def _send_grams(blocks: int, buckets: int):
                     grams, docs, held = [], [], 0
         if held:
             yield flush(grams, docs)
-    return run
+    return grams_by_bucket
 
 
 def _by_share(batches) -> Iterator[tuple[int, Iterator[tuple[int, bytes]]]]:
@@ -212,7 +212,7 @@ def _by_share(batches) -> Iterator[tuple[int, Iterator[tuple[int, bytes]]]]:
 
 def _repeated_grams(blocks: int):
     """Step 1, reduce: grams of at least two documents, by the blocks that hold them."""
-    def run(batches):
+    def repeated_grams_by_block(batches):
         for _, rows in _by_share(batches):
             got = [_unpack_grams(r, "<u4") for _, r in rows]
             g, d = np.concatenate([x[0] for x in got]), np.concatenate([x[1] for x in got])
@@ -224,12 +224,12 @@ def _repeated_grams(blocks: int):
             g, block = g[keep], (d[keep] % blocks).astype(np.int64)
             order = np.lexsort((g, block))
             yield _rows([(k, 0, _pack_grams(g[order][s])) for k, s in _slices(block[order])], _OUT)
-    return run
+    return repeated_grams_by_block
 
 
 def _send_texts(blocks: int):
     """Texts by block, packed."""
-    def run(batches):
+    def texts_by_block(batches):
         for b in batches:
             for ids, texts in _texts(b):
                 block = (_doc_hash(ids) % blocks).astype(np.int64)
@@ -240,7 +240,7 @@ def _send_texts(blocks: int):
                     out.append((k, 1, _pack(ids[order[s]], np.array([len(t) for t in mine], "<i8"),
                                             np.frombuffer(b"".join(mine), np.uint8))))
                 yield _rows(out, _OUT)
-    return run
+    return texts_by_block
 
 
 def _unpack_texts(raw: bytes) -> tuple[np.ndarray, list[bytes]]:
@@ -280,7 +280,7 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def _send_runs(buckets: int):
     """Step 2: the distinct runs of a block whose gram is repeated, by bucket."""
-    def run(batches):
+    def runs_by_bucket(batches):
         for block, rows in _by_share(batches):
             grams, found = [np.zeros(0, np.uint64)], []
             for kind, raw in rows:
@@ -327,7 +327,7 @@ def _send_runs(buckets: int):
                 out.append((k, 0, _pack(np.full(1, block, "<i8"), f_sub[by_sub], key[f], low[f], m.astype(np.uint8),
                                         count[f], body[_ragged(begin[f], size[f])])))
             yield _rows(out, _OUT)
-    return run
+    return runs_by_bucket
 
 
 def _low_high(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -359,7 +359,7 @@ def _sort_suffixes(body: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.
 
 def _mark():
     """Step 3: for each run of a bucket the windows that a smaller document has, by block."""
-    def run(batches):
+    def marks_by_block(batches):
         for _, rows in _by_share(batches):
             got = [_unpack(r, "<i8", np.uint8, "<u8", "<i8", np.uint8, np.uint8, np.uint8) for _, r in rows]
             marks = [_mark_part([_part(x, sub) for x in got]) for sub in range(SUBS)]
@@ -367,7 +367,7 @@ def _mark():
             order = np.argsort(block, kind="stable")
             yield _rows([(k, 0, _pack(key[order[s]], mask[order[s]].astype("<u4"), low[order[s]]))
                          for k, s in _slices(block[order])], _OUT)
-    return run
+    return marks_by_block
 
 
 def _part(message: list[np.ndarray], sub: int) -> tuple[np.ndarray, ...]:
@@ -402,7 +402,7 @@ def _mark_part(got: list[tuple]) -> tuple[np.ndarray, ...]:
 
 def _cut(id_col: str, with_text: bool):
     """Step 4: the ranges of bytes to remove of a block's texts."""
-    def run(batches):
+    def cut_texts(batches):
         for _, rows in _by_share(batches):
             marks, known = [], None
             for kind, raw in rows:
@@ -435,7 +435,7 @@ def _cut(id_col: str, with_text: bool):
                                 np.add.at(gone[i], w, 1)
                                 np.add.at(gone[i], w + LENGTH, -1)
                 yield pa.RecordBatch.from_arrays([pa.array(ids), *_report(texts, gone, with_text)], names=_names(id_col, with_text))
-    return run
+    return cut_texts
 
 
 def _names(id_col: str, with_text: bool) -> list[str]:
@@ -460,14 +460,14 @@ def _report(texts: list[bytes], gone: list[np.ndarray | None], with_text: bool)
 
 def _untouched(with_text: bool):
     """Rows that have no window or no id."""
-    def run(batches):
+    def untouched_texts(batches):
         for b in batches:
             rows = [(d, t or b"") for d, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist())
                     if d is None or not t or len(t) < LENGTH]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([d for d, _ in rows], pa.int64()), *_report([t for _, t in rows], [None] * len(rows), with_text)],
                 names=_names(b.schema.names[0], with_text))
-    return run
+    return untouched_texts
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
