@@ -114,7 +114,8 @@ def _runs(buf: np.ndarray, parts) -> tuple[np.ndarray, ...]:
     anchor = (least[s] & _PLACE).astype(np.int64)
     new = np.flatnonzero(np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1]))))
     count = np.diff(np.concatenate((new, [len(s)])))
-    return h[anchor[new]] >> _U(16), s[new], count, part[new]
+    # anchors are least hashes, so they are mixed once more for an even spread over the buckets
+    return mix(h[anchor[new]]) >> _U(16), s[new], count, part[new]
 
 
 def _doc_hash(doc: np.ndarray) -> np.ndarray:
