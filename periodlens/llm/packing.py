@@ -19,6 +19,7 @@ equal ids are separate documents; a null id is kept as null; other columns are i
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,10 +35,14 @@ SHARD_TOKENS = 2_000_000
 QUERY_TERMS = 16
 SALTS = 32
 K1, B = 1.2, 0.75
-COMMON_IDS = 4000             # ids below are frequent merges and don't route
+COMMON_IDS = 1000             # ids below are bytes and frequent merges: they neither route nor are indexed
 CACHE_WORDS = 1_500_000
 
 
+# A word with an ASCII letter before its last characters, all of them ASCII punctuation but the apostrophe.
+_PUNCTUATED = re.compile(rb"(.*[a-z])([!-&(-/:-@\[-`{-~]+)", re.S)
+
+
 class Encoder(dict):
     """Token ids of words as little-endian 16-bit integers; encodes the words it has not seen in batches.
 
@@ -57,12 +62,12 @@ class Encoder(dict):
         split = [(t.lower() if b"<|" not in t else t).split() for t in (t or b"" for t in texts)]
         if len(self) > CACHE_WORDS:
             self.clear()
-        new = {w for ws in split for w in ws if w not in self}
-        # a full stop or comma after a letter is a token of its own, so the word before it is enough
-        ends = {w for w in new if w[-1:] in (b".", b",") and w[-2:-1].isalpha()}
-        self._encode((new - ends) | {b".", b","} | {w[:-1] for w in ends})
-        for w in ends:
-            self[w] = self[w[:-1]] + self[w[-1:]]
+        new = set().union(*split) - self.keys()
+        # punctuation after a letter is split off by the tokenizer, so both parts can be encoded alone
+        ends = {w: m.groups() for w in new if b"<|" not in w and (m := _PUNCTUATED.fullmatch(w))}
+        self._encode({w for w in new if w not in ends}.union(*ends.values()))
+        for w, (stem, end) in ends.items():
+            self[w] = self[stem] + self[end]
         return [b"".join(map(self.__getitem__, ws)) for ws in split]
 
     def _encode(self, words: set[bytes]) -> None:
@@ -113,7 +118,8 @@ class Shard:
 
     def __init__(self, docs: list[np.ndarray]):
         self.size = len(docs)
-        terms, counts = zip(*(np.unique(d, return_counts=True) for d in docs))
+        # frequent ids weigh next to nothing: only the others are indexed
+        terms, counts = zip(*(np.unique(d[d >= COMMON_IDS], return_counts=True) for d in docs))
         sizes = np.fromiter(map(len, docs), np.float64, self.size)
         each = np.fromiter(map(len, terms), np.int64, self.size)
         doc = np.repeat(np.arange(self.size), each)
@@ -142,6 +148,8 @@ class Shard:
     def neighbours(self, doc: int) -> Iterator[int]:
         """Unused documents by falling BM25 score for the document's heaviest terms."""
         spans = [slice(self.start[t], self.start[t + 1]) for t in self.query[doc]]
+        if not spans:
+            return
         score = np.bincount(np.concatenate([self.doc[s] for s in spans]),
                             np.concatenate([self.weight[s] for s in spans]), self.size)
         score[~self.unused] = 0
