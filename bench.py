@@ -1,7 +1,9 @@
 """Benchmark: headline queries on $BENCH_SF_DIR with local[$BENCH_CPUS].
 
 Each query is executed to completion with the no-op sink (no driver collection), once to
-warm up and then $BENCH_REPS times; the per-query figure is the median.  Prints one JSON line.
+warm up and then $BENCH_REPS times; the per-query figure is the median.  ``store_build`` is the
+scan, join and write behind the snapshot store that most queries read, and ``*_plain`` are two-period
+queries over the source tables, without that store.  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -14,8 +16,14 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from periodlens.plans.catalog import QUERIES  # noqa: E402
-from periodlens.session import local_session  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from periodlens.operators import compare as C  # noqa: E402
+from periodlens.operators import profile as P  # noqa: E402
+from periodlens.plans.catalog import AFTER, BEFORE, QUERIES  # noqa: E402
+from periodlens.session import local_session, scratch_path  # noqa: E402
+from periodlens.sources.sinks import cluster_for_write  # noqa: E402
+from periodlens.sources.tables import snapshot_facts  # noqa: E402
 
 HEADLINE = (
     "compare_total", "headcount_top", "mean_by_group", "numeric_summary", "denormalize",
@@ -25,6 +33,31 @@ HEADLINE = (
 )
 
 
+def plain(spark, sf_dir):
+    """Facts of the two periods straight from the source tables."""
+    return snapshot_facts(spark, sf_dir, [BEFORE, AFTER], store=False)
+
+
+def compare_total_plain(spark, sf_dir):
+    return C.comparison_table(plain(spark, sf_dir), "agelvlt", F.col("year") == BEFORE, F.col("year") == AFTER)
+
+
+def redaction_profile_plain(spark, sf_dir):
+    return P.redaction_profile(plain(spark, sf_dir), F.col("year") == BEFORE, F.col("year") == AFTER)
+
+
+def availability_plain(spark, sf_dir):
+    return C.availability(plain(spark, sf_dir), "salary", F.col("year") == BEFORE, F.col("year") == AFTER)
+
+
+PLAIN = {f.__name__: f for f in (compare_total_plain, redaction_profile_plain, availability_plain)}
+
+
+def store_build(spark, sf_dir) -> None:
+    (cluster_for_write(snapshot_facts(spark, sf_dir, store=False), ["year", "quarter"]).write.mode("overwrite")
+     .partitionBy("year", "quarter").option("compression", "zstd").parquet(scratch_path(spark, "bench-store")))
+
+
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -34,17 +67,18 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     reps = int(os.environ.get("BENCH_REPS", "3"))
     names = os.environ.get("BENCH_QUERIES")
-    names = names.split(",") if names else list(HEADLINE)
+    names = names.split(",") if names else ["store_build", *HEADLINE, *PLAIN]
     spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", "16")),
                           driver_memory=os.environ.get("BENCH_MEM", "16g"))
     times = {}
     for name in names:
-        fn = QUERIES[name]
-        run(fn(spark, sf_dir))                     # warm-up
+        query = {**QUERIES, **PLAIN}.get(name)
+        once = (lambda: store_build(spark, sf_dir)) if name == "store_build" else (lambda q=query: run(q(spark, sf_dir)))
+        once()                                     # warm-up
         samples = []
         for _ in range(reps):
             t0 = time.perf_counter()
-            run(fn(spark, sf_dir))                 # plan building (incl. size checks) + execution
+            once()                                 # plan building + execution
             samples.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(samples), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")

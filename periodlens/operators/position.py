@@ -68,7 +68,7 @@ def running_total(df: DataFrame, order_by, weight: Column, name: str, partition_
     rows = df.select(F.struct(*df.columns).alias("row"), key.alias("key"), weight.cast("bigint").alias("weight"),
                      *[F.col(p).alias(f"p{i}") for i, p in enumerate(parts)])
     groups = [f"p{i}" for i in range(len(parts))]
-    picked = rows.select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(RANGES)
+    picked = rows.select("key").orderBy(F.xxhash64("key"), "key").limit(RANGES)
     in_order = F.array_sort(F.collect_list("key"), lambda a, b: F.when(_precedes(a, b, keys), -1)
                             .when(_precedes(b, a, keys), 1).otherwise(0))
     rows = rows.withColumn("bounds", picked.agg(in_order).scalar())

@@ -487,6 +487,28 @@ def grade_transitions(spark, d):
     return matrix
 
 
+def _transition_table(spark, d, kind, name):
+    from periodlens.plans import reports as R
+    years = sorted({y for _, b, a in TRANSITIONS for y in (b, a)})
+    return R.transition_tables(_facts(spark, d, years), TRANSITIONS, kind=kind, period_col="year")[name]
+
+
+def transition_age(spark, d):
+    return _transition_table(spark, d, "age", "all")
+
+
+def transition_grade_top(spark, d):
+    return _transition_table(spark, d, "grade", "top")
+
+
+def transition_grade_rest(spark, d):
+    return _transition_table(spark, d, "grade", "rest")
+
+
+def transition_appointment(spark, d):
+    return _transition_table(spark, d, "appointment", "all")
+
+
 def agency_trend(spark, d):
     from periodlens.plans import reports as R
     trend_, _, _, _ = R.agency_trend(_facts(spark, d), TREND_AGYSUB)
@@ -572,6 +594,79 @@ def delimited_ingest(spark, d):
         F.count(safe_int("salary")).alias("salary_valid"), F.count("pp").alias("pp_present"))
 
 
+def _lookup_csv_dir(spark, d) -> str:
+    """An appointment code table per period, with padded codes and a later line that must not win."""
+    import uuid
+    from periodlens.session import scratch_path
+    base = scratch_path(spark, f"lookup-files-{uuid.uuid4().hex}")
+    per = _facts(spark, d).groupBy("quarter", "year", "toa", "toat").agg(F.lit(0).alias("line"))
+    rows = per.unionByName(per.withColumn("toat", F.concat(F.lit("later "), "toat")).withColumn("line", F.lit(1)))
+    period = F.concat(F.col("quarter"), F.lit("_"), F.col("year").cast("string"))
+    (rows.select(period.alias("period"), F.concat(F.lit(" "), "toa", F.lit(" ")).alias("TOA"), F.col("toat").alias("TOAT"),
+                 "line").repartition("period").sortWithinPartitions("period", "line", "TOA").drop("line")
+     .write.partitionBy("period").option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(base))
+    return base
+
+
+def snapshot_build(spark, d):
+    """Fact and lookup files to a written store, its read-back and manifest."""
+    import uuid
+    from periodlens.plans import reports as R
+    from periodlens.session import scratch_path
+    facts = _written(spark, ("fact-files", d), lambda: _fact_csv_dir(spark, d))
+    lookup = _written(spark, ("lookup-files", d), lambda: _lookup_csv_dir(spark, d))
+    snap, man, check = R.build_snapshots(spark, facts, {"DTtoa": lookup},
+                                         scratch_path(spark, f"snapshot-build-{uuid.uuid4().hex}"))
+    per = snap.groupBy("dataset_key", "year", "quarter").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("toat").alias("described"),
+        F.count_if(F.col("toat").startswith("later")).alias("later_wins"))
+    sizes = man.groupBy("dataset_key").agg(F.sum("records").alias("records"), F.sum("bad_records").alias("bad_records"))
+    return (per.join(sizes, "dataset_key").join(check.select("year", "quarter", "rows_read", "complete"), ["year", "quarter"])
+            .select("dataset_key", "rows", "described", "later_wins", "records", "bad_records", "rows_read", "complete"))
+
+
+def alternate_build(spark, d):
+    """S3, R2: pipe files of one period to a conformed snapshot and its profile."""
+    import uuid
+    from periodlens.plans import reports as R
+    from periodlens.session import scratch_path
+
+    def write():
+        path = scratch_path(spark, f"pipe-files-{uuid.uuid4().hex}")
+        f = _status_period(_facts(spark, d), STATUS_CURRENT)
+        names = {"agy": "AGY", "agysub": "AGYSUB", "agysubt": "AGYT", "loc": "LOC", "loct": "STATET", "agelvlt": "AGELVLT",
+                 "employment": "COUNT", "salary": "SALARY"}
+        (f.select(*[F.col(c).alias(n) for c, n in names.items()]).write.option("header", True).option("sep", "|")
+         .option("quoteAll", True).csv(path))
+        return path
+
+    path = _written(spark, ("pipe-files", d), write)
+    snap, per_file, profile = R.build_alternate(spark, [path], int(STATUS_CURRENT[:4]), MONTH_QUARTERS[STATUS_CURRENT[4:]])
+    cells = per_file.agg(F.sum("redacted_cells").alias("redacted_cells"), F.sum("rows").alias("file_rows"))
+    locs = snap.agg(F.countDistinct("loc").alias("locations"), F.min(F.length("loc")).alias("shortest_loc"))
+    return profile.crossJoin(F.broadcast(cells)).crossJoin(F.broadcast(locs))      # one row each
+
+
+def csv_sink(spark, d):
+    """A comparison written as CSV and read back."""
+    import uuid
+    from periodlens.session import scratch_path
+    from periodlens.sources.sinks import write_csv
+
+    def write():
+        path = scratch_path(spark, f"comparison-{uuid.uuid4().hex}")
+        write_csv(compare_full(spark, d), path, single_file=True)
+        return path
+
+    schema = "category string, before bigint, after bigint, change bigint, pct_change double"
+    return spark.read.schema(schema).option("header", True).csv(_written(spark, ("csv-sink", d), write))
+
+
+def _status_period(f: DataFrame, code: str) -> DataFrame:
+    return f.where((F.col("year") == int(code[:4])) & (F.col("quarter") == MONTH_QUARTERS[code[4:]]))
+
+
 def _status_tsv_dir(spark, d) -> str:
     import uuid
     from periodlens.session import scratch_path
@@ -669,4 +764,11 @@ QUERIES = {
     "parquet_union": parquet_union,
     "delimited_ingest": delimited_ingest,
     "status_round_trip": status_round_trip,
+    "snapshot_build": snapshot_build,
+    "alternate_build": alternate_build,
+    "csv_sink": csv_sink,
+    "transition_age": transition_age,
+    "transition_grade_top": transition_grade_top,
+    "transition_grade_rest": transition_grade_rest,
+    "transition_appointment": transition_appointment,
 }

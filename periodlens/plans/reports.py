@@ -18,7 +18,8 @@ from periodlens.operators import pivot as PV
 from periodlens.operators import profile as PR
 from periodlens.operators import quality as Q
 from periodlens.operators.denorm import Dim, denormalize
-from periodlens.operators.joins import enrich_coalesce, exclude_groups, keep_groups
+from periodlens.operators.joins import enrich_coalesce, keep_groups
+from periodlens.operators.position import up, with_position
 from periodlens.sources import files as S
 from periodlens.sources import sinks as K
 
@@ -64,6 +65,8 @@ STATUS_DISPLAY_NAMES = {
 }
 # Code and description fields whose coverage the validation run reports.
 DIMENSION_PAIRS = tuple((key, rename.get(carry[0], carry[0])) for _, key, carry, rename in WORKFORCE_DIMS if carry)
+# Columns that tell where a record came from.
+LINEAGE = ("source_file", "source_size", "corrupt_record")
 # Codes that are zero-padded to two characters on both sides of the join.
 PADDED_CODES = ("loc",)
 # ----------------------------------------------------------------------------
@@ -81,8 +84,7 @@ def workforce_dims(lookups: dict) -> list[Dim]:
         if key in PADDED_CODES:
             lk = CF.pad_codes(lk, [key])
         cols = carry if carry else tuple(c for c in lk.columns
-                                         if c not in (key, "dataset_key", "quarter", "year", "line_no",
-                                                      "source_file", "source_size"))
+                                         if c not in (key, "dataset_key", "quarter", "year", "line_no", *LINEAGE))
         cols = tuple(c for c in cols if c in lk.columns)
         dims.append(Dim(kind, lk, ("dataset_key", key), ("dataset_key", key), cols, rename=dict(rename),
                         order="line_no"))
@@ -94,9 +96,13 @@ def build_snapshots(spark: SparkSession, fact_paths, lookup_paths: dict, out_pat
 
     ``lookup_paths`` maps a code-table kind to the files of that kind over all periods.
     Returns (snapshots, manifest, write_check or None); with ``out_path`` the snapshots and the
-    manifest are read from the written store.
+    manifest are read from the written store.  Records of files whose name gives no period are not
+    stored; the manifest lists them under a null period.
     """
     facts = S.read_facts(spark, fact_paths)
+    dated = F.col("year").isNotNull() & F.col("quarter").isNotNull()
+    rejected = K.manifest(facts.where(~dated).drop("corrupt_record"))
+    facts = facts.where(dated)
     facts = S.null_texts(S.trim_strings(facts))
     facts = CF.pad_codes(facts, [c for c in PADDED_CODES if c in facts.columns])
     lookups = {}
@@ -105,12 +111,12 @@ def build_snapshots(spark: SparkSession, fact_paths, lookup_paths: dict, out_pat
             lookups[kind] = S.null_texts(S.trim_strings(S.read_lookups(spark, paths)))
     snap = CF.add_aliases(denormalize(facts, workforce_dims(lookups)))
     if not out_path:
-        return snap.drop("source_file", "source_size"), K.manifest(snap), None
-    # The store keeps the two lineage columns, so the manifest is a narrow columnar read of the
+        return snap.drop(*LINEAGE), K.manifest(snap).unionByName(rejected), None
+    # The store keeps the lineage columns, so the manifest is a narrow columnar read of the
     # written store instead of a second pass over the delimited sources.
     check = K.write_snapshots(snap, out_path)
-    store = S.read_snapshots(spark, out_path)
-    return store.drop("source_file", "source_size"), K.manifest(store), check
+    store = S.read_snapshots(spark, out_path, schema=snap.schema)
+    return store.drop(*LINEAGE), K.manifest(store).unionByName(rejected), check
 
 
 def build_from_directory(spark: SparkSession, base: str, out_path: str | None = None):
@@ -132,9 +138,9 @@ def build_alternate(spark: SparkSession, paths, year: int, quarter: str,
     value_cols = [c for c in raw.columns if c not in ("source_file", "source_size")]
     # one aggregation per file: rows, redacted cells (A8) and distinct agencies
     redacted = F.expr(" + ".join(f"CAST(coalesce(`{c}` = 'REDACTED', false) AS INT)" for c in value_cols))
+    agencies = [F.countDistinct("AGYT").alias("n_distinct_AGYT")] if "AGYT" in raw.columns else []
     per_file = (raw.groupBy("source_file")
-                .agg(F.count(F.lit(1)).alias("rows"), F.sum(redacted).cast("bigint").alias("redacted_cells"),
-                     F.countDistinct("AGY").alias("n_distinct_AGY"))
+                .agg(F.count(F.lit(1)).alias("rows"), F.sum(redacted).cast("bigint").alias("redacted_cells"), *agencies)
                 .withColumn("cell_pct", F.round(F.col("redacted_cells") / (F.col("rows") * len(value_cols)) * 100.0, 4)))
     snap = CF.rename_columns(raw, CF.ALTERNATE_RENAMES)
     snap = snap.withColumns({"dataset_key": F.lit(f"{year}_{quarter}"), "quarter": F.lit(quarter),
@@ -147,6 +153,13 @@ def build_alternate(spark: SparkSession, paths, year: int, quarter: str,
     return snap, per_file, profile
 
 
+def alternate_checks(snap: DataFrame) -> dict:
+    """R2's checks of a snapshot: its ten largest agencies, fields that are over 90 % redacted, its row count."""
+    return {"top_agencies": PR.headcount_top(snap, "agysubt", 10),
+            "high_redaction": PR.high_redaction_columns(snap, threshold_pct=90.0),
+            "row_range": Q.row_range(snap)}
+
+
 # --- R3-R10: two-period comparisons --------------------------------------------------------
 
 def age_comparison(snap: DataFrame, before: Column, after: Column) -> DataFrame:
@@ -227,6 +240,22 @@ def transition_analysis(snap: DataFrame, transitions, kind: str = "age", period_
     return matrix, totals, extra
 
 
+def transition_tables(snap: DataFrame, transitions, kind: str = "age", period_col: str = "datecode") -> dict:
+    """R11's display tables, each with a rank: age bands in the known order; plan-grades as the top 50 and
+    the rest, by the last transition's percent ascending; appointments as sorted 'code: description' rows."""
+    matrix, _, extra = transition_analysis(snap, transitions, kind, period_col)
+    if kind == "age":
+        return {"all": O.rank_known_first(matrix, "category", O.AGE_ORDER)}
+    if kind == "grade":
+        split = matrix.join(extra.select("category", "is_top"), "category")
+        order = [up(f"{transitions[-1][0]}_pct"), "category"]
+        return {name: with_position(split.where(pick).drop("is_top"), order)
+                for name, pick in (("top", F.col("is_top")), ("rest", ~F.col("is_top")))}
+    labelled = matrix.join(extra, matrix["category"] == extra["code"], "left")
+    shown = labelled.withColumn("category", F.coalesce("label", "category")).drop("label", "code")
+    return {"all": with_position(shown, ["category"])}
+
+
 def agency_trend(snap: DataFrame, agysub: str, descriptions: DataFrame | None = None):
     """One sub-agency over all periods: totals, appointment mix (with full descriptions
     where known), appointment class per code and the nonpermanent split.
@@ -295,17 +324,19 @@ def status_pair_check(spark: SparkSession, path: str, first: str, second: str) -
 
 # --- R14 / R15 -----------------------------------------------------------------------------
 
-def examples_battery(snap: DataFrame) -> dict:
-    """The usage examples as named DataFrames."""
+def examples_battery(snap: DataFrame, before: Column | None = None, after: Column | None = None) -> dict:
+    """The usage examples as named DataFrames; with two periods also the redaction profile."""
     out = {
         "top_agencies": PR.headcount_top(snap, "agysubt", 10),
         "salary_by_education": PR.mean_by_group(snap, "edlvlt", "salary", 5),
         "by_period": PR.headcount_by(snap, ["year", "quarter"]),
         "salary_summary": PR.numeric_summary(snap, "salary"),
     }
-    for col in ("loct", "patcot", "agelvlt", "supervist", "wrkscht"):
+    for col, how in (("loct", {"n": 5}), ("patcot", {}), ("agelvlt", {"by_label": True}), ("supervist", {}), ("wrkscht", {})):
         if col in snap.columns:
-            out[f"share_{col}"] = PR.frequency_share(snap, col)
+            out[f"share_{col}"] = PR.frequency_share(snap, col, **how)
+    if before is not None and after is not None:
+        out["redaction"] = PR.redaction_profile(snap, before, after)
     return out
 
 

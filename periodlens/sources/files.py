@@ -27,6 +27,8 @@ LATIN1 = "ISO-8859-1"
 DUPLICATE_HEADER_NAMES = {("occ", 2): "occfam"}
 # Cell texts that stand for a missing value after text conversion.
 NULL_TEXTS = ("nan", "None")
+# Column with the text of a malformed record.
+CORRUPT = "corrupt_record"
 # Status table numeric columns and their types; every other column is text.
 STATUS_TYPES = {"DATECODE": T.IntegerType(), "EMPCOUNT": T.LongType(), "AVGSAL": T.LongType(),
                 "AVGLOS": T.DoubleType()}
@@ -63,7 +65,7 @@ def first_lines(spark: SparkSession, paths, encoding: str = "UTF-8", threads: in
     files = sorted(set(spark.read.text(paths).inputFiles()))
 
     def head(path):
-        rows = spark.read.text(path).take(1)
+        rows = spark.read.text(path).select(F.decode(F.col("value").cast("binary"), encoding)).take(1)
         return path, (rows[0][0] if rows else "")
 
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
@@ -76,14 +78,15 @@ def _split_header(line: str, sep: str, quote: str) -> list[str]:
 
 def read_delimited(spark: SparkSession, paths, sep: str = ",", quote: str = '"',
                    encoding: str = "UTF-8", header_map=None, types: dict | None = None,
-                   with_source: bool = True, line_numbers: bool = False) -> DataFrame:
+                   with_source: bool = True, line_numbers: bool = False, report_corrupt: bool = False) -> DataFrame:
     """All-text scan of delimited files whose headers may differ.
 
     Files are grouped by normalised header; each group is one scan with an explicit schema
     (header line skipped), then groups are unioned by name with missing columns as null.
     ``header_map`` turns a raw header list into names (default: ``normalized_names``).
     ``with_source`` adds ``source_file`` / ``source_size``; ``line_numbers`` adds ``line_no``
-    (increasing in file order within each file).
+    (increasing in file order within each file).  ``report_corrupt`` adds ``corrupt_record``: the whole
+    text of a record whose cells don't match the header (null for the others).
     """
     header_map = header_map or normalized_names
     types = types or {}
@@ -95,8 +98,11 @@ def read_delimited(spark: SparkSession, paths, sep: str = ",", quote: str = '"',
     frames = []
     for names, files in groups.items():
         schema = T.StructType([T.StructField(n, types.get(n, T.StringType()), True) for n in names])
+        if report_corrupt:
+            schema = schema.add(CORRUPT, T.StringType())
         df = (spark.read.schema(schema).option("header", True).option("sep", sep).option("quote", quote)
               .option("escape", quote).option("encoding", encoding).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT)
               .option("enforceSchema", True).csv(files))
         extra = {}
         if with_source:
@@ -152,7 +158,7 @@ def discover_files(spark: SparkSession, base: str) -> dict:
 
 def read_facts(spark: SparkSession, paths, encoding: str = LATIN1, segments=(1, 2, 3)) -> DataFrame:
     """History fact files: comma, latin-1, header, all text, period from the path."""
-    df = read_delimited(spark, paths, ",", '"', encoding)
+    df = read_delimited(spark, paths, ",", '"', encoding, report_corrupt=True)
     return with_period(df, segments=segments)
 
 
@@ -173,12 +179,16 @@ def read_status_table(spark: SparkSession, path, line_numbers: bool = True) -> D
                           types=STATUS_TYPES, with_source=False, line_numbers=line_numbers)
 
 
-def read_snapshots(spark: SparkSession, paths, view: str | None = None, with_source: bool = False) -> DataFrame:
+def read_snapshots(spark: SparkSession, paths, view: str | None = None, with_source: bool = False,
+                   schema=None) -> DataFrame:
     """Parquet snapshots of any era, merged by column name (S5, S6); optional temp view.
 
+    With an explicit ``schema`` no footer is read to find one.
+
     ``with_source`` adds the ``source_file`` path of every row (lineage for manifests)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.option("mergeSchema", "true").parquet(*paths)
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", "true")
+    df = reader.parquet(*paths)
     if with_source:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
     if view:

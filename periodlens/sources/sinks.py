@@ -68,8 +68,9 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def manifest(df: DataFrame, by: str = "dataset_key") -> DataFrame:
-    """Per period and source file: records and size in MB."""
-    return (df.groupBy(by, "source_file", "source_size").agg(F.count(F.lit(1)).alias("records"))
+    """Per period and source file: records, malformed records and size in MB."""
+    bad = F.count("corrupt_record") if "corrupt_record" in df.columns else F.lit(0).cast("bigint")
+    return (df.groupBy(by, "source_file", "source_size").agg(F.count(F.lit(1)).alias("records"), bad.alias("bad_records"))
             .withColumn("size_mb", F.round(F.col("source_size") / (1024.0 * 1024.0), 2)))
 
 
