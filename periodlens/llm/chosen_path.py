@@ -10,7 +10,7 @@ token there: 1.25 branches on average, the inverse of the threshold, which keeps
 in expectation.  From level ``FIRST`` on, every second level counts the sets of each path.
 Paths with at most ``SMALL`` sets are compared exhaustively; larger ones are compared with their
 least set and recurse, up to level ``LAST``, where what is still too large is compared with its least set
-and with ``SMALL`` neighbours in an order of the tree's own.  A pair at 0.8 lives to the first count with
+and with ``NEIGHBOURS`` others in the order of the path's next levels.  A pair at 0.8 lives to the first count with
 probability 0.55 a tree, so the ``TREES`` independent trees find it with more than 0.998; pairs above are
 likelier.  Work and rows are linear in the sets, however large a group of copies.
 
@@ -44,6 +44,7 @@ WORDS, PERCENT = 5, 80
 TOKENS, TREES = 64, 8
 FIRST, STEP, LAST = 5, 2, 11
 SMALL = 24
+DEEPER, NEIGHBOURS = 3, 5     # in paths that stay large: levels that order the sets, and how many before a set it meets
 SLACK = 0.15                  # how far below the threshold a sketch may estimate a pair
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -126,15 +127,19 @@ def profiles(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFra
     return docs.select(id_col, text_col, F.xxhash64(text_col).alias("_th")).mapInArrow(run, schema)
 
 
-def branch(keys: np.ndarray, sig: np.ndarray, rows: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray]:
-    """Paths and rows after some more levels: keys[i] is a path of the set whose tokens are sig[rows[i]]."""
+def branch(keys: np.ndarray, sig: np.ndarray, rows: np.ndarray, levels: int,
+           both: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Paths and rows after some more levels: keys[i] is a path of the set whose tokens are sig[rows[i]].
+
+    Without ``both`` only the first branch of a node is followed.
+    """
     with np.errstate(over="ignore"):
         for _ in range(levels):
             coin = mix(keys ^ _M2)
             first = (coin % np.uint64(TOKENS)).astype(np.int64)
             second = ((coin >> np.uint64(16)) % np.uint64(TOKENS - 1)).astype(np.int64)
             second = (first + 1 + second) % TOKENS
-            two = np.flatnonzero((coin >> np.uint64(40)) & np.uint64(3) == 0)
+            two = np.flatnonzero((coin >> np.uint64(40)) & np.uint64(3) == 0) if both else np.zeros(0, np.int64)
             at = np.concatenate((first, second[two]))
             parent = np.concatenate((keys, keys[two]))
             rows = np.concatenate((rows, rows[two]))
@@ -143,7 +148,10 @@ def branch(keys: np.ndarray, sig: np.ndarray, rows: np.ndarray, levels: int) ->
 
 
 def _descend(rows: DataFrame, levels: int, start: bool) -> DataFrame:
-    """(key, x) after some levels: from every tree's root if ``start``, else from the rows' own key."""
+    """(key, x, deep) after some levels: from every tree's root if ``start``, else from the rows' own key.
+
+    deep is the path some levels further down: sets that share it are likely more similar than others of the key.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 5000):
@@ -154,15 +162,17 @@ def _descend(rows: DataFrame, levels: int, start: bool) -> DataFrame:
                 if start:
                     for tree in range(TREES):
                         root = mix(np.full(len(x), 1000 + tree, np.uint64))
-                        yield out(*branch(root, sig, own, levels), x)
+                        yield out(*branch(root, sig, own, levels), sig, x)
                 else:
                     keys = part.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
-                    yield out(*branch(keys, sig, own, levels), x)
+                    yield out(*branch(keys, sig, own, levels), sig, x)
 
-    def out(keys, at, x):
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(x[at])], names=["key", "x"])
+    def out(keys, at, sig, x):
+        deep, _ = branch(keys, sig, at, DEEPER, both=False)
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(x[at]), pa.array(deep.view(np.int64))],
+                                          names=["key", "x", "deep"])
 
-    return rows.mapInArrow(run, "key long, x long")
+    return rows.mapInArrow(run, "key long, x long, deep long")
 
 
 def _differ(a: str, b: str) -> str:
@@ -175,7 +185,7 @@ def _differ(a: str, b: str) -> str:
 
 
 def paths(sets: DataFrame) -> DataFrame:
-    """(key, x, n, low, last): the sets of every counted path with company, its size and its least set.
+    """(key, x, deep, n, low, last): the sets of every counted path with company, its size and its least set.
 
     Paths with more than ``SMALL`` sets are followed on, those of the last level (``last``) excepted.
     """
@@ -216,10 +226,10 @@ def met_pairs(nodes: DataFrame, groups: DataFrame) -> DataFrame:
     lows = of.select(F.col("x").alias("low"), F.col("c").alias("low_c"))
     to_low = large.join(lows, "low", "left").where("x <> low and c <> coalesce(low_c, low)").select(
         F.col("x").alias("a"), F.col("low").alias("b"))
-    w = Window.partitionBy("key").orderBy(F.xxhash64("x", "key"))
-    before = [F.lag(F.struct("x", "c"), i).over(w).alias(f"b{i}") for i in range(1, SMALL + 1)]
+    w = Window.partitionBy("key").orderBy("deep", F.xxhash64("x", "key"))
+    before = [F.lag(F.struct("x", "c"), i).over(w).alias(f"b{i}") for i in range(1, NEIGHBOURS + 1)]
     near = (large.where("last").select("x", "c", *before)
-            .select("x", "c", F.explode(F.array(*[f"b{i}" for i in range(1, SMALL + 1)])).alias("y"))
+            .select("x", "c", F.explode(F.array(*[f"b{i}" for i in range(1, NEIGHBOURS + 1)])).alias("y"))
             .where("y.c <> c").select(F.col("x").alias("a"), F.col("y.x").alias("b")))
     return (pairs.unionByName(to_low).unionByName(near)
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
