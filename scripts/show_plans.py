@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from periodlens.plans.catalog import QUERIES  # noqa: E402
 from periodlens.session import local_session  # noqa: E402
 
-SHOWN = ("compare_total", "exclude_groups", "compare_left", "denormalize", "dedupe_first", "name_map")
+SHOWN = ("compare_full", "denormalize", "dedupe_first", "name_map", "mean_by_group")
 
 
 def main() -> None:
