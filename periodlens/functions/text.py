@@ -22,6 +22,10 @@ NUMERIC_PREFIX_COLUMNS = ("edlvlt", "toat")
 # Appointment class words, tested in this order.
 NONPERMANENT = "NONPERMANENT"
 PERMANENT = "PERMANENT"
+# Main agency names by words of a sub-agency label, tested in this order, and the agency code with a name of its own.
+FORCE_PREFIX = "AF"
+AGENCY_WORDS = (("AIR FORCE", "AIR FORCE"), ("ARMY", "ARMY"), ("NAVAL", "NAVY"), ("NAVY", "NAVY"))
+AGENCY_CODES = {"DD": "DEPARTMENT OF DEFENSE"}
 # Placeholder for a missing description in a code label.
 UNKNOWN_LABEL = "Unknown"
 # ----------------------------------------------------------------------------
@@ -98,20 +102,18 @@ def code_label(code, desc) -> Column:
 def agency_display_name(code, name) -> Column:
     """Main agency name from a sub-agency label, by ordered rules.
 
-    'AFxx-AIR FORCE ...' → first two words after the dash; contains AIR FORCE → AIR FORCE;
-    ARMY → ARMY; NAVAL/NAVY → NAVY; code DD → DEPARTMENT OF DEFENSE; else the label;
-    a null label falls back to the code.
+    A label with the force prefix gives the first two words after its dash; else the first of ``AGENCY_WORDS``
+    that it contains decides, then ``AGENCY_CODES``, then the label itself; a null label falls back to the code.
     """
     code, name = as_col(code), as_col(name)
     after_dash = F.split(name, "-", 2).getItem(1)
     two_words = F.array_join(F.slice(F.split(after_dash, " "), 1, 2), " ")
-    return (F.when(name.isNull(), code)
-            .when(name.startswith("AF") & name.contains("-"), two_words)
-            .when(name.contains("AIR FORCE"), F.lit("AIR FORCE"))
-            .when(name.contains("ARMY"), F.lit("ARMY"))
-            .when(name.contains("NAVAL") | name.contains("NAVY"), F.lit("NAVY"))
-            .when(code == "DD", F.lit("DEPARTMENT OF DEFENSE"))
-            .otherwise(name))
+    out = F.when(name.isNull(), code).when(name.startswith(FORCE_PREFIX) & name.contains("-"), two_words)
+    for word, main in AGENCY_WORDS:
+        out = out.when(name.contains(word), F.lit(main))
+    for known, main in AGENCY_CODES.items():
+        out = out.when(code == known, F.lit(main))
+    return out.otherwise(name)
 
 
 def agency_label(code, name) -> Column:

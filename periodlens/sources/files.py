@@ -13,6 +13,7 @@ import io
 import re
 from collections import OrderedDict
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,23 +54,20 @@ def normalized_names(raw_names, duplicates=DUPLICATE_HEADER_NAMES) -> list[str]:
     return out
 
 
-def first_lines(spark: SparkSession, paths, encoding: str = "UTF-8", threads: int = 16) -> dict[str, str]:
-    """The first line of every file: {file path: line}.
+def first_lines(spark: SparkSession, paths, encoding: str = "UTF-8") -> dict[str, str]:
+    """The first line of every file: {file path: line}, "" for an empty file.
 
-    One tiny job per file that stops after the first line of the file's first split (the way
-    Spark's own CSV header handling reads a header), run concurrently from a thread pool, so
-    the cost follows the number of files, not their size.
+    One job over the files' first splits; a line comes to the driver per file.
     """
-    from concurrent.futures import ThreadPoolExecutor
     paths = [paths] if isinstance(paths, str) else list(paths)
-    files = sorted(set(spark.read.text(paths).inputFiles()))
-
-    def head(path):
-        rows = spark.read.text(path).select(F.decode(F.col("value").cast("binary"), encoding)).take(1)
-        return path, (rows[0][0] if rows else "")
-
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
-        return dict(pool.map(head, files))
+    text = spark.read.text(paths)
+    line = F.decode(F.col("value").cast("binary"), encoding)
+    rows = (text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+                        line.alias("line"))
+            .where("at = 0").groupBy("path").agg(F.first("line").alias("line")))
+    plain = lambda p: re.sub(r"^file:/+", "/", unquote(p))         # noqa: E731  both spellings of a local path
+    found = {plain(r["path"]): r["line"] for r in rows.collect()}
+    return {f: found.get(plain(f), "") for f in sorted(set(text.inputFiles()))}
 
 
 def _split_header(line: str, sep: str, quote: str) -> list[str]:
