@@ -38,7 +38,7 @@ UND = "und"
 DISCOUNT = 0.75
 CHARSET = 3000                # the uniform distribution below the unigrams
 REJECT_RATE, REJECT_MARGIN = 0.001, 0.6
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 _LETTER = re.compile(r"[^\W\d_]")
 _SPLIT = re.compile(r"[\W\d_]+")
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -116,6 +116,22 @@ def fit(words: list[str], counts, order: int = ORDER) -> list[tuple]:
     return model
 
 
+class WordScores(dict):
+    """Rows of a matrix by word: the scores of words already seen."""
+
+    rows = np.zeros((0, 1), np.float32)
+
+    def extend(self, words: list[str], scores: np.ndarray) -> None:
+        n = len(self)
+        if n + len(words) > len(self.rows):
+            grown = np.zeros((2 * (n + len(words)), scores.shape[1]), np.float32)
+            if n:
+                grown[:n] = self.rows[:n]
+            self.rows = grown
+        self.rows[n:n + len(words)] = scores
+        self.update(zip(words, range(n, n + len(words))))
+
+
 class Models:
     """The models of all languages side by side: sorted hash arrays with one column a language."""
 
@@ -150,20 +166,21 @@ class Models:
         at[at == len(keys)] = 0
         return values[np.where(keys[at] == hashes, at, len(keys))] if len(keys) else values[np.zeros(len(hashes), int)]
 
-    def score(self, texts: list, cache: dict) -> tuple[np.ndarray, np.ndarray]:
+    def score(self, texts: list, cache: WordScores) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy (nats a character) of each text under each language, and its characters."""
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
         split = [words_of(t) if t else [] for t in texts]
-        new = list({w for ws in split for w in ws if w not in cache})
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            cache.update(zip(part, np.column_stack((self.word_scores(part), [len(w) + 1 for w in part]))))
-        width = len(self.langs) + 1
-        sums = np.zeros((len(texts), width))
+        new = list(set().union(*split) - cache.keys())
+        if len(cache) + len(new) > CACHE_WORDS:
+            cache.clear()
+            new = list(set().union(*split))
+        for i in range(0, len(new), 10_000):
+            part = new[i:i + 10_000]
+            cache.extend(part, np.column_stack((self.word_scores(part), [len(w) + 1 for w in part])))
+        sums = np.zeros((len(texts), len(self.langs) + 1))
         for i, ws in enumerate(split):
-            for j in range(0, len(ws), 50_000):
-                sums[i] += np.asarray([cache[w] for w in ws[j:j + 50_000]]).sum(axis=0)
+            if ws:
+                at = np.fromiter(map(cache.__getitem__, ws), np.int64, len(ws))
+                sums[i] = cache.rows[at].sum(axis=0, dtype=np.float64)
         chars = sums[:, -1]
         return -sums[:, :-1] / np.maximum(chars, 1)[:, None], chars
 
@@ -215,7 +232,7 @@ def _calibrate(models: Models, rows: DataFrame) -> None:
     shared = rows.sparkSession.sparkContext.broadcast(models)
 
     def entropies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m, cache = shared.value, {}
+        m, cache = shared.value, WordScores()
         for b in batches:
             h, chars = m.score(b["text"].tolist(), cache)
             at = {x: j for j, x in enumerate(m.langs)}
@@ -232,12 +249,12 @@ def _calibrate(models: Models, rows: DataFrame) -> None:
 _CACHE: dict = {}
 
 
-def _word_cache(models: Models | None) -> dict:
+def _word_cache(models: Models | None) -> WordScores:
     """Scores of words already seen by this worker process under the same models."""
     key = models and models.key
     if key not in _CACHE:
         _CACHE.clear()
-        _CACHE[key] = {}
+        _CACHE[key] = WordScores()
     return _CACHE[key]
 
 

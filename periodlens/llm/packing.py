@@ -36,7 +36,7 @@ QUERY_TERMS = 16
 SALTS = 32
 K1, B = 1.2, 0.75
 COMMON_IDS = 1000             # ids below are bytes and frequent merges: they neither route nor are indexed
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 900_000
 
 
 # A word with an ASCII letter before its last characters, all of them ASCII punctuation but the apostrophe.
