@@ -38,7 +38,7 @@ UND = "und"
 DISCOUNT = 0.75
 CHARSET = 3000                # the uniform distribution below the unigrams
 REJECT_RATE, REJECT_MARGIN = 0.001, 0.6
-CACHE_WORDS = 250_000
+CACHE_WORDS = 500_000
 _LETTER = re.compile(r"[^\W\d_]")
 _SPLIT = re.compile(r"[\W\d_]+")
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
