@@ -4,8 +4,8 @@ Every text node has a root-to-leaf tag path (tag names with their classes).  Per
 text length and the punctuation are averaged over its nodes; the two ratios are smoothed along the
 page with a Gaussian window, multiplied, and paths whose mean fused score passes a threshold (the
 smaller of the scores' standard deviation and a tenth of their maximum) are content paths.  The
-content root is the deepest element that holds most of the text of the content nodes; every block
-below it is kept, but for blocks in boilerplate elements (menus, headers, footers, asides, forms, scripts,
+content root is the lowest common ancestor of all content nodes that is no inline element or paragraph,
+or the outermost article or main element round it; every block below it is kept, but for blocks in boilerplate elements (menus, headers, footers, asides, forms, scripts,
 adverts, notices, reader comments: by tag, class or id) and for paths that are mostly links.
 
 Pages are independent, so the work is one Arrow-batched map without a shuffle; a page is parsed
@@ -22,6 +22,7 @@ import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,12 +45,13 @@ CHROME_NAMES = frozenset("ad ads adv advert adverts advertisement advertising ba
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main "
                      "nav ol p pre section table ul".split())
 SAME = {"li": "li", "tr": "tr", "td": "td", "th": "th", "dt": "dt", "dd": "dd", "option": "option"}
+NO_ROOT = INLINE | {"p"}
 WINDOW = [math.exp(-(i * i) / 2.0) for i in range(-2, 3)]
 LINK_SHARE = 0.6
 
 
 class Node:
-    """An open element: its tag path, the ids of its ancestors, and whether it is boilerplate."""
+    """An open element: its tag path, its ancestors (number, tag), and whether it is boilerplate."""
     __slots__ = ("tag", "path", "chain", "chrome", "link", "block")
 
     def __init__(self, tag, path, chain, chrome, link, block):
@@ -107,7 +109,7 @@ def text_nodes(page: str) -> list[tuple]:
             (name not in ("html", "body", "article", "main") and not CHROME_NAMES.isdisjoint(names))
         serial += 1
         label = name + "".join("." + w for w in names[:3])
-        stack.append(Node(name, f"{up.path}>{label}" if up.path else label, (*up.chain, serial)[-64:], chrome,
+        stack.append(Node(name, f"{up.path}>{label}" if up.path else label, (*up.chain, (serial, name))[-64:], chrome,
                           up.link or name == "a", block))
     text(size)
     return out
@@ -148,16 +150,17 @@ def main_text(page: str | None) -> str:
         by_path[n[1]].append(f)
     linky = {p for p in chars if linked[p] > LINK_SHARE * chars[p]}
     content = {p for p, f in by_path.items() if sum(f) / len(f) >= bound and p not in linky}
-    # The deepest element that holds most of the content text.
-    held, total = defaultdict(float), 0.0
-    for t, path, chain, *_ in seq:
-        if path in content:
-            total += len(t)
-            for e in chain[:-1] or chain:
-                held[e] += len(t)
-    if not total:
+    # The lowest common ancestor of the content nodes, out of inline elements and paragraphs, and the article round it.
+    seen = [n for n in seq if n[1] in content]
+    if not seen:
         return ""
-    root = max((e for e, n in held.items() if n >= 0.8 * total), default=None)
+    common = seen[0][2]
+    for n in seen:
+        common = common[:sum(1 for _ in takewhile(lambda p: p[0] == p[1], zip(common, n[2])))]
+    while common and common[-1][1] in NO_ROOT:
+        common = common[:-1]
+    wide = next((i for i, (_, tag) in enumerate(common) if tag in ("article", "main")), len(common) - 1)
+    root = common[wide] if common else None
     blocks, last, part = [], None, []
     for t, path, chain, block, _, _ in live:
         if path in linky or (root is not None and root not in chain):

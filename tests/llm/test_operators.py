@@ -230,6 +230,16 @@ def test_html_without_labels_drops_link_lists():
     assert "Link" not in got and got.count("Sentence") == 5
 
 
+def test_html_one_long_paragraph_does_not_hide_the_others():
+    long = "A long sentence, with commas, and more of it. " * 40
+    for tag in ("article", "body", "div"):
+        page = f"<{tag}><h1>The title</h1><p><b>{long}<br><p>A short one.</p></{tag}>"
+        assert html_main.main_text(page) == f"The title {long}A short one."
+    # a short section beside a long one
+    page = f"<body><div><section><p>{long}</p></section><section><p>Short, but prose, too. Yes.</p></section></div>"
+    assert html_main.main_text(page) == f"{long}Short, but prose, too. Yes."
+
+
 # --- 5: decontamination --------------------------------------------------------------------
 
 def test_decontamination_finds_items_in_long_documents(spark, empty):
