@@ -6,7 +6,7 @@ page with a Gaussian window, multiplied, and paths whose mean fused score passes
 smaller of the scores' standard deviation and a tenth of their maximum) are content paths.  The
 content root is the lowest common ancestor of all content nodes that is no inline element or paragraph,
 or the outermost article or main element round it; every block below it is kept, but for blocks in boilerplate elements (menus, headers, footers, asides, forms, scripts,
-adverts, notices, reader comments: by tag, class or id) and for paths that are mostly links.
+adverts, notices, reader comments: by tag, class or id) and for blocks whose path is mostly links.
 
 Pages are independent, so the work is one Arrow-batched map without a shuffle; a page is parsed
 whole, in one pass over its tags.
@@ -51,22 +51,22 @@ LINK_SHARE = 0.6
 
 
 class Node:
-    """An open element: its tag path, its ancestors (number, tag), and whether it is boilerplate."""
-    __slots__ = ("tag", "path", "chain", "chrome", "link", "block")
+    """An open element: its tag path, its ancestors (number, tag), whether it is boilerplate, and its block's path."""
+    __slots__ = ("tag", "path", "chain", "chrome", "link", "base")
 
-    def __init__(self, tag, path, chain, chrome, link, block):
-        self.tag, self.path, self.chain, self.chrome, self.link, self.block = tag, path, chain, chrome, link, block
+    def __init__(self, tag, path, chain, chrome, link, base):
+        self.tag, self.path, self.chain, self.chrome, self.link, self.base = tag, path, chain, chrome, link, base
 
 
 def text_nodes(page: str) -> list[tuple]:
-    """(text, path, ancestors, block, in a link, boilerplate) of every text node in page order."""
-    out, stack, at, serial, block = [], [Node("", "", (), False, False, 0)], 0, 0, 0
+    """(text, path, ancestors, block, in a link, boilerplate, path without inline elements) of every text node in page order."""
+    out, stack, at, serial, block = [], [Node("", "", (), False, False, "")], 0, 0, 0
     size = len(page)
 
     def text(upto):
         if upto > at:
             top = stack[-1]
-            out.append((html_lib.unescape(page[at:upto]), top.path, top.chain, block, top.link, top.chrome))
+            out.append((html_lib.unescape(page[at:upto]), top.path, top.chain, block, top.link, top.chrome, top.base))
 
     for m in TAG.finditer(page):
         if m.start() < at:
@@ -85,7 +85,8 @@ def text_nodes(page: str) -> list[tuple]:
                     break
             continue
         if name == "br":
-            out.append((" ", stack[-1].path, stack[-1].chain, block, stack[-1].link, stack[-1].chrome))
+            top = stack[-1]
+            out.append((" ", top.path, top.chain, block, top.link, top.chrome, top.base))
             continue
         if name in VOID or m.group(3).endswith("/"):
             continue
@@ -109,8 +110,9 @@ def text_nodes(page: str) -> list[tuple]:
             (name not in ("html", "body", "article", "main") and not CHROME_NAMES.isdisjoint(names))
         serial += 1
         label = name + "".join("." + w for w in names[:3])
+        base = up.base if name in INLINE else f"{up.base}>{label}"
         stack.append(Node(name, f"{up.path}>{label}" if up.path else label, (*up.chain, (serial, name))[-64:], chrome,
-                          up.link or name == "a", block))
+                          up.link or name == "a", base))
     text(size)
     return out
 
@@ -120,14 +122,16 @@ def main_text(page: str | None) -> str:
     live = [n for n in nodes if not n[5]]
     if not any(n[0].strip() for n in live):
         return ""
-    chars, points, count, linked = (defaultdict(float) for _ in range(4))
-    for t, path, _, _, link, _ in live:
+    chars, points, count, linked, held = (defaultdict(float) for _ in range(5))
+    for t, path, _, _, link, _, base in live:
         n = len(t.strip())
         if n:
             chars[path] += n
             points[path] += len(PUNCTUATION.findall(t))
             count[path] += 1
-            linked[path] += n * link
+            # a link in running prose has a path of its own, so the share is that of its block's path
+            held[base] += n
+            linked[base] += n * link
     seq = [n for n in live if n[0].strip()]
     length = [chars[n[1]] / count[n[1]] for n in seq]
     points_ratio = [points[n[1]] / count[n[1]] for n in seq]
@@ -148,10 +152,10 @@ def main_text(page: str | None) -> str:
     by_path = defaultdict(list)
     for n, f in zip(seq, fused):
         by_path[n[1]].append(f)
-    linky = {p for p in chars if linked[p] > LINK_SHARE * chars[p]}
-    content = {p for p, f in by_path.items() if sum(f) / len(f) >= bound and p not in linky}
+    linky = {p for p in held if linked[p] > LINK_SHARE * held[p]}
+    content = {p for p, f in by_path.items() if sum(f) / len(f) >= bound}
     # The lowest common ancestor of the content nodes, out of inline elements and paragraphs, and the article round it.
-    seen = [n for n in seq if n[1] in content]
+    seen = [n for n in seq if n[1] in content and n[6] not in linky]
     if not seen:
         return ""
     common = seen[0][2]
@@ -162,8 +166,8 @@ def main_text(page: str | None) -> str:
     wide = next((i for i, (_, tag) in enumerate(common) if tag in ("article", "main")), len(common) - 1)
     root = common[wide] if common else None
     blocks, last, part = [], None, []
-    for t, path, chain, block, _, _ in live:
-        if path in linky or (root is not None and root not in chain):
+    for t, _, chain, block, _, _, base in live:
+        if base in linky or (root is not None and root not in chain):
             continue
         if block != last and part:
             blocks.append("".join(part))

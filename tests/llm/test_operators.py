@@ -240,6 +240,14 @@ def test_html_one_long_paragraph_does_not_hide_the_others():
     assert html_main.main_text(page) == f"{long}Short, but prose, too. Yes."
 
 
+def test_html_keeps_links_in_prose():
+    body = "".join(f"<p>Sentence {i}, with some words; see <a href='#'>report <i>{i}</i></a> for more, please.</p>" for i in range(5))
+    menu = "<div class='x'>" + "".join(f"<span><a href='#'>Entry {i}</a></span> " for i in range(9)) + "</div>"
+    want = " ".join(f"Sentence {i}, with some words; see report {i} for more, please." for i in range(5))
+    assert html_main.main_text(f"<body>{menu}<article>{body}</article>{menu}</body>") == want
+    assert html_main.main_text(f"<body>{menu}{body}{menu}</body>") == want
+
+
 # --- 5: decontamination --------------------------------------------------------------------
 
 def test_decontamination_finds_items_in_long_documents(spark, empty):
