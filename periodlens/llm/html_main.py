@@ -7,6 +7,7 @@ smaller of the scores' standard deviation and a tenth of their maximum) are cont
 content root is the lowest common ancestor of all content nodes that is no inline element or paragraph,
 or the outermost article or main element round it; every block below it is kept, but for blocks in boilerplate elements (menus, headers, footers, asides, forms, scripts,
 adverts, notices, reader comments: by tag, class or id) and for blocks whose path is mostly links.
+A class or id counts for little round the article: what holds most of its text stays (see ``boilerplate``).
 
 Pages are independent, so the work is one Arrow-batched map without a shuffle; a page is parsed
 whole, in one pass over its tags.
@@ -21,8 +22,7 @@ import html as html_lib
 import math
 import re
 from collections import defaultdict
-from collections.abc import Iterator
-from itertools import takewhile
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,6 +42,9 @@ CHROME_NAMES = frozenset("ad ads adv advert adverts advertisement advertising ba
                          "menu nav navbar navigation breadcrumb breadcrumbs footer header masthead cookie cookies "
                          "consent notice popup modal newsletter subscribe comment comments disqus share sharing "
                          "social related widget toolbar pagination".split())
+HEADER_NAMES = frozenset(("header", "masthead"))
+OWN_NAMES = frozenset("article post entry story".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main "
                      "nav ol p pre section table ul".split())
 SAME = {"li": "li", "tr": "tr", "td": "td", "th": "th", "dt": "dt", "dd": "dd", "option": "option"}
@@ -51,22 +54,32 @@ LINK_SHARE = 0.6
 
 
 class Node:
-    """An open element: its tag path, its ancestors (number, tag), whether it is boilerplate, and its block's path."""
-    __slots__ = ("tag", "path", "chain", "chrome", "link", "base")
+    """An open element: its tag, path, number, block's path, and whether it is boilerplate, in a link, in an article."""
+    __slots__ = ("tag", "path", "at", "chrome", "link", "base", "within")
 
-    def __init__(self, tag, path, chain, chrome, link, base):
-        self.tag, self.path, self.chain, self.chrome, self.link, self.base = tag, path, chain, chrome, link, base
+    def __init__(self, tag, path, at, chrome, link, base, within):
+        self.tag, self.path, self.at, self.chrome, self.link, self.base, self.within = tag, path, at, chrome, link, base, within
 
 
-def text_nodes(page: str) -> list[tuple]:
-    """(text, path, ancestors, block, in a link, boilerplate, path without inline elements) of every text node in page order."""
-    out, stack, at, serial, block = [], [Node("", "", (), False, False, "")], 0, 0, 0
+def text_nodes(page: str) -> tuple[list[tuple], list[tuple]]:
+    """The page's text nodes and elements.
+
+    Nodes, in page order: (text, path, element, block, in a link, in a boilerplate tag, path without inline
+    elements).  Elements, each after its parent: (parent, tag, 1 if some and 2 if all of its names are boilerplate).
+    """
+    out, elements, at, block = [], [(0, "", 0)], 0, 0
+    stack, opened, paths = [Node("", 0, 0, False, False, 0, False)], defaultdict(int), {}
     size = len(page)
 
     def text(upto):
         if upto > at:
             top = stack[-1]
-            out.append((html_lib.unescape(page[at:upto]), top.path, top.chain, block, top.link, top.chrome, top.base))
+            out.append((html_lib.unescape(page[at:upto]), top.path, top.at, block, top.link, top.chrome, top.base))
+
+    def close(i):
+        for node in stack[i:]:
+            opened[node.tag] -= 1
+        del stack[i:]
 
     for m in TAG.finditer(page):
         if m.start() < at:
@@ -79,14 +92,12 @@ def text_nodes(page: str) -> list[tuple]:
         if name not in INLINE:
             block += 1
         if m.group(1):                                     # an end tag closes down to its start tag
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == name:
-                    del stack[i:]
-                    break
+            if opened[name]:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == name))
             continue
         if name == "br":
             top = stack[-1]
-            out.append((" ", top.path, top.chain, block, top.link, top.chrome, top.base))
+            out.append((" ", top.path, top.at, block, top.link, top.chrome, top.base))
             continue
         if name in VOID or m.group(3).endswith("/"):
             continue
@@ -96,30 +107,83 @@ def text_nodes(page: str) -> list[tuple]:
             at = end.end() if end else size
             continue
         closes = "p" if name in CLOSES_P else SAME.get(name)
-        if closes:
+        if closes and opened[closes]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == closes:
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].tag in ("ul", "ol", "table", "dl") and closes != "p":
                     break
         up = stack[-1]
         names = [w for g in NAMES.findall(m.group(3)) for w in re.split(r"[\s_-]+", (g[0] or g[1] or g[2]).lower()) if w]
-        within = "article" in up.path.split(">") or "main" in up.path.split(">")
-        chrome = up.chrome or (name in CHROME and not (name == "header" and within)) or \
-            (name not in ("html", "body", "article", "main") and not CHROME_NAMES.isdisjoint(names))
-        serial += 1
+        chrome = up.chrome or (name in CHROME and not (name == "header" and up.within))
+        named = CHROME_NAMES.intersection(names)
+        if up.within or name in HEADINGS or not OWN_NAMES.isdisjoint(names):
+            named -= HEADER_NAMES                           # the article's own header
+        elements.append((up.at, name, 0 if not named or name in ("html", "body") else 2 if named.issuperset(names) else 1))
         label = name + "".join("." + w for w in names[:3])
-        base = up.base if name in INLINE else f"{up.base}>{label}"
-        stack.append(Node(name, f"{up.path}>{label}" if up.path else label, (*up.chain, (serial, name))[-64:], chrome,
-                          up.link or name == "a", base))
+        path = paths.setdefault((up.path, label), len(paths) + 1)
+        base = up.base if name in INLINE else paths.setdefault((up.base, label), len(paths) + 1)
+        stack.append(Node(name, path, len(elements) - 1, chrome, up.link or name == "a", base,
+                          up.within or name in ("article", "main")))
+        opened[name] += 1
     text(size)
+    return out, elements
+
+
+def below(elements: list[tuple], marked: Callable[[int], bool]) -> list[bool]:
+    """Whether each element or one round it is marked."""
+    out = []
+    for e, (parent, _, _) in enumerate(elements):
+        out.append(marked(e) or (e > 0 and out[parent]))
+    return out
+
+
+def summed(elements: list[tuple], own: list[float]) -> list[float]:
+    """Every element's own value and that of all elements in it."""
+    out = list(own)
+    for e in range(len(out) - 1, 0, -1):
+        out[elements[e][0]] += out[e]
+    return out
+
+
+def boilerplate(nodes: list[tuple], elements: list[tuple]) -> list[bool]:
+    """Whether each element is boilerplate by its names or is in one that is.
+
+    Spared is what holds more than half of the article's text outside links, if an article or main element is
+    in it or if it has other names too; if nothing of that text would be left, all that hold some of it.  The
+    article's text is that in articles of the main element, or else in main, or in articles, or all.
+    """
+    if not any(kind for _, _, kind in elements):
+        return [False] * len(elements)
+    article, main = ([tag == t and not kind for _, tag, kind in elements] for t in ("article", "main"))
+    in_article, in_main = below(elements, article.__getitem__), below(elements, main.__getitem__)
+    every = [0.0] * len(elements)
+    for t, _, e, _, link, chrome, _ in nodes:
+        if not chrome and not link:
+            every[e] += len(t.strip())
+    for part in ([a and m for a, m in zip(in_article, in_main)], in_main, in_article, [True] * len(elements)):
+        own = [n if p else 0.0 for n, p in zip(every, part)]
+        if any(own):
+            break
+    holds = summed(elements, own)
+    whole = summed(elements, [float(a or m) for a, m in zip(article, main)])
+    able = [holds[e] > 0 and (kind == 1 or whole[e] > 0) for e, (_, _, kind) in enumerate(elements)]
+
+    def dropped(least):
+        return below(elements, lambda e: elements[e][2] > 0 and elements[e][1] not in ("article", "main") and
+                     not (able[e] and holds[e] > least))
+
+    out = dropped(holds[0] / 2)
+    if holds[0] and not any(n and not d for n, d in zip(own, out)):
+        out = dropped(0)
     return out
 
 
 def main_text(page: str | None) -> str:
-    nodes = text_nodes(page or "")
-    live = [n for n in nodes if not n[5]]
+    nodes, elements = text_nodes(page or "")
+    named = boilerplate(nodes, elements)
+    live = [n for n in nodes if not n[5] and not named[n[2]]]
     if not any(n[0].strip() for n in live):
         return ""
     chars, points, count, linked, held = (defaultdict(float) for _ in range(5))
@@ -155,19 +219,25 @@ def main_text(page: str | None) -> str:
     linky = {p for p in held if linked[p] > LINK_SHARE * held[p]}
     content = {p for p, f in by_path.items() if sum(f) / len(f) >= bound}
     # The lowest common ancestor of the content nodes, out of inline elements and paragraphs, and the article round it.
-    seen = [n for n in seq if n[1] in content and n[6] not in linky]
-    if not seen:
+    own = [0.0] * len(elements)
+    for n in seq:
+        if n[1] in content and n[6] not in linky:
+            own[n[2]] += 1
+    if not any(own):
         return ""
-    common = seen[0][2]
-    for n in seen:
-        common = common[:sum(1 for _ in takewhile(lambda p: p[0] == p[1], zip(common, n[2])))]
-    while common and common[-1][1] in NO_ROOT:
-        common = common[:-1]
-    wide = next((i for i, (_, tag) in enumerate(common) if tag in ("article", "main")), len(common) - 1)
-    root = common[wide] if common else None
+    total = summed(elements, own)
+    root = max(e for e, n in enumerate(total) if n == total[0])
+    while elements[root][1] in NO_ROOT:
+        root = elements[root][0]
+    e = root
+    while e:
+        if elements[e][1] in ("article", "main"):
+            root = e
+        e = elements[e][0]
+    inside = below(elements, root.__eq__)
     blocks, last, part = [], None, []
-    for t, _, chain, block, _, _, base in live:
-        if base in linky or (root is not None and root not in chain):
+    for t, _, e, block, _, _, base in live:
+        if base in linky or not inside[e]:
             continue
         if block != last and part:
             blocks.append("".join(part))

@@ -248,6 +248,23 @@ def test_html_keeps_links_in_prose():
     assert html_main.main_text(f"<body>{menu}{body}{menu}</body>") == want
 
 
+def test_html_deep_and_wrapped_articles_are_whole():
+    long = "A long sentence, with commas, and more of it. " * 9
+    for tag in ("div", "font", "span"):
+        text = html_main.main_text("<article>" + "".join(f"<{tag}>Sentence {i}, with words, yes. " for i in range(3000)))
+        assert all(f"Sentence {i}," in text for i in range(3000))
+    for page in (f"<div class='page has-sidebar'><article><h1 class='article-header'>Title</h1><p>{long}</article>"
+                 f"<div class='sidebar'><p>{long * 3}</div></div>",
+                 f"<div class='page has-sidebar'><h1 class='post-header'>Title</h1><p>{long}</p></div>",
+                 f"<div class='sidebar'><main><h1>Title</h1><p>{long}</main></div><div id='comments'>{long * 3}</div>",
+                 f"<main><article><h1>Title</h1><p>{long}</article><div class='comments-area'><p>{long * 3}</div></main>",
+                 f"<div class='related'><article><h1>Card</h1></article></div><main><h1>Title</h1><p>{long}</main>"):
+        assert html_main.main_text(f"<body>{page}</body>") == f"Title {long}".strip()
+    listing = "".join(f"<div class='widget'><article><p>Entry {i}, with words, here.</article></div>" for i in range(4))
+    assert html_main.main_text(listing).count("Entry") == 4
+    assert html_main.main_text("<div class='cookie-notice'>We use cookies, as all do. Accept?</div>") == ""
+
+
 # --- 5: decontamination --------------------------------------------------------------------
 
 def test_decontamination_finds_items_in_long_documents(spark, empty):
