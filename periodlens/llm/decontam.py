@@ -3,6 +3,10 @@
 Items and documents are sets of hashed five-word shingles (letters and digits, lower-cased).  A document
 holds an item if it has at least ``percent`` of the item's shingles, wherever in the document.
 
+An item of one to four words is one shingle of its own length.  Its words, and the documents' words that it is
+looked up in, are single characters in scripts without blanks (Han, kana, Thai, Lao, Khmer, Burmese): if these are
+five or more, its shingles are of five.  Such shingles are looked up whole, and only made if there are such items.
+
 Items are partitioned by size (powers of two).  An item's sketch is its shingles with the least
 hashes; of a partition's greatest size U it has ``U - ceil(U * percent) + 1`` of them, so a document
 that holds the item misses too few shingles to miss the whole sketch: the search loses nothing,
@@ -14,9 +18,9 @@ DataFrame functions only.  Sketches and item sets are broadcast while their coun
 ``BROADCAST_BYTES``, else they are joined by shuffle (the document side can be split if a shingle
 is hot).  A document's shingles stay in its row; only hits and candidates' texts travel.
 
-Defined results: null and empty texts, and items of fewer than five words, are in no pair (too short
-to be evidence); repeated items each count; rows with equal ids are searched each by its own text;
-an empty table gives an empty result; a null id is matched as a value of its own.
+Defined results: null texts and texts without words are in no pair; repeated items each count; rows with
+equal ids are searched each by its own text; an empty table gives an empty result; a null id is matched as a
+value of its own.
 """
 
 from __future__ import annotations
@@ -28,12 +32,26 @@ from periodlens.llm.common import BROADCAST_BYTES
 
 WORDS = 5
 PERCENT = 80
+UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
+
+
+def _none() -> Column:
+    return F.array().cast("array<bigint>")
+
+
+def words_of(text: Column) -> Column:
+    """Array of a text's words: runs of letters and digits, lower-cased."""
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
+
+
+def fine_words(text: Column) -> Column:
+    """Array of a text's words, of which those in scripts without blanks are cut into characters."""
+    return words_of(F.regexp_replace(text, UNSPACED, " $1 "))
 
 
 def word_hashes(text: Column) -> Column:
-    """Array of the hashes of a text's words: runs of letters and digits, lower-cased."""
-    words = F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
-    return F.transform(words, lambda w: F.xxhash64(w))
+    """Array of the hashes of a text's words."""
+    return F.transform(words_of(text), lambda w: F.xxhash64(w))
 
 
 def shingles(text: Column, least: int = 1) -> Column:
@@ -49,47 +67,75 @@ def shingles(text: Column, least: int = 1) -> Column:
     return F.get(F.transform(F.array(word_hashes(text)), of_words), F.lit(0))
 
 
+def short_shingles(text: Column, k: Column) -> Column:
+    """Array of the hashes of the runs of ``k`` of a text's fine words, repeated ones included."""
+    def of_words(w):
+        runs = F.transform(F.sequence(F.lit(0), F.size(w) - k), lambda i: F.xxhash64(k, F.slice(w, i + 1, k)))
+        return F.when(F.size(w) >= k, runs).otherwise(_none())
+    return F.get(F.transform(F.array(fine_words(text)), of_words), F.lit(0))
+
+
 def _small(df: DataFrame, n_bytes: int) -> DataFrame:
     return F.broadcast(df) if n_bytes <= BROADCAST_BYTES else df
 
 
-def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               item_id: str = "item_id", item_text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(id, item_id, n_shared, n_shingles, containment) of every document and item it holds."""
-    item_sets = (items.select(F.col(item_id).alias("item_id"),
-                              F.array_sort(F.array_distinct(shingles(F.col(item_text)))).alias("s"))
+def _found(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_id: str, item_text: str,
+           percent: int) -> DataFrame:
+    """(id, th, item_id, n_shared, n_shingles) of every document and item it holds; th is the hash of its text."""
+    text = F.col(item_text)
+    run = F.when(F.size(words_of(text)).between(1, WORDS - 1), F.least(F.size(fine_words(text)), F.lit(WORDS)))
+    item_sets = (items.select(F.col(item_id).alias("item_id"), text.alias("t"), run.alias("run"))
+                 .select("item_id", "run", F.array_sort(F.array_distinct(
+                     F.when(F.col("run").isNull(), shingles(F.col("t"))).otherwise(short_shingles(F.col("t"), F.col("run"))))).alias("s"))
                  .where("s is not null").withColumn("n", F.size("s")))
     need = F.expr(f"cast(({percent} * n + 99) div 100 as int)")
     part = F.floor(F.log2("n")).cast("int")
     upper = F.expr("cast(shiftleft(1, p + 1) - 1 as int)")
     sketched = (item_sets.withColumn("need", need).withColumn("p", part).withColumn("u", upper)
-                .withColumn("k", F.expr(f"least(n, u - cast(({percent} * u + 99) div 100 as int) + 1)"))
+                .withColumn("k", F.expr(f"if(run is null, least(n, u - cast(({percent} * u + 99) div 100 as int) + 1), n)"))
                 .withColumn("sketch", F.slice("s", 1, F.col("k"))))
-    facts = sketched.agg(F.count("*").alias("n"), F.sum("k").alias("k"), F.sum("n").alias("all"),
-                         F.max(F.element_at("sketch", -1)).alias("top"), F.min("need").alias("need")).first()
-    if not facts["n"]:
-        sketch_bytes = set_bytes = top = least = 0
-    else:
-        sketch_bytes, set_bytes, top, least = facts["k"] * 40, facts["all"] * 16, facts["top"], facts["need"]
+    long = F.col("run").isNull()
+    facts = sketched.agg(F.sum("k").alias("k"), F.sum("n").alias("all"),
+                         F.max(F.when(long, F.element_at("sketch", -1))).alias("top"), F.min(F.when(long, F.col("need"))).alias("need"),
+                         F.collect_set("run").alias("runs")).first()
+    sketch_bytes, set_bytes, least = (facts["k"] or 0) * 40, (facts["all"] or 0) * 16, facts["need"] or 0
+    top = F.lit(facts["top"]).cast("long")
+    short = [short_shingles(F.col("t"), F.lit(k)) for k in sorted(facts["runs"])]        # of at most five lengths
+
+    def with_short(x: Column) -> Column:
+        return F.concat(*[F.coalesce(y, _none()) for y in (x, *short)]) if short else x
+
     sketches = sketched.select("item_id", F.explode("sketch").alias("x"))
-    ids = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    ids = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("t"))
     # the outer form keeps Spark from computing the array once more for a filter on its size
-    sent = ids.select("id", F.explode_outer(F.filter(shingles(F.col("t"), least), lambda x: x <= F.lit(top))).alias("x"))
-    hits = sent.join(_small(sketches, sketch_bytes), "x").select("id", "item_id")
-    candidates = (hits.groupBy("id").agg(F.collect_set("item_id").alias("items"))
-                  .select(F.col("id").alias("c_id"), "items"))
-    held = (ids.join(candidates, ids["id"].eqNullSafe(candidates["c_id"]))
-            .select("id", F.array_distinct(shingles(F.col("t"))).alias("d"), "items")
-            .select("id", "d", F.explode_outer("items").alias("item_id"))
+    sent = ids.select("id", "th", F.explode_outer(with_short(
+        F.filter(shingles(F.col("t"), least), lambda x: x <= top))).alias("x"))
+    hits = sent.join(_small(sketches, sketch_bytes), "x").select("id", "th", "item_id")
+    candidates = (hits.groupBy("id", "th").agg(F.collect_set("item_id").alias("items"))
+                  .select(F.col("id").alias("c_id"), F.col("th").alias("c_th"), "items"))
+    held = (ids.join(candidates, ids["id"].eqNullSafe(candidates["c_id"]) & (ids["th"] == candidates["c_th"]))
+            .select("id", "th", F.array_distinct(with_short(shingles(F.col("t")))).alias("d"), "items")
+            .select("id", "th", "d", F.explode_outer("items").alias("item_id"))
             .join(_small(item_sets, set_bytes), "item_id")
-            .select("id", "item_id", F.size(F.array_intersect("s", "d")).alias("n_shared"), F.col("n").alias("n_shingles")))
-    return (held.where(F.col("n_shared") * 100 >= F.col("n_shingles") * percent)
+            .select("id", "th", "item_id", F.size(F.array_intersect("s", "d")).alias("n_shared"), F.col("n").alias("n_shingles")))
+    return held.where(F.col("n_shared") * 100 >= F.col("n_shingles") * percent)
+
+
+def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               item_id: str = "item_id", item_text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """(id, item_id, n_shared, n_shingles, containment) of every document and item it holds."""
+    return (_found(docs, items, id_col, text_col, item_id, item_text, percent)
             .select(F.col("id").alias(id_col), F.col("item_id").alias(item_id), "n_shared", "n_shingles",
                     F.round(F.col("n_shared") / F.col("n_shingles"), 6).alias("containment")))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      **options) -> DataFrame:
-    """``docs`` without the documents that hold an item."""
-    found = (find_items(docs, items, id_col, text_col, **options).select(F.col(id_col).alias("_found")).distinct())
-    return docs.join(found, docs[id_col].eqNullSafe(found["_found"]), "left_anti")
+                      item_id: str = "item_id", item_text: str = "text", percent: int = PERCENT,
+                      by_row: bool = False) -> DataFrame:
+    """``docs`` without the ids that hold an item; with ``by_row`` only the rows whose own text does go."""
+    found = _found(docs, items, id_col, text_col, item_id, item_text, percent)
+    found = found.select(F.col("id").alias("_found"), *[F.col("th").alias("_th")] * by_row).distinct()
+    same = docs[id_col].eqNullSafe(found["_found"])
+    if by_row:
+        same &= F.xxhash64(docs[text_col]) == found["_th"]
+    return docs.join(found, same, "left_anti")

@@ -289,6 +289,25 @@ def test_decontamination_finds_items_in_long_documents(spark, empty):
     assert decontam.find_items(df, bench.limit(0)).count() == 0
 
 
+def test_decontamination_judges_rows_and_short_items(spark):
+    rng = random.Random(10)
+    long, clean = prose(rng, 30), prose(rng, 40)
+    items = spark.createDataFrame([(1, long), (2, "Capital of France?"), (3, "今天天气很好我们去公园玩"), (4, "犬"), (5, "..."),
+                                   (6, "Paris")], "item_id long, text string")
+    rows = [(None, long), (None, clean), (7, clean + " " + long), (7, clean), (8, "the capital, of france is large"),
+            (9, "capital city of France"), (10, "他说今天天气很好我们去公园玩吧"), (11, "今天很好公园"), (12, "白犬がいる"), (13, "parish"),
+            (14, None)]
+    df = spark.createDataFrame(rows, DOCS)
+    got = sorted((r["doc_id"] or 0, r["item_id"]) for r in decontam.find_items(df, items).collect())
+    assert got == [(0, 1), (7, 1), (8, 2), (10, 3), (12, 4)]
+    left = decontam.drop_contaminated(df, items, by_row=True)
+    assert left.columns == df.columns
+    assert sorted((r["doc_id"] or 0, r["text"] == clean) for r in left.collect()) == [
+        (0, True), (7, True), (9, False), (11, False), (13, False), (14, False)]
+    short = items.where("item_id in (2, 5)")
+    assert [r["doc_id"] for r in decontam.find_items(df, short).collect()] == [8]
+
+
 # --- 6: scores -----------------------------------------------------------------------------
 
 def test_scores_match_a_plain_bigram_model(spark, docs, frame, empty):
