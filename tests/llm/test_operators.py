@@ -93,6 +93,20 @@ def test_line_dedup_finds_all_exact_and_most_similar_lines(spark):
     assert least <= kept <= distinct and (distinct - kept) >= 0.6 * (distinct - least)
 
 
+def test_line_dedup_compares_lines_of_one_simhash_and_crowded_keys(spark):
+    zeros = "0 0 0 0 0 0 0 0"
+    rows = [(1, f"{zeros} 1 5"), (2, f"{zeros} 1 6"), (3, f"{zeros} " + "7" * 40), (4, f"{zeros} " + "7" * 39 + "8")]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == brute.lines_kept(rows) and got[2] == got[4] == ""
+    # a key that stays large after two refinements: all pairs within three bits are found
+    rng = random.Random(2)
+    sims = {0} | {sum(1 << b for b in rng.sample(range(64), rng.choice((1, 2)))) for _ in range(60)}
+    signed = [line_dedup._signed(x) for x in sims]
+    found = {(r["a"], r["b"]) for r in line_dedup.similar_hashes(spark.createDataFrame([(x,) for x in signed], "sim long")).collect()}
+    want = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 3}
+    assert want <= found
+
+
 def test_line_dedup_carries_clashing_columns_and_repeated_rows(spark, empty):
     rows = [(1, "a b c d\nx y", "r", 1), (1, "a b c d\nx y", "r", 1), (None, "a b c d\nnew", "s", 2)]
     df = spark.createDataFrame(rows, "doc_id long, text string, row string, kept int")
