@@ -3,8 +3,8 @@
 A document is its token ids and an end id.  Whole windows are cut off the front of longer documents;
 what is left is packed.  The corpus is dealt into index shards of at most ``SHARD_TOKENS`` tokens: documents are
 routed by the least of their rarer tokens under a fixed permutation (documents that share rare tokens tend to
-meet), salted ``SALTS`` ways by id so that a group of copies or a common token spreads over many tasks, and
-sorted by that token within a task; a shard ends where its tokens are full.  Each shard has a BM25 inverted
+meet); routes whose counted tokens exceed a shard, and only these, are dealt over as many tasks as they would
+fill shards; rows are sorted by that token within a task; a shard ends where its tokens are full.  Each shard has a BM25 inverted
 index.  The first unused document seeds a window; the index returns its unused neighbours by the seed's
 ``QUERY_TERMS`` heaviest terms, best first, and they fill the window greedily.  A neighbour that does not fit
 is cut where the window ends, and its rest seeds the next one.  Without a neighbour the next unused
@@ -29,13 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from periodlens.llm.common import stored
+
 WINDOW = 2048
 END_ID = 1
 SHARD_TOKENS = 2_000_000
 QUERY_TERMS = 16
-SALTS = 32
 K1, B = 1.2, 0.75
-COMMON_IDS = 1000             # ids below are bytes and frequent merges: they neither route nor are indexed
+COMMON_IDS = 1000             # ids below are bytes and frequent merges: they route only where there is no other
 CACHE_WORDS = 900_000
 
 
@@ -118,8 +119,8 @@ class Shard:
 
     def __init__(self, docs: list[np.ndarray]):
         self.size = len(docs)
-        # frequent ids weigh next to nothing: only the others are indexed
-        terms, counts = zip(*(np.unique(d[d >= COMMON_IDS], return_counts=True) for d in docs))
+        # every id but the end, which all have; frequent ones weigh little by their idf
+        terms, counts = zip(*(np.unique(d[d != END_ID], return_counts=True) for d in docs))
         sizes = np.fromiter(map(len, docs), np.float64, self.size)
         each = np.fromiter(map(len, terms), np.int64, self.size)
         doc = np.repeat(np.arange(self.size), each)
@@ -212,6 +213,14 @@ def _pack_rows(rows: Iterator[tuple], window: int, partition: int) -> Iterator[t
         yield from emptied(held)
 
 
+def salted(rows: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    """``rows`` with a salt: 0 but for routes of more tokens than a shard has."""
+    tokens = F.sum(F.length("ids") / 2)
+    hot = (rows.groupBy("route").agg(F.ceil(tokens / shard_tokens).alias("salts")).where("salts > 1"))
+    spread = F.pmod(F.xxhash64("doc", "ids"), F.col("salts"))
+    return rows.join(F.broadcast(hot), "route", "left").withColumn("salt", F.coalesce(spread, F.lit(0))).drop("salts")
+
+
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                    window: int = WINDOW) -> DataFrame:
     """The pieces of all documents with their place in a window.
@@ -219,13 +228,12 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     Returns id, start, length, doc_tokens, sequence_id, offset and ids (little-endian unsigned 32-bit
     token ids) of every piece.
     """
-    rows = tokenized(docs, id_col, text_col, tokenizer_path)
+    rows = stored(tokenized(docs, id_col, text_col, tokenizer_path), "tokens")
     schema = (f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, start long, length long, doc_tokens long, "
               "sequence_id long, offset long, ids binary")
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64("doc"), F.lit(SALTS))
-    dealt = (rows.repartition(parts, "route", salt).sortWithinPartitions("route", "doc", "ids").select("doc", "ids"))
+    dealt = (salted(rows).repartition(parts, "route", "salt").sortWithinPartitions("route", "doc", "ids").select("doc", "ids"))
     id_type = to_arrow_type(docs.schema[id_col].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -212,6 +212,20 @@ def test_packing_fills_a_window_with_the_seeds_neighbours():
     assert all(len(set(w)) == 1 for w in window.values())
 
 
+def test_packing_neighbours_by_frequent_ids_and_salts_of_hot_routes_only(spark):
+    rng = np.random.default_rng(4)
+    rows = [(d, np.append(rng.integers(100 + d % 4 * 20, 120 + d % 4 * 20, 60), packing.END_ID).astype("<u2").tobytes())
+            for d in range(48)]
+    window = {}
+    for doc, _, _, _, seq, _, _ in packing._pack_rows(iter(rows), 61 * 6, 0):
+        window.setdefault(seq, []).append(doc % 4)
+    assert all(len(set(w)) == 1 for w in window.values())
+    df = spark.createDataFrame([(d, 1 + (d > 9), bytearray(200)) for d in range(60)], "doc long, route int, ids binary")
+    got = packing.salted(df, 1000).collect()
+    assert len(got) == 60 and {r["salt"] for r in got if r["route"] == 1} == {0}
+    assert len({r["salt"] for r in got if r["route"] == 2}) == 5
+
+
 # --- 4: html -------------------------------------------------------------------------------
 
 PAGE = """<html><head><title>T</title><style>p{}</style><script>var x="</p>";</script></head><body>
