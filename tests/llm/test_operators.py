@@ -281,6 +281,8 @@ def test_html_deep_and_wrapped_articles_are_whole():
     for tag in ("div", "font", "span"):
         text = html_main.main_text("<article>" + "".join(f"<{tag}>Sentence {i}, with words, yes. " for i in range(3000)))
         assert all(f"Sentence {i}," in text for i in range(3000))
+    deep = "".join(f"<div>Sentence {i}, with words, yes. " for i in range(100))
+    assert html_main.main_text(f"<article><p>{long * 4}</p>{deep}").count("Sentence") == 100
     for page in (f"<div class='page has-sidebar'><article><h1 class='article-header'>Title</h1><p>{long}</article>"
                  f"<div class='sidebar'><p>{long * 3}</div></div>",
                  f"<div class='page has-sidebar'><h1 class='post-header'>Title</h1><p>{long}</p></div>",
