@@ -96,3 +96,54 @@ shared as (
 select doc_id, item_id, k::int as n_shared, n::int as n_shingles, round(k / n, 6) as containment
 from shared join sizes on sizes.id = item_id where 100 * k >= 80 * n
 """
+
+ORACLE["op12_exact_dedup"] = r"""
+with texts as (
+    select row_number() over () as rid, doc_id, length(coalesce(text, '')) as n,
+        regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') as norm
+    from documents),
+ranked as (
+    select *, row_number() over w as k, first_value(doc_id) over w as keep_id, count(*) over (partition by norm) as group_size
+    from texts window w as (partition by norm order by n desc, doc_id nulls last, rid))
+select doc_id, keep_id, group_size, k = 1 as kept, sha256(norm) as text_sha256 from ranked
+"""
+
+ORACLE["op13_source_divergence"] = r"""
+with docs as (
+    select row_number() over () as rid, coalesce(lang, '') as lang, coalesce(source, '') as source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+    from documents),
+words as (
+    select rid, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs),
+kept as (select lang, term from words group by lang, term having count(distinct rid) >= 30),
+sizes as (select lang, count(*) as v from kept group by lang),
+counts as (select lang, source, term, count(*) as n from words join kept using (lang, term) group by lang, source, term),
+pairs as (select distinct lang, source from docs),
+dense as (
+    select p.lang, p.source, k.term, coalesce(c.n, 0) as n
+    from pairs p join kept k using (lang) left join counts c on c.lang = p.lang and c.source = p.source and c.term = k.term),
+totals as (select lang, source, sum(n) as total from dense group by lang, source),
+shares as (
+    select d.lang, d.source, d.term, d.n,
+        1 + (1000000000::hugeint * (d.n + 5)) // (t.total + 5 * s.v)::hugeint as p
+    from dense d join totals t using (lang, source) join sizes s using (lang)),
+lang_shares as (
+    select x.lang, x.term, 1 + (1000000000::hugeint * (x.n + 5)) // (y.total + 5 * s.v)::hugeint as q
+    from (select lang, term, sum(n) as n from dense group by lang, term) x
+    join (select lang, sum(n) as total from dense group by lang) y using (lang) join sizes s using (lang)),
+between as (
+    select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+    from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+    group by a.lang, a.source, b.source),
+pair_rows as (
+    select a.lang, a.source, 'pair' as part, b.source as item, coalesce(x.value, 0)::bigint as value
+    from pairs a join pairs b on a.lang = b.lang and a.source <> b.source
+    left join between x on x.lang = a.lang and x.source = a.source and x.item = b.source),
+term_rows as (
+    select s.lang, s.source, 'term' as part, s.term as item, (s.p - l.q)::bigint as value
+    from shares s join lang_shares l using (lang, term) where s.n > 0 and s.p > l.q),
+ranked as (
+    select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank
+    from (select * from pair_rows union all select * from term_rows))
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 50
+"""

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from periodlens.llm import chosen_path, decontam, fingerprint, html_main, langid, line_dedup, ngram_trie, packing, radix_windows, url_filter
+from periodlens.llm import (chosen_path, chunk_recipes, decontam, fingerprint, html_main, langid, line_dedup, ngram_trie, packing,
+                            radix_windows, source_divergence, url_filter)
 from periodlens.llm.common import read_table
 
 URL_RULES = (("net", "/", "net/", "block"), ("example.net", "/en/", "example.net/en/", "allow"),
@@ -78,6 +79,16 @@ def op10_suffix_dedup(spark, sf_dir):
             .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
 
 
+def op12_exact_dedup(spark, sf_dir):
+    """Groups of equal documents (white space aside) and the row of each that stays."""
+    return chunk_recipes.exact_groups(read_table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark, sf_dir):
+    """Distances between the sources of a language, and each source's leading terms."""
+    return source_divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_document_fingerprints, op3_packing, op4_html_extraction, op5_benchmark_decontamination,
-    op6_lm_scoring, op7_language_id, op8_url_filter, op9_near_dedup, op10_suffix_dedup)}
+    op6_lm_scoring, op7_language_id, op8_url_filter, op9_near_dedup, op10_suffix_dedup, op12_exact_dedup, op13_source_divergence)}
