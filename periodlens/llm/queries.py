@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from periodlens.llm import (chosen_path, chunk_recipes, decontam, fingerprint, html_main, langid, line_dedup, ngram_trie, packing,
-                            radix_windows, source_divergence, url_filter)
+                            periodic_runs, radix_windows, source_divergence, url_filter)
 from periodlens.llm.common import read_table
 
 URL_RULES = (("net", "/", "net/", "block"), ("example.net", "/en/", "example.net/en/", "allow"),
@@ -79,6 +79,35 @@ def op10_suffix_dedup(spark, sf_dir):
             .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
 
 
+def with_periodic_ends(docs):
+    """The documents of op11: one in ten ends with repetitions of its own words, by the checksum h of its id.
+
+    With n words, g = h / 10, a = g % n and p = 1 + (n - a) / (3 + g % 8) (divisions round down), each word i >= a becomes the word
+    a + (i - a) % p.
+    """
+    words = F.regexp_extract_all("text", F.lit(periodic_runs.WORD), F.lit(0))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("w"))
+    edited = """array_join(concat(slice(w, 1, a), slice(flatten(array_repeat(slice(w, a + 1, p), int((size(w) - a) div p) + 1)),
+                                                           1, size(w) - a)), ' ')"""
+    return (rows.withColumn("g", F.expr("h div 10")).withColumn("a", F.expr("if(size(w) > 0, int(g % size(w)), 0)"))
+            .withColumn("p", F.expr("int(1 + (size(w) - a) div (3 + g % 8))"))
+            .select("doc_id", F.when(F.size("w") > 0, F.expr(edited)).otherwise(F.col("text")).alias("text")))
+
+
+def op11_periodic_runs(spark, sf_dir):
+    """Runs of repeated words in every document (one in ten with periodic ends), and what stays without repetitions."""
+    found = periodic_runs.find_runs(with_periodic_ends(read_table(spark, sf_dir, "documents")))
+    top = F.col("top")
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("top", periodic_runs.strongest(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), top["start"].alias("start"), top["length"].alias("length"),
+        top["period"].alias("period"), F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def op12_exact_dedup(spark, sf_dir):
     """Groups of equal documents (white space aside) and the row of each that stays."""
     return chunk_recipes.exact_groups(read_table(spark, sf_dir, "documents"))
@@ -91,4 +120,4 @@ def op13_source_divergence(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_document_fingerprints, op3_packing, op4_html_extraction, op5_benchmark_decontamination,
-    op6_lm_scoring, op7_language_id, op8_url_filter, op9_near_dedup, op10_suffix_dedup, op12_exact_dedup, op13_source_divergence)}
+    op6_lm_scoring, op7_language_id, op8_url_filter, op9_near_dedup, op10_suffix_dedup, op11_periodic_runs, op12_exact_dedup, op13_source_divergence)}
