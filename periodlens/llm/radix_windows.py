@@ -1,7 +1,7 @@
 """Removal of repeated 50-byte strings by a depth-limited radix sort of suffixes.
 
-The texts' suffixes are ordered through their first ``LENGTH`` bytes only, most significant digit
-first; equal groups at that depth are exactly the repeated windows.  A byte goes if a window that covers it also
+The texts' suffixes are sorted through their first ``LENGTH`` bytes only, most significant digit
+first (a digit's order is that of the hash of its bytes); equal groups at that depth are exactly the repeated windows.  A byte goes if a window that covers it also
 starts in a document with a smaller id.
 
 Two digits of 25 bytes (64-bit hashes of their bytes) order the suffixes; a digit before them deals the
@@ -9,8 +9,8 @@ suffixes to tasks, and spares most of them the sort.  It is the window's anchor:
 gram (by hash, leftmost) inside the window.  Equal windows have equal anchors at equal places, and the windows
 of an anchor are consecutive (15 on average), so they travel as one run of bytes:
 
-1. every anchor gram's 48-bit hash is dealt to buckets with a hash of its document; grams that are in one
-   document only are dropped, the others are told to the blocks of documents that hold them;
+1. every anchor gram's 48-bit hash is dealt to buckets, once for each document, with the hash that names the document's block;
+   grams of one document only are dropped, the others are told to the blocks that hold them;
 2. each block sends the runs of its remaining anchors to the grams' buckets; equal runs of a block are one,
    with its least document;
 3. each bucket sorts its suffixes by the two digits, and marks in each run the windows whose group has a
@@ -167,11 +167,12 @@ def _texts(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, list[bytes]]]:
 def _send_grams(blocks: int, buckets: int):
     """Step 1, map: anchors' grams by bucket, each with a hash of its document."""
     def flush(grams, docs):
+        # a row for each gram and document: two of them are two documents, even if their hashes are equal
         g, d = np.concatenate(grams), np.concatenate(docs)
         order = np.lexsort((d, g))
         g, d = g[order], d[order]
         new = np.concatenate(([True], (g[1:] != g[:-1]) | (d[1:] != d[:-1])))
-        g, d = g[new], d[new]
+        g, d = g[new], _doc_hash(d[new])
         # of a gram's documents in one block two are enough, so a frequent gram sends little
         begin = np.concatenate(([True], g[1:] != g[:-1]))
         first = np.flatnonzero(begin)
@@ -189,11 +190,10 @@ def _send_grams(blocks: int, buckets: int):
         grams, docs, held = [], [], 0
         for b in batches:
             for ids, texts in _texts(b):
-                hashes = _doc_hash(ids)
                 for buf, parts in _frames(texts):
                     g, _, _, part = _runs(buf, parts)
                     grams.append(g)
-                    docs.append(hashes[np.array([p[0] for p in parts])][part])
+                    docs.append(ids[np.array([p[0] for p in parts])][part])
                     held += len(g)
                 if held > HELD:
                     yield flush(grams, docs)
@@ -212,7 +212,11 @@ def _by_share(batches) -> Iterator[tuple[int, Iterator[tuple[int, bytes]]]]:
 
 
 def _repeated_grams(blocks: int):
-    """Step 1, reduce: grams of at least two documents, by the blocks that hold them."""
+    """Step 1, reduce: grams of at least two documents, by the blocks that hold them.
+
+    A task sends a document's grams at once, so two rows of a gram are two documents (or two rows with one id, which step 3
+    tells apart).
+    """
     def repeated_grams_by_block(batches):
         for _, rows in _by_share(batches):
             got = [_unpack_grams(r, "<u4") for _, r in rows]
@@ -221,7 +225,7 @@ def _repeated_grams(blocks: int):
             g, d = g[order], d[order]
             first = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
             last = np.concatenate((first[1:], [len(g)])) - 1
-            keep = np.repeat(d[first] != d[last], last - first + 1)
+            keep = np.repeat(last > first, last - first + 1)
             g, block = g[keep], (d[keep] % blocks).astype(np.int64)
             order = np.lexsort((g, block))
             yield _rows([(k, 0, _pack_grams(g[order][s])) for k, s in _slices(block[order])], _OUT)
