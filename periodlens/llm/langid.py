@@ -39,15 +39,23 @@ DISCOUNT = 0.75
 CHARSET = 3000                # the uniform distribution below the unigrams
 REJECT_RATE, REJECT_MARGIN = 0.001, 0.6
 CACHE_WORDS = 500_000
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]")           # letters, and numbers that are no digits: ``isalpha`` tells
 _SPLIT = re.compile(r"[\W\d_]+")
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                   0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters, lower-cased."""
-    return [w for w in _SPLIT.split(text.lower()) if w]
+    """Runs of letters (Unicode category L), lower-cased."""
+    words = [w for w in _SPLIT.split(text.lower()) if w]
+    if all(map(str.isalpha, words)):
+        return words
+    # fractions, circled and Roman numbers are between the words
+    return [x for w in words for x in "".join(c if c.isalpha() else " " for c in w).split()]
+
+
+def has_letter(text: str | None) -> bool:
+    return bool(text) and any(m.group().isalpha() for m in _LETTER.finditer(text))
 
 
 def _grams(words: list[str], order: int):
@@ -190,15 +198,19 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     """Fit the models to a sample of about ``sample_rows`` rows of each language."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                            F.col(lang_col).alias("lang")).where("lang is not null and text is not null")
-    totals = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}   # a row a language
+    held = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("held")), F.lit(10)) == 0
+    totals = rows.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(~held).alias("n_fit")).collect()   # a row a language
     if not totals:
         return None
+    # a language with few rows, all of them in the calibration's tenth, is fitted to these
+    few = [r["lang"] for r in totals if not r["n_fit"]]
+    held = held & ~F.col("lang").isin(few) if few else held
+    totals = {r["lang"]: r["n"] for r in totals}
     share = F.lit(0.0)
     for lang, n in sorted(totals.items()):
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample_rows / n))).otherwise(share)
     pick = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
     rows = rows.where(pick < share)
-    held = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("held")), F.lit(10)) == 0
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -280,7 +292,7 @@ def predict(docs: DataFrame, models: Models | None, text_col: str = "text", pred
             for s in range(0, b.num_rows, 500):
                 part = b.slice(s, 500)
                 texts = part.column(at).to_pylist()
-                letter = np.array([bool(t and _LETTER.search(t)) for t in texts], bool)
+                letter = np.array([has_letter(t) for t in texts], bool)
                 if m is None:
                     pred, score, bad = [UND] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
                 else:
