@@ -36,17 +36,9 @@ pieces as (
     select rid, k, unnest(string_split(regexp_replace(t, '([.!?])[ \t]+', '\1' || chr(10), 'g'), chr(10))) as p
     from versions),
 hashes as (select rid, k, sha256(p) as h from pieces where p <> ''),
-lanes as (
-    select rid, k, i, sum(instr('0123456789abcdef', substr(h, i, 1)) - 1) % 65536 as lane
-    from hashes, range(1, 65) r(i) group by rid, k, i),
-vectors as (
-    select v.rid, v.k, coalesce(c.n, 0) as n, l.v
-    from versions v
-    left join (select rid, k, count(*) as n from hashes group by rid, k) c on c.rid = v.rid and c.k = v.k
-    left join (select rid, k, list(lane::bigint order by i) as v from lanes group by rid, k) l
-        on l.rid = v.rid and l.k = v.k),
 filled as (
-    select rid, k, n, coalesce(v, list_transform(range(64), lambda x: 0::bigint)) as v from vectors),
+    select v.rid, v.k, count(h) as n, [%LANES%]::bigint[] as v
+    from versions v left join hashes using (rid, k) group by v.rid, v.k),
 shown as (
     select *, lower(lpad(to_hex(n), 8, '0')) || array_to_string(
         list_transform(v, lambda x: lower(lpad(to_hex(x), 4, '0'))), '') as fp from filled),
@@ -78,7 +70,8 @@ select p.doc_id, p.n_chars, p.edited_sha256, p.fingerprint, p.edited_fingerprint
 from paired p
 join likes x on x.rid = p.rid and x.side = 1
 join likes y on y.rid = p.rid and y.side = 2
-"""
+""".replace("%LANES%", ", ".join(
+    f"coalesce(sum(instr('0123456789abcdef', substr(h, {i}, 1)) - 1), 0) % 65536" for i in range(1, 65)))
 
 ORACLE["op5_benchmark_decontamination"] = r"""
 with texts as (
