@@ -132,10 +132,14 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       item_id: str = "item_id", item_text: str = "text", percent: int = PERCENT,
                       by_row: bool = False) -> DataFrame:
-    """``docs`` without the ids that hold an item; with ``by_row`` only the rows whose own text does go."""
+    """``docs`` without the ids that hold an item; with ``by_row`` only the rows whose own text does go.
+
+    A row without an id is always judged by its own text.
+    """
     found = _found(docs, items, id_col, text_col, item_id, item_text, percent)
-    found = found.select(F.col("id").alias("_found"), *[F.col("th").alias("_th")] * by_row).distinct()
-    same = docs[id_col].eqNullSafe(found["_found"])
-    if by_row:
-        same &= F.xxhash64(docs[text_col]) == found["_th"]
+
+    def own(id_, hash_):
+        return hash_ if by_row else F.when(id_.isNull(), hash_)
+    found = found.select(F.col("id").alias("_found"), own(F.col("id"), F.col("th")).alias("_th")).distinct()
+    same = docs[id_col].eqNullSafe(found["_found"]) & own(docs[id_col], F.xxhash64(docs[text_col])).eqNullSafe(found["_th"])
     return docs.join(found, same, "left_anti")

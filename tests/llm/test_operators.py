@@ -334,6 +334,14 @@ def test_decontamination_judges_rows_and_short_items(spark):
     assert left.columns == df.columns
     assert sorted((r["doc_id"] or 0, r["text"] == clean) for r in left.collect()) == [
         (0, True), (7, True), (9, False), (11, False), (13, False), (14, False)]
+    by_id = decontam.drop_contaminated(df, items)
+    assert sorted((r["doc_id"] or 0, r["text"] == clean) for r in by_id.collect()) == [
+        (0, True), (9, False), (11, False), (13, False), (14, False)]
+    kept, decontam.BROADCAST_BYTES = decontam.BROADCAST_BYTES, -1          # joined by shuffle: the same rows
+    try:
+        assert sorted((r["doc_id"] or 0, r["item_id"]) for r in decontam.find_items(df, items).collect()) == got
+    finally:
+        decontam.BROADCAST_BYTES = kept
     short = items.where("item_id in (2, 5)")
     assert [r["doc_id"] for r in decontam.find_items(df, short).collect()] == [8]
 
@@ -399,6 +407,20 @@ def test_languages_of_held_out_rows(spark):
     assert {r["lang_pred"] for r in langid.predict(df, None).collect()} == {"und"}
 
 
+def test_languages_need_a_letter_and_few_rows_are_learned(spark):
+    rows = [(d, "theing thean " * 5, "aa") for d in range(40)]
+    held = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("held")), F.lit(10)) == 0
+    tenth = [r["id"] for r in spark.range(1000, 3000).where(held).limit(2).collect()]
+    rows += [(100_000 + d, "", None) for d in range(2)] + [(d, "scheit gung ichsch " * 4, "bb") for d in tenth]
+    models = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert models.langs == ["aa", "bb"]
+    odd = ["½ ² ①", "Ⅳ 12", "½ ² ① a", "scheit½gung", "ａ", "ñ", "一"]
+    got = langid.predict(spark.createDataFrame(list(enumerate(odd)), DOCS), models).orderBy("doc_id").collect()
+    assert [r["lang_pred"] == "und" for r in got] == [True, True, False, False, False, False, False]
+    assert [r["score"] for r in got[:2]] == [0, 0] and got[3]["lang_pred"] == "bb"
+    assert langid.words_of("Ab½cd ②x é3f") == ["ab", "cd", "x", "é", "f"]
+
+
 def test_language_models_are_distributions():
     words = ["abba", "abc", "cab", "a"]
     model = langid.Models({"x": langid.fit(words, [3, 1, 2, 5], 3)}, 3)
@@ -497,6 +519,19 @@ def test_repeated_strings_with_null_and_repeated_ids(spark):
     assert got == [(0, 0), (4, 0), (4, 0), (7, 0), (9, 2 * n)]
 
 
+def test_repeated_strings_of_ids_whose_halves_are_equal(spark):
+    """Ids with equal 32-bit hashes, and with equal low or high halves, are different documents."""
+    rng = random.Random(4)
+    pairs = [(337901, 352676), (1, 1 + (1 << 32)), (5 << 32, 6 << 32), (-9, 9)]
+    rows = [(d, t) for ids in pairs for t in [prose(rng, 16)[:99]] for d in ids]
+    assert radix_windows._doc_hash(np.array(pairs[0]))[0] == radix_windows._doc_hash(np.array(pairs[0]))[1]
+    for parts in (1, 5):
+        df = spark.createDataFrame(rows, DOCS).repartition(parts)
+        got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])
+               for r in radix_windows.remove_repeats(df).collect()}
+        assert got == brute.repeats(rows) and sum(v[1] for v in got.values()) > 300
+
+
 def test_repeated_strings_across_segments(spark, monkeypatch):
     rng = random.Random(2)
     long = prose(rng, 3000)
