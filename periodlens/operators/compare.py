@@ -16,7 +16,7 @@ from periodlens.functions.periods import pct_change
 from periodlens.functions.text import clean_category
 from periodlens.functions.values import MISSING_MARKERS, REDACTED, count_value
 from periodlens.operators.order import domain_rank
-from periodlens.operators.position import down, up, with_position
+from periodlens.operators.position import down, up, rank_codes
 
 # --- fixed values -----------------------------------------------------------
 TOTAL = "TOTAL"
@@ -225,10 +225,10 @@ def _finish_comparison(per_code: DataFrame, has_text: bool, order: str, domain)
         table = table.withColumn("__dom", domain_rank("category", labels))
         keys = [F.col("__special") == 2, "__dom", F.col("__special") == 1, "code"]
         table = table.withColumn("__k0", keys[0]).withColumn("__k2", keys[2])
-        ranked = with_position(table, ["__k0", "__dom", "__k2", "code"], "rank")
+        ranked = rank_codes(table, ["__k0", "__dom", "__k2", "code"], "rank")
         ranked = ranked.drop("__dom", "__k0", "__k2")
     else:
-        ranked = with_position(table, ["__special", down("after"), "code"], "rank")
+        ranked = rank_codes(table, ["__special", down("after"), "code"], "rank")
     return ranked.select("rank", "code", "category", "before", "after", "change", "pct_change")
 
 
@@ -264,7 +264,7 @@ def compare_left(status: DataFrame, datecode: str, current: str, prior: str,
            .withColumn("change", F.col("current_count") - F.col("prior_count"))
            .withColumn("pct_change", pct_change("prior_count", "current_count")))
     order = [down("current_count")] + [up(k) for k in keys]
-    out = with_position(out, order, "rank")
+    out = rank_codes(out, order, "rank")
     return out.drop(*([line] if line else []))
 
 

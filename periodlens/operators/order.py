@@ -1,7 +1,7 @@
 """Ordering helpers: domain order, specials last, known-first, numeric-aware, sampling.
 
-Each returns sort keys (Columns) or a ranked DataFrame; ranks come from a distributed
-sort (``with_position``) or, for a head, from a top-k.
+Each returns sort keys (Columns) or a ranked DataFrame.  Ranks are given by ``rank_codes`` (tables with one row for
+each code); pass ``rank=with_position`` for tables of any size.  A head comes from a top-k.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from periodlens.functions.common import as_col
-from periodlens.operators.position import down, up, with_position
+from periodlens.operators.position import down, up, rank_codes
 
 # --- fixed values -----------------------------------------------------------
 # Age band order (plus the two special labels, in order).
@@ -71,28 +71,28 @@ def numeric_text(c) -> Column:
     return F.regexp_replace(as_col(c).cast("string"), NUMERIC_NOISE, "").try_cast("double")
 
 
-def rank_domain(df: DataFrame, col: str, labels, tie=None, name: str = "rank") -> DataFrame:
+def rank_domain(df: DataFrame, col: str, labels, tie=None, name: str = "rank", rank=rank_codes) -> DataFrame:
     """Rank rows by a fixed label order, unknown labels after it, ties by ``tie`` (O2)."""
     tie = [col] if tie is None else ([tie] if isinstance(tie, str) else list(tie))
     d = df.withColumn("__dom", domain_rank(col, labels))
-    return with_position(d, ["__dom", *tie], name).drop("__dom")
+    return rank(d, ["__dom", *tie], name).drop("__dom")
 
 
-def rank_known_first(df: DataFrame, col: str, known, name: str = "rank") -> DataFrame:
+def rank_known_first(df: DataFrame, col: str, known, name: str = "rank", rank=rank_codes) -> DataFrame:
     """Listed labels first in list order, then the rest alphabetically."""
     d = df.withColumn("__dom", domain_rank(col, known))
-    return with_position(d, ["__dom", col], name).drop("__dom")
+    return rank(d, ["__dom", col], name).drop("__dom")
 
 
 def rank_specials_last(df: DataFrame, col: str, measure: str, name: str = "rank",
-                       specials=("REDACTED", "TOTAL")) -> DataFrame:
+                       specials=("REDACTED", "TOTAL"), rank=rank_codes) -> DataFrame:
     """Measure descending, then the special labels in order (O3)."""
     d = df.withColumn("__sp", specials_rank(col, specials))
-    return with_position(d, ["__sp", down(measure), col], name).drop("__sp")
+    return rank(d, ["__sp", down(measure), col], name).drop("__sp")
 
 
 def rank_numeric_aware(df: DataFrame, col: str, descending: bool = False, tie=None,
-                       name: str = "rank") -> DataFrame:
+                       name: str = "rank", rank=rank_codes) -> DataFrame:
     """Numeric order when the value parses as a number, text order otherwise.
 
     Numbers sort before text; ``descending`` reverses both.
@@ -103,7 +103,7 @@ def rank_numeric_aware(df: DataFrame, col: str, descending: bool = False, tie=No
         keys = [down("__isnum"), down("__num"), down(col)]
     else:
         keys = [down("__isnum"), up("__num", nulls_last=True), up(col, nulls_last=True)]
-    return with_position(d, keys + tie, name).drop("__num", "__isnum")
+    return rank(d, keys + tie, name).drop("__num", "__isnum")
 
 
 def sample_rows(df: DataFrame, n: int, seed: int, keys) -> DataFrame:

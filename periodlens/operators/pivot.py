@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from periodlens.functions.periods import pct_change, period_label, period_sort_key
 from periodlens.functions.text import NONPERMANENT
 from periodlens.functions.values import count_sum, count_value
-from periodlens.operators.position import down, top_n, up, with_position
+from periodlens.operators.position import down, top_n, up, rank_codes
 
 
 def multi_period_sql(spark: SparkSession, df: DataFrame, view: str = "employment",
@@ -126,7 +126,7 @@ def top_split(df: DataFrame, category, transitions, n: int = 50, measure: str =
     v = count_value(measure, policy)
     agg = rows.groupBy(F.col("__cat").alias(cat)).agg(
         F.coalesce(F.sum(v * weight), F.lit(0)).cast("bigint").alias("total_before"))
-    ranked = with_position(agg, [down("total_before"), cat], "rank")
+    ranked = rank_codes(agg, [down("total_before"), cat], "rank")
     return ranked.withColumn("is_top", F.col("rank") <= n).select("rank", cat, "total_before", "is_top")
 
 
@@ -158,4 +158,4 @@ def period_matrix(long: DataFrame, keys, period: str = "period", sort_key: str =
     if not periods:
         return wide
     order = [down(f"`{periods[-1]}`") if latest_first else up(f"`{periods[-1]}`")] + list(keys)
-    return with_position(wide, order, "rank")
+    return rank_codes(wide, order, "rank")

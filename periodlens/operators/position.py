@@ -1,11 +1,14 @@
-"""Consecutive row positions and running totals without funnelling rows through one task.
+"""Consecutive row positions, running totals and medians without funnelling rows through one task.
 
 A window with no PARTITION BY sends every row to a single task.  Here the rows are first cut into ordered
-ranges: the sort keys with the ``RANGES`` least hashes, put in order, are the bounds, so they are a
-function of the data alone (no sampled or physical partitions, which may differ when a task is
-repeated).  A row finds its range by binary search, rows are numbered within their range, and the sizes of
-the ranges before it (at most ``RANGES`` + 1 rows a group) are added.  One path for every size, and lazy:
-nothing runs or is written before the result is asked for.
+ranges by bounds that are a function of the data alone (no sampled or physical partitions, which may differ
+when a task is repeated): the sort keys of the rows with the least hashes, put in order, and of these each ``PER_BOUND``-th.  A hash of the whole row is
+the last sort key, so the bounds are distinct, and a key with very many rows is cut into several ranges.  A row finds its
+range by binary search, rows are numbered within their range, and the sizes of the ranges before it (at most
+``RANGES`` + 1 rows a group) are added.  One path for every size, and lazy: nothing runs or is written before
+the result is asked for.
+
+Tables with one row for each code of a code table (comparisons, shares, trends) are numbered by ``rank_codes``, in one task.
 """
 
 from __future__ import annotations
@@ -16,6 +19,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGES = 255
+# Keys picked for each bound: the more, the more even the ranges (24: none above twice the mean).
+PER_BOUND = 24
+# Rank error of the quantile sketch that brackets a median, as a share of the rows.
+ACCURACY = 10_000
 
 
 class Key(NamedTuple):
@@ -56,29 +63,41 @@ def _precedes(a: Column, b: Column, keys: list[Key]) -> Column:
     return out
 
 
-def running_total(df: DataFrame, order_by, weight: Column, name: str, partition_by=()) -> DataFrame:
-    """Add the sum (bigint) of ``weight`` over the rows up to and with each row in ``order_by`` order.
+def in_ranges(df: DataFrame, order_by, weight: Column, partition_by=()) -> tuple[DataFrame, list[Key]]:
+    """The rows with the number of their range: row, key (struct), weight, p0.. (the groups), range; and the keys.
 
-    ``order_by`` are column names, Columns (ascending) or ``up``/``down`` keys; a total order makes
-    the totals deterministic.  Totals restart per ``partition_by``; a null is a group of its own.
+    Ranges follow the order of the keys over all groups; the last key is a hash of the row.
     """
-    keys = _keys(order_by)
-    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    keys = [*_keys(order_by), up(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))]
     key = F.struct(*[k.expr.alias(f"k{i}") for i, k in enumerate(keys)])
     rows = df.select(F.struct(*df.columns).alias("row"), key.alias("key"), weight.cast("bigint").alias("weight"),
-                     *[F.col(p).alias(f"p{i}") for i, p in enumerate(parts)])
-    groups = [f"p{i}" for i in range(len(parts))]
-    picked = rows.select("key").orderBy(F.xxhash64("key"), "key").limit(RANGES)
+                     *[F.col(p).alias(f"p{i}") for i, p in enumerate(partition_by)])
+    picked = rows.select("key").orderBy(F.xxhash64("key", F.lit(RANGES)), "key").limit(RANGES * PER_BOUND)
     in_order = F.array_sort(F.collect_list("key"), lambda a, b: F.when(_precedes(a, b, keys), -1)
                             .when(_precedes(b, a, keys), 1).otherwise(0))
-    rows = rows.withColumn("bounds", picked.agg(in_order).scalar())
+    # of the picked keys, in order, each PER_BOUND-th is a bound
+    bounds = F.filter(in_order, lambda _, i: (i + 1) % PER_BOUND == 0)
+    rows = rows.withColumn("bounds", picked.agg(bounds).scalar())
     steps = F.array(*[F.lit(1 << i) for i in range(RANGES.bit_length() - 1, -1, -1)])
 
     def step(at, p):
         ahead = F.get(F.col("bounds"), at + p - 1)
         return F.when((at + p <= F.size("bounds")) & ~_precedes(F.col("key"), ahead, keys), at + p).otherwise(at)
 
-    rows = rows.select("row", "key", "weight", *groups, F.aggregate(steps, F.lit(0), step).alias("range"))
+    found = F.aggregate(steps, F.lit(0), step).alias("range")
+    return rows.select("row", "key", "weight", *[f"p{i}" for i in range(len(partition_by))], found), keys
+
+
+def running_total(df: DataFrame, order_by, weight: Column, name: str, partition_by=()) -> DataFrame:
+    """Add the sum (bigint) of ``weight`` over the rows up to and with each row in ``order_by`` order.
+
+    ``order_by`` are column names, Columns (ascending) or ``up``/``down`` keys; a total order makes
+    the totals deterministic; rows that tie in it are in the order of a hash of their values.  Totals restart per
+    ``partition_by``; a null is a group of its own.
+    """
+    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    groups = [f"p{i}" for i in range(len(parts))]
+    rows, keys = in_ranges(df, order_by, weight, parts)
     sums = rows.groupBy(*groups, "range").agg(F.sum("weight").alias("s"))
     before = Window.partitionBy(*groups).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(*[F.col(g).alias(f"s_{g}") for g in groups], F.col("range").alias("s_range"),
@@ -105,21 +124,33 @@ def with_position(df: DataFrame, order_by, name: str = "rank", partition_by=())
 
 
 def exact_median(df: DataFrame, value: str, by=(), name: str = "median") -> DataFrame:
-    """The exact median of the non-null values of each group: ``by`` columns and ``name`` (double).
+    """The exact median of the non-null numeric values of each group: ``by`` columns and ``name`` (double).
 
-    Counted per distinct value first; the middle values are read off the running counts, so no task holds
-    a group's values.
+    A quantile sketch (a bounded aggregate) brackets the median: its ranks are off by less than ``1 / ACCURACY`` of the rows, and
+    the bracket is twice that on both sides.  The values inside it are counted per distinct value, those below in one
+    number, and the middle values are read off the running counts: at most 8 of ``ACCURACY`` rows of a group, besides ties,
+    meet in a task.
     """
     by = [by] if isinstance(by, str) else list(by)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
-    run = running_total(counts, [value], F.col("__n"), "__upto", by)
-    sizes = counts.groupBy(*[F.col(b).alias(f"__b{i}") for i, b in enumerate(by)]).agg(F.sum("__n").alias("__size"))
-    same = F.lit(True)
-    for i, b in enumerate(by):
-        same = same & F.col(b).eqNullSafe(F.col(f"__b{i}"))
-    run = run.join(sizes, same) if by else run.withColumn("__size", counts.agg(F.sum("__n")).scalar())
-    low = F.min(F.when(F.col("__upto") * 2 >= F.col("__size"), F.col(value)))
-    high = F.min(F.when(F.col("__upto") * 2 > F.col("__size"), F.col(value)))
+    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("__x"))
+    share = F.array(*[F.lit(0.5 + side * 3.0 / ACCURACY) for side in (-1, 1)])
+    ends = rows.groupBy(*by).agg(F.percentile_approx("__x", share, ACCURACY).alias("__ends"), F.count(F.lit(1)).alias("__size"))
+    if by:
+        names = {b: f"__b{i}" for i, b in enumerate(by)}
+        same = F.lit(True)
+        for b, alias in names.items():
+            same = same & F.col(b).eqNullSafe(F.col(alias))
+        rows = rows.join(ends.withColumnsRenamed(names), same).drop(*names.values())
+    else:
+        one = ends.select(F.struct("__ends", "__size")).scalar()
+        rows = rows.withColumns({"__ends": one["__ends"], "__size": one["__size"]})
+    rows = rows.where(F.col("__x") <= F.col("__ends")[1])
+    counts = (rows.groupBy(*by, "__size", F.when(F.col("__x") >= F.col("__ends")[0], F.col("__x")).alias("__x"))
+              .agg(F.count(F.lit(1)).alias("__n")))
+    upto = Window.partitionBy(*by).orderBy(F.asc_nulls_first("__x")).rowsBetween(Window.unboundedPreceding, 0)
+    run = counts.withColumn("__upto", F.sum("__n").over(upto))
+    low = F.min(F.when(F.col("__upto") * 2 >= F.col("__size"), F.col("__x")))
+    high = F.min(F.when(F.col("__upto") * 2 > F.col("__size"), F.col("__x")))
     return run.groupBy(*by).agg(((low.cast("double") + high.cast("double")) / 2).alias(name))
 
 
@@ -134,6 +165,9 @@ def top_n(df: DataFrame, order_by, n: int, name: str = "rank") -> DataFrame:
     return head.withColumn(name, F.row_number().over(Window.orderBy(*cols)).cast("bigint"))
 
 
-def rank_columns(df: DataFrame, order_by, name: str = "rank") -> DataFrame:
-    """Rank a table that has at most one row a column of some schema, so that one task numbers it."""
+def rank_codes(df: DataFrame, order_by, name: str = "rank") -> DataFrame:
+    """Number a table that has one row for each code of a code table (or each column of a schema): one task does it.
+
+    ``with_position`` numbers tables of any size.
+    """
     return df.withColumn(name, F.row_number().over(Window.orderBy(*[k.sort() for k in _keys(order_by)])).cast("bigint"))

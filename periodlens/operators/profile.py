@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from periodlens.functions.common import string_columns
 from periodlens.functions.values import REDACTED, count_sum, safe_int
-from periodlens.operators.position import down, exact_median, rank_columns, top_n, up, with_position
+from periodlens.operators.position import down, exact_median, rank_codes, top_n, up
 
 
 def _mean(c: Column) -> Column:
@@ -80,7 +80,7 @@ def frequency_share(df: DataFrame, col: str, n: int | None = None, by_label: boo
     if n is not None:
         return top_n(vc, [down("n"), up(col)], n)
     if by_label:
-        return with_position(vc, [col], "rank")
+        return rank_codes(vc, [col], "rank")
     return vc
 
 
@@ -161,7 +161,7 @@ def redaction_profile(df: DataFrame, before: Column, after: Column, columns=None
         F.round(F.when(F.col("rows_a") > 0, F.col("after_count") / F.col("rows_a") * 100.0)
                 .otherwise(0.0), 4).alias("after_pct"))
     # at most one row per profiled column
-    return rank_columns(long, [down("after_count"), "column_name"])
+    return rank_codes(long, [down("after_count"), "column_name"])
 
 
 # --- fixed values -----------------------------------------------------------
@@ -194,7 +194,7 @@ def redaction_overview(df: DataFrame, description_only: bool = False) -> DataFra
                                   ("redacted_count", _q(f"{c}__x")), ("total_records", "__rows_x")]
                                  for c, name in fields.items()])).where(F.col("redacted_count") > 0)
     long = long.withColumn("redaction_pct", F.round(F.col("redacted_count") / F.col("total_records") * 100.0, 4))
-    return rank_columns(long, [down("redaction_pct"), "field"])
+    return rank_codes(long, [down("redaction_pct"), "field"])
 
 
 def cell_redaction(df: DataFrame, by: str = "dataset_key", columns=None) -> DataFrame:

@@ -286,7 +286,7 @@ def name_map(spark, d):
 
 def flagged_groups(spark, d):
     g = C.flagged_groups(_facts(spark, d), "agy", "agelvlt")
-    return O.with_position(g, ["agy"], "rank")
+    return O.rank_codes(g, ["agy"], "rank")
 
 
 def exclude_groups_q(spark, d):

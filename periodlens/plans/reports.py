@@ -6,6 +6,8 @@ DataFrames; nothing is collected except report headers that are schema metadata.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from periodlens.operators import profile as PR
 from periodlens.operators import quality as Q
 from periodlens.operators.denorm import Dim, denormalize
 from periodlens.operators.joins import enrich_coalesce, keep_groups
-from periodlens.operators.position import up, with_position
+from periodlens.operators.position import up, rank_codes
 from periodlens.sources import files as S
 from periodlens.sources import sinks as K
 
@@ -91,6 +93,27 @@ def workforce_dims(lookups: dict) -> list[Dim]:
     return dims
 
 
+def _dated() -> Column:
+    return F.col("year").isNotNull() & F.col("quarter").isNotNull()
+
+
+def _denormalized(spark: SparkSession, facts: DataFrame, lookup_paths: dict, segments=(1, 2, 3), encoding: str = S.LATIN1) -> DataFrame:
+    facts = S.null_texts(S.trim_strings(facts))
+    facts = CF.pad_codes(facts, [c for c in PADDED_CODES if c in facts.columns])
+    lookups = {}
+    for kind, paths in lookup_paths.items():
+        if paths:
+            # a cut description must not name a code: ``bad_record_report`` counts such lines
+            lookups[kind] = S.null_texts(S.trim_strings(S.sound(S.read_lookups(spark, paths, encoding, segments))))
+    return CF.add_aliases(denormalize(facts, workforce_dims(lookups)))
+
+
+def denormalized(spark: SparkSession, fact_paths, lookup_paths: dict, segments=(1, 2, 3), encoding: str = S.LATIN1) -> DataFrame:
+    """Facts with their code tables' descriptions and lineage columns (J1); records without a period are left out."""
+    facts = S.read_facts(spark, fact_paths, encoding, segments)
+    return _denormalized(spark, facts.where(_dated()), lookup_paths, segments, encoding)
+
+
 def build_snapshots(spark: SparkSession, fact_paths, lookup_paths: dict, out_path: str | None = None):
     """Snapshot build (R1): facts + code tables → denormalised snapshots (+ manifest).
 
@@ -100,16 +123,8 @@ def build_snapshots(spark: SparkSession, fact_paths, lookup_paths: dict, out_pat
     stored; the manifest lists them under a null period.
     """
     facts = S.read_facts(spark, fact_paths)
-    dated = F.col("year").isNotNull() & F.col("quarter").isNotNull()
-    rejected = K.manifest(facts.where(~dated).drop("corrupt_record"))
-    facts = facts.where(dated)
-    facts = S.null_texts(S.trim_strings(facts))
-    facts = CF.pad_codes(facts, [c for c in PADDED_CODES if c in facts.columns])
-    lookups = {}
-    for kind, paths in lookup_paths.items():
-        if paths:
-            lookups[kind] = S.null_texts(S.trim_strings(S.read_lookups(spark, paths)))
-    snap = CF.add_aliases(denormalize(facts, workforce_dims(lookups)))
+    rejected = K.manifest(facts.where(~_dated()).drop("corrupt_record"))
+    snap = _denormalized(spark, facts.where(_dated()), lookup_paths)
     if not out_path:
         return snap.drop(*LINEAGE), K.manifest(snap).unionByName(rejected), None
     # The store keeps the lineage columns, so the manifest is a narrow columnar read of the
@@ -119,6 +134,19 @@ def build_snapshots(spark: SparkSession, fact_paths, lookup_paths: dict, out_pat
     return store.drop(*LINEAGE), K.manifest(store).unionByName(rejected), check
 
 
+def bad_record_report(spark: SparkSession, fact_paths=(), lookup_paths: dict | None = None, pipe_paths=(),
+                      status_paths=()) -> DataFrame:
+    """Records and malformed records of every input file: kind, source_file, records, bad_records."""
+    frames = [(kind, read(spark, paths)) for kind, read, paths in (
+        ("facts", S.read_facts, fact_paths), ("pipe", S.read_pipe_files, pipe_paths)) if paths]
+    frames += [(kind, S.read_lookups(spark, paths)) for kind, paths in (lookup_paths or {}).items() if paths]
+    frames += [("status", S.read_status_table(spark, path, with_source=True)) for path in status_paths]
+    counted = [S.bad_records(df).select(F.lit(kind).alias("kind"), "source_file", "records", "bad_records") for kind, df in frames]
+    if not counted:
+        raise ValueError("no input files")
+    return reduce(DataFrame.unionByName, counted)
+
+
 def build_from_directory(spark: SparkSession, base: str, out_path: str | None = None):
     """R1 over an extracted release tree: fact files and code tables found by their fixed names
     (a code table missing for a period simply leaves that period's descriptions null)."""
@@ -130,19 +158,21 @@ def build_from_directory(spark: SparkSession, base: str, out_path: str | None =
 def build_alternate(spark: SparkSession, paths, year: int, quarter: str,
                     target=CF.SNAPSHOT_FIELDS, out_path: str | None = None):
     """Alternate-release build (R2): pipe files → per-file redaction and agency profile →
-    renamed and conformed snapshot with period columns (+ snapshot profile).
+    renamed and conformed snapshot with period columns (+ snapshot profile).  Malformed records are counted per
+    file and left out of the snapshot.
 
     Returns (snapshot, per_file_profile, snapshot_profile).
     """
     raw = S.read_pipe_files(spark, paths)
-    value_cols = [c for c in raw.columns if c not in ("source_file", "source_size")]
+    value_cols = [c for c in raw.columns if c not in LINEAGE]
     # one aggregation per file: rows, redacted cells (A8) and distinct agencies
     redacted = F.expr(" + ".join(f"CAST(coalesce(`{c}` = 'REDACTED', false) AS INT)" for c in value_cols))
     agencies = [F.countDistinct("AGYT").alias("n_distinct_AGYT")] if "AGYT" in raw.columns else []
     per_file = (raw.groupBy("source_file")
-                .agg(F.count(F.lit(1)).alias("rows"), F.sum(redacted).cast("bigint").alias("redacted_cells"), *agencies)
+                .agg(F.count(F.lit(1)).alias("rows"), F.count(S.CORRUPT).alias("bad_records"),
+                     F.sum(redacted).cast("bigint").alias("redacted_cells"), *agencies)
                 .withColumn("cell_pct", F.round(F.col("redacted_cells") / (F.col("rows") * len(value_cols)) * 100.0, 4)))
-    snap = CF.rename_columns(raw, CF.ALTERNATE_RENAMES)
+    snap = CF.rename_columns(S.sound(raw), CF.ALTERNATE_RENAMES)
     snap = snap.withColumns({"dataset_key": F.lit(f"{year}_{quarter}"), "quarter": F.lit(quarter),
                              "year": F.lit(year)})
     snap = CF.pad_codes(snap, ["loc"])
@@ -249,11 +279,11 @@ def transition_tables(snap: DataFrame, transitions, kind: str = "age", period_co
     if kind == "grade":
         split = matrix.join(extra.select("category", "is_top"), "category")
         order = [up(f"{transitions[-1][0]}_pct"), "category"]
-        return {name: with_position(split.where(pick).drop("is_top"), order)
+        return {name: rank_codes(split.where(pick).drop("is_top"), order)
                 for name, pick in (("top", F.col("is_top")), ("rest", ~F.col("is_top")))}
     labelled = matrix.join(extra, matrix["category"] == extra["code"], "left")
     shown = labelled.withColumn("category", F.coalesce("label", "category")).drop("label", "code")
-    return {"all": with_position(shown, ["category"])}
+    return {"all": rank_codes(shown, ["category"])}
 
 
 def agency_trend(snap: DataFrame, agysub: str, descriptions: DataFrame | None = None):
@@ -289,7 +319,7 @@ def appointment_matrix(by_toa: DataFrame) -> DataFrame:
 def status_comparison(spark: SparkSession, path: str, current: str, prior: str,
                       drop=(), rename: dict | None = None, search: str | None = None) -> DataFrame:
     """A status table's current rows matched to the prior period, projected, searched."""
-    st = S.read_status_table(spark, path)
+    st = S.sound(S.read_status_table(spark, path))
     st = st.withColumn("DATECODE", F.col("DATECODE").cast("string"))
     out = C.compare_left(st, "DATECODE", current, prior, line="line_no")
     out = CF.project_table(out, drop, rename)
@@ -317,7 +347,7 @@ def status_table_view(spark: SparkSession, path: str, table: str, current: str,
 def status_pair_check(spark: SparkSession, path: str, first: str, second: str) -> DataFrame:
     """Positional pairing check of a status table (J8): rows of the two DATECODEs paired by file
     order, every non-metric column compared.  One row: n_first, n_second, mismatches, result."""
-    st = S.read_status_table(spark, path).withColumn("DATECODE", F.col("DATECODE").cast("string"))
+    st = S.sound(S.read_status_table(spark, path)).withColumn("DATECODE", F.col("DATECODE").cast("string"))
     keys = [c for c in st.columns if c not in ("DATECODE", "line_no", *S.STATUS_TYPES)]
     return Q.pair_order(st, "DATECODE", first, second, keys, ["line_no"])
 

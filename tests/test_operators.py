@@ -1,6 +1,7 @@
 """Operators on hand-made frames, checked against brute-force Python."""
 
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from periodlens.operators import profile as PR
 from periodlens.operators import quality as Q
 from periodlens.operators.denorm import Dim, denormalize
 from periodlens.operators.joins import enrich_coalesce, exclude_groups, keep_groups
-from periodlens.operators.position import down, exact_median, running_total, top_n, up, with_position
+from periodlens.operators.position import down, exact_median, in_ranges, running_total, top_n, up, with_position
 
 SNAP = "year int, agy string, code string, name string, employment string, salary string, line_no long"
 
@@ -47,6 +48,33 @@ def test_with_position_keeps_null_groups_and_null_keys(spark):
     assert with_position(df.limit(0), ["k"]).count() == 0
 
 
+def test_ranges_are_balanced_on_repeated_keys(spark):
+    """300 groups with the same 2,000 keys, and one key in all rows: no range has over 2 / 255 of the rows."""
+    for key in (F.col("id") % 2000, F.lit(7)):
+        df = spark.range(600_000).select("id", (F.col("id") / 2000).cast("int").alias("g"), key.alias("k"))
+        rows, _ = in_ranges(df, ["k"], F.lit(1), ["g"])
+        sizes = [r["count"] for r in rows.groupBy("range").count().collect()]
+        assert len(sizes) > 250 and sum(sizes) == 600_000 and max(sizes) <= 2 * 600_000 / 255
+        got = with_position(df, ["k"], "pos", partition_by="g").groupBy("g").agg(
+            F.countDistinct("pos").alias("n"), F.min("pos").alias("lo"), F.max("pos").alias("hi")).distinct().collect()
+        assert {(r["n"], r["lo"], r["hi"]) for r in got} == {(2000, 1, 2000)}
+
+
+def test_exact_median_between_and_on_ties(spark):
+    """Medians of many sizes, with ties at the bracket, of negative and of fractional values."""
+    rng = random.Random(3)
+    rows = []
+    for g in range(40):
+        n = rng.randrange(1, 400)
+        rows += [(g, float(rng.choice([rng.randrange(-5, 5), rng.random()]))) for _ in range(n)]
+    rows += [(99, float(i)) for i in range(60_001)] + [(98, float(i % 3)) for i in range(50_000)] + [(97, 1.0), (97, 2.0)]
+    rows += [(96, None)]
+    df = spark.createDataFrame(rows, "g int, v double").repartition(6)
+    want = {g: statistics.median(v for h, v in rows if h == g) for g in {r[0] for r in rows} - {96}}
+    assert {r["g"]: r["m"] for r in exact_median(df, "v", "g", "m").collect()} == want
+    assert exact_median(df.where("g = 96"), "v", name="m").first()["m"] is None
+
+
 def test_running_total_and_exact_median(spark):
     rnd = random.Random(4)
     rows = [(rnd.choice(["x", "y", None]), rnd.randint(-50, 50)) for _ in range(901)] + [("z", None)]

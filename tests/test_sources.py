@@ -1,11 +1,13 @@
 """File round trips on hand-made files written to a fresh temp dir."""
 
 import os
+import random
 
 from pyspark.sql import functions as F
 
 from periodlens.plans import reports as R
 from periodlens.sources import files as S
+from periodlens.sources import records
 from periodlens.sources import sinks as K
 
 
@@ -165,3 +167,109 @@ def test_usage_on_built_store(spark, tmpdir_path):
     table, _ = R.age_comparison_excluding(snap, b, a)
     assert table.where("code = 'TOTAL'").first().before == 3     # the row without an age code is dropped
     assert R.validation_run(snap)["verdict"].count() == 2
+
+
+# --- records that are not lines, malformed records -------------------------------------------------
+
+def plain_csv(text, sep=",", quote='"'):
+    """Cells of each record by a plain state machine."""
+    records, cells, cell, state = [], [], "", "start"
+    for c in text + "\n":
+        if state == "inside":
+            if c == quote:
+                state = "closed"
+            else:
+                cell += c
+            continue
+        if c == quote and state == "start":
+            state = "inside"
+        elif c == quote and state == "closed":
+            cell, state = cell + c, "inside"
+        elif c == sep or c == "\n":
+            cells.append(cell)
+            cell, state = "", "start"
+            if c == "\n":
+                records.append(cells)
+                cells = []
+        else:
+            cell += c
+            state = "plain" if state == "start" else state
+    return [r for r in records if any(x.strip() for x in r) or len(r) > 1]
+
+
+def test_cells_with_line_breaks_over_many_splits(spark, tmpdir_path):
+    """Files read in splits of 64 bytes: cells run over several splits, and quotes in them look like beginnings."""
+    rng = random.Random(11)
+    pieces = ["plain", "a b", "", "x\ny", "\n", ",", 'say ""hi""', '"" ,""', "\n,\n", "long " * 30, '""\n""', "\n\n\n"]
+    paths, want = [], []
+    for k in range(4):
+        text = "id,a,b\n"
+        for i in range(60):
+            cells = [rng.choice(pieces) for _ in range(2)]
+            body = [f'"{c}"' if rng.random() < 0.5 or set(c) & set(',"\n') else c for c in cells]
+            text += f"{k}-{i}," + ",".join(body) + "\n"
+        paths.append(write(os.path.join(tmpdir_path, f"some files/f{k}.txt"), text, "utf-8"))
+        want += plain_csv(text)[1:]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.openCostInBytes", "16")
+    try:
+        df = S.read_delimited(spark, paths, line_numbers=True).cache()
+        got = df.orderBy("line_no").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [[r["id"], r["a"] or "", r["b"] or ""] for r in got] == want and len(want) == 240
+    assert all(r["corrupt_record"] is None for r in got)
+
+
+def test_all_readers_count_malformed_records(spark, tmpdir_path):
+    pipe = write(os.path.join(tmpdir_path, "p", "pipe.txt"), 'A|B\n"1"|"2"|"LOST"\n"3"\n"x\ny"|"4"\n', "utf-8")
+    rows = S.read_pipe_files(spark, pipe).collect()
+    assert [(r["A"], r["B"]) for r in rows if r["corrupt_record"] is None] == [("x\ny", "4")]
+    assert sorted(r["corrupt_record"] for r in rows if r["corrupt_record"]) == ['"1"|"2"|"LOST"', '"3"']
+    code = write(os.path.join(tmpdir_path, "Staff_March_2017", "DTloc.txt"), "LOC,LOCT\n10,one, two\n11,three\n12,\"a, b\"\n")
+    rows = {r["loc"]: r for r in S.read_lookups(spark, code).collect()}
+    assert rows["10"]["corrupt_record"] == "10,one, two" and rows["11"]["corrupt_record"] is None and rows["12"]["loct"] == "a, b"
+    fact = write(os.path.join(tmpdir_path, "Staff_March_2017", "FACTDATA_MAR2017.TXT"),
+                 "LOC,SALARY\n10,1\n11,2,3\n12,3\n\"12\n,4\n")
+    status = write(os.path.join(tmpdir_path, "s", "status.txt"), "DATECODE\tX\tEMPCOUNT\n202503\ta\t1\n202503\tb\tmany\n202503\tc\n", "utf-8")
+    got = {(r["kind"], os.path.basename(r["source_file"])): (r["records"], r["bad_records"]) for r in
+           R.bad_record_report(spark, [fact], {"DTloc": [code]}, [pipe], [status]).collect()}
+    assert got == {("facts", "FACTDATA_MAR2017.TXT"): (5, 2), ("DTloc", "DTloc.txt"): (3, 1), ("pipe", "pipe.txt"): (3, 2),
+                   ("status", "status.txt"): (3, 2)}
+    # only sound lines name codes; a record is never dropped from the facts
+    snap, man, _ = R.build_snapshots(spark, [fact], {"DTloc": [code]})
+    named = {(r["loc"], r["salary"]): r["loct"] for r in snap.collect()}
+    assert named[("10", "1")] is None and named[("12", "3")] == "a, b" and len(named) == 5
+    assert man.first()["bad_records"] == 2
+
+
+def test_a_quote_that_is_never_closed_ends_with_its_line(spark, tmpdir_path):
+    path = write(os.path.join(tmpdir_path, "f.txt"), 'a,b\n1,"x\ny"\n2,"open\n3,z\n4,w\n', "utf-8")
+    rows = S.read_delimited(spark, path, line_numbers=True).orderBy("line_no").collect()
+    assert [(r["a"], r["b"]) for r in rows if r["corrupt_record"] is None] == [("1", "x\ny"), ("3", "z"), ("4", "w")]
+    assert [r["corrupt_record"] for r in rows if r["corrupt_record"]] == ['2,"open']
+
+
+def test_headers_of_many_files_take_one_job(spark, tmpdir_path):
+    """Files with several splits each; splits are packed into tasks by size, so a later split can come first."""
+    want = {}
+    for i in range(120):
+        path = write(os.path.join(tmpdir_path, f"h{i % 7}", f"f{i}.txt"), f"c{i % 5},x\n" + f"{i},{'v' * (i % 50)}\n" * (i % 30), "utf-8")
+        want[path] = f"c{i % 5},x"
+    write(os.path.join(tmpdir_path, "h0", "nothing.txt"), "", "utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    spark.conf.set("spark.sql.files.openCostInBytes", "8")
+    group = "survey-of-headers"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        got = records.survey(spark, [tmpdir_path + "/*"])
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {"/" + r["source_file"].removeprefix("file:").lstrip("/"): r["header"] for r in got} == want
+    assert len(jobs) <= 5           # listing, the files' shuffle, sample and sort of the result: none a file
+    df = S.read_delimited(spark, [tmpdir_path + "/*"])
+    assert df.count() == sum(i % 30 for i in range(120))
