@@ -26,7 +26,7 @@ NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 DIGITS_PATTERN = r"^[0-9]+$"
 # ----------------------------------------------------------------------------
 
-COUNT_POLICIES = ("skip", "impute_one", "digits_else_zero", "coerce_zero")
+COUNT_POLICIES = ("skip", "impute_one", "digits_else_zero", "coerce_zero", "summed")
 
 
 def _ident(name: str) -> str:
@@ -64,6 +64,8 @@ def _sql_count_value(x: str, policy: str) -> str:
         return f"coalesce(CASE WHEN {x} RLIKE {_lit(DIGITS_PATTERN)} THEN try_cast({x} AS BIGINT) END, 0L)"
     if policy == "coerce_zero":
         return f"coalesce(CAST(try_cast({x} AS BIGINT) AS DOUBLE), {_sql_number(x)}, 0.0D)"
+    if policy == "summed":
+        return x
     raise ValueError(f"unknown count policy {policy!r}; expected one of {COUNT_POLICIES}")
 
 
@@ -112,12 +114,13 @@ def safe_int(c) -> Column:
 
 
 def count_value(c, policy: str) -> Column:
-    """Per-row numeric value of a text count under one of the four coercion policies.
+    """Per-row numeric value of a text count under one of the coercion policies.
 
     skip             sentinels and non-numbers are ignored (null)
     impute_one       sentinels and non-numbers count as 1 (double)
     digits_else_zero digit-only text is its integer, everything else 0
     coerce_zero      numbers are their value, everything else 0 (double)
+    summed           a number already: the sum of a partial aggregate
     """
     if isinstance(c, str):
         return F.expr(_sql_count_value(_ident(c), policy))
@@ -130,6 +133,8 @@ def count_value(c, policy: str) -> Column:
         return F.coalesce(F.when(c.rlike(DIGITS_PATTERN), c.try_cast("bigint")), F.lit(0).cast("bigint"))
     if policy == "coerce_zero":
         return F.coalesce(_int_text(c).cast("double"), parse_number(c), F.lit(0.0))
+    if policy == "summed":
+        return as_col(c)
     raise ValueError(f"unknown count policy {policy!r}; expected one of {COUNT_POLICIES}")
 
 

@@ -16,11 +16,11 @@ from periodlens.operators.position import down, top_n, up, rank_codes
 
 
 def multi_period_sql(spark: SparkSession, df: DataFrame, view: str = "employment",
-                     group: str = "agysubt") -> DataFrame:
+                     group: str = "agysubt", measure: str = "TRY_CAST(employment AS INT)") -> DataFrame:
     """Yearly head count per group through Spark SQL on a temp view."""
     df.createOrReplaceTempView(view)
     return spark.sql(f"""
-        SELECT year, {group} AS agency_sub, SUM(TRY_CAST(employment AS INT)) AS employees
+        SELECT year, {group} AS agency_sub, SUM({measure}) AS employees
         FROM {view}
         GROUP BY year, {group}
     """)

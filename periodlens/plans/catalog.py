@@ -772,3 +772,7 @@ QUERIES = {
     "transition_grade_rest": transition_grade_rest,
     "transition_appointment": transition_appointment,
 }
+
+from periodlens.plans.history_catalog import HISTORY_QUERIES  # noqa: E402  (its queries call this module's helpers)
+
+QUERIES.update(HISTORY_QUERIES)

@@ -22,12 +22,12 @@ from periodlens.sources import store as ST
 _STATE = "path string, kind string, year int, quarter string, size long, modified timestamp, checksum decimal(38,0)"
 
 
-def listed_files(spark: SparkSession, base: str, segments=(1, 2, 3)) -> DataFrame:
+def listed_files(spark: SparkSession, base: str, segments=(1, 2, 3), kind_of=S.file_kind) -> DataFrame:
     """The fact files and code tables under ``base``: path, kind, year, quarter, size, modified.  No file is opened."""
     found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
              .select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified")))
     period = period_from_path(F.col("path"), segments)
-    return (found.withColumn("kind", S.file_kind(F.col("path"))).where("kind is not null").withColumn("p", period)
+    return (found.withColumn("kind", kind_of(F.col("path"))).where("kind is not null").withColumn("p", period)
             .select("path", "kind", F.col("p.year").cast("int").alias("year"), F.col("p.quarter").alias("quarter"), "size", "modified"))
 
 
@@ -50,7 +50,7 @@ def _bare(path: str) -> str:
     return re.sub(r":/+", ":/", path)
 
 
-def plan_build(spark: SparkSession, base: str, store: str, segments=(1, 2, 3)) -> tuple[list, set, set]:
+def plan_build(spark: SparkSession, base: str, store: str, segments=(1, 2, 3), kind_of=S.file_kind) -> tuple[list, set, set]:
     """Compare the files with the store's: (rows of all files with their checksums, periods to build, periods to remove).
 
     A row a file is collected, and the content of new and touched files is read, no other.
@@ -58,7 +58,7 @@ def plan_build(spark: SparkSession, base: str, store: str, segments=(1, 2, 3)) -
     old = _states(spark, store).select("path", F.col("size").alias("old_size"), F.col("modified").alias("old_modified"),
                                        F.col("checksum").alias("old_checksum"), F.col("year").alias("old_year"),
                                        F.col("quarter").alias("old_quarter"))
-    both = listed_files(spark, base, segments).join(old, "path", "full").collect()
+    both = listed_files(spark, base, segments, kind_of).join(old, "path", "full").collect()
     touched = [r["path"] for r in both if r["size"] is not None and (r["old_size"], r["old_modified"]) != (r["size"], r["modified"])]
     sums = {}
     if touched:
@@ -79,12 +79,15 @@ def plan_build(spark: SparkSession, base: str, store: str, segments=(1, 2, 3)) -
     return files, changed & with_facts, changed - with_facts
 
 
-def build(spark: SparkSession, base: str, store: str, segments=(1, 2, 3), encoding: str = S.LATIN1, verify=None) -> DataFrame:
+def build(spark: SparkSession, base: str, store: str, segments=(1, 2, 3), encoding: str = S.LATIN1, verify=None,
+          kind_of=S.file_kind) -> DataFrame:
     """Bring the store up to date with the files under ``base``.
 
+    ``kind_of`` tells a file's kind from its path (default: by its fixed name).
+
     Returns a row a period of the new state and of those removed: year, quarter, action (built, kept, removed), rows.
     """
-    files, todo, gone = plan_build(spark, base, store, segments)
+    files, todo, gone = plan_build(spark, base, store, segments, kind_of)
     _, before = ST.current(spark, store)
     held = {(r["year"], r["quarter"]): r["rows"] for r in before}
     if todo or gone & held.keys():

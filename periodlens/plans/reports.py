@@ -385,3 +385,49 @@ def validation_run(snap: DataFrame):
         "calendar": Q.calendar_gaps(snap, expected=Q.expected_calendar(snap.sparkSession)),
         "overall": Q.overall_ok(verdicts),
     }
+
+
+def battery_rows(battery: dict) -> DataFrame:
+    """R14's outputs as one long table: example, item, value, rank (null where an example has none)."""
+    def rows(example: str, df: DataFrame, item, value: str) -> DataFrame:
+        rank = F.col("rank").cast("bigint") if "rank" in df.columns else F.lit(None).cast("bigint")
+        return df.select(F.lit(example).alias("example"), item.cast("string").alias("item"), F.col(value).cast("double").alias("value"),
+                         rank.alias("rank"))
+
+    out = []
+    for name, df in battery.items():
+        if name == "salary_summary":
+            stats = [c for c in df.columns]
+            long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("stat"), F.col(c).cast("double").alias("v")) for c in stats])))
+            out.append(rows(name, long, F.col("stat"), "v"))
+        elif name == "by_period":
+            out.append(rows(name, df, F.concat_ws(" ", "quarter", "year"), "headcount"))
+        elif name == "top_agencies":
+            out.append(rows(name, df, F.col("agysubt"), "headcount"))
+        elif name == "salary_by_education":
+            out.append(rows(name, df, F.col("edlvlt"), "mean_value"))
+        elif name == "redaction":
+            out += [rows(f"{name}_{side}", df, F.col("column_name"), f"{side}_pct") for side in ("before", "after")]
+        else:
+            out.append(rows(name, df, F.col(name.removeprefix("share_")), "share_pct"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def validation_rows(run: dict) -> DataFrame:
+    """R15's nine outputs as one long table: check, period, field, severity."""
+    ok = F.when(F.col("valid"), "ok").otherwise("invalid")
+    none = F.lit(None).cast("string")
+    shown = {
+        "verdict": (F.col("dataset_key"), none, ok),
+        "required": (F.col("dataset_key"), F.col("column_name"), F.col("severity")),
+        "high_null": (F.col("dataset_key"), F.col("field"), F.col("severity")),
+        "constant": (F.col("dataset_key"), F.lit("employment"), F.col("severity")),
+        "merge_failures": (F.col("dataset_key"), F.col("field"), F.col("severity")),
+        "coverage": (F.col("dataset_key"), F.col("code"), F.col("status")),
+        "era": (F.col("dataset_key"), F.col("field"), F.col("severity")),
+        "calendar": (F.concat_ws("_", "year", "quarter"), none, F.lit("missing")),
+        "overall": (none, none, F.when(F.col("all_valid"), "ok").otherwise("invalid")),
+    }
+    return reduce(DataFrame.unionByName, [
+        run[name].select(F.lit(name).alias("check"), period.cast("string").alias("period"), field.alias("field"), severity.alias("severity"))
+        for name, (period, field, severity) in shown.items()])
