@@ -7,17 +7,17 @@ with equal sets are one node, which has ``TOKENS`` min-hash tokens.
 In a tree, every node of the recursion picks one or, a quarter of the time, two of the token places (a
 hash of the path decides, so no state is shared) and sends each of its sets down the branch named by its
 token there: 1.25 branches on average, the inverse of the threshold, which keeps pairs at the threshold alive
-in expectation.  From level ``FIRST`` on, every second level counts the sets of each path.
-Paths with at most ``SMALL`` sets are compared exhaustively; larger ones are compared with their
-least set and recurse, up to level ``LAST``, where what is still too large is compared with its least set
-and with ``NEIGHBOURS`` others in the order of the path's next levels.  A pair at 0.8 lives to the first count with
-probability 0.55 a tree, so the ``TREES`` independent trees find it with more than 0.998; pairs above are
-likelier.  Work and rows are linear in the sets, however large a group of copies.
+in expectation.  At level ``FIRST`` the sets of each path are counted.  Paths with at most ``SMALL`` sets are compared
+exhaustively.  In larger ones each set is first compared with the least set, and the components of these links are
+taken: a path whose sets are all of one component has nothing to add and ends, so a group of copies costs a
+few comparisons a member, however large it is.  The others recurse, ``STEP`` levels at a time, until they are
+small or of one component; no path is cut off.  A pair at 0.8 lives to the first count with probability 0.55 a tree, so
+the ``TREES`` independent trees find it with more than 0.998; pairs above are likelier.  A pair deep in a crowd lives less
+often: sets that are still in a crowd of several components at level ``CROWD`` get ``MORE`` trees of their own.
+Work and rows are linear in the sets.
 
 Pairs are confirmed on the full sets (48-bit hashes of the shingles) unless their sizes or token
-sketches (four bits a token) rule the threshold out, in two rounds: first each set with the least set of its paths
-and with the one that it shares most paths with, then every pair that met and that the components of these leave
-apart.  So a large group costs a few comparisons a member, and no link between components is left out.
+sketches (four bits a token) rule the threshold out.
 
 Shuffled work is done by Spark; the Python parts are Arrow-batched maps over rows.  A frequent text is merged
 map-side (minimum id a set).  Pairs and components never leave the cluster.
@@ -42,10 +42,11 @@ from periodlens.llm.components import components
 
 WORDS, PERCENT = 5, 80
 TOKENS, TREES = 64, 8
-FIRST, STEP, LAST = 5, 2, 11
+FIRST, STEP = 5, 2
 SMALL = 24
-DEEPER, NEIGHBOURS = 3, 5     # in paths that stay large: levels that order the sets, and how many before a set it meets
-SLACK = 0.15                  # how far below the threshold a sketch may estimate a pair
+CROWD, MORE = 9, 24           # sets that are in a mixed large path at this level get so many more trees
+DEEPEST = 129                 # sets that no level so far told apart have equal tokens but for a few
+SLACK = 0.2                   # how far below the threshold a sketch may estimate a pair (4 standard errors)
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -127,19 +128,15 @@ def profiles(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFra
     return docs.select(id_col, text_col, F.xxhash64(text_col).alias("_th")).mapInArrow(run, schema)
 
 
-def branch(keys: np.ndarray, sig: np.ndarray, rows: np.ndarray, levels: int,
-           both: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Paths and rows after some more levels: keys[i] is a path of the set whose tokens are sig[rows[i]].
-
-    Without ``both`` only the first branch of a node is followed.
-    """
+def branch(keys: np.ndarray, sig: np.ndarray, rows: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray]:
+    """Paths and rows after some more levels: keys[i] is a path of the set whose tokens are sig[rows[i]]."""
     with np.errstate(over="ignore"):
         for _ in range(levels):
             coin = mix(keys ^ _M2)
             first = (coin % np.uint64(TOKENS)).astype(np.int64)
             second = ((coin >> np.uint64(16)) % np.uint64(TOKENS - 1)).astype(np.int64)
             second = (first + 1 + second) % TOKENS
-            two = np.flatnonzero((coin >> np.uint64(40)) & np.uint64(3) == 0) if both else np.zeros(0, np.int64)
+            two = np.flatnonzero((coin >> np.uint64(40)) & np.uint64(3) == 0)
             at = np.concatenate((first, second[two]))
             parent = np.concatenate((keys, keys[two]))
             rows = np.concatenate((rows, rows[two]))
@@ -147,32 +144,24 @@ def branch(keys: np.ndarray, sig: np.ndarray, rows: np.ndarray, levels: int,
     return keys, rows
 
 
-def _descend(rows: DataFrame, levels: int, start: bool) -> DataFrame:
-    """(key, x, deep) after some levels: from every tree's root if ``start``, else from the rows' own key.
-
-    deep is the path some levels further down: sets that share it are likely more similar than others of the key.
-    """
+def _descend(rows: DataFrame, levels: int, trees: range | None = None) -> DataFrame:
+    """(key, x, c) after some levels, of rows (x, sig, c): from the roots of ``trees``, else from the rows' own key (a fourth column)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 5000):
                 part = b.slice(lo, 5000)
-                x = part.column(0).to_numpy(zero_copy_only=False)
+                x, c = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
                 sig = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint32).reshape(len(x), TOKENS)
-                own = np.arange(len(x))
-                if start:
-                    for tree in range(TREES):
-                        root = mix(np.full(len(x), 1000 + tree, np.uint64))
-                        yield out(*branch(root, sig, own, levels), sig, x)
+                if trees is None:
+                    starts = [part.column(3).to_numpy(zero_copy_only=False).view(np.uint64)]
                 else:
-                    keys = part.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
-                    yield out(*branch(keys, sig, own, levels), sig, x)
+                    starts = (mix(np.full(len(x), 1000 + tree, np.uint64)) for tree in trees)
+                for keys in starts:
+                    keys, at = branch(keys, sig, np.arange(len(x)), levels)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(x[at]), pa.array(c[at])],
+                                                     names=["key", "x", "c"])
 
-    def out(keys, at, sig, x):
-        deep, _ = branch(keys, sig, at, DEEPER, both=False)
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(x[at]), pa.array(deep.view(np.int64))],
-                                          names=["key", "x", "deep"])
-
-    return rows.mapInArrow(run, "key long, x long, deep long")
+    return rows.mapInArrow(run, "key long, x long, c long")
 
 
 def _differ(a: str, b: str) -> str:
@@ -184,23 +173,12 @@ def _differ(a: str, b: str) -> str:
     return " + ".join(one(i) for i in range(4))
 
 
-def paths(sets: DataFrame) -> DataFrame:
-    """(key, x, deep, n, low, last): the sets of every counted path with company, its size and its least set.
-
-    Paths with more than ``SMALL`` sets are followed on, those of the last level (``last``) excepted.
-    """
-    rows = stored(_descend(sets.select("x", "sig"), FIRST, True), "paths")
-    found = None
-    for level in range(FIRST, LAST + 1, STEP):
-        nodes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("x").alias("low")).where("n > 1")
-        live = stored(rows.join(nodes, "key").withColumn("last", F.lit(level + STEP > LAST)), "paths")
-        found = live if found is None else found.unionByName(live)
-        large = live.where((F.col("n") > SMALL) & ~F.col("last"))
-        if large.isEmpty():
-            break
-        rows = stored(_descend(large.select("x", "key").join(sets.select("x", "sig"), "x").select("x", "sig", "key"),
-                               STEP, False), "paths")
-    return found
+def company(rows: DataFrame) -> DataFrame:
+    """The rows (key, x, c) of paths with several sets, written, with the path's n, its least set low and that set's low_c,
+    and whether it is mixed (its sets are of several components)."""
+    nodes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("x").alias("low"), F.min_by("c", "x").alias("low_c"),
+                                    (F.min("c") != F.max("c")).alias("mixed")).where("n > 1")
+    return stored(rows.join(nodes, "key"), "paths")
 
 
 def star_pairs(nodes: DataFrame) -> DataFrame:
@@ -211,28 +189,53 @@ def star_pairs(nodes: DataFrame) -> DataFrame:
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
-def met_pairs(nodes: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs (a, b) that met in a path and that the groups (node, component) leave apart."""
-    of = groups.select(F.col("node").alias("x"), F.col("component").alias("c"))
-    rows = nodes.join(of, "x", "left").withColumn("c", F.coalesce("c", "x"))
-    small = rows.where(F.col("n") <= SMALL).select("key", "x", "c")
-    # a path all of whose sets are in one group has nothing to add
-    mixed = small.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
-    small = small.join(mixed, "key")
-    left, right = small.alias("l"), small.alias("r")
-    pairs = left.join(right, F.expr("l.key = r.key and l.x < r.x and l.c <> r.c")).select(
+def _meet(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that meet in ``company`` rows: all of a small path, each with the least of a large one."""
+    mixed = nodes.where("mixed")
+    small = mixed.where(F.col("n") <= SMALL).select("key", "x", "c")
+    pairs = small.alias("l").join(small.alias("r"), F.expr("l.key = r.key and l.x < r.x and l.c <> r.c")).select(
         F.col("l.x").alias("a"), F.col("r.x").alias("b"))
-    large = rows.where(F.col("n") > SMALL)
-    lows = of.select(F.col("x").alias("low"), F.col("c").alias("low_c"))
-    to_low = large.join(lows, "low", "left").where("x <> low and c <> coalesce(low_c, low)").select(
-        F.col("x").alias("a"), F.col("low").alias("b"))
-    w = Window.partitionBy("key").orderBy("deep", F.xxhash64("x", "key"))
-    before = [F.lag(F.struct("x", "c"), i).over(w).alias(f"b{i}") for i in range(1, NEIGHBOURS + 1)]
-    near = (large.where("last").select("x", "c", *before)
-            .select("x", "c", F.explode(F.array(*[f"b{i}" for i in range(1, NEIGHBOURS + 1)])).alias("y"))
-            .where("y.c <> c").select(F.col("x").alias("a"), F.col("y.x").alias("b")))
-    return (pairs.unionByName(to_low).unionByName(near)
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    to_low = mixed.where((F.col("n") > SMALL) & (F.col("c") != F.col("low_c"))).select(F.col("low").alias("a"), F.col("x").alias("b"))
+    return pairs.unionByName(to_low).distinct()
+
+
+def met_pairs(first: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs (a, b) that met in a path and that the groups (node, component) leave apart.
+
+    ``first`` has the paths (key, x) of level ``FIRST`` with company.
+    """
+    of = groups.select(F.col("node").alias("x"), F.col("component").alias("g"))
+    known = stored(sets.select("x", "sig").join(of, "x", "left").select("x", "sig", F.coalesce("g", "x").alias("c")), "sets")
+    start = first.select("key", "x").join(known.select("x", "c"), "x").select("key", "x", "c")
+    pairs, crowd = _explore(company(start), known)
+    if crowd is None:
+        return pairs
+    crowd = stored(crowd.join(known, "x").select("x", "sig", "c"), "crowd")
+    more, _ = _explore(company(_descend(crowd, FIRST, range(TREES, TREES + MORE))), crowd, CROWD)
+    return pairs.unionByName(more).distinct()
+
+
+def _explore(nodes: DataFrame, known: DataFrame, crowd_at: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """The pairs of these paths and of all below them, and the sets that are still crowded at level ``CROWD`` (or None)."""
+    pairs, crowd, level = [_meet(nodes)], None, FIRST
+    while True:
+        large = nodes.where((F.col("n") > SMALL) & F.col("mixed")).select("x", "key")
+        if large.isEmpty():
+            break
+        if level == CROWD and crowd_at is None:
+            crowd = stored(large.select("x").distinct(), "crowd")
+        if level >= DEEPEST:
+            # what 128 token places did not tell apart: neighbours in the order of the sets, after the least set
+            w = Window.partitionBy("key").orderBy("x")
+            pairs.append(large.select(F.lag("x").over(w).alias("a"), F.col("x").alias("b")).where("a is not null"))
+            break
+        rows = _descend(large.join(known, "x").select("x", "sig", "c", "key"), STEP)
+        nodes, level = company(rows), level + STEP
+        pairs.append(_meet(nodes))
+    found = pairs[0]
+    for more in pairs[1:]:
+        found = found.unionByName(more)
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), crowd
 
 
 def likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -246,8 +249,9 @@ def likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(x, s): the shingles of the wanted sets (x, doc), 48 bits each, sorted."""
-    source = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("t")).join(wanted, "doc")
+    """(x, s): the shingles of the wanted sets (x, doc, th), 48 bits each, sorted."""
+    source = (docs.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("t"))
+              .join(wanted, ["doc", "th"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
@@ -299,19 +303,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = stored(profiles(docs, id_col, text_col, words), "profiles")
     sets = stored(rows.where("doc is not null and x is not null").groupBy("x")
-                  .agg(F.min("doc").alias("doc"), *[F.first(c).alias(c) for c in ("n", "sig", "k0", "k1", "k2", "k3")]),
+                  .agg(F.min("doc").alias("doc"), F.min_by("th", "doc").alias("th"), *[F.first(c).alias(c) for c in ("n", "sig", "k0", "k1", "k2", "k3")]),
                   "sets")
-    nodes = stored(paths(sets), "nodes")
+    first = company(_descend(sets.select("x", "sig", F.col("x").alias("c")), FIRST, range(TREES)))
 
     def links(pairs):
         pairs = stored(likely(pairs, sets, percent), "pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("x")).distinct().join(sets.select("x", "doc"), "x")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("x")).distinct().join(sets.select("x", "doc", "th"), "x")
         full = stored(_full_sets(docs, wanted, id_col, text_col, words).dropDuplicates(["x"]), "full-sets")
         return stored(confirm(pairs, full, percent), "links")
 
-    groups = stored(components(links(star_pairs(nodes))), "groups")
+    groups = stored(components(links(star_pairs(first))), "groups")
     tree = groups.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    groups = components(tree.unionByName(links(met_pairs(nodes, groups))))
+    groups = components(tree.unionByName(links(met_pairs(first, sets, groups))))
     least = (sets.select("x", "doc").join(groups, F.col("x") == F.col("node"), "left")
              .select("x", "doc", F.coalesce("component", "x").alias("c")))
     low = least.groupBy("c").agg(F.min("doc").alias("component_id"))
