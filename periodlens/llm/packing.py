@@ -10,6 +10,9 @@ index.  The first unused document seeds a window; the index returns its unused n
 is cut where the window ends, and its rest seeds the next one.  Without a neighbour the next unused
 document of the shard is taken.  So a task pads one window only, its last.
 
+The tokenizer encodes each frequent word once: words are counted first, and the most frequent ones, at most
+``DICTIONARY``, are encoded and broadcast with their ids; rarer ones are encoded where they occur.
+
 A task holds one shard at a time and documents travel once.  A repeated task gives the same
 windows: its rows are sorted, and window ids are made of the partition and a counter.
 
@@ -20,6 +23,9 @@ equal ids are separate documents; a null id is kept as null; other columns are i
 from __future__ import annotations
 
 import re
+import uuid
+from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,56 +43,103 @@ SHARD_TOKENS = 2_000_000
 QUERY_TERMS = 16
 K1, B = 1.2, 0.75
 COMMON_IDS = 1000             # ids below are bytes and frequent merges: they route only where there is no other
-CACHE_WORDS = 900_000
+DICTIONARY = 400_000          # frequent words that are encoded once for all tasks
+CACHE_WORDS = 900_000         # words that a worker remembers, those included
+HELD_WORDS = 300_000          # words that a task counts before it sends them
 
 
 # A word with an ASCII letter before its last characters, all of them ASCII punctuation but the apostrophe.
 _PUNCTUATED = re.compile(rb"(.*[a-z])([!-&(-/:-@\[-`{-~]+)", re.S)
+_ENDS = frozenset(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
+
+
+def words_of(text: bytes | None) -> list[bytes]:
+    """The words whose ids in turn are the text's ids."""
+    # the tokenizer looks for its special tokens before it lower-cases
+    return (text.lower() if b"<|" not in text else text).split() if text else []
 
 
 class Encoder(dict):
-    """Token ids of words as little-endian 16-bit integers; encodes the words it has not seen in batches.
+    """Token ids of words as little-endian 16-bit integers; a word it has not seen is encoded when it is asked for.
 
     The tokenizer lower-cases, drops white space and never joins across it, so a text's ids are those of
-    its words in turn, and each distinct word is encoded once.
+    its words in turn.  ``base`` are words that it always holds.
     """
 
-    def __init__(self, path: str):
-        super().__init__()
+    def __init__(self, path: str, base: dict | None = None):
+        super().__init__(base or {})
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.base = Tokenizer.from_file(path), base or {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        # punctuation after a letter is split off by the tokenizer, so both parts can be encoded alone
+        if word[-1] in _ENDS and b"<|" not in word and (m := _PUNCTUATED.fullmatch(word)):
+            ids = self[m[1]] + self[m[2]]
+        else:
+            ids = array("H", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+        self[word] = ids
+        return ids
 
     def texts(self, texts: list[bytes | None]) -> list[bytes]:
-        # the tokenizer looks for its special tokens before it lower-cases
-        split = [(t.lower() if b"<|" not in t else t).split() for t in (t or b"" for t in texts)]
         if len(self) > CACHE_WORDS:
             self.clear()
-        new = set().union(*split) - self.keys()
-        # punctuation after a letter is split off by the tokenizer, so both parts can be encoded alone
-        ends = {w: m.groups() for w in new if b"<|" not in w and (m := _PUNCTUATED.fullmatch(w))}
-        self._encode({w for w in new if w not in ends}.union(*ends.values()))
-        for w, (stem, end) in ends.items():
-            self[w] = self[stem] + self[end]
-        return [b"".join(map(self.__getitem__, ws)) for ws in split]
-
-    def _encode(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        for i in range(0, len(new), 10_000):
-            part = new[i:i + 10_000]
-            got = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.update((w, np.asarray(e.ids, "<u2").tobytes()) for w, e in zip(part, got))
+            self.update(self.base)
+        return [b"".join(map(self.__getitem__, words_of(t))) for t in texts]
 
 
 _ENCODERS: dict = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One for each worker process."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, shared=None) -> Encoder:
+    """One for each worker process and dictionary; ``shared`` is a broadcast of ``(key, words, ids)``."""
+    key = (path, shared.value[0] if shared else None)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(path, dict(zip(*(x.to_pylist() for x in shared.value[1:]))) if shared else None)
+    return _ENCODERS[key]
+
+
+def frequent_words(docs: DataFrame, text_col: str, path: str, most: int = DICTIONARY) -> DataFrame:
+    """(word, ids) of at most ``most`` words, the most frequent ones, each encoded once.
+
+    Words are counted in every text; only the number of words of each count comes to the driver.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+
+        def send():
+            out = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+            held.clear()
+            return out
+        for b in batches:
+            for at in range(0, b.num_rows, 500):
+                for t in b.column(0).slice(at, 500).cast(pa.binary()).to_pylist():
+                    held.update(words_of(t))
+                if len(held) > HELD_WORDS:
+                    yield send()
+        yield send()
+
+    counts = stored(docs.select(text_col).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+                    .where("n > 1"), "word-counts")
+    # the least count of which there are not too many words from there on: a row for each count below 1,000
+    sizes = counts.groupBy(F.least("n", F.lit(1000)).alias("n")).count().orderBy(F.desc("n")).collect()
+    least, total = None, 0
+    for r in sizes:
+        total += r["count"]
+        if total > most:
+            break
+        least = r["n"]
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(path)
+        for b in batches:
+            words = b.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([enc[w] for w in words], pa.binary())], names=["word", "ids"])
+
+    chosen = counts.where(F.col("n") >= least) if least is not None else counts.limit(0)
+    return stored(chosen.select("word").mapInArrow(encode, "word binary, ids binary"), "dictionary")
 
 
 def _routes() -> np.ndarray:
@@ -98,11 +151,13 @@ def _routes() -> np.ndarray:
 
 def tokenized(docs: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
     """(doc, route, ids): ids are little-endian 16-bit integers, the end id last."""
+    words = frequent_words(docs, text_col, path).toArrow()           # at most DICTIONARY rows
+    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, *(words.column(c).combine_chunks() for c in ("word", "ids"))))
     schema = f"doc {docs.schema[id_col].dataType.simpleString()}, route int, ids binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, end = _routes(), np.asarray([END_ID], "<u2").tobytes()
-        enc = encoder(path)
+        enc = encoder(path, shared)
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
