@@ -3,10 +3,12 @@
 Every text node has a root-to-leaf tag path (tag names with their classes).  Per path and page the
 text length and the punctuation are averaged over its nodes; the two ratios are smoothed along the
 page with a Gaussian window, multiplied, and paths whose mean fused score passes a threshold (the
-smaller of the scores' standard deviation and a tenth of their maximum) are content paths.  The
+smaller of the scores' standard deviation and a tenth of their maximum), and whose own ratios come to a tenth of it, are content paths.  The
 content root is the lowest common ancestor of all content nodes that is no inline element or paragraph,
-or the outermost article or main element round it; every block below it is kept, but for blocks in boilerplate elements (menus, headers, footers, asides, forms, scripts,
-adverts, notices, reader comments: by tag, class or id) and for blocks whose path is mostly links.
+or the outermost article or main element round it.  Below it those blocks are kept that hold a content node or share their path
+with one that does, or whose path has punctuation, headings, and what stands between the first and the last of them: other
+blocks before and after are cut by their paths' ratios.  Blocks in boilerplate elements (menus, headers, footers, asides, forms, scripts,
+adverts, notices, reader comments: by tag, class or id) and blocks whose path is mostly links are dropped in any case.
 A class or id counts for little round the article: what holds most of its text stays (see ``boilerplate``).
 
 Pages are independent, so the work is one Arrow-batched map without a shuffle; a page is parsed
@@ -34,9 +36,10 @@ SPACE = re.compile(r"\s+")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？؟¿¡]")
 # Fixed element lists.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math".split())
+RAW = frozenset("script style noscript template textarea title iframe svg".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span "
-                   "strike strong sub sup time tt u var br wbr img".split())
+                   "strike strong sub sup time tt u var br wbr img "
+                   "math mi mo mn ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle".split())
 CHROME = frozenset("head nav header footer aside form button select dialog menu".split())
 CHROME_NAMES = frozenset("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo sidebar "
                          "menu nav navbar navigation breadcrumb breadcrumbs footer header masthead cookie cookies "
@@ -51,6 +54,7 @@ SAME = {"li": "li", "tr": "tr", "td": "td", "th": "th", "dt": "dt", "dd": "dd",
 NO_ROOT = INLINE | {"p"}
 WINDOW = [math.exp(-(i * i) / 2.0) for i in range(-2, 3)]
 LINK_SHARE = 0.6
+OWN_SHARE = 0.1               # of the threshold, which a path's own ratios must reach
 
 
 class Node:
@@ -81,9 +85,7 @@ def text_nodes(page: str) -> tuple[list[tuple], list[tuple]]:
             opened[node.tag] -= 1
         del stack[i:]
 
-    for m in TAG.finditer(page):
-        if m.start() < at:
-            continue
+    while m := TAG.search(page, at):
         name = (m.group(2) or "").lower()
         text(m.start())
         at = m.end()
@@ -217,7 +219,9 @@ def main_text(page: str | None) -> str:
     for n, f in zip(seq, fused):
         by_path[n[1]].append(f)
     linky = {p for p in held if linked[p] > LINK_SHARE * held[p]}
-    content = {p for p, f in by_path.items() if sum(f) / len(f) >= bound}
+    # smoothing lends a lone node its neighbours' score, so the path's own ratios count too
+    plain = {p: chars[p] / count[p] * (0.1 + points[p] / count[p]) for p in by_path}
+    content = {p for p, f in by_path.items() if sum(f) / len(f) >= bound and plain[p] >= OWN_SHARE * bound}
     # The lowest common ancestor of the content nodes, out of inline elements and paragraphs, and the article round it.
     own = [0.0] * len(elements)
     for n in seq:
@@ -235,19 +239,20 @@ def main_text(page: str | None) -> str:
             root = e
         e = elements[e][0]
     inside = below(elements, root.__eq__)
-    blocks, last, part = [], None, []
+    titled = below(elements, lambda e: elements[e][1] in HEADINGS)
+    alike = {n[6] for n in seq if (n[1] in content or points[n[1]]) and n[6] not in linky and inside[n[2]]}
+    blocks, last = [], None                      # (texts, of a content path, heading)
     for t, _, e, block, _, _, base in live:
         if base in linky or not inside[e]:
             continue
-        if block != last and part:
-            blocks.append("".join(part))
-            part = []
-        last = block
-        part.append(t)
-    if part:
-        blocks.append("".join(part))
-    blocks = [SPACE.sub(" ", b).strip() for b in blocks]
-    return " ".join(b for b in blocks if b)
+        if block != last:
+            blocks.append(([], [], []))
+            last = block
+        for kind, value in zip(blocks[-1], (t, base in alike, titled[e])):
+            kind.append(value)
+    blocks = [(SPACE.sub(" ", "".join(t)).strip(), any(c), any(h)) for t, c, h in blocks]
+    scored = [i for i, (t, c, _) in enumerate(blocks) if t and c]
+    return " ".join(t for i, (t, _, h) in enumerate(blocks) if t and (h or scored[0] <= i <= scored[-1]))
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",

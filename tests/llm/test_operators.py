@@ -251,6 +251,24 @@ def test_html_main_text(spark):
     assert html_main.extract_main_text(df.limit(0)).count() == 0
 
 
+def test_html_scan_goes_on_behind_raw_elements_and_keeps_formulas():
+    page = '<script>document.write("<!--x")</script><style>a:after{content:"<b"}</style><article><p>Text one, two. More.</p></article>'
+    assert html_main.main_text(page) == "Text one, two. More."
+    assert html_main.main_text("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math>, then all is well, we say.</p>") == \
+        "Let x=2, then all is well, we say."
+    assert html_main.main_text("<p>One, two.</p><script>" + '"<p>' * 50_000) == "One, two."
+
+
+def test_html_paths_cut_unlisted_boilerplate(monkeypatch):
+    para = "A long paragraph, with many words, and stops. It goes on, and on, until the end. "
+    page = ("<body><div class='q7'>Home</div><div class='x'><h2>Title</h2><p>" + para + "</p><div class='q9'>figure</div><p>" + para * 2 +
+            "</p><p>Short.</p></div><div class='q8'>Buy now cheap</div><div class='legal'>Copyright</div></body>")
+    want = " ".join(["Title", para.strip(), "figure", (para * 2).strip(), "Short."])
+    assert html_main.main_text(page) == want
+    monkeypatch.setattr(html_main, "OWN_SHARE", -1)         # without the paths' own ratios the neighbours stay
+    assert html_main.main_text(page) != want
+
+
 def test_html_without_labels_drops_link_lists():
     body = "".join(f"<div class='b'><p>Sentence {i}, with some words, in it. Another one follows, too.</p></div>" for i in range(5))
     page = "<body><div class='x'>" + "".join(f"<p class='l'><a href='#'>Link {i}</a></p>" for i in range(9)) + f"</div>{body}</body>"
