@@ -9,7 +9,8 @@ begin of its successors, and the successors, as ranks in the shard's sorted voca
 are monotone; successors are made so by adding the context's number times the vocabulary's size.  Each
 level is an Elias-Fano sequence (low bits packed, high bits in unary) and each successor has its discounted log
 probability as a 16-bit code.  The levels are written to one file of the task, which is mapped into memory and
-removed with the task.  A lookup finds the context, then searches among its successors only.
+removed with the task; ``fit`` keeps the tries as rows in the checkpoint folder, and ``Model.score`` maps them again
+to score other tables.  A lookup finds the context, then searches among its successors only.
 
 Documents are dealt to blocks, and each block sends its distinct words and bigrams, with their training counts,
 to the shards of the words and of the contexts, and gets one code for each back, in the same order: so
@@ -24,11 +25,13 @@ training row every word is unknown.
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
 from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -168,6 +171,8 @@ def _unpack(raw: bytes, *kinds) -> list[np.ndarray]:
 
 def _planes(x: np.ndarray, width: int) -> np.ndarray:
     """The low bytes of 64-bit integers, byte by byte."""
+    if len(x) and int(x.max()) >> (8 * width):
+        raise OverflowError(f"a number of a block does not fit into {width} bytes: use more shuffle partitions")
     return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(len(x), 8)[:, :width].T)
 
 
@@ -303,26 +308,41 @@ def _send_counts(shares: int, hot: np.ndarray):
     return counts_by_shard
 
 
-def answers_by_block(batches):
-    """Per shard: totals of its words for every block, and the codes of its bigrams from its trie."""
-    for share, rows in _by_share(batches):
-        words = [(peer, _unpack(raw, np.uint8, np.uint8)) for kind, peer, raw in rows if kind == 0]
-        if words:
-            keys = [np.cumsum(_merge(k, 8), dtype=np.uint64) for _, (k, _) in words]
-            counts = [_merge(c, 4).astype(np.int64) for _, (_, c) in words]
-            distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-            total = np.bincount(inverse, np.concatenate(counts), len(distinct)).astype(np.int64)
-            real = distinct != mix(np.array([START], np.uint64))[0]
-            yield _batch([(-1, 3, share, np.array([total[real].sum(), (total[real] > 0).sum()], "<i8").tobytes())])
-            ends = np.cumsum([len(k) for k in keys])
-            yield _batch([(peer, 0, share, _pack(_planes(total[inverse[e - len(k):e]], 6)))
-                          for (peer, _), k, e in zip(words, keys, ends)])
-        pairs = [(peer, _unpack(raw, *[np.uint8] * 6)) for kind, peer, raw in rows if kind == 1]
-        if pairs:
-            yield from _answer_pairs(share, pairs)
-
-
-def _answer_pairs(share: int, pairs) -> Iterator[pa.RecordBatch]:
+def _words_of(rows: list[tuple]) -> tuple[list[int], list[np.ndarray], np.ndarray]:
+    """Of a shard's word messages: their blocks, their words, and all training counts."""
+    words = [(peer, _unpack(raw, np.uint8, np.uint8)) for kind, peer, raw in rows if kind == 0]
+    keys = [np.cumsum(_merge(k, 8), dtype=np.uint64) for _, (k, _) in words]
+    counts = [_merge(c, 4).astype(np.int64) for _, (_, c) in words]
+    return [peer for peer, _ in words], keys, np.concatenate(counts) if counts else np.zeros(0, np.int64)
+
+
+def answers_by_block(keep: bool = False):
+    """Per shard: totals of its words for every block, and the codes of its bigrams from its trie.
+
+    With ``keep`` also the shard's part of the model: rows of kind 4 (words and totals) and 5 (the trie's file).
+    """
+    def answers(batches):
+        for share, rows in _by_share(batches):
+            peers, keys, counts = _words_of(rows)
+            if peers:
+                distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+                total = np.bincount(inverse, counts, len(distinct)).astype(np.int64)
+                real = distinct != mix(np.array([START], np.uint64))[0]
+                yield _batch([(-1, 3, share, np.array([total[real].sum(), (total[real] > 0).sum()], "<i8").tobytes())])
+                ends = np.cumsum([len(k) for k in keys])
+                yield _batch([(peer, 0, share, _pack(_planes(total[inverse[e - len(k):e]], 6)))
+                              for peer, k, e in zip(peers, keys, ends)])
+                if keep:
+                    seen = total > 0
+                    yield _batch([(share, 4, 0, _pack(distinct[seen], total[seen]))])
+            pairs = [(peer, _unpack(raw, *[np.uint8] * 6)) for kind, peer, raw in rows if kind == 1]
+            if pairs:
+                yield from _answer_pairs(share, pairs, keep)
+    return answers
+
+
+def _pairs_of(pairs) -> tuple[list[np.ndarray], ...]:
+    """Of bigram messages: contexts and their counts, first words, second words and counts of the bigrams."""
     contexts, context_counts, vs, ws, counts = [], [], [], [], []
     for _, (c, extra, cc, runs, w, n) in pairs:
         c = np.cumsum(_merge(c, 8), dtype=np.uint64)
@@ -331,7 +351,29 @@ def _answer_pairs(share: int, pairs) -> Iterator[pa.RecordBatch]:
         vs.append(np.repeat(c, _merge(runs, 3).astype(np.int64)))
         ws.append(_merge(w, 5))
         counts.append(_merge(n, 4).astype(np.float64))
-    sizes = [len(x) for x in vs]
+    return contexts, context_counts, vs, ws, counts
+
+
+def _looked_up(path: str, layout: list, v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Codes of bigrams from a trie's file; each distinct bigram is looked up once, for all blocks that ask for it."""
+    order = np.lexsort((w, v))
+    vo, wo = v[order], w[order]
+    first = np.flatnonzero(np.concatenate(([True], (vo[1:] != vo[:-1]) | (wo[1:] != wo[:-1]))))[:len(vo)]
+    answer = np.empty(len(v), np.uint16)
+    answer[order] = np.repeat(Trie(path, layout).lookup(vo[first], wo[first]), np.diff(np.concatenate((first, [len(vo)]))))
+    return answer
+
+
+def _by_peer(share: int, pairs, vs, answer: np.ndarray) -> list[tuple]:
+    at, out = 0, []
+    for (peer, _), v in zip(pairs, vs):
+        out.append((peer, 1, share, _pack(answer[at:at + len(v)])))
+        at += len(v)
+    return out
+
+
+def _answer_pairs(share: int, pairs, keep: bool) -> Iterator[pa.RecordBatch]:
+    contexts, context_counts, vs, ws, counts = _pairs_of(pairs)
     v, w, n = np.concatenate(vs), np.concatenate(ws), np.concatenate(counts)
     context, inverse = np.unique(np.concatenate(contexts), return_inverse=True)
     context_total = np.bincount(inverse, np.concatenate(context_counts), len(context))
@@ -346,18 +388,53 @@ def _answer_pairs(share: int, pairs) -> Iterator[pa.RecordBatch]:
     fd, path = tempfile.mkstemp(prefix="trie-")
     os.close(fd)
     try:
-        trie = Trie(path, Trie.write(path, kv, kw, codes))
-        # each distinct bigram is looked up once, for all blocks that ask for it
-        answer = np.empty(len(v), np.uint16)
-        answer[order] = np.repeat(trie.lookup(vo[first], wo[first]), np.diff(np.concatenate((first, [len(vo)]))))
-        at, out = 0, []
-        for (peer, _), size in zip(pairs, sizes):
-            out.append((peer, 1, share, _pack(answer[at:at + size])))
-            at += size
-        del trie
+        layout = Trie.write(path, kv, kw, codes)
+        answer = _looked_up(path, layout, v, w)
+        if keep:
+            with open(path, "rb") as f:
+                yield _batch([(share, 5, 0, _file_row(layout, f.read()))])
     finally:
         os.unlink(path)
-    yield _batch(out)
+    yield _batch(_by_peer(share, pairs, vs, answer))
+
+
+def _file_row(layout: list, raw: bytes) -> bytes:
+    head = json.dumps(layout).encode()
+    return len(head).to_bytes(8, "little") + head + raw
+
+
+def answers_of_model(batches):
+    """Per shard: the model's totals and codes for the words and bigrams that the blocks ask for."""
+    for share, rows in _by_share(batches):
+        by_kind = {k: [(p, r) for kind, p, r in rows if kind == k] for k in (1, 4, 5)}
+        peers, keys, _ = _words_of(rows)
+        if peers:
+            known, total = _unpack(by_kind[4][0][1], "<u8", "<i8") if by_kind[4] else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            out = []
+            for peer, k in zip(peers, keys):
+                n = np.zeros(len(k), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, k), len(known) - 1)
+                    n = np.where(known[at] == k, total[at], 0)
+                out.append((peer, 0, share, _pack(_planes(n, 6))))
+            yield _batch(out)
+        pairs = [(peer, _unpack(raw, *[np.uint8] * 6)) for peer, raw in by_kind[1]]
+        if not pairs:
+            continue
+        _, _, vs, ws, _ = _pairs_of(pairs)
+        v, w = np.concatenate(vs), np.concatenate(ws)
+        answer = np.full(len(v), ABSENT, np.uint16)
+        if by_kind[5]:
+            raw = by_kind[5][0][1]
+            size = int.from_bytes(raw[:8], "little")
+            fd, path = tempfile.mkstemp(prefix="trie-")
+            try:
+                with os.fdopen(fd, "wb") as f:
+                    f.write(raw[8 + size:])
+                answer = _looked_up(path, json.loads(raw[8:8 + size]), v, w)
+            finally:
+                os.unlink(path)
+        yield _batch(_by_peer(share, pairs, vs, answer))
 
 
 def _score(shares: int, hot: np.ndarray, n_train: int, v_train: int, id_col: str):
@@ -425,24 +502,65 @@ def hot_words(docs: DataFrame, text_col: str) -> np.ndarray:
     return mix(np.array([START, *sorted(ids)], np.uint64))
 
 
-def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks, shares = 2 * parts, parts
-    rows = docs.select(docs[id_col].cast("long").alias("i"), docs[text_col].alias("t"),
+def _rows(docs: DataFrame, held_out, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(docs[id_col].cast("long").alias("i"), docs[text_col].alias("t"),
                        F.coalesce(held_out, F.lit(False)).cast("int").alias("h"))
-    hot = hot_words(rows, "t")
 
-    def dealt(df):
-        return df.repartition(parts, "share").sortWithinPartitions("share", "kind", "peer")
 
-    texts = rows.mapInArrow(_send_texts(blocks), _SCHEMA)
-    counts = dealt(texts).mapInArrow(_send_counts(shares, hot), _SCHEMA)
-    answers = stored(dealt(counts).mapInArrow(answers_by_block, _SCHEMA), "answers")
+def _dealt(df: DataFrame, parts: int) -> DataFrame:
+    return df.repartition(parts, "share").sortWithinPartitions("share", "kind", "peer")
+
+
+def _totals(answers: DataFrame) -> tuple[int, int]:
+    """Training tokens and distinct ones, summed over the shards."""
     stats = [np.frombuffer(r["raw"], "<i8") for r in answers.where("kind = 3").select("raw").collect()]
     n_train, v_train = (int(x) for x in np.sum(stats, axis=0)) if stats else (0, 0)
+    return n_train, v_train
+
+
+def _scores(answers: DataFrame, texts: DataFrame, shares: int, hot: np.ndarray, n_train: int, v_train: int, id_col: str) -> DataFrame:
     schema = (f"`{id_col}` long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
               "score double")
-    return (dealt(answers.where("kind <> 3").unionByName(texts))
-            .mapInArrow(_score(shares, hot, n_train, v_train, id_col), schema))
+    return (_dealt(answers.unionByName(texts), shares).mapInArrow(_score(shares, hot, n_train, v_train, id_col), schema))
+
+
+def _counted(rows: DataFrame, shares: int, hot: np.ndarray) -> tuple[DataFrame, DataFrame]:
+    """The blocks' texts, and their messages to the shards."""
+    texts = rows.mapInArrow(_send_texts(2 * shares), _SCHEMA)
+    return texts, _dealt(texts, shares).mapInArrow(_send_counts(shares, hot), _SCHEMA)
+
+
+def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
+    shares = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _rows(docs, held_out, id_col, text_col)
+    hot = hot_words(rows, "t")
+    texts, counts = _counted(rows, shares, hot)
+    answers = stored(_dealt(counts, shares).mapInArrow(answers_by_block(), _SCHEMA), "answers")
+    n_train, v_train = _totals(answers)
+    return _scores(answers.where("kind <> 3"), texts, shares, hot, n_train, v_train, id_col)
+
+
+class Model(NamedTuple):
+    """A trained model: a written table of the shards' words and tries, and what its scoring needs besides."""
+    parts: DataFrame
+    shares: int
+    hot: np.ndarray
+    n_train: int
+    v_train: int
+
+    def score(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """The columns of ``score_documents`` for a table that the model did not learn from (all of it held out)."""
+        texts, asked = _counted(_rows(docs, F.lit(True), id_col, text_col), self.shares, self.hot)
+        answers = stored(_dealt(asked.unionByName(self.parts), self.shares).mapInArrow(answers_of_model, _SCHEMA), "answers")
+        return _scores(answers, texts, self.shares, self.hot, self.n_train, self.v_train, id_col)
+
+
+def fit(docs: DataFrame, held_out=None, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Learn from the rows that are not held out; the tries stay in the shared checkpoint folder."""
+    shares = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _rows(docs, F.lit(False) if held_out is None else held_out, id_col, text_col)
+    hot = hot_words(rows, "t")
+    _, counts = _counted(rows, shares, hot)
+    kept = stored(_dealt(counts, shares).mapInArrow(answers_by_block(keep=True), _SCHEMA).where("kind >= 3"), "model")
+    return Model(kept.where("kind > 3"), shares, hot, *_totals(kept))

@@ -380,6 +380,30 @@ def test_scores_match_a_plain_bigram_model(spark, docs, frame, empty):
     assert len(alone) == 2 and all(r["n_known"] == 0 and r["train_tokens"] == 0 for r in alone)
 
 
+def test_saved_model_scores_a_second_table(spark, docs, frame, empty):
+    """A model that is kept scores other texts as if they had been held out beside its own."""
+    rng = random.Random(21)
+    others = [(900 + i, prose(rng, rng.randrange(1, 60))) for i in range(20)] + [(950, docs[0][1]), (951, None), (None, "one two")]
+    second = spark.createDataFrame(others, DOCS)
+    model = ngram_trie.fit(frame)
+    got = {r["doc_id"]: r for r in model.score(second).collect()}
+    both = frame.withColumn("h", F.lit(False)).unionByName(second.withColumn("h", F.lit(True)))
+    want = {r["doc_id"]: r for r in ngram_trie.score_documents(both, both["h"]).collect() if r["held_out"]}
+    assert got.keys() == want.keys() == {d for d, _ in others} and all(r["held_out"] for r in got.values())
+    for d, r in want.items():
+        assert tuple(got[d])[:5] == tuple(r)[:5]
+        assert got[d]["base_score"] == pytest.approx(r["base_score"]) and got[d]["score"] == pytest.approx(r["score"])
+    assert model.score(empty).count() == 0
+    nothing = ngram_trie.fit(empty)
+    assert nothing.n_train == 0 and nothing.score(second).count() == len(others)
+
+
+def test_numbers_that_do_not_fit_a_message_are_refused():
+    assert (ngram_trie._merge(ngram_trie._planes(np.array([0, (1 << 24) - 1], np.uint64), 3).reshape(-1), 3) == [0, (1 << 24) - 1]).all()
+    with pytest.raises(OverflowError):
+        ngram_trie._planes(np.array([1 << 24], np.uint64), 3)
+
+
 def test_elias_fano_and_trie(tmp_path):
     rng = np.random.default_rng(4)
     for n, top in ((1, 1), (5, 3), (1000, 1200), (1000, 1 << 40), (300, 0)):
