@@ -6,7 +6,7 @@ switches at run time when a side turns out small.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -25,6 +25,17 @@ def keep_groups(df: DataFrame, groups: DataFrame, keys) -> DataFrame:
     return df.join(groups.select(*keys).distinct(), on=keys, how="left_semi")
 
 
+def aggregate_kept_groups(df: DataFrame, group: str, hit: Column, by, aggs) -> DataFrame:
+    """Aggregates by ``group`` and ``by`` of the groups with a row that ``hit`` is true for, in one scan.
+
+    The rows are aggregated first; the flag is read off that table (a row for each group and combination of ``by``), so the
+    rows are never joined with the flagged groups.  A null group is never kept.
+    """
+    by = [by] if isinstance(by, str) else list(by)
+    per = df.where(F.col(group).isNotNull()).groupBy(group, *by).agg(*aggs, F.max(F.coalesce(hit, F.lit(False))).alias("__hit"))
+    return per.withColumn("__any", F.max("__hit").over(Window.partitionBy(group))).where("__any").drop("__hit", "__any")
+
+
 def enrich_coalesce(df: DataFrame, descriptions: DataFrame, key: str, value: str, out: str,
                     fallback: str) -> DataFrame:
     """Left join a code → full description table and keep ``coalesce(full, fallback)``.

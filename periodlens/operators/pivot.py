@@ -95,6 +95,24 @@ def class_trend(df: DataFrame, text: str = "toat", measure: str = "employment",
                       (F.col("nonpermanent") + F.col("not_nonpermanent")).alias("total"))
 
 
+def subtotals(df: DataFrame, keys, sets=None, measure: str = "employment", policy: str = "skip", total: str = "TOTAL") -> DataFrame:
+    """Head counts for each combination of ``keys`` and their subtotals, in one aggregation.
+
+    ``sets`` are the combinations wanted (tuples of key names; default: every prefix of ``keys``, down to the grand total).
+    A key that a row sums over shows ``total``; a null key stays null.  ``level`` is the number of keys summed over.
+    """
+    keys = list(keys)
+    sets = [tuple(s) for s in sets] if sets is not None else [tuple(keys[:n]) for n in range(len(keys), -1, -1)]
+    rows = df.select(*[F.col(k).cast("string").alias(k) for k in keys], count_value(measure, policy).alias("__v"))
+    out = rows.groupingSets([[F.col(k) for k in s] for s in sets], *[F.col(k) for k in keys]).agg(
+        F.coalesce(F.sum("__v"), F.lit(0)).cast("bigint").alias("headcount"), *[F.grouping(k).alias(f"__{i}") for i, k in enumerate(keys)])
+    summed = [F.col(f"__{i}") for i in range(len(keys))]
+    level = summed[0].cast("int")
+    for s in summed[1:]:
+        level = level + s.cast("int")
+    return out.select(*[F.when(s == 1, F.lit(total)).otherwise(F.col(k)).alias(k) for s, k in zip(summed, keys)], level.alias("level"), "headcount")
+
+
 def period_totals(df: DataFrame, transitions, measure: str = "employment", policy: str = "skip",
                   period_col: str = "year") -> DataFrame:
     """Total before/after per named transition with change and pct."""

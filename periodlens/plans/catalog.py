@@ -21,7 +21,7 @@ from periodlens.operators import pivot as PV
 from periodlens.operators import profile as PR
 from periodlens.operators import quality as Q
 from periodlens.operators.denorm import Dim, denormalize
-from periodlens.operators.joins import enrich_coalesce, exclude_groups, keep_groups
+from periodlens.operators.joins import aggregate_kept_groups, enrich_coalesce, keep_groups
 from periodlens.operators.position import down
 from periodlens.sources.tables import snapshot_facts, table
 
@@ -297,12 +297,9 @@ def exclude_groups_q(spark, d):
 
 
 def keep_groups_q(spark, d):
-    f = _facts(spark, d)
-    flagged = C.flagged_groups(f, "agy", "agelvlt")
-    rows = keep_groups(f, flagged, "agy")
-    return rows.groupBy("agy", "year").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("agelvlt") == "REDACTED").alias("redacted_age"))
+    red = F.col("agelvlt") == "REDACTED"
+    return aggregate_kept_groups(_facts(spark, d), "agy", red, "year",
+                                 [F.count(F.lit(1)).alias("rows"), F.count_if(red).alias("redacted_age")])
 
 
 def availability(spark, d):

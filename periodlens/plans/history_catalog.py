@@ -93,6 +93,12 @@ def multi_period_partials(spark, d):
     return PV.multi_period_sql(spark, PA.read_partials(spark, _published(spark, d)), view="employment_partials", measure="emp_int")
 
 
+def subtotals(spark, d):
+    """Head counts by year, appointment and age band with all subtotals from one aggregation."""
+    return PV.subtotals(snapshot_facts(spark, d), ["year", "toa", "agelvlt"],
+                        [("year", "toa", "agelvlt"), ("year", "toa"), ("year", "agelvlt"), ("year",), ()])
+
+
 def _sketches(spark, d) -> DataFrame:
     from periodlens.plans.catalog import _written
 
@@ -337,6 +343,6 @@ def status_views(spark, d):
 
 
 HISTORY_QUERIES = {f.__name__: f for f in (
-    published_store, trend_partials, group_trend_partials, class_trend_partials, multi_period_partials, distinct_periods, code_intervals,
+    published_store, trend_partials, group_trend_partials, class_trend_partials, multi_period_partials, subtotals, distinct_periods, code_intervals,
     code_names_as_of, indexed_search, wrapped_records, bad_records, incremental_build, examples_battery, validation_run, agency_appointments,
     agency_classes, agency_split, excluded_agencies, compare_left_full, alternate_checks, status_views)}

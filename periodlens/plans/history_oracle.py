@@ -118,6 +118,11 @@ HISTORY_ORACLE = {
     "group_trend_partials": ORACLE["group_trend"],
     "class_trend_partials": ORACLE["class_trend"],
     "multi_period_partials": ORACLE["multi_period_sql"],
+    "subtotals": W() +
+    "SELECT CASE WHEN grouping(year) = 1 THEN 'TOTAL' ELSE CAST(year AS VARCHAR) END AS year, CASE WHEN grouping(toa) = 1 THEN 'TOTAL' ELSE toa END AS toa, "
+    "CASE WHEN grouping(agelvlt) = 1 THEN 'TOTAL' ELSE agelvlt END AS agelvlt, CAST(grouping(year) + grouping(toa) + grouping(agelvlt) AS INTEGER) AS level, "
+    f"{CSUM('employment', 'skip')} AS headcount FROM facts "
+    "GROUP BY GROUPING SETS ((year, toa, agelvlt), (year, toa), (year, agelvlt), (year), ())",
     "distinct_periods": _distinct_periods(),
     "code_intervals": W(*_intervals()) + "SELECT * FROM iv",
     "code_names_as_of": _as_of(),

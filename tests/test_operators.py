@@ -360,3 +360,27 @@ def test_quality_is_judged_on_exact_counts(spark):
 def test_keep_first_keeps_null_keys(spark):
     df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), (None, 5, "z"), (None, 4, "w")], "k string, o int, t string")
     assert {(r["k"], r["t"]) for r in PR.keep_first(df, "k", "o").collect()} == {("a", "y"), (None, "w")}
+
+
+def test_subtotals_in_one_aggregation(spark):
+    rows = [("1", "a", "x"), ("2", "a", None), ("REDACTED", "b", "x"), ("4", None, "y"), ("5", "b", "x")]
+    df = spark.createDataFrame(rows, "employment string, k string, m string")
+    got = sorted(map(tuple, PV.subtotals(df, ["k", "m"]).collect()), key=str)
+    assert got == sorted([("a", "x", 0, 1), ("a", None, 0, 2), ("b", "x", 0, 5), (None, "y", 0, 4), ("a", "TOTAL", 1, 3), ("b", "TOTAL", 1, 5),
+                          (None, "TOTAL", 1, 4), ("TOTAL", "TOTAL", 2, 12)], key=str)
+    only = PV.subtotals(df, ["k", "m"], sets=[("m",)]).collect()
+    assert {(r["k"], r["m"], r["level"], r["headcount"]) for r in only} == {("TOTAL", "x", 1, 6), ("TOTAL", "y", 1, 4), ("TOTAL", None, 1, 2)}
+    plan = PV.subtotals(df, ["k", "m"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Expand") == 1
+
+
+def test_aggregate_kept_groups_scans_once(spark):
+    from periodlens.operators.joins import aggregate_kept_groups
+    rows = [("a", 1, "REDACTED"), ("a", 1, "x"), ("a", 2, None), ("b", 1, None), (None, 1, "REDACTED"), ("c", 3, "REDACTED")]
+    df = spark.createDataFrame(rows, "g string, y int, v string")
+    out = aggregate_kept_groups(df, "g", F.col("v") == "REDACTED", "y", [F.count(F.lit(1)).alias("n")])
+    assert sorted(map(tuple, out.collect())) == [("a", 1, 2), ("a", 2, 1), ("c", 3, 1)]
+    flagged = df.where("v = 'REDACTED' and g is not null").select("g")
+    want = keep_groups(df, flagged, "g").groupBy("g", "y").agg(F.count(F.lit(1)).alias("n"))
+    assert sorted(map(tuple, want.collect())) == sorted(map(tuple, out.collect()))
+    assert out._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
