@@ -379,8 +379,8 @@ def test_aggregate_kept_groups_scans_once(spark):
     rows = [("a", 1, "REDACTED"), ("a", 1, "x"), ("a", 2, None), ("b", 1, None), (None, 1, "REDACTED"), ("c", 3, "REDACTED")]
     df = spark.createDataFrame(rows, "g string, y int, v string")
     out = aggregate_kept_groups(df, "g", F.col("v") == "REDACTED", "y", [F.count(F.lit(1)).alias("n")])
+    assert out._jdf.queryExecution().executedPlan().toString().count("Scan") == 1      # before it runs
     assert sorted(map(tuple, out.collect())) == [("a", 1, 2), ("a", 2, 1), ("c", 3, 1)]
     flagged = df.where("v = 'REDACTED' and g is not null").select("g")
     want = keep_groups(df, flagged, "g").groupBy("g", "y").agg(F.count(F.lit(1)).alias("n"))
     assert sorted(map(tuple, want.collect())) == sorted(map(tuple, out.collect()))
-    assert out._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
