@@ -521,6 +521,29 @@ def test_near_duplicate_groups(spark, docs, frame, words):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_near_duplicates_inside_a_crowd(spark):
+    """150 pairs of similarity 0.817 in one family of which all others are at 0.69: every path stays crowded for many levels."""
+    rng = random.Random(1)
+    common, rows = [f"c{i}" for i in range(740)], []
+    for k in range(150):
+        twin = [f"p{k}_{i}" for i in range(77)]
+        for t in range(2):
+            words = common + twin + [f"o{k}_{t}_{i}" for i in range(92)]
+            rng.shuffle(words)
+            rows.append((2 * k + t, " ".join(words)))
+    got = {r["doc_id"]: r["component_id"] for r in chosen_path.near_duplicates(spark.createDataFrame(rows, DOCS).repartition(4), words=1).collect()}
+    assert all(got[2 * k] == 2 * k for k in range(150))
+    assert sum(got[2 * k + 1] == 2 * k for k in range(150)) >= 145
+
+
+def test_near_duplicates_of_many_texts_under_one_id(spark):
+    rng = random.Random(2)
+    base = prose(rng, 60)
+    rows = [(5, prose(rng, 50)) for _ in range(80)] + [(5, base), (6, base + " more"), (4, base)]
+    got = chosen_path.near_duplicates(spark.createDataFrame(rows, DOCS), words=2).collect()
+    assert len(got) == 83 and {r["component_id"] for r in got if r["doc_id"] == 6} == {4}
+
+
 def test_near_duplicates_with_null_and_repeated_ids(spark, empty):
     rows = [(5, "a b c d e f g"), (5, "a b c d e f g"), (5, "other words here"), (None, "a b c d e f g"), (3, "A b c d e f G"), (9, None)]
     df = spark.createDataFrame([(*r, 1) for r in rows], DOCS + ", n long")
