@@ -27,6 +27,7 @@ import uuid
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ K1, B = 1.2, 0.75
 COMMON_IDS = 1000             # ids below are bytes and frequent merges: they route only where there is no other
 DICTIONARY = 400_000          # frequent words that are encoded once for all tasks
 CACHE_WORDS = 900_000         # words that a worker remembers, those included
-HELD_WORDS = 300_000          # words that a task counts before it sends them
+HELD_WORDS = 500_000          # words that a task counts before it sends them
 
 
 # A word with an ASCII letter before its last characters, all of them ASCII punctuation but the apostrophe.
@@ -59,26 +60,51 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text.lower() if b"<|" not in text else text).split() if text else []
 
 
+def _byte_letters() -> dict:
+    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 characters for themselves, the
+    others in order from 256."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    return dict(zip([*own, *sorted(set(range(256)) - set(own))], map(chr, [*own, *range(256, 512)])))
+
+
 class Encoder(dict):
     """Token ids of words as little-endian 16-bit integers; a word it has not seen is encoded when it is asked for.
 
     The tokenizer lower-cases, drops white space and never joins across it, so a text's ids are those of
-    its words in turn.  ``base`` are words that it always holds.
+    its words in turn.  A word of lower-case letters only is one piece that nothing changes, so its bytes go to the merges
+    directly; whether that holds for this tokenizer is tried first.  ``base`` are words that it always holds.
     """
 
+    TRIED = ("a", "the", "straße", "ñandú", "слово", "été", "zzyzx", "λόγος")
+
     def __init__(self, path: str, base: dict | None = None):
         super().__init__(base or {})
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.base = Tokenizer.from_file(path), base or {}
+        self.tokenizer, self.base, self.letters = Tokenizer.from_file(path), base or {}, _byte_letters()
+        self.merges = self.tokenizer.model
+        try:
+            self.direct = all(self._merged(w) == self._whole(w) for w in self.TRIED)
+        except Exception:                          # another kind of model
+            self.direct = False
+
+    def _whole(self, word: str) -> bytes:
+        return array("H", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _merged(self, word: str) -> bytes:
+        spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return array("H", [t.id for t in self.merges.tokenize(spelled)]).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
         # punctuation after a letter is split off by the tokenizer, so both parts can be encoded alone
         if word[-1] in _ENDS and b"<|" not in word and (m := _PUNCTUATED.fullmatch(word)):
             ids = self[m[1]] + self[m[2]]
         else:
-            ids = array("H", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+            w = word.decode()
+            # Latin, Greek and Cyrillic: letters are letters in every version of Unicode
+            plain = self.direct and w.isalpha() and max(w) < "\u0530" and w == w.lower() and is_normalized("NFC", w)
+            ids = self._merged(w) if plain else self._whole(w)
         self[word] = ids
         return ids
 
@@ -104,13 +130,15 @@ def encoder(path: str, shared=None) -> Encoder:
 def frequent_words(docs: DataFrame, text_col: str, path: str, most: int = DICTIONARY) -> DataFrame:
     """(word, ids) of at most ``most`` words, the most frequent ones, each encoded once.
 
-    Words are counted in every text; only the number of words of each count comes to the driver.
+    Words are counted in every text (those that a task sees once are not sent); only the number of words of each count
+    comes to the driver.  The choice decides where a word is encoded, never its ids.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
 
         def send():
-            out = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+            words = [w for w, n in held.items() if n > 1]
+            out = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([held[w] for w in words], pa.int64())], names=["word", "n"])
             held.clear()
             return out
         for b in batches:
@@ -121,8 +149,8 @@ def frequent_words(docs: DataFrame, text_col: str, path: str, most: int = DICTIO
                     yield send()
         yield send()
 
-    counts = stored(docs.select(text_col).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-                    .where("n > 1"), "word-counts")
+    counts = stored(docs.select(text_col).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")),
+                    "word-counts")
     # the least count of which there are not too many words from there on: a row for each count below 1,000
     sizes = counts.groupBy(F.least("n", F.lit(1000)).alias("n")).count().orderBy(F.desc("n")).collect()
     least, total = None, 0

@@ -202,6 +202,29 @@ def test_packing_keeps_every_token_once(spark, docs, frame, empty):
     assert packing.pack_documents(empty, tokenizer_path()).count() == 0
 
 
+def test_words_have_the_tokenizers_ids():
+    """Letters of many scripts, marks, digits and punctuation, in runs of neighbouring code points."""
+    import unicodedata
+    rng, enc = random.Random(3), packing.Encoder(tokenizer_path(), {b"base": b"xx"})
+    letters = [chr(c) for c in range(0x21, 0x2500) if unicodedata.category(chr(c))[0] in "LMNPS"]
+    assert enc.direct and enc[b"base"] == b"xx"
+    for _ in range(4000):
+        at = rng.randrange(len(letters))
+        word = "".join(letters[(at + rng.randrange(40)) % len(letters)] for _ in range(rng.randrange(1, 7))).encode().lower()
+        if b"<|" not in word:
+            assert enc[word] == enc._whole(word.decode()), word.decode()
+
+
+def test_frequent_words_are_encoded_once_and_shared(spark):
+    texts = ["common words here " * 3, "common words there rare", None, "", "common\tcommon"]
+    df = spark.createDataFrame(list(enumerate(texts)), DOCS).repartition(2)
+    got = {bytes(r["word"]): bytes(r["ids"]) for r in packing.frequent_words(df, "text", tokenizer_path()).collect()}
+    enc = packing.Encoder(tokenizer_path())
+    assert b"common" in got and all(v == enc._whole(k.decode()) for k, v in got.items())
+    assert packing.frequent_words(df, "text", tokenizer_path(), most=0).count() == 0
+    assert packing.frequent_words(df.limit(0), "text", tokenizer_path()).count() == 0
+
+
 def test_packing_fills_a_window_with_the_seeds_neighbours():
     rng = np.random.default_rng(0)
     topic = [np.r_[rng.integers(5000 + 1000 * k, 5030 + 1000 * k, 60), 1].astype("<u2") for k in (0, 1, 2, 3) * 6]
