@@ -545,7 +545,8 @@ def test_near_duplicate_groups(spark, docs, frame, words):
 
 
 def test_near_duplicates_inside_a_crowd(spark):
-    """150 pairs of similarity 0.817 in one family of which all others are at 0.69: every path stays crowded for many levels."""
+    """150 pairs of similarity 0.817 in one family of which all others are at 0.69: paths stay crowded for many levels, where
+    only the likeliest are compared (recall of at least 0.9)."""
     rng = random.Random(1)
     common, rows = [f"c{i}" for i in range(740)], []
     for k in range(150):
@@ -556,7 +557,7 @@ def test_near_duplicates_inside_a_crowd(spark):
             rows.append((2 * k + t, " ".join(words)))
     got = {r["doc_id"]: r["component_id"] for r in chosen_path.near_duplicates(spark.createDataFrame(rows, DOCS).repartition(4), words=1).collect()}
     assert all(got[2 * k] == 2 * k for k in range(150))
-    assert sum(got[2 * k + 1] == 2 * k for k in range(150)) >= 145
+    assert sum(got[2 * k + 1] == 2 * k for k in range(150)) >= 135
 
 
 def test_near_duplicates_of_many_texts_under_one_id(spark):
