@@ -134,7 +134,7 @@ def exact_median(df: DataFrame, value: str, by=(), name: str = "median") -> Data
     by = [by] if isinstance(by, str) else list(by)
     rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("__x"))
     share = F.array(*[F.lit(0.5 + side * 3.0 / ACCURACY) for side in (-1, 1)])
-    ends = rows.groupBy(*by).agg(F.percentile_approx("__x", share, ACCURACY).alias("__ends"), F.count(F.lit(1)).alias("__size"))
+    ends = rows.groupBy(*by).agg(F.percentile_approx("__x", share, ACCURACY).alias("__ends"))
     if by:
         names = {b: f"__b{i}" for i, b in enumerate(by)}
         same = F.lit(True)
@@ -142,15 +142,16 @@ def exact_median(df: DataFrame, value: str, by=(), name: str = "median") -> Data
             same = same & F.col(b).eqNullSafe(F.col(alias))
         rows = rows.join(ends.withColumnsRenamed(names), same).drop(*names.values())
     else:
-        one = ends.select(F.struct("__ends", "__size")).scalar()
-        rows = rows.withColumns({"__ends": one["__ends"], "__size": one["__size"]})
-    rows = rows.where(F.col("__x") <= F.col("__ends")[1])
-    counts = (rows.groupBy(*by, "__size", F.when(F.col("__x") >= F.col("__ends")[0], F.col("__x")).alias("__x"))
+        rows = rows.withColumn("__ends", ends.select("__ends").scalar())
+    x, low_end, high_end = F.col("__x"), F.col("__ends")[0], F.col("__ends")[1]
+    zone = F.when(x < low_end, -1).when(x > high_end, 1).otherwise(0)
+    counts = (rows.select(*by, zone.alias("__zone"), F.when(zone == 0, x).alias("__x")).groupBy(*by, "__zone", "__x")
               .agg(F.count(F.lit(1)).alias("__n")))
-    upto = Window.partitionBy(*by).orderBy(F.asc_nulls_first("__x")).rowsBetween(Window.unboundedPreceding, 0)
-    run = counts.withColumn("__upto", F.sum("__n").over(upto))
-    low = F.min(F.when(F.col("__upto") * 2 >= F.col("__size"), F.col("__x")))
-    high = F.min(F.when(F.col("__upto") * 2 > F.col("__size"), F.col("__x")))
+    group = Window.partitionBy(*by)
+    upto = group.orderBy("__zone", "__x").rowsBetween(Window.unboundedPreceding, 0)
+    run = counts.withColumns({"__upto": F.sum("__n").over(upto), "__size": F.sum("__n").over(group)})
+    low = F.min(F.when(F.col("__upto") * 2 >= F.col("__size"), x))
+    high = F.min(F.when(F.col("__upto") * 2 > F.col("__size"), x))
     return run.groupBy(*by).agg(((low.cast("double") + high.cast("double")) / 2).alias(name))
 
 

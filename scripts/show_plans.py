@@ -15,7 +15,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from periodlens.plans.catalog import QUERIES  # noqa: E402
 from periodlens.session import local_session  # noqa: E402
 
-SHOWN = ("compare_full", "denormalize", "dedupe_first", "name_map", "mean_by_group")
+SHOWN = ("compare_full", "denormalize", "name_map", "compare_total", "numeric_summary", "exclude_groups", "top_split", "keep_groups",
+         "trend_partials", "wrapped_records")
 
 
 def main() -> None:
