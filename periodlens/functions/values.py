@@ -26,7 +26,9 @@ NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 DIGITS_PATTERN = r"^[0-9]+$"
 # ----------------------------------------------------------------------------
 
-COUNT_POLICIES = ("skip", "impute_one", "digits_else_zero", "coerce_zero", "summed")
+# Policies for text; a partial aggregate's column is a number already, which the policy ``SUMMED`` takes as it is.
+COUNT_POLICIES = ("skip", "impute_one", "digits_else_zero", "coerce_zero")
+SUMMED = "summed"
 
 
 def _ident(name: str) -> str:
@@ -64,9 +66,9 @@ def _sql_count_value(x: str, policy: str) -> str:
         return f"coalesce(CASE WHEN {x} RLIKE {_lit(DIGITS_PATTERN)} THEN try_cast({x} AS BIGINT) END, 0L)"
     if policy == "coerce_zero":
         return f"coalesce(CAST(try_cast({x} AS BIGINT) AS DOUBLE), {_sql_number(x)}, 0.0D)"
-    if policy == "summed":
+    if policy == SUMMED:
         return x
-    raise ValueError(f"unknown count policy {policy!r}; expected one of {COUNT_POLICIES}")
+    raise ValueError(f"unknown count policy {policy!r}; expected one of {(*COUNT_POLICIES, SUMMED)}")
 
 
 def strip_ws(c) -> Column:
@@ -133,9 +135,9 @@ def count_value(c, policy: str) -> Column:
         return F.coalesce(F.when(c.rlike(DIGITS_PATTERN), c.try_cast("bigint")), F.lit(0).cast("bigint"))
     if policy == "coerce_zero":
         return F.coalesce(_int_text(c).cast("double"), parse_number(c), F.lit(0.0))
-    if policy == "summed":
+    if policy == SUMMED:
         return as_col(c)
-    raise ValueError(f"unknown count policy {policy!r}; expected one of {COUNT_POLICIES}")
+    raise ValueError(f"unknown count policy {policy!r}; expected one of {(*COUNT_POLICIES, SUMMED)}")
 
 
 def count_sum(c, policy: str) -> Column:
