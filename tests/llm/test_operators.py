@@ -107,6 +107,34 @@ def test_line_dedup_compares_lines_of_one_simhash_and_crowded_keys(spark):
     assert want <= found
 
 
+def test_line_dedup_compares_all_lines_of_a_simhash(spark):
+    """Thirty pairs of similar lines under one SimHash, and one line of a similar SimHash for each."""
+    rng = random.Random(9)
+    lines = []
+    for _ in range(30):
+        word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(60))
+        lines += [f"0 0 0 0 {word}", f"0 0 0 0 {word[:30]}7{word[31:]}"]
+    rng.shuffle(lines)
+    more = [f"0 0 0 0 {x[8:-1]}9 {' '.join(rng.sample('abcdefgh', 3))}" for x in lines[:20]]
+    rows = list(enumerate(lines + more))
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS)).collect()}
+    sims = {r["pos"]: r["sim"] for r in line_dedup.distinct_lines(spark.createDataFrame([(0, "\n".join(lines + more))], DOCS), "doc_id", "text").collect()}
+    own = sims[0]
+    near = [60 + i for i in range(20) if 0 < ((sims[60 + i] ^ own) & ((1 << 64) - 1)).bit_count() <= 3]
+    assert all(sims[i] == own for i in range(60)) and len(near) > 3
+    want = brute.lines_kept(rows)
+    assert {d: got[d] for d in [*range(60), *near]} == {d: want[d] for d in [*range(60), *near]}
+    assert sum(got[d] == "" for d in range(60)) == 30 and all(got[d] == "" for d in near)
+
+
+def test_line_pairs_follow_groups_that_differ(spark):
+    lines = [(1, i, 50) for i in range(40)] + [(2, 100, 50), (2, 101, 50), (2, 102, 10), (3, 200, 50)]
+    groups = spark.createDataFrame([(i, 0) for i in range(39)] + [(100, 100), (101, 100)], "node long, component long")
+    got = {(r["a"], r["b"]) for r in line_dedup.apart_pairs(
+        spark.createDataFrame([(1, 2)], "a long, b long"), spark.createDataFrame(lines, "sim long, line long, len int"), groups, 0.8).collect()}
+    assert got == {(i, 39) for i in range(39)} | {(i, j) for i in range(40) for j in (100, 101)}
+
+
 def test_line_dedup_carries_clashing_columns_and_repeated_rows(spark, empty):
     rows = [(1, "a b c d\nx y", "r", 1), (1, "a b c d\nx y", "r", 1), (None, "a b c d\nnew", "s", 2)]
     df = spark.createDataFrame(rows, "doc_id long, text string, row string, kept int")
