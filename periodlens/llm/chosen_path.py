@@ -7,17 +7,16 @@ with equal sets are one node, which has ``TOKENS`` min-hash tokens.
 In a tree, every node of the recursion picks one or, a quarter of the time, two of the token places (a
 hash of the path decides, so no state is shared) and sends each of its sets down the branch named by its
 token there: 1.25 branches on average, the inverse of the threshold, which keeps pairs at the threshold alive
-in expectation.  From level ``FIRST`` on, every second level counts the sets of each path.
-Paths with at most ``SMALL`` sets are compared exhaustively; larger ones are compared with their
-least set and recurse, up to level ``LAST``, where what is still too large is compared with its least set
-and with ``NEIGHBOURS`` others in the order of the path's next levels.  A pair at 0.8 lives to the first count with
-probability 0.55 a tree, so the ``TREES`` independent trees find it with more than 0.998; pairs above are
-likelier.  Work and rows are linear in the sets, however large a group of copies.
+in expectation.  The sets of each path of level ``FIRST`` meet.  A pair at 0.8 lives to this level with probability
+0.55 a tree, so the ``TREES`` independent trees find it with more than 0.998; pairs above are likelier.
 
 Pairs are confirmed on the full sets (48-bit hashes of the shingles) unless their sizes or token
-sketches (four bits a token) rule the threshold out, in two rounds: first each set with the least set of its paths
-and with the one that it shares most paths with, then every pair that met and that the components of these leave
-apart.  So a large group costs a few comparisons a member, and no link between components is left out.
+sketches (four bits a token) rule the threshold out, in rounds: first each set with the hub of its paths
+that meets most sets and the hub that it shares most paths with, next the sets that are left out of a large path's largest group
+with two of its members, then every pair that met and that the components of these leave
+apart.  So a large group of copies costs a few comparisons a member: its paths lie in one component, or hold few others, and
+the pairs between components are few.  Paths with more than ``EACH`` such pairs a set are compared with their least set and
+followed ``STEP`` levels further, up to level ``LAST``; what is left there is compared in full, however many pairs it has.
 
 Shuffled work is done by Spark; the Python parts are Arrow-batched maps over rows.  A frequent text is merged
 map-side (minimum id a set).  Pairs and components never leave the cluster.
@@ -30,11 +29,12 @@ rows with equal ids are separate documents that carry that id; other columns are
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from periodlens.llm.common import stored
@@ -43,8 +43,8 @@ from periodlens.llm.components import components
 WORDS, PERCENT = 5, 80
 TOKENS, TREES = 64, 8
 FIRST, STEP, LAST = 5, 2, 11
-SMALL = 24
-DEEPER, NEIGHBOURS = 3, 5     # in paths that stay large: levels that order the sets, and how many before a set it meets
+EACH = 12                     # pairs between components for each set of a path, up to which the path is compared at once
+SMALL = 2 * EACH              # paths of so many sets never have more
 SLACK = 0.15                  # how far below the threshold a sketch may estimate a pair
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -127,19 +127,15 @@ def profiles(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFra
     return docs.select(id_col, text_col, F.xxhash64(text_col).alias("_th")).mapInArrow(run, schema)
 
 
-def branch(keys: np.ndarray, sig: np.ndarray, rows: np.ndarray, levels: int,
-           both: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Paths and rows after some more levels: keys[i] is a path of the set whose tokens are sig[rows[i]].
-
-    Without ``both`` only the first branch of a node is followed.
-    """
+def branch(keys: np.ndarray, sig: np.ndarray, rows: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray]:
+    """Paths and rows after some more levels: keys[i] is a path of the set whose tokens are sig[rows[i]]."""
     with np.errstate(over="ignore"):
         for _ in range(levels):
             coin = mix(keys ^ _M2)
             first = (coin % np.uint64(TOKENS)).astype(np.int64)
             second = ((coin >> np.uint64(16)) % np.uint64(TOKENS - 1)).astype(np.int64)
             second = (first + 1 + second) % TOKENS
-            two = np.flatnonzero((coin >> np.uint64(40)) & np.uint64(3) == 0) if both else np.zeros(0, np.int64)
+            two = np.flatnonzero((coin >> np.uint64(40)) & np.uint64(3) == 0)
             at = np.concatenate((first, second[two]))
             parent = np.concatenate((keys, keys[two]))
             rows = np.concatenate((rows, rows[two]))
@@ -148,10 +144,7 @@ def branch(keys: np.ndarray, sig: np.ndarray, rows: np.ndarray, levels: int,
 
 
 def _descend(rows: DataFrame, levels: int, start: bool) -> DataFrame:
-    """(key, x, deep) after some levels: from every tree's root if ``start``, else from the rows' own key.
-
-    deep is the path some levels further down: sets that share it are likely more similar than others of the key.
-    """
+    """(key, x) after some levels: from every tree's root if ``start``, else from the rows' own key."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 5000):
@@ -162,17 +155,15 @@ def _descend(rows: DataFrame, levels: int, start: bool) -> DataFrame:
                 if start:
                     for tree in range(TREES):
                         root = mix(np.full(len(x), 1000 + tree, np.uint64))
-                        yield out(*branch(root, sig, own, levels), sig, x)
+                        yield out(*branch(root, sig, own, levels), x)
                 else:
                     keys = part.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
-                    yield out(*branch(keys, sig, own, levels), sig, x)
+                    yield out(*branch(keys, sig, own, levels), x)
 
-    def out(keys, at, sig, x):
-        deep, _ = branch(keys, sig, at, DEEPER, both=False)
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(x[at]), pa.array(deep.view(np.int64))],
-                                          names=["key", "x", "deep"])
+    def out(keys, at, x):
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(x[at])], names=["key", "x"])
 
-    return rows.mapInArrow(run, "key long, x long, deep long")
+    return rows.mapInArrow(run, "key long, x long")
 
 
 def _differ(a: str, b: str) -> str:
@@ -185,53 +176,67 @@ def _differ(a: str, b: str) -> str:
 
 
 def paths(sets: DataFrame) -> DataFrame:
-    """(key, x, deep, n, low, last): the sets of every counted path with company, its size and its least set.
-
-    Paths with more than ``SMALL`` sets are followed on, those of the last level (``last``) excepted.
-    """
+    """(key, x, n): the sets of every path of level ``FIRST`` with company, and how many they are."""
     rows = stored(_descend(sets.select("x", "sig"), FIRST, True), "paths")
-    found = None
-    for level in range(FIRST, LAST + 1, STEP):
-        nodes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("x").alias("low")).where("n > 1")
-        live = stored(rows.join(nodes, "key").withColumn("last", F.lit(level + STEP > LAST)), "paths")
-        found = live if found is None else found.unionByName(live)
-        large = live.where((F.col("n") > SMALL) & ~F.col("last"))
-        if large.isEmpty():
-            break
-        rows = stored(_descend(large.select("x", "key").join(sets.select("x", "sig"), "x").select("x", "sig", "key"),
-                               STEP, False), "paths")
-    return found
+    return rows.join(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
 
 
 def star_pairs(nodes: DataFrame) -> DataFrame:
-    """Each set with the least set of its paths, and with the least set that it shares most paths with."""
-    met = nodes.where("x <> low").groupBy("x", "low").agg(F.count("*").alias("k"))
-    return (met.groupBy("x").agg(F.min("low").alias("low"), F.max_by("low", "k").alias("most"))
-            .select("x", F.explode(F.array("low", "most")).alias("y"))
+    """Each set with two hubs of its paths: that with most company, and that which it shares most paths with.
+
+    A path's hub is the set that meets most others, over all its paths: of near copies likely the text that they were made from.
+    """
+    ranked = nodes.select("key", "x").join(nodes.groupBy("x").agg(F.sum("n").alias("met")), "x")
+    hubs = ranked.groupBy("key").agg(F.max(F.struct("met", F.col("x").alias("y"))).alias("hub"))
+    met = ranked.join(hubs, "key").where("x <> hub.y").groupBy("x", "hub").agg(F.count("*").alias("k"))
+    return (met.groupBy("x").agg(F.max("hub").alias("top"), F.max_by("hub", "k").alias("most"))
+            .select("x", F.explode(F.array("top.y", "most.y")).alias("y"))
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+
+
+def crowd_pairs(nodes: DataFrame, groups: DataFrame) -> DataFrame:
+    """In large paths, each set outside the path's largest group with two members of that group, by a hash of path and set."""
+    of = groups.select(F.col("node").alias("x"), F.col("component").alias("c"))
+    rows = nodes.where(F.col("n") > SMALL).select("key", "x").join(of, "x", "left").withColumn("c", F.coalesce("c", "x"))
+    order = F.struct(F.xxhash64("key", "x"), F.col("x").alias("x"))
+    units = rows.groupBy("key", "c").agg(F.count("*").alias("m"), F.min(order).alias("lo"), F.max(order).alias("hi"))
+    largest = units.groupBy("key").agg(F.count("*").alias("k"), F.max(F.struct("m", "c", "lo.x", F.col("hi.x").alias("y"))).alias("g")).where("k > 1")
+    return (rows.join(largest, "key").where("c <> g.c").select("x", F.explode(F.array("g.x", "g.y")).alias("y"))
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
-def met_pairs(nodes: DataFrame, groups: DataFrame) -> DataFrame:
+def met_pairs(nodes: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
     """Pairs (a, b) that met in a path and that the groups (node, component) leave apart."""
     of = groups.select(F.col("node").alias("x"), F.col("component").alias("c"))
-    rows = nodes.join(of, "x", "left").withColumn("c", F.coalesce("c", "x"))
-    small = rows.where(F.col("n") <= SMALL).select("key", "x", "c")
-    # a path all of whose sets are in one group has nothing to add
-    mixed = small.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
-    small = small.join(mixed, "key")
+    rows, level, lives = nodes.select("key", "x"), FIRST, []
+    while True:
+        rows = rows.join(of, "x", "left").withColumn("c", F.coalesce("c", "x"))
+        # a path all of whose sets are in one group has nothing to add
+        keys = (rows.groupBy("key", "c").agg(F.count("*").alias("m"), F.min("x").alias("x")).groupBy("key")
+                .agg(F.sum("m").alias("n"), F.expr("sum(m) * sum(m) - sum(m * m)").alias("twice"), F.min(F.struct("x", "c")).alias("low"))
+                .where("twice > 0")
+                .withColumn("open", (F.col("twice") > 2 * EACH * F.col("n")) & F.lit(level + STEP <= LAST)))
+        live = stored(rows.join(keys.drop("twice"), "key"), "met")
+        lives.append(live)
+        large = live.where("open")
+        if level + STEP > LAST or large.isEmpty():
+            break
+        rows = stored(_descend(large.select("x", "key").join(sets.select("x", "sig"), "x").select("x", "sig", "key"),
+                               STEP, False), "paths")
+        level += STEP
+    met = reduce(DataFrame.unionByName, lives)
+    small = met.where(f"not open and n <= {SMALL}").select("key", "x", "c")
     left, right = small.alias("l"), small.alias("r")
     pairs = left.join(right, F.expr("l.key = r.key and l.x < r.x and l.c <> r.c")).select(
         F.col("l.x").alias("a"), F.col("r.x").alias("b"))
-    large = rows.where(F.col("n") > SMALL)
-    lows = of.select(F.col("x").alias("low"), F.col("c").alias("low_c"))
-    to_low = large.join(lows, "low", "left").where("x <> low and c <> coalesce(low_c, low)").select(
-        F.col("x").alias("a"), F.col("low").alias("b"))
-    w = Window.partitionBy("key").orderBy("deep", F.xxhash64("x", "key"))
-    before = [F.lag(F.struct("x", "c"), i).over(w).alias(f"b{i}") for i in range(1, NEIGHBOURS + 1)]
-    near = (large.where("last").select("x", "c", *before)
-            .select("x", "c", F.explode(F.array(*[f"b{i}" for i in range(1, NEIGHBOURS + 1)])).alias("y"))
-            .where("y.c <> c").select(F.col("x").alias("a"), F.col("y.x").alias("b")))
-    return (pairs.unionByName(to_low).unionByName(near)
+    to_low = met.where("open and c <> low.c").select(F.col("x").alias("a"), F.col("low.x").alias("b"))
+    # in larger paths the groups are paired first, so that the sets of one group don't meet
+    crowd = met.where(f"not open and n > {SMALL}").select("key", "x", "c")
+    units = crowd.select("key", "c").distinct()
+    both = units.join(units.select("key", F.col("c").alias("d")), "key").where("c < d")
+    across = (both.join(crowd.select("key", "c", F.col("x").alias("a")), ["key", "c"])
+              .join(crowd.select("key", F.col("c").alias("d"), F.col("x").alias("b")), ["key", "d"]).select("a", "b"))
+    return (pairs.unionByName(to_low).unionByName(across)
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
@@ -310,9 +315,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         full = stored(_full_sets(docs, wanted, id_col, text_col, words).dropDuplicates(["x"]), "full-sets")
         return stored(confirm(pairs, full, percent), "links")
 
+    def joined(groups, more):
+        tree = groups.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        return components(tree.unionByName(more))
+
     groups = stored(components(links(star_pairs(nodes))), "groups")
-    tree = groups.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    groups = components(tree.unionByName(links(met_pairs(nodes, groups))))
+    groups = stored(joined(groups, links(crowd_pairs(nodes, groups))), "groups")
+    groups = joined(groups, links(met_pairs(nodes, sets, groups)))
     least = (sets.select("x", "doc").join(groups, F.col("x") == F.col("node"), "left")
              .select("x", "doc", F.coalesce("component", "x").alias("c")))
     low = least.groupBy("c").agg(F.min("doc").alias("component_id"))

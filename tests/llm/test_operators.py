@@ -588,6 +588,14 @@ def test_near_duplicates_inside_a_crowd(spark):
     assert sum(got[2 * k + 1] == 2 * k for k in range(150)) >= 135
 
 
+def test_all_sets_of_a_crowded_path_meet_across_groups(spark):
+    nodes = spark.createDataFrame([(7, x, 0) for x in range(200)] + [(8, x, 300) for x in range(300, 330)], "key long, x long, low long")
+    sets = spark.createDataFrame([(x, bytearray(4 * chosen_path.TOKENS)) for x in range(330)], "x long, sig binary")
+    groups = spark.createDataFrame([(x, 0) for x in range(195)] + [(x, 300) for x in range(300, 330)], "node long, component long")
+    got = {(r["a"], r["b"]) for r in chosen_path.met_pairs(nodes, sets, groups).collect()}
+    assert got == {(a, b) for a in range(200) for b in range(a + 1, 200) if b >= 195}
+
+
 def test_near_duplicates_of_many_texts_under_one_id(spark):
     rng = random.Random(2)
     base = prose(rng, 60)
