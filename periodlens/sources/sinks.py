@@ -49,13 +49,18 @@ def write_snapshots(df: DataFrame, path: str, partition_by=("year", "quarter"),
 
 
 def cluster_for_write(df: DataFrame, parts) -> DataFrame:
-    """Hash-partition by the partition columns and a few salts of the whole row.
+    """Bring the rows of a period together for a write, in tasks of a bounded size.
 
-    A period's rows meet in at most ``WRITE_SALTS`` tasks, which also split a hot period.  (A range
-    partitioning would compute the source twice, once for its sample.)
+    Rows are dealt by the partition columns and a few salts of the whole row, and rebalanced: adaptive execution joins small
+    tasks and splits those larger than its advisory size, so that no task's sort grows with the input.  Without it a
+    period's rows meet in at most ``WRITE_SALTS`` tasks.  (A range partitioning would compute the source twice, once
+    for its sample.)
     """
+    name = "__salt"
+    while name in df.columns:
+        name += "_"
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(WRITE_SALTS))
-    return df.repartition(*[F.col(p) for p in parts], salt)
+    return df.withColumn(name, salt).hint("rebalance", *[F.col(p) for p in parts], F.col(name)).drop(name)
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from periodlens.plans import incremental as I
 from periodlens.sources import store as ST
+from periodlens.sources.sinks import WRITE_SALTS, cluster_for_write
 from tests.test_sources import write
 
 ROWS = "year int, quarter string, agy string, employment string"
@@ -131,3 +132,16 @@ def test_only_changed_periods_are_built_again(spark, tmpdir_path):
     got = {(r["year"], r["quarter"]): r["action"] for r in I.build(spark, base, store, verify=lambda back: False).collect()}
     assert set(got.values()) == {"kept"} and locations()[(2016, "June", "CALIFORNIE")] == 2
     assert run()[(2016, "June")] == ("built", 2) and locations()[(2016, "June", "ELSEWHERE")] == 2
+
+
+def test_a_hot_period_is_written_by_tasks_of_a_bounded_size(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "100KB")
+        df = spark.range(0, 200000, 1, 8).select(F.lit(1999).alias("year"), F.lit("March").alias("quarter"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        tasks = cluster_for_write(df, ["year", "quarter"]).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.max("v"))
+        sizes = [r["n"] for r in tasks.collect()]
+    finally:
+        spark.conf.set(key, before)
+    assert sum(sizes) == 200000 and len(sizes) > WRITE_SALTS and max(sizes) < 200000 / WRITE_SALTS
