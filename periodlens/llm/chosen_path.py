@@ -15,8 +15,9 @@ sketches (four bits a token) rule the threshold out, in rounds: first each set w
 that meets most sets and the hub that it shares most paths with, next the sets that are left out of a large path's largest group
 with two of its members, then every pair that met and that the components of these leave
 apart.  So a large group of copies costs a few comparisons a member: its paths lie in one component, or hold few others, and
-the pairs between components are few.  Paths with more than ``EACH`` such pairs a set are compared with their least set and
-followed ``STEP`` levels further, up to level ``LAST``; what is left there is compared in full, however many pairs it has.
+the pairs between components are few.  The sets of paths with more than ``EACH`` such pairs a set are compared by an exact prefix join
+of their full sets: two sets at the threshold share one of the few shingles that come first when each set is ordered from rare to
+frequent, so near copies of one text meet by what they share beyond that text, not each with each.
 
 Shuffled work is done by Spark; the Python parts are Arrow-batched maps over rows.  A frequent text is merged
 map-side (minimum id a set).  Pairs and components never leave the cluster.
@@ -28,8 +29,7 @@ rows with equal ids are separate documents that carry that id; other columns are
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +42,10 @@ from periodlens.llm.components import components
 
 WORDS, PERCENT = 5, 80
 TOKENS, TREES = 64, 8
-FIRST, STEP, LAST = 5, 2, 11
-EACH = 12                     # pairs between components for each set of a path, up to which the path is compared at once
+FIRST = 5
+EACH = 12                     # pairs between components for each set of a path, up to which the path's pairs are listed
 SMALL = 2 * EACH              # paths of so many sets never have more
+SEEN, FREQUENT = 500, 20_000  # sets whose shingles are counted for the order of the prefixes, and the most shingles of them that are remembered
 SLACK = 0.15                  # how far below the threshold a sketch may estimate a pair
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -143,25 +144,17 @@ def branch(keys: np.ndarray, sig: np.ndarray, rows: np.ndarray, levels: int) ->
     return keys, rows
 
 
-def _descend(rows: DataFrame, levels: int, start: bool) -> DataFrame:
-    """(key, x) after some levels: from every tree's root if ``start``, else from the rows' own key."""
+def _descend(rows: DataFrame, levels: int) -> DataFrame:
+    """(key, x) after some levels of every tree."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 5000):
                 part = b.slice(lo, 5000)
                 x = part.column(0).to_numpy(zero_copy_only=False)
                 sig = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint32).reshape(len(x), TOKENS)
-                own = np.arange(len(x))
-                if start:
-                    for tree in range(TREES):
-                        root = mix(np.full(len(x), 1000 + tree, np.uint64))
-                        yield out(*branch(root, sig, own, levels), x)
-                else:
-                    keys = part.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
-                    yield out(*branch(keys, sig, own, levels), x)
-
-    def out(keys, at, x):
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(x[at])], names=["key", "x"])
+                for tree in range(TREES):
+                    keys, at = branch(mix(np.full(len(x), 1000 + tree, np.uint64)), sig, np.arange(len(x)), levels)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(x[at])], names=["key", "x"])
 
     return rows.mapInArrow(run, "key long, x long")
 
@@ -177,7 +170,7 @@ def _differ(a: str, b: str) -> str:
 
 def paths(sets: DataFrame) -> DataFrame:
     """(key, x, n): the sets of every path of level ``FIRST`` with company, and how many they are."""
-    rows = stored(_descend(sets.select("x", "sig"), FIRST, True), "paths")
+    rows = stored(_descend(sets.select("x", "sig"), FIRST), "paths")
     return rows.join(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
 
 
@@ -205,39 +198,83 @@ def crowd_pairs(nodes: DataFrame, groups: DataFrame) -> DataFrame:
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
-def met_pairs(nodes: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs (a, b) that met in a path and that the groups (node, component) leave apart."""
+def met_pairs(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], groups: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a, b) that met in a path and that the groups (node, component) leave apart.
+
+    Of paths with many such pairs only those that are similar enough; ``fetch`` gives the full sets (x, s) of given sets (x).
+    """
     of = groups.select(F.col("node").alias("x"), F.col("component").alias("c"))
-    rows, level, lives = nodes.select("key", "x"), FIRST, []
-    while True:
-        rows = rows.join(of, "x", "left").withColumn("c", F.coalesce("c", "x"))
-        # a path all of whose sets are in one group has nothing to add
-        keys = (rows.groupBy("key", "c").agg(F.count("*").alias("m"), F.min("x").alias("x")).groupBy("key")
-                .agg(F.sum("m").alias("n"), F.expr("sum(m) * sum(m) - sum(m * m)").alias("twice"), F.min(F.struct("x", "c")).alias("low"))
-                .where("twice > 0")
-                .withColumn("open", (F.col("twice") > 2 * EACH * F.col("n")) & F.lit(level + STEP <= LAST)))
-        live = stored(rows.join(keys.drop("twice"), "key"), "met")
-        lives.append(live)
-        large = live.where("open")
-        if level + STEP > LAST or large.isEmpty():
-            break
-        rows = stored(_descend(large.select("x", "key").join(sets.select("x", "sig"), "x").select("x", "sig", "key"),
-                               STEP, False), "paths")
-        level += STEP
-    met = reduce(DataFrame.unionByName, lives)
-    small = met.where(f"not open and n <= {SMALL}").select("key", "x", "c")
+    rows = nodes.select("key", "x").join(of, "x", "left").withColumn("c", F.coalesce("c", "x"))
+    # a path all of whose sets are in one group has nothing to add
+    keys = (rows.groupBy("key", "c").agg(F.count("*").alias("m")).groupBy("key")
+            .agg(F.sum("m").alias("n"), F.expr("sum(m) * sum(m) - sum(m * m)").alias("twice"))
+            .where("twice > 0").withColumn("crowded", F.col("twice") > 2 * EACH * F.col("n")))
+    met = stored(rows.join(keys.drop("twice"), "key"), "met")
+    small = met.where(f"n <= {SMALL}").select("key", "x", "c")
     left, right = small.alias("l"), small.alias("r")
     pairs = left.join(right, F.expr("l.key = r.key and l.x < r.x and l.c <> r.c")).select(
         F.col("l.x").alias("a"), F.col("r.x").alias("b"))
-    to_low = met.where("open and c <> low.c").select(F.col("x").alias("a"), F.col("low.x").alias("b"))
     # in larger paths the groups are paired first, so that the sets of one group don't meet
-    crowd = met.where(f"not open and n > {SMALL}").select("key", "x", "c")
-    units = crowd.select("key", "c").distinct()
+    large = met.where(f"not crowded and n > {SMALL}").select("key", "x", "c")
+    units = large.select("key", "c").distinct()
     both = units.join(units.select("key", F.col("c").alias("d")), "key").where("c < d")
-    across = (both.join(crowd.select("key", "c", F.col("x").alias("a")), ["key", "c"])
-              .join(crowd.select("key", F.col("c").alias("d"), F.col("x").alias("b")), ["key", "d"]).select("a", "b"))
-    return (pairs.unionByName(to_low).unionByName(across)
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    across = (both.join(large.select("key", "c", F.col("x").alias("a")), ["key", "c"])
+              .join(large.select("key", F.col("c").alias("d"), F.col("x").alias("b")), ["key", "d"]).select("a", "b"))
+    pairs = pairs.unionByName(across)
+    crowd = stored(met.where("crowded").select("x", "c").distinct(), "crowd")
+    if not crowd.isEmpty():
+        full = stored(fetch(crowd.select("x")), "crowd-sets")
+        pairs = pairs.unionByName(confirm(prefix_pairs(crowd, full, percent), full, percent))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def frequent_shingles(crowd: DataFrame, full: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles (ascending) that several of ``SEEN`` sets of a crowd have, and in how many.  A bounded number is collected."""
+    some = crowd.select("x").orderBy(F.xxhash64("x"), "x").limit(SEEN)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h, n = np.unique(np.concatenate([_unpack(s.as_py()) for s in b.column(0)] or [np.zeros(0, np.uint64)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.astype(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+
+    found = (full.join(some, "x").select("s").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+             .where("n > 1").orderBy(F.desc("n"), "h").limit(FREQUENT).collect())
+    found.sort()
+    return np.array([r["h"] for r in found], np.uint64), np.array([r["n"] for r in found], np.int64)
+
+
+def prefix_pairs(crowd: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets (x, s) in different groups (x, c) that share a prefix; none that is similar enough is missed.
+
+    Each set is ordered from rare to frequent shingles.  The order is the same for all sets; any would do, this one
+    makes frequent shingles come late.  Of two sets that are similar enough the smaller has their first common shingle in its
+    short prefix, the larger in its long one, and enough shingles follow it.
+    """
+    known, times = frequent_shingles(crowd, full)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            parts = []
+            for x, c, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                u = _unpack(s.as_py())
+                n, rank = len(u), np.zeros(len(u), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, u), len(known) - 1)
+                    rank = np.where(known[at] == u, times[at], 0)
+                h = u[np.lexsort((u, rank))][:n + percent * n // -100 + 1]
+                short = n + 2 * percent * n // -(100 + percent) + 1
+                i = np.arange(len(h))
+                parts.append((np.full(len(h), x), np.full(len(h), c), np.full(len(h), n), i, h.astype(np.int64), i < short))
+            cols = [np.concatenate(p) for p in zip(*parts)] if parts else [np.zeros(0, np.int64)] * 5 + [np.zeros(0, bool)]
+            yield pa.RecordBatch.from_arrays([pa.array(p) for p in cols], names=["x", "c", "n", "i", "h", "short"])
+
+    rows = stored(crowd.join(full, "x").select("x", "c", "s")
+                  .mapInArrow(run, "x long, c long, n long, i long, h long, short boolean"), "prefixes")
+    left, right = rows.where("short").alias("l"), rows.alias("r")
+    follows = f"{100 + percent} * least(l.n - l.i, r.n - r.i) >= {percent} * (l.n + r.n)"
+    return (left.join(right, F.expr(f"""l.h = r.h and l.c <> r.c and (l.n < r.n or l.n = r.n and l.x < r.x)
+                                        and 100 * l.n >= {percent} * r.n and {follows}"""))
+            .select(F.least("l.x", "r.x").alias("a"), F.greatest("l.x", "r.x").alias("b")).distinct())
 
 
 def likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -309,10 +346,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                   "sets")
     nodes = stored(paths(sets), "nodes")
 
+    def fetch(wanted):
+        return _full_sets(docs, wanted.join(sets.select("x", "doc", "th"), "x"), id_col, text_col, words).dropDuplicates(["x"])
+
     def links(pairs):
         pairs = stored(likely(pairs, sets, percent), "pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("x")).distinct().join(sets.select("x", "doc", "th"), "x")
-        full = stored(_full_sets(docs, wanted, id_col, text_col, words).dropDuplicates(["x"]), "full-sets")
+        full = stored(fetch(pairs.select(F.explode(F.array("a", "b")).alias("x")).distinct()), "full-sets")
         return stored(confirm(pairs, full, percent), "links")
 
     def joined(groups, more):
@@ -321,7 +360,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     groups = stored(components(links(star_pairs(nodes))), "groups")
     groups = stored(joined(groups, links(crowd_pairs(nodes, groups))), "groups")
-    groups = joined(groups, links(met_pairs(nodes, sets, groups)))
+    groups = joined(groups, links(met_pairs(nodes, fetch, groups, percent)))
     least = (sets.select("x", "doc").join(groups, F.col("x") == F.col("node"), "left")
              .select("x", "doc", F.coalesce("component", "x").alias("c")))
     low = least.groupBy("c").agg(F.min("doc").alias("component_id"))

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from periodlens import session
 from periodlens.llm import (chosen_path, decontam, fingerprint, html_main, langid, line_dedup, ngram_trie, packing,
                             radix_windows, url_filter)
 from periodlens.llm.components import components
@@ -596,6 +597,39 @@ def test_all_sets_of_a_crowded_path_meet_across_groups(spark):
     assert got == {(a, b) for a in range(200) for b in range(a + 1, 200) if b >= 195}
 
 
+def test_a_crowd_of_near_copies_is_joined_by_prefixes(spark):
+    """300 sets of one family, most pairs at 0.68: all similar pairs between groups are met, and few others."""
+    rng = random.Random(3)
+    common = [rng.getrandbits(48) for _ in range(200)]
+    sets, groups = {}, {}
+    for x in range(300):
+        own = [rng.getrandbits(48) for _ in range(46)]
+        sets[x] = {*common, *own} if x % 10 else {*rng.sample(common, 190), *own[:rng.randrange(5, 40)]}
+        if x % 30 == 2:
+            sets[x] = {*rng.sample(sorted(sets[x - 1]), 225), *own[:20]}
+        groups[x] = x % 150
+    packed = []
+    for x, s in sets.items():
+        u = np.array(sorted(s), np.uint64)
+        packed.append((x, bytearray((u >> np.uint64(16)).astype(np.uint32).tobytes() + (u & np.uint64(0xFFFF)).astype(np.uint16).tobytes())))
+    crowd = spark.createDataFrame(list(groups.items()), "x long, c long")
+    got = [(r["a"], r["b"]) for r in chosen_path.prefix_pairs(crowd, spark.createDataFrame(packed, "x long, s binary"), 80).collect()]
+    want = {(a, b) for a in sets for b in range(a + 1, 300)
+            if groups[a] != groups[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert len(want) > 30 and want <= set(got) and len(got) == len(set(got)) < 6000
+
+
+def test_shuffle_files_go_with_the_query_that_wrote_a_table(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    with session.shuffles_dropped(spark):
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key, None) == before
+    df = spark.range(1000).repartition(3).selectExpr("id % 7 as k").groupBy("k").count()
+    table = session.materialize(df)
+    assert sorted(table.collect()) == sorted(df.collect()) and spark.conf.get(key, None) == before
+
+
 def test_near_duplicates_of_many_texts_under_one_id(spark):
     rng = random.Random(2)
     base = prose(rng, 60)
