@@ -52,13 +52,14 @@ def period_from_path(path, segments=(1, 2, 3)) -> Column:
     """
     segs = F.split(as_col(path), "/")
     n = F.size(segs)
-    quarter, year = F.lit(None).cast("string"), F.lit(None).cast("int")
-    for k in reversed(list(segments)):               # the first listed segment wins: applied last
-        seg = F.when(n >= k, F.element_at(segs, -k))
-        matched, q, y = _parse_segment(F.coalesce(seg, F.lit("")))
-        quarter = F.when(matched, q).otherwise(quarter)
-        year = F.when(matched, y).otherwise(year)
-    return F.struct(quarter.alias("quarter"), year.alias("year"))
+    tried = F.array(*[F.coalesce(F.when(n >= k, F.element_at(segs, -k)), F.lit("")) for k in segments])
+
+    def parsed(seg: Column) -> Column:
+        matched, quarter, year = _parse_segment(seg)
+        return F.struct(matched.alias("matched"), quarter.alias("quarter"), year.alias("year"))
+    # a lambda is evaluated as it is, not unfolded into the generated code of the scan, which was too long to be compiled
+    found = F.get(F.filter(F.transform(tried, parsed), lambda s: s["matched"]), F.lit(0))
+    return F.get(F.transform(F.array(found), lambda s: F.struct(s["quarter"].alias("quarter"), s["year"].alias("year"))), F.lit(0))
 
 
 def month_number(quarter) -> Column:

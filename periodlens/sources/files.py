@@ -136,7 +136,8 @@ def trim_strings(df: DataFrame, columns=None) -> DataFrame:
 def with_period(df: DataFrame, path: Column | str = "source_file", segments=(1, 2, 3)) -> DataFrame:
     """Add ``dataset_key``, ``quarter``, ``year`` parsed from the file path."""
     p = period_from_path(F.col(path) if isinstance(path, str) else path, segments)
-    return (df.withColumn("__period", p)
+    # explode, not a column: the path is parsed once a row; a filter on the period would repeat it inside the scan
+    return (df.withColumn("__period", F.explode(F.array(p)))
             .withColumn("quarter", F.col("__period.quarter"))
             .withColumn("year", F.col("__period.year"))
             .withColumn("dataset_key", dataset_key(F.col("year"), F.col("quarter")))

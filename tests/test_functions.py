@@ -95,6 +95,18 @@ def test_period_from_path(spark):
     assert got == [("September", 2024), ("December", 2018), ("March", 2010), (None, 2019), (None, None)]
 
 
+def test_period_from_path_takes_the_first_segment_that_matches(spark):
+    df = one_col(spark, ["/JUN2001/March_1999/DEC2005.txt", "/JUN2001/March_1999/x.txt", "/JUN2001/a/x.txt", "March_1999", "", None])
+
+    def got(segments):
+        return [(r["quarter"], r["year"]) for r in df.select(P.period_from_path("x", segments).alias("p")).select("p.*").collect()]
+    none = [(None, None)]
+    assert got((1, 2, 3)) == [("December", 2005), ("March", 1999), ("June", 2001), ("March", 1999)] + none * 2
+    assert got((2,)) == [("March", 1999)] * 2 + none * 4
+    assert got((2, 1)) == [("March", 1999)] * 2 + none + [("March", 1999)] + none * 2
+    assert df.where(P.period_from_path("x").isNull()).count() == 0
+
+
 def test_period_label_and_sort_key(spark):
     df = spark.createDataFrame([("March", 2024), ("September", 2023)], "q string, y int")
     r = df.select(P.period_label("q", "y").alias("l"), P.period_sort_key("y", "q").alias("k"),

@@ -43,6 +43,18 @@ def make_history(base):
     return [f1, f2], lk
 
 
+def test_a_filter_on_the_period_does_not_parse_the_path_again(spark, tmpdir_path):
+    write(os.path.join(tmpdir_path, "March_1999", "a.txt"), "AGYSUB,LOC\nx,1\ny,2\n")
+    write(os.path.join(tmpdir_path, "other", "a.txt"), "AGYSUB,LOC\nz,3\n")
+    paths = [os.path.join(tmpdir_path, d, "a.txt") for d in ("March_1999", "other")]
+    df = R.denormalized(spark, paths, {}, segments=(2,))
+    assert sorted((r["agysub"], r["year"], r["quarter"], r["dataset_key"]) for r in df.collect()) == [
+        ("x", 1999, "March", "1999_March"), ("y", 1999, "March", "1999_March")]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    filters = [x for x in plan.split("\n") if "Filter" in x]
+    assert filters and not any("regexp" in x for x in filters) and plan.count("regexp_extract(") <= 10
+
+
 def test_read_facts_header_drift_and_periods(spark, tmpdir_path):
     facts, _ = make_history(tmpdir_path)
     df = S.read_facts(spark, facts)
