@@ -136,6 +136,23 @@ def test_line_pairs_follow_groups_that_differ(spark):
     assert got == {(i, 39) for i in range(39)} | {(i, j) for i in range(40) for j in (100, 101)}
 
 
+def test_line_pairs_are_confirmed_in_parts_of_the_size_of_the_lines(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = [(i, " ".join(rng.choice(("alpha", "beta", "gamma")) for _ in range(6))) for i in range(20)]
+    pairs = [(i, j) for i in range(20) for j in range(i + 1, 20)]
+    sizes, one = [], line_dedup.confirmed
+
+    def seen(part, *args):
+        sizes.append(part.count())
+        return one(part, *args)
+    monkeypatch.setattr(line_dedup, "confirmed", seen)
+    frames = spark.createDataFrame(pairs, "a long, b long"), spark.createDataFrame(texts, "line long, x string")
+    got = line_dedup.confirmed_in_parts(frames[0], len(pairs), frames[1], len(texts), 0.6).collect()
+    assert len(got) > 1 and sorted(map(tuple, got)) == sorted(map(tuple, one(*frames, 0.6).collect()))
+    assert sum(sizes) == len(pairs) and max(sizes) <= 2 * len(texts)
+    assert line_dedup.confirmed_in_parts(frames[0].where("a < 0"), 0, frames[1].where("line < 0"), 0, 0.6).count() == 0
+
+
 def test_line_dedup_carries_clashing_columns_and_repeated_rows(spark, empty):
     rows = [(1, "a b c d\nx y", "r", 1), (1, "a b c d\nx y", "r", 1), (None, "a b c d\nnew", "s", 2)]
     df = spark.createDataFrame(rows, "doc_id long, text string, row string, kept int")
