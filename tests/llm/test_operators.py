@@ -94,6 +94,37 @@ def test_line_dedup_finds_all_exact_and_most_similar_lines(spark):
     assert least <= kept <= distinct and (distinct - kept) >= 0.6 * (distinct - least)
 
 
+def test_line_dedup_finds_lines_whose_simhashes_differ_much(spark):
+    """Long lines with a tenth of their words replaced: SimHashes many bits apart, most word pairs shared."""
+    rng = random.Random(11)
+
+    def word():
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9)))
+    rows = []
+    for d in range(60):
+        words = [word() for _ in range(40)]
+        rows.append((2 * d, " ".join(words)))
+        for i in rng.sample(range(40), 4):
+            words[i] = word()
+        rows.append((2 * d + 1, " ".join(words)))
+    want = brute.lines_kept(rows)
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS)).collect()}
+    gone = [d for d, t in want.items() if t == ""]
+    assert len(gone) > 50 and sum(got[d] == "" for d in gone) >= 0.97 * len(gone)
+    assert all(got[d] == want[d] for d in want if want[d])
+
+
+def test_line_keys_of_word_pairs_stay_small(spark):
+    """A word pair in all lines: its key is filed again, so candidate pairs grow with the lines."""
+    for n in (100, 400):
+        lines = line_dedup.distinct_lines(spark.createDataFrame(
+            [(i, f"averylongcommonword anotherlongcommonword {' '.join(f'w{(i * 7 + j) % 1009}' for j in range(6))}") for i in range(n)],
+            DOCS), "doc_id", "text")
+        pairs, keys = line_dedup.shared_shingles(lines)
+        assert keys.groupBy("sim").count().agg({"count": "max"}).first()[0] <= line_dedup.NEAR + 1
+        assert pairs.distinct().count() <= 20 * n and keys.count() <= 20 * n
+
+
 def test_line_dedup_compares_lines_of_one_simhash_and_crowded_keys(spark):
     zeros = "0 0 0 0 0 0 0 0"
     rows = [(1, f"{zeros} 1 5"), (2, f"{zeros} 1 6"), (3, f"{zeros} " + "7" * 40), (4, f"{zeros} " + "7" * 39 + "8")]
