@@ -125,6 +125,41 @@ def test_line_keys_of_word_pairs_stay_small(spark):
         assert pairs.distinct().count() <= 20 * n and keys.count() <= 20 * n
 
 
+def test_line_dedup_compares_all_lines_that_share_a_common_phrase(spark):
+    """Lines with one quotation of long words, a similar line of another length for each; and the quotation itself."""
+    rng = random.Random(13)
+
+    def word(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    quoted = " ".join(word(16) for _ in range(4))
+    rows = []
+    for d in range(25):
+        words = [word(5) for _ in range(16)]
+        rows.append((2 * d, f"{quoted} {' '.join(words)}"))
+        for i in rng.sample(range(16), 2):
+            words[i] = word(9)
+        rows.append((2 * d + 1, f"{quoted} {' '.join(words)}"))
+    rows += [(200, quoted), (201, f"{quoted} {word(3)}"), (202, f"{word(8)} {quoted}")]
+    want = brute.lines_kept(rows)
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS)).collect()}
+    gone = [d for d, t in want.items() if t == ""]
+    assert len(gone) == 27 and sum(got[d] == "" for d in gone) >= 26
+    assert all(got[d] == want[d] for d in want if want[d])
+
+
+def test_line_pairs_of_a_phrase_need_like_places():
+    """A word pair that two similar lines share has about as much before it and after it in both."""
+    rng = random.Random(17)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 9))) for _ in range(30)]
+    for _ in range(200):
+        other = list(words)
+        for i in rng.sample([i for i in range(30) if i not in (11, 12)], rng.randrange(6)):
+            other[i] = "".join(rng.choice("xyz") for _ in range(rng.randrange(1, 9)))
+        a, b = " ".join(words), " ".join(other)
+        before = [len(" ".join(w[:11])) for w in (words, other)]
+        assert abs(before[0] - before[1]) + abs((len(a) - before[0]) - (len(b) - before[1])) <= brute.edit_distance(a, b)
+
+
 def test_line_dedup_compares_lines_of_one_simhash_and_crowded_keys(spark):
     zeros = "0 0 0 0 0 0 0 0"
     rows = [(1, f"{zeros} 1 5"), (2, f"{zeros} 1 6"), (3, f"{zeros} " + "7" * 40), (4, f"{zeros} " + "7" * 39 + "8")]
